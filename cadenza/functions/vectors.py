@@ -24,27 +24,63 @@ def md5_hex_int(word: Column, start: int, length: int) -> Column:
     return F.conv(F.substring(F.md5(word), start, length), 16, 10).cast("bigint")
 
 
-def hashed_vector(text: Column | str, dim: int) -> Column:
-    """Signed feature hashing of the text's tokens into ``dim`` buckets (array<float>).
+def hashed_pairs(text: Column | str, dim: int) -> Column:
+    """(bucket, weight) of the text's hashed tokens: buckets ascending, equal buckets summed,
+    zero weights dropped (array<struct<b:int, w:int>>).
 
-    Bucket = first 8 hex digits of md5(token) mod dim; sign = + when the 9th hex digit is
-    even. Entries are integer counts (exact in float), so similarity can be computed
-    exactly on any engine; the norm is kept apart (see :func:`norm`).
+    Bucket = first 8 hex digits of md5(token) mod dim; sign = + when the 9th hex digit is even.
     """
-    pairs = F.transform(
+    signed = F.array_sort(F.transform(
         tokens(text),
         lambda w: F.struct(
             (md5_hex_int(w, 1, 8) % dim).cast("int").alias("b"),
-            F.when(md5_hex_int(w, 9, 1) % 2 == 0, F.lit(1)).otherwise(F.lit(-1)).alias("s"),
+            F.when(md5_hex_int(w, 9, 1) % 2 == 0, F.lit(1)).otherwise(F.lit(-1)).alias("w"),
         ),
-    )
-    zeros = F.array_repeat(F.lit(0), dim)
-    dense = F.aggregate(
-        pairs,
-        zeros,
-        lambda acc, p: F.transform(acc, lambda v, i: F.when(i == p["b"], v + p["s"]).otherwise(v)),
-    )
-    return F.transform(F.coalesce(dense, zeros), lambda v: v.cast("float"))
+    ))
+    empty = F.array().cast("array<struct<b:int,w:int>>")
+
+    def merge(acc: Column, p: Column) -> Column:
+        last = F.element_at(acc, -1)
+        same = (F.size(acc) > 0) & (last["b"] == p["b"])
+        summed = F.struct(p["b"].alias("b"), (last["w"] + p["w"]).alias("w"))
+        return F.when(same, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(summed))) \
+            .otherwise(F.concat(acc, F.array(p)))
+
+    merged = F.aggregate(F.coalesce(signed, empty), empty, merge)
+    return F.filter(merged, lambda p: p["w"] != 0)
+
+
+def densify(pairs: Column, dim: int) -> Column:
+    """Dense array<float> of ``dim`` entries from ascending (bucket, weight) pairs.
+
+    Built by concatenating runs of zeros and weights (native array copies; one lambda call
+    per pair, not per entry).
+    """
+    start = F.struct(F.array().cast("array<int>").alias("v"), F.lit(-1).alias("last"))
+
+    def step(acc: Column, p: Column) -> Column:
+        gap = F.array_repeat(F.lit(0), p["b"] - acc["last"] - 1)
+        return F.struct(F.concat(acc["v"], gap, F.array(p["w"])).alias("v"), p["b"].alias("last"))
+
+    def finish(acc: Column) -> Column:
+        return F.concat(acc["v"], F.array_repeat(F.lit(0), F.lit(dim - 1) - acc["last"])).cast("array<float>")
+
+    return F.aggregate(pairs, start, step, finish)
+
+
+def pairs_norm(pairs: Column) -> Column:
+    """Euclidean norm of a vector given as (bucket, weight) pairs, in double."""
+    return F.sqrt(F.aggregate(pairs, F.lit(0.0).cast("double"),
+                              lambda s, p: s + p["w"].cast("double") * p["w"].cast("double")))
+
+
+def hashed_vector(text: Column | str, dim: int) -> Column:
+    """Signed feature hashing of the text's tokens into ``dim`` buckets (array<float>).
+
+    Entries are integer counts (exact in float), so similarity is exact on any engine; the
+    norm is kept apart (:func:`pairs_norm`, :func:`norm`).
+    """
+    return densify(hashed_pairs(text, dim), dim)
 
 
 def norm(vec: Column | str) -> Column:
@@ -83,4 +119,4 @@ def dense_entries(vec: Column | str) -> Column:
 def has_dim(vec: Column | str, dim: int) -> Column:
     """True when the vector is present, has ``dim`` entries and no null entry."""
     v = _c(vec)
-    return v.isNotNull() & (F.size(v) == dim) & ~F.exists(v, lambda x: x.isNull())
+    return v.isNotNull() & (F.size(v) == dim) & (F.size(F.array_compact(v)) == dim)

@@ -13,18 +13,23 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.functions.vectors import dense_entries, hashed_vector, norm
+from cadenza.functions.vectors import dense_entries, densify, hashed_pairs, norm, pairs_norm
 
 DEFAULT_DIM = 768  # vector width of the reference's embedding model
 
 
 def embed(df: DataFrame, source: str = "llm_labeled_emotions", out: str = "emotions_embeddings",
           dim: int = DEFAULT_DIM, with_norm: bool = True) -> DataFrame:
-    """Add the hashed vector of ``source`` (array<float>, ``dim`` wide) and its norm."""
-    df = df.withColumn(out, hashed_vector(F.col(source), dim))
+    """Add the hashed vector of ``source`` (array<float>, ``dim`` wide) and its norm.
+
+    The (bucket, weight) pairs are computed once; the dense vector and the norm both come
+    from them (the norm from the non-zero entries only).
+    """
+    df = df.withColumn("_pairs", hashed_pairs(F.col(source), dim))
+    df = df.withColumn(out, densify(F.col("_pairs"), dim))
     if with_norm:
-        df = df.withColumn("norm", norm(out))
-    return df
+        df = df.withColumn("norm", pairs_norm(F.col("_pairs")))
+    return df.drop("_pairs")
 
 
 def embed_labels(labeled: DataFrame, dim: int = DEFAULT_DIM, keep: tuple = ("artist", "song", "link", "llm_labeled_emotions")) -> DataFrame:

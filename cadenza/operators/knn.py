@@ -163,22 +163,26 @@ def knn_search(queries: DataFrame, index: DataFrame, *, dim: int, k: int = 10,
                query_key: str = "query_id", query_vec: str = "query_vec",
                index_key: str = "link", index_vec: str = "emotions_embeddings",
                payload: Sequence[str] = (), query_payload: Sequence[str] = (),
+               query_norm: str | None = None, index_norm: str | None = None,
                metric: str = "cosine", exclude_self: bool = False, digits: int = 6,
                max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
                query_block_rows: int = QUERY_BLOCK_ROWS,
                index_block_rows: int = INDEX_BLOCK_ROWS) -> DataFrame:
     """Top ``k`` index rows per query: ``query_key, query_payload..., rank, index_key,
     payload..., score``. Rows without a valid ``dim``-wide vector (or with norm 0 under
-    cosine) take no part. Keys must be unique on each side."""
+    cosine) take no part. Keys must be unique on each side. ``query_norm`` / ``index_norm``
+    name precomputed norm columns (else norms are computed here)."""
     if metric not in ("cosine", "dot"):
         raise ValueError("metric must be 'cosine' or 'dot'")
     if query_key == index_key or set(query_payload) & set(payload):
         raise ValueError("output column names of the two sides must differ")
     q = queries.where(has_dim(query_vec, dim)).select(
-        F.col(query_key).alias("_qk"), F.col(query_vec).alias("_qv"), norm(query_vec).alias("_qn"),
+        F.col(query_key).alias("_qk"), F.col(query_vec).alias("_qv"),
+        (F.col(query_norm) if query_norm else norm(query_vec)).cast("double").alias("_qn"),
         *[F.col(c).alias(f"_qp{i}") for i, c in enumerate(query_payload)])
     x = index.where(has_dim(index_vec, dim)).select(
-        F.col(index_key).alias("_ik"), F.col(index_vec).alias("_iv"), norm(index_vec).alias("_in"),
+        F.col(index_key).alias("_ik"), F.col(index_vec).alias("_iv"),
+        (F.col(index_norm) if index_norm else norm(index_vec)).cast("double").alias("_in"),
         *[F.col(c) for c in payload])
     if metric == "cosine":
         q = q.where(F.col("_qn") > 0)

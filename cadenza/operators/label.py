@@ -59,6 +59,19 @@ def build_lexicon(corpus: DataFrame, text: str = "text", size: int = LEXICON_SIZ
                       F.element_at(names, emotion_id + 1).alias("emotion"))
 
 
+def materialize_lexicon(lexicon: DataFrame) -> DataFrame:
+    """Compute the lexicon once and keep it as a local relation in the plan.
+
+    Its size is bounded by construction (``size`` <= LEXICON_MAX_SIZE rows), so holding it on
+    the driver is safe; every later plan broadcasts it without recomputing the corpus pass,
+    and a lost executor never needs the corpus again to rebuild it.
+    """
+    rows = lexicon.limit(LEXICON_MAX_SIZE + 1).collect()
+    if len(rows) > LEXICON_MAX_SIZE:
+        raise ValueError("lexicon exceeds its broadcast bound")
+    return lexicon.sparkSession.createDataFrame(rows, lexicon.schema)
+
+
 def emotion_counts(df: DataFrame, key: str | Sequence[str], text: str, lexicon: DataFrame,
                    carry: Sequence[str] = (), n_emotions: int = len(EMOTIONS)) -> DataFrame:
     """Per key: the carried columns and ``counts`` (array<bigint>, one entry per emotion).
@@ -70,9 +83,10 @@ def emotion_counts(df: DataFrame, key: str | Sequence[str], text: str, lexicon:
     lex = F.broadcast(lexicon.select("word", "emotion_id"))
     toks = df.select(*keys, *carry, F.explode_outer(tokens(F.col(text))).alias("word"))
     hits = toks.join(lex, "word", "left")
-    aggs = [F.first(c).alias(c) for c in carry]
-    aggs += [F.count_if(F.col("emotion_id") == i).alias(f"_c{i}") for i in range(n_emotions)]
-    grouped = hits.groupBy(*keys).agg(*aggs)
+    # Carried columns depend on the key only, so grouping by them too gives the same groups
+    # and keeps a hash aggregation (first() over strings would force a sort of all tokens).
+    aggs = [F.count_if(F.col("emotion_id") == i).alias(f"_c{i}") for i in range(n_emotions)]
+    grouped = hits.groupBy(*keys, *carry).agg(*aggs)
     return grouped.select(*keys, *carry,
                           F.array(*[F.col(f"_c{i}") for i in range(n_emotions)]).alias("counts"))
 
@@ -98,7 +112,7 @@ def label_emotions(df: DataFrame, lexicon: DataFrame, key: str | Sequence[str] =
     """Label each row's text with emotions (M1/M2): ``key, carry..., out``.
 
     ``carry`` defaults to all columns but the key and the text; carried columns ride through
-    the aggregation (``first``), so keep them narrow. The text itself is not carried.
+    the aggregation as extra grouping columns, so keep them narrow. The text is not carried.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if carry is None:
@@ -123,7 +137,7 @@ def top_emotion(df: DataFrame, lexicon: DataFrame, key: Sequence[str], text: str
     """The single most frequent emotion per key (null when none): the fill-mask stand-in (M3)."""
     counts = emotion_counts(df, key, text, lexicon, carry=(), n_emotions=len(emotions))
     first = top_emotions(F.col("counts"), emotions, 1)
-    return counts.select(*key, F.element_at(first, 1).alias(out))
+    return counts.select(*key, F.try_element_at(first, F.lit(1)).alias(out))
 
 
 def udf_labeler(model: Callable[[Column], Column], text: str = "text",

@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.functions.text import is_error_label, strip_punct
-from cadenza.functions.vectors import has_dim, hashed_vector, norm
+from cadenza.functions.text import strip_punct
+from cadenza.functions.vectors import densify, hashed_pairs, pairs_norm
 from cadenza.operators.embed import DEFAULT_DIM, embed
+from cadenza.operators.index import build_index  # noqa: F401 (re-export)
 from cadenza.operators.knn import knn_search
 from cadenza.operators.label import label_emotions
 
@@ -30,19 +31,6 @@ def song_vectors(songs: DataFrame, lexicon: DataFrame, dim: int = DEFAULT_DIM,
     return embed(labeled, dim=dim)
 
 
-def build_index(vectors: DataFrame, dim: int = DEFAULT_DIM, key: str = "link",
-                vec: str = "emotions_embeddings", drop_errors: bool = True) -> DataFrame:
-    """Rows fit for the index (S9): a ``dim``-wide vector without nulls, norm > 0, and (by
-    default) no ERROR label. ``drop_errors=False`` indexes error rows as the reference does."""
-    ok = has_dim(vec, dim) & (norm(vec) > 0)
-    if drop_errors:
-        ok = ok & ~F.coalesce(is_error_label("llm_labeled_emotions"), F.lit(False))
-    out = vectors.where(ok)
-    if "norm" not in out.columns:
-        out = out.withColumn("norm", norm(vec))
-    return out
-
-
 def query_vectors(sentences: DataFrame, lexicon: DataFrame, dim: int = DEFAULT_DIM,
                   embed_source: str = "labels", cleaner: str | None = "v2") -> DataFrame:
     """Sentences to query rows: query_id, user_emotions, query_vec."""
@@ -60,7 +48,9 @@ def query_vectors(sentences: DataFrame, lexicon: DataFrame, dim: int = DEFAULT_D
         src = "user_emotions"
     else:
         raise ValueError("embed_source must be 'labels' or 'raw'")
-    return labeled.select("query_id", "user_emotions", hashed_vector(F.col(src), dim).alias("query_vec"))
+    pairs = labeled.select("query_id", "user_emotions", hashed_pairs(F.col(src), dim).alias("_pairs"))
+    return pairs.select("query_id", "user_emotions", densify(F.col("_pairs"), dim).alias("query_vec"),
+                        pairs_norm(F.col("_pairs")).alias("query_norm"))
 
 
 def recommend(sentences: DataFrame, index: DataFrame, lexicon: DataFrame, *, k: int = RESULTS_PER_QUERY,
@@ -72,5 +62,6 @@ def recommend(sentences: DataFrame, index: DataFrame, lexicon: DataFrame, *, k:
     hits = knn_search(queries, index, dim=dim, k=k, query_key="query_id", query_vec="query_vec",
                       index_key="link", index_vec="emotions_embeddings",
                       payload=["artist", "song", "llm_labeled_emotions"],
-                      query_payload=["user_emotions"], **search_options)
+                      query_payload=["user_emotions"], query_norm="query_norm",
+                      index_norm="norm" if "norm" in index.columns else None, **search_options)
     return hits.select(*RESULT_COLUMNS)

@@ -11,9 +11,45 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 SONG_COLUMNS = ("artist", "song", "link", "text")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+SMALL_INPUT_BYTES = 1 << 30   # below this, spreading the rows over all cores costs little
+SMALL_INPUT_MAX_FILES = 64    # more files than this: the scan is parallel by itself
+
+
+def input_bytes(df: DataFrame, max_files: int = SMALL_INPUT_MAX_FILES) -> int | None:
+    """Total size of the files under ``df``, or None when there are more than ``max_files``."""
+    files = df.inputFiles()
+    if len(files) > max_files:
+        return None
+    spark = df.sparkSession
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    total = 0
+    for f in files:
+        path = jvm.org.apache.hadoop.fs.Path(f)
+        total += path.getFileSystem(conf).getFileStatus(path).getLen()
+    return total
+
+
+def spread_small_input(df: DataFrame, min_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
+    """Spread a small scan over all cores before CPU-heavy per-row work.
+
+    A parquet file is split by row groups; a small file with one row group is read by one
+    task, however many cores there are. When the input is small (few files, under
+    ``min_bytes``), a round-robin repartition is cheap and gives every core a share. Large
+    inputs are left alone: their scans are parallel already, and a shuffle would cost.
+    Filters and column pruning still reach the scan (they pass through the repartition).
+    """
+    size = input_bytes(df)
+    if size is None or size >= min_bytes:
+        return df
+    parts = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(parts)
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """One test table (parquet): filters and column choices reach the scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_input(df) if spread else df
 
 
 def song_link(doc_id) -> F.Column:
