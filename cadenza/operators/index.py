@@ -55,8 +55,11 @@ def changed_rows(new: DataFrame, diff: DataFrame, key: str = "link") -> DataFram
 
 
 def upsert(index: DataFrame, diff: DataFrame, fresh: DataFrame, key: str = "link") -> DataFrame:
-    """Index after a refresh: drop deleted and updated keys, add the fresh rows."""
-    gone = diff.where(F.col("change").isin(DELETE, UPDATE)).select(key)
+    """Index after a refresh: drop every changed key, add the fresh rows.
+
+    Inserted keys are dropped too, so applying the same change set twice gives the same index.
+    """
+    gone = diff.select(key)
     kept = index.join(gone, key, "left_anti")
     return kept.unionByName(fresh.select(*index.columns))
 

@@ -26,6 +26,7 @@ from cadenza.session import scratch_path
 from cadenza.sources import files as io
 from cadenza.sources import fixtures as fx
 from cadenza.sources.tables import read_table, scan_limit, sentences, songs, songs_from_documents
+from cadenza.streaming import index_stream as S
 
 DIM = E.DEFAULT_DIM          # song vectors: the reference's width
 EMB_DIM = 64                 # width of the `embeddings` test table
@@ -244,6 +245,20 @@ def q_recommend_trials(spark, d):
     return recommend(trials, song_index(spark, d, lex), lex, k=KNN, dim=DIM)
 
 
+def q_stream_index(spark, d):
+    """Two change files, two ``availableNow`` runs: the index ends equal to a batch build of
+    the second snapshot."""
+    docs = read_table(spark, d, "documents")
+    lex = lexicon(spark, d)
+    root = scratch_path(spark, "index-stream")
+    src, base, ckpt = f"{root}/changes", f"{root}/index", f"{root}/checkpoint"
+    old, new = songs_from_documents(docs), fx.next_snapshot(docs)
+    S.changes_from_rows(old, seq=1).write.mode("append").parquet(src)
+    S.run_index_stream(spark, src, base, ckpt, lex, DIM)
+    S.changes_from_diff(new, X.snapshot_diff(old, new), seq=2).write.mode("append").parquet(src)
+    return S.run_index_stream(spark, src, base, ckpt, lex, DIM).select(*INDEX_COLUMNS)
+
+
 def q_exclude_flagged(spark, d):
     flags = (read_table(spark, d, "labels").where(F.col("toxic") == 1)
              .select(F.concat(F.lit("/doc/"), F.col("doc_id").cast("string")).alias("link")))
@@ -287,6 +302,7 @@ QUERIES: dict[str, Query] = {
     "recommend": q_recommend,
     "recommend_raw": q_recommend_raw,
     "recommend_trials": q_recommend_trials,
+    "stream_index": q_stream_index,
     "exclude_flagged": q_exclude_flagged,
     "holiday_tag": q_holiday_tag,
 }
@@ -476,6 +492,7 @@ FROM songs o FULL OUTER JOIN songs_new n ON o.link = n.link
 WHERE o.link IS NULL OR n.link IS NULL OR o.artist IS DISTINCT FROM n.artist
    OR o.song IS DISTINCT FROM n.song OR o.text IS DISTINCT FROM n.text""",
     "index_upsert": _index_sql(_next_snapshot_cte().replace("songs_new AS", "songs AS", 1)),
+    "stream_index": _index_sql(_next_snapshot_cte().replace("songs_new AS", "songs AS", 1)),
     "latest_version": "SELECT event_type, max(CAST(CAST(user_id AS VARCHAR) AS INTEGER)) AS latest_version FROM events GROUP BY event_type",
     "knn_exact": _sql_knn_exact(),
     "knn_block": _sql_knn_exact(),

@@ -1,0 +1,115 @@
+"""Invariants of the pipeline operators on the small test tables."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from cadenza.operators import index as X
+from cadenza.operators import label as L
+from cadenza.operators import measures as M
+from cadenza.plans import catalog as C
+from cadenza.sources import files as io
+from cadenza.sources.fixtures import next_snapshot
+from cadenza.sources.tables import read_table, songs, songs_from_documents, spread_small_input
+from conftest import SF_SMALL
+
+
+def test_csv_golden(spark, tmp_path):
+    body = ('artist,song,link,text\n'
+            'ABBA,"He said ""hi""",/a/1,"line1\nline2, with comma"\n'
+            'X,"back\\slash",/a/2,\n'
+            'Y,plain,/a/3,"ends with \\"\n'
+            'Z,q,/a/4,"ok"\n')
+    p = tmp_path / "songs.csv"
+    p.write_text(body)
+    rows = [tuple(r) for r in io.read_songs_csv(spark, str(p)).orderBy("link").collect()]
+    assert rows == [("ABBA", 'He said "hi"', "/a/1", "line1\nline2, with comma"),
+                    ("X", "back\\slash", "/a/2", None),
+                    ("Y", "plain", "/a/3", "ends with \\"),
+                    ("Z", "q", "/a/4", "ok")]
+
+
+def test_error_rate_golden(spark):
+    df = spark.createDataFrame([("ERROR: a",), ("b",), (None,)], "llm_labeled_emotions string")
+    r = M.error_rate(df).collect()[0]
+    assert (r.n_songs, r.n_errors, r.error_pct) == (3, 1, 33.0)
+
+
+def test_sample_is_stable_subset(spark):
+    s = songs(spark, SF_SMALL)
+    a = {r.link for r in M.sample_by_key(s, "link", 0.2).collect()}
+    b = {r.link for r in M.sample_by_key(s.repartition(5), "link", 0.2).collect()}
+    allk = {r.link for r in s.collect()}
+    assert a == b and a <= allk and 0 < len(a) < len(allk)
+
+
+def test_spread_small_input(spark):
+    d = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    assert spread_small_input(d).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_labels_are_ten_distinct_or_error(spark):
+    lab = C.labeled(spark, SF_SMALL).collect()
+    assert len(lab) == 200
+    for r in lab:
+        v = r.llm_labeled_emotions
+        if not v.startswith("ERROR: "):
+            items = v.split(", ")
+            assert len(items) == 10 and len(set(items)) == 10 and set(items) <= set(L.EMOTIONS)
+
+
+def test_lexicon_bounded(spark):
+    lex = C.lexicon(spark, SF_SMALL)
+    assert lex.count() == L.LEXICON_SIZE
+    assert lex.where(F.length("word") < L.LEXICON_MIN_LEN).count() == 0
+
+
+def test_recommend_invariants(spark):
+    res = C.q_recommend(spark, SF_SMALL)
+    rows = res.collect()
+    assert rows
+    by_q = {}
+    for r in rows:
+        by_q.setdefault(r.query_id, []).append(r)
+        assert -1.0 <= r.score <= 1.0
+        assert not r.llm_labeled_emotions.startswith("ERROR")
+    for q, rs in by_q.items():
+        ranks = sorted(r["rank"] for r in rs)
+        assert ranks == list(range(1, len(rs) + 1)) and len(rs) <= 10
+        ordered = sorted(rs, key=lambda r: r["rank"])
+        assert all((a.score, b.link) >= (b.score, a.link) or a.score > b.score
+                   for a, b in zip(ordered, ordered[1:]))
+
+
+def test_knn_exact_no_self_match(spark):
+    rows = C.q_knn_exact(spark, SF_SMALL).collect()
+    assert rows and all(r.query_id != r.vec_id for r in rows)
+
+
+def test_diff_and_upsert_idempotent(spark):
+    docs = read_table(spark, SF_SMALL, "documents")
+    old, new = songs_from_documents(docs), next_snapshot(docs)
+    diff = X.snapshot_diff(old, new)
+    counts = dict(diff.groupBy("change").count().collect())
+    assert counts == {"delete": 10, "update": 10, "insert": 3}
+    lex = C.lexicon(spark, SF_SMALL)
+    from cadenza.plans.recommend import song_vectors
+    old_index = X.build_index(song_vectors(old, lex, dim=64), dim=64)
+    fresh = X.build_index(song_vectors(X.changed_rows(new, diff), lex, dim=64), dim=64)
+    once = X.upsert(old_index, diff, fresh)
+    twice = X.upsert(once, diff, fresh)
+    full = X.build_index(song_vectors(new, lex, dim=64), dim=64)
+    key = lambda df: sorted((r.link, r.llm_labeled_emotions, r.norm) for r in df.collect())
+    assert key(once) == key(twice) == key(full)
+
+
+def test_latest_version_numeric(spark):
+    df = spark.createDataFrame([("a", "9"), ("a", "10"), ("b", "2")], "name string, version string")
+    assert dict(X.latest_version(df, "name", "version").collect()) == {"a": 10, "b": 2}
+
+
+def test_vector_check_counts(spark):
+    df = spark.createDataFrame(
+        [("a", [1.0, 0.0]), ("a", [0.0, 1.0]), ("b", None), ("c", [1.0]), ("d", [0.0, 0.0])],
+        "link string, v array<float>")
+    r = X.vector_check(df, 2, vec="v", label=None).collect()[0]
+    assert (r.n_rows, r.n_null_vector, r.n_wrong_dim, r.n_zero_norm, r.n_duplicate_key) == (5, 1, 1, 1, 1)
