@@ -505,3 +505,44 @@ WHERE o.link IS NULL OR n.link IS NULL OR o.artist IS DISTINCT FROM n.artist
     "holiday_tag": _with(O.songs_cte()) + "SELECT link, coalesce(list_has_any(regexp_extract_all(lower(text), '[a-z]+'), ["
     + ", ".join(O.q(w) for w in M.HOLIDAY_WORDS) + "]), false) AS is_holiday FROM songs",
 }
+
+
+# ----------------------------------------------------------------------------- approximate search
+# Rows-only keys: the cells come from KMeans, so the answers are approximate by design.
+
+IVF_CELLS = 16
+IVF_PROBES = (1, 2, 4, 8)
+
+
+def _ivf_inputs(spark, d):
+    from cadenza.operators import ivf as V
+
+    e = read_table(spark, d, "embeddings")
+    model = V.train_cells(e, "embedding", EMB_DIM, IVF_CELLS, seed=42)
+    return V, e, model
+
+
+def q_knn_ivf(spark, d):
+    V, e, model = _ivf_inputs(spark, d)
+    res, _ = V.ivf_search(embedding_queries(e), e, model, dim=EMB_DIM, k=KNN, nprobe=2,
+                          query_key="query_id", query_vec="query_vec", index_key="vec_id",
+                          index_vec="embedding", exclude_self=True)
+    return res
+
+
+def q_knn_recall(spark, d):
+    """recall@10 and share of pairs scored, per number of probed cells."""
+    V, e, model = _ivf_inputs(spark, d)
+    exact = q_knn_exact(spark, d)
+    rows = []
+    for nprobe in IVF_PROBES:
+        approx, share = V.ivf_search(embedding_queries(e), e, model, dim=EMB_DIM, k=KNN, nprobe=nprobe,
+                                     query_key="query_id", query_vec="query_vec", index_key="vec_id",
+                                     index_vec="embedding", exclude_self=True)
+        recall = V.ivf_recall(exact, approx, "query_id", "vec_id").collect()[0]["recall"]
+        rows.append((IVF_CELLS, nprobe, float(recall), float(share)))
+    return spark.createDataFrame(rows, "n_cells int, nprobe int, recall double, pairs_scored double")
+
+
+QUERIES["knn_ivf"] = q_knn_ivf
+QUERIES["knn_recall"] = q_knn_recall
