@@ -65,13 +65,21 @@ def upsert(index: DataFrame, diff: DataFrame, fresh: DataFrame, key: str = "link
 
 
 def build_index(vectors: DataFrame, dim: int, key: str = "link", vec: str = "emotions_embeddings",
-                drop_errors: bool = True, label: str = "llm_labeled_emotions") -> DataFrame:
+                drop_errors: bool = True, label: str = "llm_labeled_emotions",
+                check_dim: bool = True) -> DataFrame:
     """Rows fit for the index (S9): a ``dim``-wide vector without nulls, norm > 0 and (by
     default) no ERROR label; ``drop_errors=False`` indexes error rows as the reference does.
-    Adds ``norm`` when missing. Key uniqueness is checked by :func:`vector_check`."""
+    Adds ``norm`` when missing. Key uniqueness is checked by :func:`vector_check`.
+
+    ``check_dim=False`` skips the width test for vectors whose width is fixed by their
+    embedder: Spark pushes a filter below the projection that computes the vector, so the
+    test would build every vector twice.
+    """
     if "norm" not in vectors.columns:
         vectors = vectors.withColumn("norm", norm(vec))
-    ok = has_dim(vec, dim) & (F.col("norm") > 0)
+    ok = F.col("norm") > 0
+    if check_dim:
+        ok = has_dim(vec, dim) & ok
     if drop_errors and label in vectors.columns:
         ok = ok & ~F.coalesce(is_error_label(label), F.lit(False))
     return vectors.where(ok)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from cadenza.functions.vectors import has_dim, norm
+from cadenza.functions.vectors import has_dim, norm  # noqa: F401
 
 DEFAULT_BROADCAST_BYTES = 64 << 20   # query matrix bytes allowed in a broadcast
 SCORE_CELLS = 4_000_000              # score-matrix cells computed at once per task
@@ -136,6 +136,20 @@ def _matrix(col: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
+def _valid_rows(tbl: pa.Table, vec: str, nrm: str, dim: int, metric: str) -> pa.Table:
+    """Rows with a present, ``dim``-wide vector without null entries (and norm > 0 under
+    cosine); the others take no part in the search."""
+    col = tbl.column(vec).combine_chunks()
+    ok = pc.fill_null(pc.list_value_length(col), -1).to_numpy(zero_copy_only=False) == dim
+    values = pc.list_flatten(col)
+    if values.null_count:
+        parents = pc.list_parent_indices(col).to_numpy(zero_copy_only=False)
+        ok[np.unique(parents[pc.is_null(values).to_numpy(zero_copy_only=False)])] = False
+    if metric == "cosine":
+        ok &= pc.fill_null(tbl.column(nrm), 0.0).to_numpy(zero_copy_only=False) > 0
+    return tbl if ok.all() else tbl.filter(pa.array(ok))
+
+
 def _candidates(qtbl_cols: dict, qi, ikeys, payload_cols: dict, xi, si, digits, out_schema) -> pa.Table:
     cols = {name: arr.take(pa.array(qi)) for name, arr in qtbl_cols.items()}
     cols["__ik"] = ikeys.take(pa.array(xi))
@@ -176,23 +190,24 @@ def knn_search(queries: DataFrame, index: DataFrame, *, dim: int, k: int = 10,
         raise ValueError("metric must be 'cosine' or 'dot'")
     if query_key == index_key or set(query_payload) & set(payload):
         raise ValueError("output column names of the two sides must differ")
-    q = queries.where(has_dim(query_vec, dim)).select(
+    # Rows with a missing or wrong-width vector (or norm 0 under cosine) are dropped inside
+    # the Arrow tasks, not by a Spark filter: a filter on a computed vector would be pushed
+    # below its projection and compute the vector twice.
+    q = queries.select(
         F.col(query_key).alias("_qk"), F.col(query_vec).alias("_qv"),
         (F.col(query_norm) if query_norm else norm(query_vec)).cast("double").alias("_qn"),
         *[F.col(c).alias(f"_qp{i}") for i, c in enumerate(query_payload)])
-    x = index.where(has_dim(index_vec, dim)).select(
+    x = index.select(
         F.col(index_key).alias("_ik"), F.col(index_vec).alias("_iv"),
         (F.col(index_norm) if index_norm else norm(index_vec)).cast("double").alias("_in"),
         *[F.col(c) for c in payload])
-    if metric == "cosine":
-        q = q.where(F.col("_qn") > 0)
-        x = x.where(F.col("_in") > 0)
     schema = _output_schema(q, x, query_key, query_payload, index_key, payload)
     arrow_schema = to_arrow_schema(schema)
 
     cap_rows = max(0, max_broadcast_bytes // (8 * dim + 64))
     local = q.limit(cap_rows + 1).toArrow() if cap_rows > 0 else None
     if local is not None and local.num_rows <= cap_rows:
+        local = _valid_rows(local, "_qv", "_qn", dim, metric)
         partial = _broadcast_scores(local, x, schema, arrow_schema, dim, k, digits, metric,
                                     exclude_self, query_payload, payload)
     else:
@@ -219,14 +234,15 @@ def _broadcast_scores(local: pa.Table, x: DataFrame, schema, arrow_schema, dim,
         qk_np = qcols_["_qk"].to_numpy(zero_copy_only=False)
         best = None
         for batch in batches:
+            batch = _valid_rows(pa.Table.from_batches([batch]), "_iv", "_in", dim, metric)
             if batch.num_rows == 0:
                 continue
-            ikeys = batch.column("_ik")
+            ikeys = batch.column("_ik").combine_chunks()
             X = _matrix(batch.column("_iv"), dim)
             xn = batch.column("_in").to_numpy(zero_copy_only=False).astype(np.float64)
             qi, xi, si = _score_block(Q, qn, qk_np, X, xn, ikeys, k, digits, metric, exclude_self)
-            cand = _candidates(qcols_, qi, ikeys, {c: batch.column(c) for c in payload}, xi, si,
-                               digits, arrow_schema)
+            cand = _candidates(qcols_, qi, ikeys, {c: batch.column(c).combine_chunks() for c in payload},
+                               xi, si, digits, arrow_schema)
             best = cand if best is None else pa.concat_tables([best, cand])
             best = _reduce_topk(best, qk_name, ik_name, k)
         if best is not None:
@@ -251,6 +267,8 @@ def _block_scores(q: DataFrame, x: DataFrame, schema, arrow_schema, dim, k, digi
     qp_names = ["_qk"] + [f"_qp{i}" for i in range(len(query_payload))]
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = _valid_rows(left, "_qv", "_qn", dim, metric)
+        right = _valid_rows(right, "_iv", "_in", dim, metric)
         if left.num_rows == 0 or right.num_rows == 0:
             return arrow_schema.empty_table()
         qcols = {c: left.column(c).combine_chunks() for c in qp_names}

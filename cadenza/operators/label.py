@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions.text import CLEANERS
 from cadenza.functions.vectors import md5_hex_int, tokens
+from cadenza.session import local_frame
 
 # ---------------------------------------------------------------------------
 # Fixed values of our default labeler (ours, not the reference's). The emotion names are
@@ -69,7 +70,7 @@ def materialize_lexicon(lexicon: DataFrame) -> DataFrame:
     rows = lexicon.limit(LEXICON_MAX_SIZE + 1).collect()
     if len(rows) > LEXICON_MAX_SIZE:
         raise ValueError("lexicon exceeds its broadcast bound")
-    return lexicon.sparkSession.createDataFrame(rows, lexicon.schema)
+    return local_frame(lexicon.sparkSession, rows, lexicon.schema)
 
 
 def emotion_counts(df: DataFrame, key: str | Sequence[str], text: str, lexicon: DataFrame,

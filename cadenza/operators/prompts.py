@@ -3,7 +3,8 @@
 The prompt list is a small fixed literal, so "every song by every prompt" is a generator
 (``inline`` of a literal array) on each song row: no join and no broadcast. The filled-in
 word of ``"{prompt} {text}"`` is the top emotion of the text's counts plus the prompt's
-counts: the text is counted once per song, not once per prompt.
+counts: the text is counted once per song, not once per prompt, and only keys and tokens
+enter the counting shuffle.
 """
 
 from __future__ import annotations
@@ -15,12 +16,13 @@ from pyspark.sql import functions as F
 
 from cadenza.functions.text import MASK_PROMPTS, join_prompt
 from cadenza.operators.label import EMOTIONS, emotion_counts, top_emotions
+from cadenza.session import local_frame
 
 
 def prompt_counts(lexicon: DataFrame, prompts: Sequence[tuple[str, str]]) -> dict[str, list[int]]:
     """Emotion counts of each prompt's own words (a handful of rows, computed once)."""
     spark = lexicon.sparkSession
-    frame = spark.createDataFrame(list(prompts), "prompt_label string, prompt string")
+    frame = local_frame(spark, prompts, "prompt_label string, prompt string")
     rows = emotion_counts(frame, "prompt_label", "prompt", lexicon).collect()
     return {r["prompt_label"]: list(r["counts"]) for r in rows}
 
@@ -30,14 +32,18 @@ def prompt_grid(songs: DataFrame, lexicon: DataFrame, prompts: Sequence[tuple[st
     """``songs columns but text, prompt_label, prompt, input, result``: one row per song and
     prompt; ``input`` is ``"{prompt} {text}"`` and ``result`` its most frequent emotion."""
     keep = [c for c in songs.columns if c not in (key, text)]
-    per_song = emotion_counts(songs, key, text, lexicon, carry=keep + [text])
+    # Count per song on (key, token) rows only, then bring the song columns back with a join:
+    # carrying the text through the explode would copy it into every token row.
+    counts = emotion_counts(songs.select(key, text), key, text, lexicon)
+    per_song = songs.join(counts, key, "left")
     fixed = prompt_counts(lexicon, prompts)
     literal = F.array(*[
         F.struct(F.lit(label).alias("prompt_label"), F.lit(p).alias("prompt"),
                  F.array(*[F.lit(c).cast("bigint") for c in fixed[label]]).alias("pcounts"))
         for label, p in prompts])
     grid = per_song.select(key, *keep, text, "counts", F.inline(literal))
-    total = F.zip_with(F.col("counts"), F.col("pcounts"), lambda a, b: a + b)
+    total = F.zip_with(F.coalesce(F.col("counts"), F.array_repeat(F.lit(0).cast("bigint"), len(EMOTIONS))),
+                       F.col("pcounts"), lambda a, b: a + b)
     best = F.try_element_at(top_emotions(total, EMOTIONS, 1), F.lit(1))
     order = [c for c in songs.columns if c != text]
     return grid.select(*order, "prompt_label", "prompt", join_prompt("prompt", text).alias("input"),

@@ -22,7 +22,7 @@ from cadenza.operators import measures as M
 from cadenza.operators import prompts as P
 from cadenza.plans import oracle as O
 from cadenza.plans.recommend import recommend, song_vectors
-from cadenza.session import scratch_path
+from cadenza.session import local_frame, scratch_path
 from cadenza.sources import files as io
 from cadenza.sources import fixtures as fx
 from cadenza.sources.tables import read_table, scan_limit, sentences, songs, songs_from_documents
@@ -61,7 +61,7 @@ def vectors(spark: SparkSession, d: str, lex: DataFrame | None = None) -> DataFr
 
 
 def song_index(spark: SparkSession, d: str, lex: DataFrame) -> DataFrame:
-    return X.build_index(song_vectors(songs(spark, d), lex, dim=DIM), dim=DIM)
+    return X.build_index(song_vectors(songs(spark, d), lex, dim=DIM), dim=DIM, check_dim=False)
 
 
 INDEX_COLUMNS = ("artist", "song", "link", "llm_labeled_emotions", "norm")
@@ -177,7 +177,7 @@ def q_vector_check(spark, d):
 
 
 def q_build_index(spark, d):
-    return X.build_index(vectors(spark, d), DIM).select(*INDEX_COLUMNS)
+    return X.build_index(vectors(spark, d), DIM, check_dim=False).select(*INDEX_COLUMNS)
 
 
 def q_snapshot_diff(spark, d):
@@ -189,9 +189,10 @@ def q_index_upsert(spark, d):
     docs = read_table(spark, d, "documents")
     lex = lexicon(spark, d)
     old, new = songs_from_documents(docs), fx.next_snapshot(docs)
-    old_index = X.build_index(song_vectors(old, lex, dim=DIM), dim=DIM)
+    old_index = X.build_index(song_vectors(old, lex, dim=DIM), dim=DIM, check_dim=False)
     diff = X.snapshot_diff(old, new)
-    fresh = X.build_index(song_vectors(X.changed_rows(new, diff), lex, dim=DIM), dim=DIM)
+    fresh = X.build_index(song_vectors(X.changed_rows(new, diff), lex, dim=DIM), dim=DIM,
+                          check_dim=False)
     return X.upsert(old_index, diff, fresh).select(*INDEX_COLUMNS)
 
 
@@ -240,8 +241,8 @@ def q_recommend_raw(spark, d):
 
 def q_recommend_trials(spark, d):
     lex = lexicon(spark, d)
-    trials = spark.createDataFrame([(i + 1, s) for i, s in enumerate(TRIAL_SENTENCES)],
-                                   "query_id bigint, user_input string")
+    trials = local_frame(spark, [(i + 1, s) for i, s in enumerate(TRIAL_SENTENCES)],
+                         "query_id bigint, user_input string")
     return recommend(trials, song_index(spark, d, lex), lex, k=KNN, dim=DIM)
 
 
@@ -541,7 +542,7 @@ def q_knn_recall(spark, d):
                                      index_vec="embedding", exclude_self=True)
         recall = V.ivf_recall(exact, approx, "query_id", "vec_id").collect()[0]["recall"]
         rows.append((IVF_CELLS, nprobe, float(recall), float(share)))
-    return spark.createDataFrame(rows, "n_cells int, nprobe int, recall double, pairs_scored double")
+    return local_frame(spark, rows, "n_cells int, nprobe int, recall double, pairs_scored double")
 
 
 QUERIES["knn_ivf"] = q_knn_ivf

@@ -35,20 +35,17 @@ def query_vectors(sentences: DataFrame, lexicon: DataFrame, dim: int = DEFAULT_D
                   embed_source: str = "labels", cleaner: str | None = "v2") -> DataFrame:
     """Sentences to query rows: query_id, user_emotions, query_vec."""
     clean = sentences.select("query_id", strip_punct("user_input").alias("clean_input"))
-    carry = ["clean_input"] if embed_source == "raw" else []
-    if embed_source == "raw":
-        # the clean sentence rides along for the raw embedding; label plan carries it
-        labeled = label_emotions(clean.withColumn("_text", F.col("clean_input")), lexicon,
-                                 key="query_id", text="_text", out="user_emotions",
-                                 carry=carry, cleaner=cleaner)
-        src = "clean_input"
-    elif embed_source == "labels":
-        labeled = label_emotions(clean, lexicon, key="query_id", text="clean_input",
-                                 out="user_emotions", carry=carry, cleaner=cleaner)
-        src = "user_emotions"
+    labeled = label_emotions(clean, lexicon, key="query_id", text="clean_input",
+                             out="user_emotions", carry=[], cleaner=cleaner)
+    if embed_source == "labels":
+        pairs = labeled.select("query_id", "user_emotions", hashed_pairs(F.col("user_emotions"), dim).alias("_pairs"))
+    elif embed_source == "raw":
+        # the raw vector is map-side work on the sentence; the labels come from the
+        # aggregation; the two meet by key (the sentence never rides through the explode)
+        raw = clean.select("query_id", hashed_pairs(F.col("clean_input"), dim).alias("_pairs"))
+        pairs = labeled.join(raw, "query_id")
     else:
         raise ValueError("embed_source must be 'labels' or 'raw'")
-    pairs = labeled.select("query_id", "user_emotions", hashed_pairs(F.col(src), dim).alias("_pairs"))
     return pairs.select("query_id", "user_emotions", densify(F.col("_pairs"), dim).alias("query_vec"),
                         pairs_norm(F.col("_pairs")).alias("query_norm"))
 

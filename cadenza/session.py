@@ -61,3 +61,17 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def local_frame(spark: SparkSession, rows, schema):
+    """A small, bounded DataFrame held in the plan itself (a LocalRelation).
+
+    Built through pandas/Arrow, so using it runs no Python worker and no extra job; the
+    rows travel with the plan, so a lost executor never needs to recompute them.
+    """
+    import pandas as pd
+    from pyspark.sql.types import StructType
+
+    st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    frame = pd.DataFrame([tuple(r) for r in rows], columns=st.names)
+    return spark.createDataFrame(frame, st)

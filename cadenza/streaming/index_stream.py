@@ -56,7 +56,7 @@ def apply_changes(batch: DataFrame, base: DataFrame | None, lexicon: DataFrame,
     """Index after one batch of changes."""
     latest = X.latest_per_key(batch, "link", [F.desc("seq"), F.desc("change")])
     ups = latest.where(F.col("change") == UPSERT).select("artist", "song", "link", "text")
-    fresh = X.build_index(song_vectors(ups, lexicon, dim=dim), dim=dim).select(*INDEX_COLUMNS)
+    fresh = X.build_index(song_vectors(ups, lexicon, dim=dim), dim=dim, check_dim=False).select(*INDEX_COLUMNS)
     if base is None:
         return fresh
     return base.join(latest.select("link"), "link", "left_anti").select(*INDEX_COLUMNS).unionByName(fresh)
