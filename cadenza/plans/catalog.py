@@ -87,8 +87,12 @@ def q_csv_scan(spark, d):
     return io.read_songs_csv(spark, path)
 
 
+NAMESPACE = "cadenza"
+
+
 def q_table_overwrite(spark, d):
-    name = f"cadenza_songs_{uuid.uuid4().hex[:12]}"
+    io.ensure_namespace(spark, NAMESPACE)                            # S6, one statement per call
+    name = f"{NAMESPACE}.songs_{uuid.uuid4().hex[:12]}"
     path = scratch_path(spark, "table-songs")
     io.overwrite_table(songs(spark, d), name, path)                 # first: four columns
     lex = lexicon(spark, d)

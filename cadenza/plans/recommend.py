@@ -7,6 +7,8 @@ plan per step; the only driver hop is the size-checked query broadcast of the se
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,20 +25,52 @@ RESULT_COLUMNS = ("query_id", "user_emotions", "rank", "artist", "song", "link",
                   "llm_labeled_emotions", "score")
 
 
-def song_vectors(songs: DataFrame, lexicon: DataFrame, dim: int = DEFAULT_DIM,
-                 cleaner: str | None = "v2") -> DataFrame:
-    """Songs to the embeddings table: artist, song, link, labels, vector, norm (text dropped)."""
-    labeled = label_emotions(songs.select("artist", "song", "link", "text"), lexicon, key="link",
-                             text="text", carry=["artist", "song"], cleaner=cleaner)
-    return embed(labeled, dim=dim)
+Labeler = Callable[[DataFrame], DataFrame]
+Embedder = Callable[[DataFrame], DataFrame]
+
 
+def song_vectors(songs: DataFrame, lexicon: DataFrame | None = None, dim: int = DEFAULT_DIM,
+                 cleaner: str | None = "v2", labeler: Labeler | None = None,
+                 embedder: Embedder | None = None) -> DataFrame:
+    """Songs to the embeddings table: artist, song, link, labels, vector, norm (text dropped).
+
+    ``labeler`` (adds ``llm_labeled_emotions`` from ``text``) and ``embedder`` (adds
+    ``emotions_embeddings`` and ``norm`` from ``llm_labeled_emotions``) replace the defaults.
+    """
+    base = songs.select("artist", "song", "link", "text")
+    if labeler is None:
+        labeled = label_emotions(base, lexicon, key="link", text="text", carry=["artist", "song"],
+                                 cleaner=cleaner)
+    else:
+        labeled = labeler(base).select("artist", "song", "link", "llm_labeled_emotions")
+    if embedder is None:
+        return embed(labeled, dim=dim)
+    return embedder(labeled)
 
-def query_vectors(sentences: DataFrame, lexicon: DataFrame, dim: int = DEFAULT_DIM,
-                  embed_source: str = "labels", cleaner: str | None = "v2") -> DataFrame:
-    """Sentences to query rows: query_id, user_emotions, query_vec."""
+
+def query_vectors(sentences: DataFrame, lexicon: DataFrame | None = None, dim: int = DEFAULT_DIM,
+                  embed_source: str = "labels", cleaner: str | None = "v2",
+                  labeler: Labeler | None = None, embedder: Embedder | None = None) -> DataFrame:
+    """Sentences to query rows: query_id, user_emotions, query_vec, query_norm.
+
+    A plug-in ``labeler`` reads ``clean_input`` and adds ``user_emotions``; a plug-in
+    ``embedder`` reads ``llm_labeled_emotions`` and adds ``emotions_embeddings`` (the same
+    functions as for the songs; the columns are renamed around the call).
+    """
     clean = sentences.select("query_id", strip_punct("user_input").alias("clean_input"))
-    labeled = label_emotions(clean, lexicon, key="query_id", text="clean_input",
-                             out="user_emotions", carry=[], cleaner=cleaner)
+    if labeler is None:
+        labeled = label_emotions(clean, lexicon, key="query_id", text="clean_input",
+                                 out="user_emotions", carry=[], cleaner=cleaner)
+    else:
+        labeled = (labeler(clean.withColumnRenamed("clean_input", "text"))
+                   .withColumnRenamed("llm_labeled_emotions", "user_emotions")
+                   .select("query_id", "user_emotions"))
+    if embedder is not None:
+        src = "user_emotions" if embed_source == "labels" else "clean_input"
+        rows = labeled if embed_source == "labels" else labeled.join(clean, "query_id")
+        out = embedder(rows.withColumn("llm_labeled_emotions", F.col(src)))
+        return out.select("query_id", "user_emotions", F.col("emotions_embeddings").alias("query_vec"),
+                          F.col("norm").alias("query_norm"))
     if embed_source == "labels":
         pairs = labeled.select("query_id", "user_emotions", hashed_pairs(F.col("user_emotions"), dim).alias("_pairs"))
     elif embed_source == "raw":
@@ -50,12 +84,13 @@ def query_vectors(sentences: DataFrame, lexicon: DataFrame, dim: int = DEFAULT_D
                         pairs_norm(F.col("_pairs")).alias("query_norm"))
 
 
-def recommend(sentences: DataFrame, index: DataFrame, lexicon: DataFrame, *, k: int = RESULTS_PER_QUERY,
-              dim: int = DEFAULT_DIM, embed_source: str = "labels", cleaner: str | None = "v2",
-              **search_options) -> DataFrame:
+def recommend(sentences: DataFrame, index: DataFrame, lexicon: DataFrame | None = None, *,
+              k: int = RESULTS_PER_QUERY, dim: int = DEFAULT_DIM, embed_source: str = "labels",
+              cleaner: str | None = "v2", labeler: Labeler | None = None,
+              embedder: Embedder | None = None, **search_options) -> DataFrame:
     """Top ``k`` songs per sentence: ``query_id, user_emotions, rank, artist, song, link,
-    llm_labeled_emotions, score``."""
-    queries = query_vectors(sentences, lexicon, dim, embed_source, cleaner)
+    llm_labeled_emotions, score``. Use the same labeler and embedder as for the index."""
+    queries = query_vectors(sentences, lexicon, dim, embed_source, cleaner, labeler, embedder)
     hits = knn_search(queries, index, dim=dim, k=k, query_key="query_id", query_vec="query_vec",
                       index_key="link", index_vec="emotions_embeddings",
                       payload=["artist", "song", "llm_labeled_emotions"],
