@@ -147,6 +147,15 @@ def q_label_emotions(spark, d):
     return L.label_with_text(songs(spark, d), lexicon(spark, d))
 
 
+def q_first_label(spark, d):
+    """``select(label).first()[0]`` made repeatable (P3, L2), then that one label encoded
+    (M5: the embedder on a one-row frame): its non-zero entries and norm."""
+    first = scan_limit(labeled(spark, d), "link", 1).select("link", "llm_labeled_emotions")
+    vec = E.embed(first, dim=DIM)
+    return vec.select("link", "llm_labeled_emotions",
+                      F.size(F.filter("emotions_embeddings", lambda v: v != 0)).alias("nnz"), "norm")
+
+
 def q_label_error_rows(spark, d):
     return M.error_rows(labeled(spark, d))
 
@@ -289,6 +298,7 @@ QUERIES: dict[str, Query] = {
     "clean_v2_legacy": q_clean_v2_legacy,
     "render_prompt": q_render_prompt,
     "label_emotions": q_label_emotions,
+    "first_label": q_first_label,
     "label_error_rows": q_label_error_rows,
     "label_error_rate": q_label_error_rate,
     "label_form": q_label_form,
@@ -472,6 +482,12 @@ ORACLES: dict[str, str] = {
     "clean_v2_legacy": _sql_clean_v2_legacy(),
     "render_prompt": f"SELECT doc_id, replace({O.q(T.LABEL_PROMPT_TEMPLATE)}, '{{input}}', text) AS prompt FROM documents",
     "label_emotions": _labeled_prefix() + "SELECT artist, song, link, text, llm_labeled_emotions FROM labeled",
+    "first_label": _with(O.lexicon_cte(), O.songs_cte(), O.label_ctes("labeled", "songs", "link", "text", "llm_labeled_emotions"),
+                         "first AS (SELECT link, llm_labeled_emotions FROM labeled ORDER BY link LIMIT 1)",
+                         O.sparse_ctes("sp", "first", "link", "llm_labeled_emotions", DIM))
+    + """SELECT f.link, f.llm_labeled_emotions, CAST(count(sp.bucket) AS INTEGER) AS nnz,
+  coalesce(sqrt(sum(sp.weight * sp.weight)), 0.0) AS norm
+FROM first f LEFT JOIN sp USING (link) GROUP BY f.link, f.llm_labeled_emotions""",
     "label_error_rows": _labeled_prefix() + "SELECT artist, song, link, llm_labeled_emotions FROM labeled WHERE contains(llm_labeled_emotions, 'ERROR')",
     "label_error_rate": _labeled_prefix() + """SELECT count(*) AS n_songs,
   count(*) FILTER (WHERE contains(llm_labeled_emotions, 'ERROR')) AS n_errors,
