@@ -246,6 +246,15 @@ def q_recommend(spark, d):
     return recommend(sentences(spark, d), song_index(spark, d, lex), lex, k=KNN, dim=DIM)
 
 
+def q_recommend_stored(spark, d):
+    """The same answers as ``recommend``, through written tables: build the store once, then
+    search the stored index."""
+    from cadenza.plans import pipeline as PL
+
+    store = PL.build_store(songs(spark, d), scratch_path(spark, "store"), dim=DIM)
+    return PL.recommend_from_store(sentences(spark, d), store, dim=DIM, k=KNN)
+
+
 def q_recommend_raw(spark, d):
     lex = lexicon(spark, d)
     return recommend(sentences(spark, d), song_index(spark, d, lex), lex, k=KNN, dim=DIM,
@@ -315,6 +324,7 @@ QUERIES: dict[str, Query] = {
     "knn_block": q_knn_block,
     "knn_single": q_knn_single,
     "recommend": q_recommend,
+    "recommend_stored": q_recommend_stored,
     "recommend_raw": q_recommend_raw,
     "recommend_trials": q_recommend_trials,
     "stream_index": q_stream_index,
@@ -519,6 +529,7 @@ WHERE o.link IS NULL OR n.link IS NULL OR o.artist IS DISTINCT FROM n.artist
     "knn_block": _sql_knn_exact(),
     "knn_single": _sql_knn_single(),
     "recommend": O.recommend_sql(DIM, KNN),
+    "recommend_stored": O.recommend_sql(DIM, KNN),
     "recommend_raw": O.recommend_sql(DIM, KNN, embed_source="raw"),
     "recommend_trials": _sql_recommend_trials(),
     "exclude_flagged": _with(O.songs_cte()) + """SELECT * FROM songs s WHERE NOT EXISTS (

@@ -1,0 +1,76 @@
+"""The batch pipeline as written tables: lexicon → labels → embeddings → index.
+
+Each stage reads the table the previous stage wrote, so every stage runs once, measures are
+taken on what was saved (not on a second run of a model), and a lost executor only redoes work
+inside the stage it was in: the written tables cut the lineage. Everything lives under one root
+in the shared folder; the index is kept in versions (see :mod:`cadenza.operators.index`), so
+the triggered stream (:mod:`cadenza.streaming.index_stream`) can continue from it.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+
+from cadenza.operators import index as X
+from cadenza.operators.embed import DEFAULT_DIM, embed
+from cadenza.operators.label import build_lexicon, label_emotions, materialize_lexicon
+from cadenza.plans.recommend import recommend
+
+
+@dataclass(frozen=True)
+class Store:
+    root: str
+
+    @property
+    def lexicon(self) -> str:
+        return f"{self.root}/lexicon"
+
+    @property
+    def labeled(self) -> str:
+        return f"{self.root}/labeled"
+
+    @property
+    def embeddings(self) -> str:
+        return f"{self.root}/embeddings"
+
+    @property
+    def index(self) -> str:
+        return f"{self.root}/index"
+
+
+def build_store(songs: DataFrame, root: str, dim: int = DEFAULT_DIM, cleaner: str | None = "v2",
+                drop_errors: bool = True) -> Store:
+    """Write the lexicon, the labeled songs (without text), the embeddings and index
+    version 1 under ``root``."""
+    spark = songs.sparkSession
+    store = Store(root)
+    build_lexicon(songs).write.mode("overwrite").parquet(store.lexicon)
+    lexicon = materialize_lexicon(spark.read.parquet(store.lexicon))
+    labels = label_emotions(songs.select("artist", "song", "link", "text"), lexicon, key="link",
+                            text="text", carry=["artist", "song"], cleaner=cleaner)
+    labels.write.mode("overwrite").parquet(store.labeled)
+    embed(spark.read.parquet(store.labeled), dim=dim).write.mode("overwrite").parquet(store.embeddings)
+    index = X.build_index(spark.read.parquet(store.embeddings), dim=dim, drop_errors=drop_errors,
+                          check_dim=False)
+    X.write_version(index, store.index, 1)
+    return store
+
+
+def open_lexicon(spark: SparkSession, store: Store) -> DataFrame:
+    return materialize_lexicon(spark.read.parquet(store.lexicon))
+
+
+def open_index(spark: SparkSession, store: Store) -> DataFrame:
+    index = X.read_latest(spark, store.index)
+    if index is None:
+        raise FileNotFoundError(f"no index version under {store.index}")
+    return index
+
+
+def recommend_from_store(sentences: DataFrame, store: Store, dim: int = DEFAULT_DIM,
+                         **options) -> DataFrame:
+    """Answer sentences from a stored index (the serving path: nothing is rebuilt)."""
+    spark = sentences.sparkSession
+    return recommend(sentences, open_index(spark, store), open_lexicon(spark, store), dim=dim, **options)
