@@ -32,6 +32,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from cadenza.functions.vectors import has_dim, md5_hex_int, norm
 from cadenza.operators.knn import _candidates, _matrix, _reduce_topk, _score_block
+from cadenza.session import shared_dir
 
 MAX_CELLS = 65536
 
@@ -109,11 +110,14 @@ def ivf_search(queries: DataFrame, index: DataFrame, model: KMeansModel, *, dim:
         F.col(index_key).alias("_ik"), F.col(index_vec).alias("_iv"), norm(index_vec).alias("_in"),
         "cell", *payload).where(F.col("_in") > 0)
     routed = _route_queries(q, centers, dim, nprobe)
+    # cell counts, then copies: save both sides once (see knn._block_scores)
+    shared_dir(q.sparkSession)
+    x, routed = x.checkpoint(eager=True), routed.checkpoint(eager=True)
 
     n_cells = len(centers)
     xc = dict(x.groupBy("cell").count().collect())          # n_cells rows at most
     qc = dict(routed.groupBy("cell").count().collect())
-    nq = q.count()
+    nq = sum(qc.values()) // min(nprobe, n_cells)       # each query is routed to that many cells
     nx = sum(xc.values())
     pairs = sum(qc.get(c, 0) * xc.get(c, 0) for c in range(n_cells))
     share = pairs / (nq * nx) if nq and nx else 0.0

@@ -34,6 +34,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from cadenza.functions.vectors import has_dim, norm  # noqa: F401
+from cadenza.session import shared_dir
 
 DEFAULT_BROADCAST_BYTES = 64 << 20   # query matrix bytes allowed in a broadcast
 SCORE_CELLS = 4_000_000              # score-matrix cells computed at once per task
@@ -254,6 +255,11 @@ def _broadcast_scores(local: pa.Table, x: DataFrame, schema, arrow_schema, dim,
 def _block_scores(q: DataFrame, x: DataFrame, schema, arrow_schema, dim, k, digits, metric,
                   exclude_self, query_payload, payload, query_block_rows, index_block_rows) -> DataFrame:
     spark = x.sparkSession
+    # Both sides are large on this path and are read twice (row counts, then copies): save
+    # them once to the shared checkpoint folder, so an upstream plan (labels, embeddings)
+    # runs once and a lost executor does not send the scoring back to it.
+    shared_dir(spark)
+    q, x = q.checkpoint(eager=True), x.checkpoint(eager=True)
     nq, nx = q.count(), x.count()
     n_qb = max(1, math.ceil(nq / query_block_rows))
     n_ib = max(1, math.ceil(nx / index_block_rows),
