@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -15,7 +14,8 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from cadenza.session import get_spark
 
-    s = get_spark("local[4]", shuffle_partitions=8, app="cadenza-tests", driver_memory="8g",
-                  extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="cadenza-test-ckpt-")})
+    # The checkpoint folder comes from the session's settings; get_spark sets a temporary
+    # one only when none is configured (local master only).
+    s = get_spark("local[4]", shuffle_partitions=8, app="cadenza-tests", driver_memory="8g")
     yield s
     s.stop()
