@@ -16,12 +16,13 @@ function that adds the label column; :func:`udf_labeler` wraps a Column-level mo
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.functions.text import CLEANERS
+from cadenza.functions.text import CLEANERS, V2_ECHO_MARK, V2_ERROR_PREFIX, V2_MAX_WORDS, V2_MIN_WORDS
 from cadenza.functions.vectors import md5_hex_int, tokens
 from cadenza.session import local_frame
 
@@ -40,6 +41,11 @@ LABELS_PER_TEXT = 10    # emotions asked for
 LEXICON_MAX_SIZE = 100_000  # broadcast bound
 # ---------------------------------------------------------------------------
 
+# The default labeler's answer is "[n1, n2, ...]" over the names above. Every name is one
+# lower-case word without the echo mark, so cleaner v2 on that answer keeps the names as they
+# are and only checks their number; label_emotions uses that shortcut (same result, no regex).
+assert all(re.fullmatch("[a-z]+", e) and V2_ECHO_MARK not in e for e in EMOTIONS)
+
 
 def build_lexicon(corpus: DataFrame, text: str = "text", size: int = LEXICON_SIZE,
                   min_len: int = LEXICON_MIN_LEN, emotions: Sequence[str] = EMOTIONS) -> DataFrame:
@@ -119,8 +125,14 @@ def label_emotions(df: DataFrame, lexicon: DataFrame, key: str | Sequence[str] =
     if carry is None:
         carry = [c for c in df.columns if c not in keys and c != text]
     counts = emotion_counts(df, keys, text, lexicon, carry, len(emotions))
-    raw = answer_text(top_emotions(F.col("counts"), emotions, top_n))
-    return counts.select(*keys, *carry, CLEANERS[cleaner](raw).alias(out))
+    names = top_emotions(F.col("counts"), emotions, top_n)
+    if cleaner == "v2" and emotions is EMOTIONS:
+        joined = F.array_join(names, ", ")
+        label = F.when(F.size(names).between(V2_MIN_WORDS, V2_MAX_WORDS), joined).otherwise(
+            F.concat(F.lit(V2_ERROR_PREFIX), joined))
+    else:
+        label = CLEANERS[cleaner](answer_text(names))
+    return counts.select(*keys, *carry, label.alias(out))
 
 
 def label_with_text(df: DataFrame, lexicon: DataFrame, key: str = "link", text: str = "text",
