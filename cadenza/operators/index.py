@@ -4,8 +4,8 @@ The index is a table keyed by ``link`` with a vector and its norm. Without a tra
 table format, it is kept in versions: each refresh writes a new version directory from the
 previous one (a table cannot overwrite itself while read), and readers take the newest.
 
-* :func:`snapshot_diff` stands in for a change feed: two snapshots, a full outer join on the
-  key over ``(key, row hash)`` only, so the wide columns never enter the shuffle.
+* :func:`snapshot_diff` stands in for a change feed: two snapshots, each reduced to one digest
+  per key, then a full outer join on the key; the wide columns never enter the shuffle.
 * :func:`upsert` applies changes: the old index minus changed keys (left anti join, broadcast
   when AQE sees the change set is small), plus the new rows.
 * :func:`vector_check` counts what :func:`build_index` keeps out.
@@ -32,19 +32,39 @@ def row_hash(columns: Sequence[str]) -> F.Column:
     return F.struct(F.xxhash64(*parts).alias("h1"), F.hash(*parts).alias("h2"))
 
 
+_HALF = 1 << 31
+
+
+def key_digest(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """One row per key: the number of rows and two sums of bounded row hashes.
+
+    The sums do not depend on row order, so the digest is that of the key's multiset of rows;
+    partial aggregation sums map-side, so a key with very many copies never piles up in one
+    task, and the join that follows sees each key once.
+    """
+    h = row_hash(columns)
+    return df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.pmod(h["h1"], F.lit(_HALF))).alias("s1"),
+        F.sum(F.pmod(h["h2"].cast("bigint"), F.lit(_HALF))).alias("s2"),
+    )
+
+
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str = "link",
                   columns: Sequence[str] | None = None) -> DataFrame:
     """``(key, change)`` for every key inserted, updated or deleted between two snapshots.
 
-    Only keys and row hashes are shuffled. Keys must be unique in each snapshot.
+    Each side is reduced to one digest per key first (:func:`key_digest`), so only keys and
+    digests are shuffled, duplicated keys cannot multiply in the join, and the full outer join
+    reuses the aggregations' partitioning. A key whose rows changed in any way is an update.
     """
     cols = list(columns) if columns is not None else [c for c in new.columns if c != key]
-    o = old.select(key, row_hash(cols).alias("_ho"))
-    n = new.select(key, row_hash(cols).alias("_hn"))
+    o = key_digest(old, key, cols).select(key, F.struct("n", "s1", "s2").alias("_do"))
+    n = key_digest(new, key, cols).select(key, F.struct("n", "s1", "s2").alias("_dn"))
     joined = o.join(n, key, "full_outer")
-    change = (F.when(F.col("_ho").isNull(), F.lit(INSERT))
-              .when(F.col("_hn").isNull(), F.lit(DELETE))
-              .when(F.col("_ho") != F.col("_hn"), F.lit(UPDATE)))
+    change = (F.when(F.col("_do").isNull(), F.lit(INSERT))
+              .when(F.col("_dn").isNull(), F.lit(DELETE))
+              .when(F.col("_do") != F.col("_dn"), F.lit(UPDATE)))
     return joined.select(key, change.alias("change")).where(F.col("change").isNotNull())
 
 

@@ -113,3 +113,10 @@ def test_vector_check_counts(spark):
         "link string, v array<float>")
     r = X.vector_check(df, 2, vec="v", label=None).collect()[0]
     assert (r.n_rows, r.n_null_vector, r.n_wrong_dim, r.n_zero_norm, r.n_duplicate_key) == (5, 1, 1, 1, 1)
+
+
+def test_diff_with_duplicate_keys(spark):
+    old = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "z"), ("c", "w")], "link string, text string")
+    new = spark.createDataFrame([("a", "y"), ("a", "x"), ("b", "z"), ("b", "z"), ("d", "v")], "link string, text string")
+    got = dict(X.snapshot_diff(old, new).collect())
+    assert got == {"b": "update", "c": "delete", "d": "insert"}
