@@ -39,7 +39,10 @@ def spread_small_input(df: DataFrame, min_bytes: int = SMALL_INPUT_BYTES) -> Dat
     inputs are left alone: their scans are parallel already, and a shuffle would cost.
     Filters and column pruning still reach the scan (they pass through the repartition).
     """
-    size = input_bytes(df)
+    try:
+        size = input_bytes(df)
+    except Exception:  # noqa: BLE001 - no JVM file API (e.g. a remote session): leave as is
+        return df
     if size is None or size >= min_bytes:
         return df
     parts = df.sparkSession.sparkContext.defaultParallelism

@@ -1,6 +1,5 @@
 """Invariants of the pipeline operators on the small test tables."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from cadenza.operators import index as X
