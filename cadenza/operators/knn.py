@@ -16,8 +16,9 @@ Both paths end in the same merge: ``row_number() over (partition by query order
 desc, key)`` with ``rank <= k``, which Spark plans as a WindowGroupLimit (partial top-k before
 the shuffle, final after).
 
-Scores are ``dot / (|q| |x|)`` in double, rounded half away from zero to ``digits``; ties go
-by index key. That ordering is total, so partial top-k lists merge exactly.
+Scores are ``dot / (|q| |x|)`` (cosine, the default), ``dot``, or minus the Euclidean distance
+(``l2``), in double, rounded half away from zero to ``digits``; ties go by index key. That
+ordering is total, so partial top-k lists merge exactly.
 """
 
 from __future__ import annotations
@@ -96,6 +97,17 @@ def _topk_rows(si: np.ndarray, key_rank: np.ndarray, k: int, mask: np.ndarray |
     return qi, xi
 
 
+def _scores(q: np.ndarray, X: np.ndarray, qn: np.ndarray, xn: np.ndarray, metric: str) -> np.ndarray:
+    """Similarity of each query row to each index row; larger is better for every metric."""
+    d = q @ X.T
+    if metric == "cosine":
+        return d / np.outer(qn, xn)
+    if metric == "l2":  # minus the Euclidean distance, from exact squared norms
+        sq = np.einsum("ij,ij->i", q, q)[:, None] + np.einsum("ij,ij->i", X, X)[None, :] - 2.0 * d
+        return -np.sqrt(np.maximum(sq, 0.0))
+    return d
+
+
 def _score_block(Q, qn, qkeys_np, X, xn, ikeys, k, digits, metric, exclude_self):
     """Top-k (query row, index row, scaled score) of one index block against all queries."""
     nb = X.shape[0]
@@ -105,8 +117,7 @@ def _score_block(Q, qn, qkeys_np, X, xn, ikeys, k, digits, metric, exclude_self)
     out_q, out_x, out_s = [], [], []
     for start in range(0, Q.shape[0], step):
         q = Q[start:start + step]
-        d = q @ X.T
-        s = d / np.outer(qn[start:start + step], xn) if metric == "cosine" else d
+        s = _scores(q, X, qn[start:start + step], xn, metric)
         si = _scaled_round(s, digits)
         mask = (qkeys_np[start:start + step, None] == ik_np[None, :]) if exclude_self else None
         qi, xi = _topk_rows(si, rank, k, mask)
@@ -187,8 +198,8 @@ def knn_search(queries: DataFrame, index: DataFrame, *, dim: int, k: int = 10,
     payload..., score``. Rows without a valid ``dim``-wide vector (or with norm 0 under
     cosine) take no part. Keys must be unique on each side. ``query_norm`` / ``index_norm``
     name precomputed norm columns (else norms are computed here)."""
-    if metric not in ("cosine", "dot"):
-        raise ValueError("metric must be 'cosine' or 'dot'")
+    if metric not in ("cosine", "dot", "l2"):
+        raise ValueError("metric must be 'cosine', 'dot' or 'l2'")
     if query_key == index_key or set(query_payload) & set(payload):
         raise ValueError("output column names of the two sides must differ")
     # Rows with a missing or wrong-width vector (or norm 0 under cosine) are dropped inside

@@ -229,6 +229,14 @@ def q_knn_block(spark, d):
                         index_block_rows=128)
 
 
+def q_knn_l2(spark, d):
+    """Nearest neighbours by Euclidean distance (score = minus the distance)."""
+    e = read_table(spark, d, "embeddings")
+    return K.knn_search(embedding_queries(e), e, dim=EMB_DIM, k=KNN, query_key="query_id",
+                        query_vec="query_vec", index_key="vec_id", index_vec="embedding",
+                        metric="l2", exclude_self=True)
+
+
 def centroid(e: DataFrame, vec: str = "embedding") -> list[float]:
     """Mean vector of the table (one small aggregation; ``dim`` values reach the driver)."""
     rows = (e.select(F.posexplode(vec)).groupBy("pos").agg(F.avg("col").alias("v"))
@@ -322,6 +330,7 @@ QUERIES: dict[str, Query] = {
     "latest_version": q_latest_version,
     "knn_exact": q_knn_exact,
     "knn_block": q_knn_block,
+    "knn_l2": q_knn_l2,
     "knn_single": q_knn_single,
     "recommend": q_recommend,
     "recommend_stored": q_recommend_stored,
@@ -430,6 +439,15 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY scor
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {KNN}"""
 
 
+def _sql_knn_l2() -> str:
+    return f"""WITH {_emb_cte()},
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, -round(list_distance(a.v, b.v), 6) AS score
+  FROM emb a, emb b WHERE a.vec_id <> b.vec_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {KNN}"""
+
+
 def _sql_knn_single() -> str:
     return f"""WITH {_emb_cte()},
 cells AS (SELECT unnest(generate_series(0, len(embedding) - 1)) AS pos, unnest(embedding) AS x FROM embeddings),
@@ -527,6 +545,7 @@ WHERE o.link IS NULL OR n.link IS NULL OR o.artist IS DISTINCT FROM n.artist
     "latest_version": "SELECT event_type, max(CAST(CAST(user_id AS VARCHAR) AS INTEGER)) AS latest_version FROM events GROUP BY event_type",
     "knn_exact": _sql_knn_exact(),
     "knn_block": _sql_knn_exact(),
+    "knn_l2": _sql_knn_l2(),
     "knn_single": _sql_knn_single(),
     "recommend": O.recommend_sql(DIM, KNN),
     "recommend_stored": O.recommend_sql(DIM, KNN),

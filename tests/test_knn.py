@@ -67,3 +67,17 @@ def test_knn_single_matches_brute(spark, data):
     got = [(r["link"], r["score"]) for r in K.knn_single(idx, q, k=6, index_key="link", index_vec="v").orderBy("rank").collect()]
     want = brute(np.array([q]), ["q"], X, xk, 6)
     assert [g[0] for g in got] == [w[1] for w in want]
+
+
+@pytest.mark.parametrize("mode", ["broadcast", "block"])
+def test_knn_l2_matches_brute_force(spark, data, mode):
+    Q, qk, X, xk, idx, qs = data
+    opts = {} if mode == "broadcast" else {"max_broadcast_bytes": 0, "query_block_rows": 9, "index_block_rows": 13}
+    df = K.knn_search(qs, idx, dim=8, k=4, query_key="qid", query_vec="qv", index_key="link",
+                      index_vec="v", metric="l2", **opts).withColumnRenamed("qid", "query_id")
+    got = [(a, b) for a, b, _ in to_rows(df)]
+    want = []
+    for i in range(len(Q)):
+        rows = sorted((round(float(np.linalg.norm(Q[i] - X[j])), 6), xk[j]) for j in range(len(X)))
+        want += [(qk[i], key) for _, key in rows[:4]]
+    assert got == want
