@@ -24,63 +24,70 @@ def md5_hex_int(word: Column, start: int, length: int) -> Column:
     return F.conv(F.substring(F.md5(word), start, length), 16, 10).cast("bigint")
 
 
-def hashed_pairs(text: Column | str, dim: int) -> Column:
-    """(bucket, weight) of the text's hashed tokens: buckets ascending, equal buckets summed,
-    zero weights dropped (array<struct<b:int, w:int>>).
+def sql_name(name: str) -> str:
+    """A column name quoted for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _md5_hex_int_sql(word: str, start: int, length: int) -> str:
+    return f"CAST(conv(substring(md5({word}), {start}, {length}), 16, 10) AS BIGINT)"
+
+
+# The vector builders below are written as SQL text and parsed once (F.expr): the same
+# expression trees as the Column builders, without hundreds of Python-to-JVM calls per plan.
+
+def hashed_pairs_sql(text: str, dim: int) -> str:
+    """SQL for the (bucket, weight) pairs of ``text`` (an SQL expression): buckets ascending,
+    equal buckets summed, zero weights dropped. Bucket = first 8 hex digits of md5(token) mod
+    dim; sign = + when the 9th hex digit is even."""
+    toks = f"regexp_extract_all(lower({text}), '{TOKEN_PATTERN}', 0)"
+    signed = (f"array_sort(transform({toks}, w -> named_struct("
+              f"'b', CAST({_md5_hex_int_sql('w', 1, 8)} % {dim} AS INT), "
+              f"'w', IF({_md5_hex_int_sql('w', 9, 1)} % 2 = 0, 1, -1))))")
+    empty = "CAST(array() AS array<struct<b:int,w:int>>)"
+    merged = (f"aggregate(coalesce({signed}, {empty}), {empty}, (acc, p) -> "
+              "IF(size(acc) > 0 AND element_at(acc, -1).b = p.b, "
+              "concat(slice(acc, 1, size(acc) - 1), array(named_struct('b', p.b, 'w', element_at(acc, -1).w + p.w))), "
+              "concat(acc, array(p))))")
+    return f"filter({merged}, p -> p.w != 0)"
+
+
+def densify_sql(pairs: str, dim: int) -> str:
+    """SQL for the dense array<float> of ``dim`` entries from ascending (bucket, weight) pairs:
+    runs of zeros and weights concatenated (native array copies, one lambda call per pair)."""
+    return (f"aggregate({pairs}, named_struct('v', CAST(array() AS array<int>), 'last', -1), "
+            "(acc, p) -> named_struct('v', concat(acc.v, array_repeat(0, p.b - acc.last - 1), array(p.w)), "
+            "'last', p.b), "
+            f"acc -> CAST(concat(acc.v, array_repeat(0, {dim - 1} - acc.last)) AS array<float>))")
+
+
+def pairs_norm_sql(pairs: str) -> str:
+    return (f"sqrt(aggregate({pairs}, CAST(0 AS DOUBLE), "
+            "(s, p) -> s + CAST(p.w AS DOUBLE) * CAST(p.w AS DOUBLE)))")
 
-    Bucket = first 8 hex digits of md5(token) mod dim; sign = + when the 9th hex digit is even.
-    """
-    signed = F.array_sort(F.transform(
-        tokens(text),
-        lambda w: F.struct(
-            (md5_hex_int(w, 1, 8) % dim).cast("int").alias("b"),
-            F.when(md5_hex_int(w, 9, 1) % 2 == 0, F.lit(1)).otherwise(F.lit(-1)).alias("w"),
-        ),
-    ))
-    empty = F.array().cast("array<struct<b:int,w:int>>")
-
-    def merge(acc: Column, p: Column) -> Column:
-        last = F.element_at(acc, -1)
-        same = (F.size(acc) > 0) & (last["b"] == p["b"])
-        summed = F.struct(p["b"].alias("b"), (last["w"] + p["w"]).alias("w"))
-        return F.when(same, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(summed))) \
-            .otherwise(F.concat(acc, F.array(p)))
-
-    merged = F.aggregate(F.coalesce(signed, empty), empty, merge)
-    return F.filter(merged, lambda p: p["w"] != 0)
-
-
-def densify(pairs: Column, dim: int) -> Column:
-    """Dense array<float> of ``dim`` entries from ascending (bucket, weight) pairs.
-
-    Built by concatenating runs of zeros and weights (native array copies; one lambda call
-    per pair, not per entry).
-    """
-    start = F.struct(F.array().cast("array<int>").alias("v"), F.lit(-1).alias("last"))
 
-    def step(acc: Column, p: Column) -> Column:
-        gap = F.array_repeat(F.lit(0), p["b"] - acc["last"] - 1)
-        return F.struct(F.concat(acc["v"], gap, F.array(p["w"])).alias("v"), p["b"].alias("last"))
+def hashed_pairs(text: str, dim: int) -> Column:
+    """(bucket, weight) pairs of the hashed tokens of column ``text`` (array<struct<b,w>>)."""
+    return F.expr(hashed_pairs_sql(sql_name(text), dim))
 
-    def finish(acc: Column) -> Column:
-        return F.concat(acc["v"], F.array_repeat(F.lit(0), F.lit(dim - 1) - acc["last"])).cast("array<float>")
 
-    return F.aggregate(pairs, start, step, finish)
+def densify(pairs: str, dim: int) -> Column:
+    """Dense array<float> of ``dim`` entries from the pairs in column ``pairs``."""
+    return F.expr(densify_sql(sql_name(pairs), dim))
 
 
-def pairs_norm(pairs: Column) -> Column:
-    """Euclidean norm of a vector given as (bucket, weight) pairs, in double."""
-    return F.sqrt(F.aggregate(pairs, F.lit(0.0).cast("double"),
-                              lambda s, p: s + p["w"].cast("double") * p["w"].cast("double")))
+def pairs_norm(pairs: str) -> Column:
+    """Euclidean norm (double) of a vector given as the pairs in column ``pairs``."""
+    return F.expr(pairs_norm_sql(sql_name(pairs)))
 
 
-def hashed_vector(text: Column | str, dim: int) -> Column:
-    """Signed feature hashing of the text's tokens into ``dim`` buckets (array<float>).
+def hashed_vector(text: str, dim: int) -> Column:
+    """Signed feature hashing of column ``text`` into ``dim`` buckets (array<float>).
 
     Entries are integer counts (exact in float), so similarity is exact on any engine; the
     norm is kept apart (:func:`pairs_norm`, :func:`norm`).
     """
-    return densify(hashed_pairs(text, dim), dim)
+    return F.expr(densify_sql(hashed_pairs_sql(sql_name(text), dim), dim))
 
 
 def norm(vec: Column | str) -> Column:

@@ -25,11 +25,10 @@ def embed(df: DataFrame, source: str = "llm_labeled_emotions", out: str = "emoti
     The (bucket, weight) pairs are computed once; the dense vector and the norm both come
     from them (the norm from the non-zero entries only).
     """
-    df = df.withColumn("_pairs", hashed_pairs(F.col(source), dim))
-    df = df.withColumn(out, densify(F.col("_pairs"), dim))
-    if with_norm:
-        df = df.withColumn("norm", pairs_norm(F.col("_pairs")))
-    return df.drop("_pairs")
+    with_pairs = df.select("*", hashed_pairs(source, dim).alias("_pairs"))
+    extra = [densify("_pairs", dim).alias(out)] + ([pairs_norm("_pairs").alias("norm")] if with_norm else [])
+    replaced = {out, "norm"} if with_norm else {out}
+    return with_pairs.select(*[F.col(c) for c in df.columns if c not in replaced], *extra)
 
 
 def embed_labels(labeled: DataFrame, dim: int = DEFAULT_DIM, keep: tuple = ("artist", "song", "link", "llm_labeled_emotions")) -> DataFrame:

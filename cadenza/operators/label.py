@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions.text import CLEANERS, V2_ECHO_MARK, V2_ERROR_PREFIX, V2_MAX_WORDS, V2_MIN_WORDS
-from cadenza.functions.vectors import md5_hex_int, tokens
+from cadenza.functions.vectors import md5_hex_int, sql_name, tokens
 from cadenza.session import local_frame
 
 # ---------------------------------------------------------------------------
@@ -92,19 +92,22 @@ def emotion_counts(df: DataFrame, key: str | Sequence[str], text: str, lexicon:
     hits = toks.join(lex, "word", "left")
     # Carried columns depend on the key only, so grouping by them too gives the same groups
     # and keeps a hash aggregation (first() over strings would force a sort of all tokens).
-    aggs = [F.count_if(F.col("emotion_id") == i).alias(f"_c{i}") for i in range(n_emotions)]
+    aggs = [F.expr(f"count_if(emotion_id = {i})").alias(f"_c{i}") for i in range(n_emotions)]
     grouped = hits.groupBy(*keys, *carry).agg(*aggs)
-    return grouped.select(*keys, *carry,
-                          F.array(*[F.col(f"_c{i}") for i in range(n_emotions)]).alias("counts"))
+    counts = F.expr("array(" + ", ".join(f"_c{i}" for i in range(n_emotions)) + ")")
+    return grouped.select(*keys, *carry, counts.alias("counts"))
 
 
-def top_emotions(counts: Column, emotions: Sequence[str] = EMOTIONS,
-                 top_n: int = LABELS_PER_TEXT) -> Column:
-    """Names of the ``top_n`` emotions with a count, by count then name (array<string>)."""
-    pairs = F.array(*[F.struct((-counts[i]).alias("neg"), F.lit(e).alias("emotion"))
-                      for i, e in enumerate(emotions)])
-    ranked = F.slice(F.array_sort(F.filter(pairs, lambda p: p["neg"] < 0)), 1, top_n)
-    return F.transform(ranked, lambda p: p["emotion"])
+def top_emotions_sql(counts: str, emotions: Sequence[str] = EMOTIONS, top_n: int = LABELS_PER_TEXT) -> str:
+    """SQL for the names of the ``top_n`` emotions with a count in ``counts`` (an SQL
+    expression of array<bigint>), by count then name."""
+    items = ", ".join(f"named_struct('neg', -{counts}[{i}], 'emotion', '{e}')" for i, e in enumerate(emotions))
+    return f"transform(slice(array_sort(filter(array({items}), p -> p.neg < 0)), 1, {top_n}), p -> p.emotion)"
+
+
+def top_emotions(counts: str, emotions: Sequence[str] = EMOTIONS, top_n: int = LABELS_PER_TEXT) -> Column:
+    """Names of the ``top_n`` emotions with a count in column ``counts``, by count then name."""
+    return F.expr(top_emotions_sql(sql_name(counts), emotions, top_n))
 
 
 def answer_text(names: Column) -> Column:
@@ -125,13 +128,14 @@ def label_emotions(df: DataFrame, lexicon: DataFrame, key: str | Sequence[str] =
     if carry is None:
         carry = [c for c in df.columns if c not in keys and c != text]
     counts = emotion_counts(df, keys, text, lexicon, carry, len(emotions))
-    names = top_emotions(F.col("counts"), emotions, top_n)
+    names = top_emotions_sql("counts", emotions, top_n)
     if cleaner == "v2" and emotions is EMOTIONS:
-        joined = F.array_join(names, ", ")
-        label = F.when(F.size(names).between(V2_MIN_WORDS, V2_MAX_WORDS), joined).otherwise(
-            F.concat(F.lit(V2_ERROR_PREFIX), joined))
+        # names evaluated once (a one-element transform), then cleaner v2's verdict
+        label = F.expr(
+            f"element_at(transform(array({names}), n -> IF(size(n) BETWEEN {V2_MIN_WORDS} AND {V2_MAX_WORDS}, "
+            f"array_join(n, ', '), concat('{V2_ERROR_PREFIX}', array_join(n, ', ')))), 1)")
     else:
-        label = CLEANERS[cleaner](answer_text(names))
+        label = CLEANERS[cleaner](answer_text(F.expr(names)))
     return counts.select(*keys, *carry, label.alias(out))
 
 
@@ -149,7 +153,7 @@ def top_emotion(df: DataFrame, lexicon: DataFrame, key: Sequence[str], text: str
                 out: str = "result", emotions: Sequence[str] = EMOTIONS) -> DataFrame:
     """The single most frequent emotion per key (null when none): the fill-mask stand-in (M3)."""
     counts = emotion_counts(df, key, text, lexicon, carry=(), n_emotions=len(emotions))
-    first = top_emotions(F.col("counts"), emotions, 1)
+    first = top_emotions("counts", emotions, 1)
     return counts.select(*key, F.try_element_at(first, F.lit(1)).alias(out))
 
 

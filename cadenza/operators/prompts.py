@@ -44,7 +44,8 @@ def prompt_grid(songs: DataFrame, lexicon: DataFrame, prompts: Sequence[tuple[st
     grid = per_song.select(key, *keep, text, "counts", F.inline(literal))
     total = F.zip_with(F.coalesce(F.col("counts"), F.array_repeat(F.lit(0).cast("bigint"), len(EMOTIONS))),
                        F.col("pcounts"), lambda a, b: a + b)
-    best = F.try_element_at(top_emotions(total, EMOTIONS, 1), F.lit(1))
+    grid = grid.select("*", total.alias("_total"))
+    best = F.try_element_at(top_emotions("_total", EMOTIONS, 1), F.lit(1))
     order = [c for c in songs.columns if c != text]
     return grid.select(*order, "prompt_label", "prompt", join_prompt("prompt", text).alias("input"),
                        best.alias("result"))

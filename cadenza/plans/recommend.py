@@ -72,16 +72,16 @@ def query_vectors(sentences: DataFrame, lexicon: DataFrame | None = None, dim: i
         return out.select("query_id", "user_emotions", F.col("emotions_embeddings").alias("query_vec"),
                           F.col("norm").alias("query_norm"))
     if embed_source == "labels":
-        pairs = labeled.select("query_id", "user_emotions", hashed_pairs(F.col("user_emotions"), dim).alias("_pairs"))
+        pairs = labeled.select("query_id", "user_emotions", hashed_pairs("user_emotions", dim).alias("_pairs"))
     elif embed_source == "raw":
         # the raw vector is map-side work on the sentence; the labels come from the
         # aggregation; the two meet by key (the sentence never rides through the explode)
-        raw = clean.select("query_id", hashed_pairs(F.col("clean_input"), dim).alias("_pairs"))
+        raw = clean.select("query_id", hashed_pairs("clean_input", dim).alias("_pairs"))
         pairs = labeled.join(raw, "query_id")
     else:
         raise ValueError("embed_source must be 'labels' or 'raw'")
-    return pairs.select("query_id", "user_emotions", densify(F.col("_pairs"), dim).alias("query_vec"),
-                        pairs_norm(F.col("_pairs")).alias("query_norm"))
+    return pairs.select("query_id", "user_emotions", densify("_pairs", dim).alias("query_vec"),
+                        pairs_norm("_pairs").alias("query_norm"))
 
 
 def recommend(sentences: DataFrame, index: DataFrame, lexicon: DataFrame | None = None, *,
