@@ -257,7 +257,7 @@ def q_recommend(spark, d):
 def q_recommend_stored(spark, d):
     """The same answers as ``recommend``, through written tables: build the store once, then
     search the stored index."""
-    from cadenza.plans import pipeline as PL
+    from cadenza.plans import store as PL
 
     store = PL.build_store(songs(spark, d), scratch_path(spark, "store"), dim=DIM)
     return PL.recommend_from_store(sentences(spark, d), store, dim=DIM, k=KNN)
@@ -488,7 +488,7 @@ def _sql_prompt_compare() -> str:
 
 
 def _index_sql(src_cte_sql: str | None = None) -> str:
-    base = O.song_pipeline_ctes(DIM)
+    base = O.song_index_ctes(DIM)
     if src_cte_sql:
         base = base.replace(O.songs_cte("songs", "documents"), src_cte_sql)
     return f"WITH {base}\nSELECT artist, song, link, llm_labeled_emotions, norm FROM idx"

@@ -83,7 +83,7 @@ def sparse_ctes(name: str, src: str, key: str, text: str, dim: int) -> str:
 )"""
 
 
-def song_pipeline_ctes(dim: int, songs_src: str = "documents") -> str:
+def song_index_ctes(dim: int, songs_src: str = "documents") -> str:
     """songs, labeled (songs + llm_labeled_emotions), idx (labeled rows fit for the index),
     dsp / dsp_norm (their sparse vectors)."""
     return ",\n".join([
@@ -117,7 +117,7 @@ def topk_sql(qsp: str, dsp: str, qkey: str, dkey: str, k: int, digits: int = 6,
 def recommend_sql(dim: int, k: int = 10, embed_source: str = "labels") -> str:
     qtext = "user_emotions" if embed_source == "labels" else "clean_input"
     ctes = ",\n".join([
-        song_pipeline_ctes(dim),
+        song_index_ctes(dim),
         sentences_cte(),
         f"qclean AS (SELECT query_id, translate(user_input, {PUNCT_SQL}, '') AS clean_input FROM sentences)",
         label_ctes("qlab", "qclean", "query_id", "clean_input", "user_emotions"),

@@ -1,4 +1,4 @@
-"""The recommendation pipeline (M6, M7): sentences in, ten most similar songs out.
+"""The recommendation plan (M6, M7): sentences in, ten most similar songs out.
 
 For a table of sentences: strip punctuation (F1), label with emotions (M1), embed the labels
 (M4, or the raw sentence with ``embed_source='raw'``), and search the index (J2). One DataFrame

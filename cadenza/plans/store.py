@@ -1,4 +1,4 @@
-"""The batch pipeline as written tables: lexicon → labels → embeddings → index.
+"""The batch steps as written tables: lexicon → labels → embeddings → index.
 
 Each stage reads the table the previous stage wrote, so every stage runs once, measures are
 taken on what was saved (not on a second run of a model), and a lost executor only redoes work

@@ -1,4 +1,4 @@
-"""Reading the test tables and mapping them to the pipeline's tables."""
+"""Reading the test tables and mapping them to the songs and sentences tables."""
 
 from __future__ import annotations
 

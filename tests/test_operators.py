@@ -1,4 +1,4 @@
-"""Invariants of the pipeline operators on the small test tables."""
+"""Invariants of the operators on the small test tables."""
 
 from pyspark.sql import functions as F
 
