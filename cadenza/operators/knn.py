@@ -307,7 +307,11 @@ def knn_single(index: DataFrame, query: Sequence[float], *, k: int = 10, index_k
                index_vec: str = "emotions_embeddings", payload: Sequence[str] = (),
                digits: int = 6) -> DataFrame:
     """Top ``k`` rows of the index for one query vector (L3): JVM expressions only, planned
-    as TakeOrderedAndProject (a per-partition top-k, then a merge of k rows per partition)."""
+    as TakeOrderedAndProject (a per-partition top-k, then a merge of k rows per partition).
+
+    Rows whose score is undefined (wrong width, null entries, norm 0) score null, sort last
+    and are dropped after the limit, where no filter can be pushed below the scoring.
+    """
     from cadenza.functions.vectors import dot, round_half_away
 
     qv = F.array(*[F.lit(float(v)) for v in query])
@@ -315,12 +319,11 @@ def knn_single(index: DataFrame, query: Sequence[float], *, k: int = 10, index_k
     qn = math.sqrt(sum(float(v) * float(v) for v in query))
     if qn == 0:
         raise ValueError("query vector has norm 0")
-    scored = (index.where(has_dim(index_vec, dim))
-              .select(index_key, *payload, norm(index_vec).alias("_in"),
-                      dot(index_vec, qv).alias("_dot"))
-              .where(F.col("_in") > 0)
-              .select(index_key, *payload,
-                      round_half_away(F.col("_dot") / (F.lit(qn) * F.col("_in")), digits).alias("score")))
-    top = scored.orderBy(F.desc("score"), F.asc(index_key)).limit(k)
-    w = Window.orderBy(F.desc("score"), F.asc(index_key))
+    n = norm(index_vec)
+    score = F.when(has_dim(index_vec, dim) & (n > 0),
+                   round_half_away(dot(index_vec, qv) / (F.lit(qn) * n), digits))
+    top = (index.select(index_key, *payload, score.alias("score"))
+           .orderBy(F.desc_nulls_last("score"), F.asc(index_key)).limit(k)
+           .where(F.col("score").isNotNull()))
+    w = Window.orderBy(F.desc("score"), F.asc(index_key))   # k rows at most
     return top.select(F.row_number().over(w).alias("rank"), index_key, *payload, "score")
