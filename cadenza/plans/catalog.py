@@ -290,6 +290,21 @@ def q_stream_index(spark, d):
     return S.run_index_stream(spark, src, base, ckpt, lex, DIM).select(*INDEX_COLUMNS)
 
 
+def q_stream_recommend(spark, d):
+    """Sentences answered by a stream against the stored index: one file of sentences, two
+    ``availableNow`` runs (the second finds nothing new), answers equal to ``recommend``."""
+    from cadenza.plans import store as PL
+    from cadenza.streaming import answer_stream as A
+
+    root = scratch_path(spark, "answer-stream")
+    store = PL.build_store(songs(spark, d), f"{root}/store", dim=DIM)
+    sentences(spark, d).write.mode("append").parquet(f"{root}/sentences")
+    for _ in range(2):
+        A.run_answer_stream(spark, f"{root}/sentences", store, f"{root}/answers", f"{root}/checkpoint",
+                            k=KNN, dim=DIM)
+    return A.read_answers(spark, f"{root}/answers")
+
+
 def q_exclude_flagged(spark, d):
     flags = (read_table(spark, d, "labels").where(F.col("toxic") == 1)
              .select(F.concat(F.lit("/doc/"), F.col("doc_id").cast("string")).alias("link")))
@@ -337,6 +352,7 @@ QUERIES: dict[str, Query] = {
     "recommend_raw": q_recommend_raw,
     "recommend_trials": q_recommend_trials,
     "stream_index": q_stream_index,
+    "stream_recommend": q_stream_recommend,
     "exclude_flagged": q_exclude_flagged,
     "holiday_tag": q_holiday_tag,
 }
@@ -549,6 +565,7 @@ WHERE o.link IS NULL OR n.link IS NULL OR o.artist IS DISTINCT FROM n.artist
     "knn_single": _sql_knn_single(),
     "recommend": O.recommend_sql(DIM, KNN),
     "recommend_stored": O.recommend_sql(DIM, KNN),
+    "stream_recommend": O.recommend_sql(DIM, KNN),
     "recommend_raw": O.recommend_sql(DIM, KNN, embed_source="raw"),
     "recommend_trials": _sql_recommend_trials(),
     "exclude_flagged": _with(O.songs_cte()) + """SELECT * FROM songs s WHERE NOT EXISTS (
