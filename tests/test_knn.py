@@ -81,3 +81,30 @@ def test_knn_l2_matches_brute_force(spark, data, mode):
         rows = sorted((round(float(np.linalg.norm(Q[i] - X[j])), 6), xk[j]) for j in range(len(X)))
         want += [(qk[i], key) for _, key in rows[:4]]
     assert got == want
+
+
+def test_ivf_probing_all_cells_is_exact(spark):
+    from cadenza.operators import ivf as V
+    from cadenza.plans import catalog as C
+    from cadenza.sources.tables import read_table
+    from conftest import SF_SMALL
+
+    e = read_table(spark, SF_SMALL, "embeddings")
+    model = V.train_cells(e, "embedding", 64, 4, seed=1)
+    approx, share = V.ivf_search(C.embedding_queries(e), e, model, dim=64, k=10, nprobe=4,
+                                 query_key="query_id", query_vec="query_vec", index_key="vec_id",
+                                 index_vec="embedding", exclude_self=True)
+    exact = C.q_knn_exact(spark, SF_SMALL)
+    assert share == 1.0
+    rows = lambda df: sorted(tuple(r) for r in df.select("query_id", "rank", "vec_id", "score").collect())
+    assert rows(approx) == rows(exact)
+    assert V.ivf_recall(exact, approx, "query_id", "vec_id").collect()[0]["recall"] == 1.0
+
+
+def test_stored_norm_is_vector_norm(spark):
+    from cadenza.plans import catalog as C
+    from conftest import SF_SMALL
+
+    for r in C.vectors(spark, SF_SMALL).collect():
+        assert abs(r.norm - float(np.linalg.norm(np.asarray(r.emotions_embeddings, dtype=float)))) < 1e-9
+        assert len(r.emotions_embeddings) == C.DIM
