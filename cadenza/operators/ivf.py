@@ -31,7 +31,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from cadenza.functions.vectors import has_dim, md5_hex_int, norm
-from cadenza.operators.knn import _candidates, _matrix, _reduce_topk, _score_block
+from cadenza.operators.knn import _candidates, _matrix, _reduce_topk, _score_block, _valid_rows
 from cadenza.session import shared_dir
 
 MAX_CELLS = 65536
@@ -69,7 +69,7 @@ def assign_cells(index: DataFrame, vec: str, model: KMeansModel) -> DataFrame:
 
 
 def _route_queries(q: DataFrame, centers: np.ndarray, dim: int, nprobe: int) -> DataFrame:
-    """One row per (query, probed cell), ``nprobe`` nearest cells per query."""
+    """One row per (query, probed cell), ``nprobe`` nearest cells per valid query."""
     sc = q.sparkSession.sparkContext
     shipped = sc.broadcast(centers)
     fields = q.schema.fields + [StructField("cell", IntegerType())]
@@ -80,44 +80,38 @@ def _route_queries(q: DataFrame, centers: np.ndarray, dim: int, nprobe: int) ->
     def route(batches):
         C = shipped.value
         for b in batches:
-            if b.num_rows == 0:
+            t = _valid_rows(pa.Table.from_batches([b]), "_qv", "_qn", dim, "cosine")
+            if t.num_rows == 0:
                 continue
-            Q = _matrix(b.column("_qv"), dim)
-            s = (Q @ C.T) / b.column("_qn").to_numpy(zero_copy_only=False)[:, None]
+            Q = _matrix(t.column("_qv"), dim)
+            s = (Q @ C.T) / t.column("_qn").to_numpy(zero_copy_only=False)[:, None]
             order = np.lexsort((np.broadcast_to(np.arange(len(C)), s.shape), -s), axis=1)[:, :probes]
-            rows = np.repeat(np.arange(b.num_rows), probes)
-            t = pa.Table.from_batches([b]).take(pa.array(rows))
+            t = t.take(pa.array(np.repeat(np.arange(t.num_rows), probes)))
             t = t.append_column("cell", pa.array(order.ravel().astype(np.int32)))
             yield from t.cast(arrow_schema).to_batches()
 
     return q.mapInArrow(route, schema)
 
 
-def ivf_search(queries: DataFrame, index: DataFrame, model: KMeansModel, *, dim: int, k: int = 10,
-               nprobe: int = 1, query_key: str = "query_id", query_vec: str = "query_vec",
-               index_key: str = "link", index_vec: str = "emotions_embeddings",
-               payload: Sequence[str] = (), exclude_self: bool = False, digits: int = 6,
-               query_block_rows: int = 4096, index_block_rows: int = 32768) -> tuple[DataFrame, float]:
-    """Approximate top ``k`` per query (same output as exact search without query payload),
-    and the share of (query, row) pairs scored."""
-    if query_key == index_key:
-        raise ValueError("output column names of the two sides must differ")
-    q = queries.where(has_dim(query_vec, dim)).select(
-        F.col(query_key).alias("_qk"), F.col(query_vec).alias("_qv"), norm(query_vec).alias("_qn")
-    ).where(F.col("_qn") > 0)
-    centers = centers_of(model)
-    x = assign_cells(index.where(has_dim(index_vec, dim)), index_vec, model).select(
-        F.col(index_key).alias("_ik"), F.col(index_vec).alias("_iv"), norm(index_vec).alias("_in"),
-        "cell", *payload).where(F.col("_in") > 0)
-    routed = _route_queries(q, centers, dim, nprobe)
-    # cell counts, then copies: save both sides once (see knn._block_scores)
-    shared_dir(q.sparkSession)
-    x, routed = x.checkpoint(eager=True), routed.checkpoint(eager=True)
-
-    n_cells = len(centers)
+def _queries(queries: DataFrame, query_key: str, query_vec: str) -> DataFrame:
+    return queries.select(F.col(query_key).alias("_qk"), F.col(query_vec).alias("_qv"),
+                          norm(query_vec).alias("_qn"))
+
+
+def _index_rows(index: DataFrame, index_key: str, index_vec: str, payload: Sequence[str],
+                index_norm: str | None = None) -> DataFrame:
+    n = F.col(index_norm) if index_norm else norm(index_vec)
+    return index.select(F.col(index_key).alias("_ik"), F.col(index_vec).alias("_iv"),
+                        n.cast("double").alias("_in"), "cell", *payload)
+
+
+def _score_cells(routed: DataFrame, x: DataFrame, n_cells: int, probes: int, *, dim: int, k: int,
+                 query_key: str, index_key: str, payload: Sequence[str], exclude_self: bool,
+                 digits: int, query_block_rows: int, index_block_rows: int) -> tuple[DataFrame, float]:
+    """Exact top-k inside the probed cells, in bounded (cell, index block, query block) groups."""
     xc = dict(x.groupBy("cell").count().collect())          # n_cells rows at most
     qc = dict(routed.groupBy("cell").count().collect())
-    nq = sum(qc.values()) // min(nprobe, n_cells)       # each query is routed to that many cells
+    nq = sum(qc.values()) // probes                         # each query is routed to that many cells
     nx = sum(xc.values())
     pairs = sum(qc.get(c, 0) * xc.get(c, 0) for c in range(n_cells))
     share = pairs / (nq * nx) if nq and nx else 0.0
@@ -131,7 +125,7 @@ def ivf_search(queries: DataFrame, index: DataFrame, model: KMeansModel, *, dim:
     qrep = (routed.withColumn("qb", F.pmod(F.xxhash64("_qk"), qsub_of))
             .withColumn("ib", F.explode(F.sequence(F.lit(0), isub_of - 1).cast("array<bigint>"))))
 
-    qf = {f.name: f for f in q.schema.fields}
+    qf = {f.name: f for f in routed.schema.fields}
     xf = {f.name: f for f in x.schema.fields}
     schema = StructType([StructField(query_key, qf["_qk"].dataType), StructField(index_key, xf["_ik"].dataType)]
                         + [StructField(c, xf[c].dataType) for c in payload] + [StructField("score", DoubleType())])
@@ -139,6 +133,7 @@ def ivf_search(queries: DataFrame, index: DataFrame, model: KMeansModel, *, dim:
     payload = list(payload)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        right = _valid_rows(right, "_iv", "_in", dim, "cosine")
         if left.num_rows == 0 or right.num_rows == 0:
             return arrow_schema.empty_table()
         qcols = {"_qk": left.column("_qk").combine_chunks()}
@@ -160,6 +155,60 @@ def ivf_search(queries: DataFrame, index: DataFrame, model: KMeansModel, *, dim:
     return ranked.select(query_key, "rank", index_key, *payload, "score"), share
 
 
+def ivf_search(queries: DataFrame, index: DataFrame, model: KMeansModel, *, dim: int, k: int = 10,
+               nprobe: int = 1, query_key: str = "query_id", query_vec: str = "query_vec",
+               index_key: str = "link", index_vec: str = "emotions_embeddings",
+               payload: Sequence[str] = (), exclude_self: bool = False, digits: int = 6,
+               query_block_rows: int = 4096, index_block_rows: int = 32768) -> tuple[DataFrame, float]:
+    """Approximate top ``k`` per query (same output as exact search without query payload),
+    and the share of (query, row) pairs scored. Cells are assigned here; see
+    :func:`ivf_search_stored` for an index already written by cell."""
+    if query_key == index_key:
+        raise ValueError("output column names of the two sides must differ")
+    centers = centers_of(model)
+    routed = _route_queries(_queries(queries, query_key, query_vec), centers, dim, nprobe)
+    x = _index_rows(assign_cells(index, index_vec, model), index_key, index_vec, payload)
+    # cell counts, then copies: save both computed sides once (see knn._block_scores)
+    shared_dir(queries.sparkSession)
+    routed, x = routed.checkpoint(eager=True), x.checkpoint(eager=True)
+    return _score_cells(routed, x, len(centers), min(nprobe, len(centers)), dim=dim, k=k,
+                        query_key=query_key, index_key=index_key, payload=payload,
+                        exclude_self=exclude_self, digits=digits, query_block_rows=query_block_rows,
+                        index_block_rows=index_block_rows)
+
+
+def write_cells(index: DataFrame, model: KMeansModel, path: str, *, index_key: str = "link",
+                index_vec: str = "emotions_embeddings", payload: Sequence[str] = ()) -> str:
+    """Store the index as inverted lists: one folder per cell (``partitionBy('cell')``)."""
+    cols = [index_key, index_vec, *payload] + (["norm"] if "norm" in index.columns else [])
+    assign_cells(index.select(*cols), index_vec, model).write.mode("overwrite").partitionBy("cell").parquet(path)
+    return path
+
+
+def ivf_search_stored(queries: DataFrame, path: str, model: KMeansModel, *, dim: int, k: int = 10,
+                      nprobe: int = 1, query_key: str = "query_id", query_vec: str = "query_vec",
+                      index_key: str = "link", index_vec: str = "emotions_embeddings",
+                      payload: Sequence[str] = (), exclude_self: bool = False, digits: int = 6,
+                      query_block_rows: int = 4096, index_block_rows: int = 32768) -> tuple[DataFrame, float]:
+    """:func:`ivf_search` over an index written by :func:`write_cells`: only the folders of the
+    probed cells are read (partition pruning), so a search reads about ``nprobe / n_cells`` of
+    the index instead of all of it."""
+    if query_key == index_key:
+        raise ValueError("output column names of the two sides must differ")
+    spark = queries.sparkSession
+    centers = centers_of(model)
+    routed = _route_queries(_queries(queries, query_key, query_vec), centers, dim, nprobe)
+    shared_dir(spark)
+    routed = routed.checkpoint(eager=True)
+    probed = sorted(r["cell"] for r in routed.select("cell").distinct().collect())   # <= n_cells
+    stored = spark.read.parquet(path).where(F.col("cell").isin(probed))
+    x = _index_rows(stored, index_key, index_vec, payload, "norm" if "norm" in stored.columns else None)
+    return _score_cells(routed, x, len(centers), min(nprobe, len(centers)), dim=dim, k=k,
+                        query_key=query_key, index_key=index_key, payload=payload,
+                        exclude_self=exclude_self, digits=digits, query_block_rows=query_block_rows,
+                        index_block_rows=index_block_rows)
+
+
 def ivf_recall(exact: DataFrame, approx: DataFrame, query_key: str, index_key: str) -> DataFrame:
     """recall@k: the share of exact (query, row) answers the approximate search also returns."""
     e = exact.select(query_key, index_key)

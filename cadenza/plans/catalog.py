@@ -591,10 +591,12 @@ def _ivf_inputs(spark, d):
 
 
 def q_knn_ivf(spark, d):
+    """Inverted lists written by cell, then searched reading only the probed cells."""
     V, e, model = _ivf_inputs(spark, d)
-    res, _ = V.ivf_search(embedding_queries(e), e, model, dim=EMB_DIM, k=KNN, nprobe=2,
-                          query_key="query_id", query_vec="query_vec", index_key="vec_id",
-                          index_vec="embedding", exclude_self=True)
+    path = V.write_cells(e, model, scratch_path(spark, "ivf-cells"), index_key="vec_id", index_vec="embedding")
+    res, _ = V.ivf_search_stored(embedding_queries(e), path, model, dim=EMB_DIM, k=KNN, nprobe=2,
+                                 query_key="query_id", query_vec="query_vec", index_key="vec_id",
+                                 index_vec="embedding", exclude_self=True)
     return res
 
 

@@ -1,6 +1,7 @@
 """The top-k kernel against brute force, on data with many exact ties."""
 
 import numpy as np
+from pyspark.sql import functions as F
 import pytest
 
 from cadenza.operators import knn as K
@@ -108,3 +109,24 @@ def test_stored_norm_is_vector_norm(spark):
     for r in C.vectors(spark, SF_SMALL).collect():
         assert abs(r.norm - float(np.linalg.norm(np.asarray(r.emotions_embeddings, dtype=float)))) < 1e-9
         assert len(r.emotions_embeddings) == C.DIM
+
+
+def test_ivf_stored_cells_equal_on_the_fly(spark):
+    from cadenza.operators import ivf as V
+    from cadenza.plans import catalog as C
+    from cadenza.session import scratch_path
+    from cadenza.sources.tables import read_table
+    from conftest import SF_SMALL
+
+    e = read_table(spark, SF_SMALL, "embeddings")
+    model = V.train_cells(e, "embedding", 64, 8, seed=3)
+    path = V.write_cells(e, model, scratch_path(spark, "test-cells"), index_key="vec_id", index_vec="embedding")
+    opts = dict(dim=64, k=10, nprobe=2, query_key="query_id", query_vec="query_vec", index_key="vec_id",
+                index_vec="embedding", exclude_self=True)
+    a, sa = V.ivf_search(C.embedding_queries(e), e, model, **opts)
+    b, sb = V.ivf_search_stored(C.embedding_queries(e), path, model, **opts)
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    assert rows(a) == rows(b) and sa == sb
+    pruned = spark.read.parquet(path).where(F.col("cell").isin([0, 1]))
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "cell" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
