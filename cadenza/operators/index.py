@@ -13,6 +13,7 @@ previous one (a table cannot overwrite itself while read), and readers take the
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -164,17 +165,48 @@ def list_versions(spark: SparkSession, base: str) -> list[int]:
     return sorted(out)
 
 
-def write_version(df: DataFrame, base: str, version: int) -> str:
-    """Write one index version (overwrite makes a retried write idempotent)."""
+NAMESPACE = "cadenza"
+
+
+def version_table(base: str, version: int, namespace: str = NAMESPACE) -> str:
+    """Catalog name of a bucketed index version (derived from its folder)."""
+    digest = hashlib.md5(base.rstrip("/").encode()).hexdigest()[:12]
+    return f"{namespace}.index_{digest}_v{version:08d}"
+
+
+def write_version(df: DataFrame, base: str, version: int, bucket_by: str | None = None,
+                  buckets: int = 0) -> str:
+    """Write one index version (overwrite makes a retried write idempotent).
+
+    With ``bucket_by`` and ``buckets``, the version is also a bucketed catalog table over the
+    same folder: later joins on that key (the upsert's anti join) shuffle only the other side,
+    never the index. The write itself needs no shuffle: each task writes its rows' buckets.
+    """
     path = version_path(base, version)
-    df.write.mode("overwrite").parquet(path)
+    if bucket_by and buckets > 0:
+        from cadenza.sources.files import ensure_namespace
+
+        spark = df.sparkSession
+        ensure_namespace(spark, NAMESPACE)
+        (df.write.mode("overwrite").bucketBy(buckets, bucket_by).sortBy(bucket_by)
+         .option("path", path).saveAsTable(version_table(base, version)))
+    else:
+        df.write.mode("overwrite").parquet(path)
     return path
 
 
+def read_version(spark: SparkSession, base: str, version: int, schema=None) -> DataFrame:
+    """A version as its bucketed table when one is registered, else its parquet folder."""
+    name = version_table(base, version)
+    if spark.catalog.tableExists(name):
+        return spark.table(name)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(version_path(base, version))
+
+
 def read_latest(spark: SparkSession, base: str, schema=None, before: int | None = None) -> DataFrame | None:
     """The newest completed version (below ``before`` when given), or None."""
     versions = [v for v in list_versions(spark, base) if before is None or v < before]
     if not versions:
         return None
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(version_path(base, versions[-1]))
+    return read_version(spark, base, versions[-1], schema)

@@ -32,6 +32,7 @@ DIM = E.DEFAULT_DIM          # song vectors: the reference's width
 EMB_DIM = 64                 # width of the `embeddings` test table
 KNN = 10                     # results per query
 SAMPLE_FRACTION = 0.2        # the reference's sample fraction
+INDEX_BUCKETS = 8            # buckets of the stored index versions (by link)
 
 # The reference's own trial sentences (fixed values, in its order).
 TRIAL_SENTENCES = (
@@ -259,7 +260,7 @@ def q_recommend_stored(spark, d):
     search the stored index."""
     from cadenza.plans import store as PL
 
-    store = PL.build_store(songs(spark, d), scratch_path(spark, "store"), dim=DIM)
+    store = PL.build_store(songs(spark, d), scratch_path(spark, "store"), dim=DIM, buckets=INDEX_BUCKETS)
     return PL.recommend_from_store(sentences(spark, d), store, dim=DIM, k=KNN)
 
 
@@ -285,9 +286,9 @@ def q_stream_index(spark, d):
     src, base, ckpt = f"{root}/changes", f"{root}/index", f"{root}/checkpoint"
     old, new = songs_from_documents(docs), fx.next_snapshot(docs)
     S.changes_from_rows(old, seq=1).write.mode("append").parquet(src)
-    S.run_index_stream(spark, src, base, ckpt, lex, DIM)
+    S.run_index_stream(spark, src, base, ckpt, lex, DIM, buckets=INDEX_BUCKETS)
     S.changes_from_diff(new, X.snapshot_diff(old, new), seq=2).write.mode("append").parquet(src)
-    return S.run_index_stream(spark, src, base, ckpt, lex, DIM).select(*INDEX_COLUMNS)
+    return S.run_index_stream(spark, src, base, ckpt, lex, DIM, buckets=INDEX_BUCKETS).select(*INDEX_COLUMNS)
 
 
 def q_stream_recommend(spark, d):

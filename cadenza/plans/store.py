@@ -41,9 +41,10 @@ class Store:
 
 
 def build_store(songs: DataFrame, root: str, dim: int = DEFAULT_DIM, cleaner: str | None = "v2",
-                drop_errors: bool = True) -> Store:
+                drop_errors: bool = True, buckets: int = 0) -> Store:
     """Write the lexicon, the labeled songs (without text), the embeddings and index
-    version 1 under ``root``."""
+    version 1 under ``root``; ``buckets > 0`` buckets the index by ``link`` (see
+    :func:`cadenza.operators.index.write_version`)."""
     spark = songs.sparkSession
     store = Store(root)
     build_lexicon(songs).write.mode("overwrite").parquet(store.lexicon)
@@ -54,7 +55,7 @@ def build_store(songs: DataFrame, root: str, dim: int = DEFAULT_DIM, cleaner: st
     embed(spark.read.parquet(store.labeled), dim=dim).write.mode("overwrite").parquet(store.embeddings)
     index = X.build_index(spark.read.parquet(store.embeddings), dim=dim, drop_errors=drop_errors,
                           check_dim=False)
-    X.write_version(index, store.index, 1)
+    X.write_version(index, store.index, 1, bucket_by="link", buckets=buckets)
     return store
 
 

@@ -63,13 +63,18 @@ def apply_changes(batch: DataFrame, base: DataFrame | None, lexicon: DataFrame,
 
 
 def start_index_stream(spark: SparkSession, source_dir: str, index_base: str, checkpoint: str,
-                       lexicon: DataFrame, dim: int) -> StreamingQuery:
-    """Start one ``availableNow`` run over the change folder; returns the running query."""
+                       lexicon: DataFrame, dim: int, buckets: int = 0) -> StreamingQuery:
+    """Start one ``availableNow`` run over the change folder; returns the running query.
+
+    With ``buckets > 0`` every version is bucketed by ``link``, so each batch's anti join
+    shuffles only the batch's keys, not the index.
+    """
     changes = spark.readStream.schema(CHANGE_SCHEMA).parquet(source_dir)
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         base = X.read_latest(spark, index_base, before=epoch_id + 1)
-        X.write_version(apply_changes(batch, base, lexicon, dim), index_base, epoch_id + 1)
+        X.write_version(apply_changes(batch, base, lexicon, dim), index_base, epoch_id + 1,
+                        bucket_by="link", buckets=buckets)
 
     return (changes.writeStream.foreachBatch(handle)
             .option("checkpointLocation", checkpoint)
@@ -78,9 +83,9 @@ def start_index_stream(spark: SparkSession, source_dir: str, index_base: str, ch
 
 
 def run_index_stream(spark: SparkSession, source_dir: str, index_base: str, checkpoint: str,
-                     lexicon: DataFrame, dim: int) -> DataFrame | None:
+                     lexicon: DataFrame, dim: int, buckets: int = 0) -> DataFrame | None:
     """Run the stream until the folder is drained; return the newest index version."""
-    query = start_index_stream(spark, source_dir, index_base, checkpoint, lexicon, dim)
+    query = start_index_stream(spark, source_dir, index_base, checkpoint, lexicon, dim, buckets)
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))

@@ -42,3 +42,23 @@ def test_retried_epoch_rewrites_same_version(spark):
     X.write_version(rows, base_dir, 1)                         # retry: overwrite, not append
     assert X.list_versions(spark, base_dir) == [1]
     assert X.read_latest(spark, base_dir).count() == rows.count()
+
+
+def test_bucketed_version_joins_without_shuffling_the_index(spark):
+    lex = C.lexicon(spark, SF_SMALL)
+    docs = read_table(spark, SF_SMALL, "documents")
+    base_dir = scratch_path(spark, "test-bucketed")
+    rows = S.apply_changes(S.changes_from_rows(songs_from_documents(docs), seq=1), None, lex, DIM)
+    X.write_version(rows, base_dir, 1, bucket_by="link", buckets=4)
+    index = X.read_latest(spark, base_dir)
+    assert sorted(index.columns) == sorted(rows.columns) and index.count() == rows.count()
+    keys = spark.createDataFrame([(f"/doc/{i}",) for i in range(50)], "link string")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = index.join(keys, "link", "left_anti")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Bucketed: true" in plan
+    assert plan.count("Exchange hashpartitioning") == 1      # the keys side only
