@@ -91,6 +91,14 @@ def q_csv_scan(spark, d):
 NAMESPACE = "cadenza"
 
 
+def q_csv_sample_table(spark, d):
+    """Write the songs as CSV, then ingest: read it, keep the hash sample, save the table."""
+    csv = io.write_csv(songs(spark, d), scratch_path(spark, "songs-csv"))
+    io.ensure_namespace(spark, NAMESPACE)
+    name = f"{NAMESPACE}.sampled_{uuid.uuid4().hex[:12]}"
+    return io.ingest_songs(spark, csv, name, scratch_path(spark, "table-sampled"), SAMPLE_FRACTION)
+
+
 def q_table_overwrite(spark, d):
     io.ensure_namespace(spark, NAMESPACE)                            # S6, one statement per call
     name = f"{NAMESPACE}.songs_{uuid.uuid4().hex[:12]}"
@@ -321,6 +329,7 @@ QUERIES: dict[str, Query] = {
     "scan_limit": q_scan_limit,
     "csv_scan": q_csv_scan,
     "table_overwrite": q_table_overwrite,
+    "csv_sample_table": q_csv_sample_table,
     "sample_songs": q_sample_songs,
     "sample_count": q_sample_count,
     "nonnull_preview": q_nonnull_preview,
@@ -517,6 +526,7 @@ ORACLES: dict[str, str] = {
     "csv_scan": _with(O.songs_cte()) + "SELECT * FROM songs",
     "table_overwrite": _labeled_prefix() + "SELECT artist, song, link, text, llm_labeled_emotions FROM labeled",
     "sample_songs": _with(O.songs_cte()) + f"SELECT * FROM songs WHERE {O.hex_int('link', 1, 8)} % 1000 < 200",
+    "csv_sample_table": _with(O.songs_cte()) + f"SELECT * FROM songs WHERE {O.hex_int('link', 1, 8)} % 1000 < 200",
     "sample_count": _with(O.songs_cte()) + f"SELECT count(*) AS n_songs FROM songs WHERE {O.hex_int('link', 1, 8)} % 1000 < 200",
     "nonnull_preview": _with(O.songs_cte("songs", "(SELECT doc_id, source, CASE WHEN doc_id % 7 = 0 THEN NULL ELSE text END AS text FROM documents)"))
     + "SELECT * FROM songs WHERE text IS NOT NULL ORDER BY link LIMIT 200",

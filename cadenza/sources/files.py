@@ -57,3 +57,13 @@ def write_json(df: DataFrame, path: str) -> DataFrame:
     """Write rows as JSON lines (the prompt-trial artifact, S7) and read them back."""
     df.write.mode("overwrite").json(path)
     return df.sparkSession.read.schema(df.schema).json(path)
+
+
+def ingest_songs(spark: SparkSession, csv_path: str, table: str, table_path: str,
+                 fraction: float, key: str = "link") -> DataFrame:
+    """CSV of songs → hash sample on the key → saved table (S1, L4, S4): one job that reads the
+    CSV once (declared schema), filters map-side and writes; the table is read back."""
+    from cadenza.operators.measures import sample_by_key
+
+    sample = sample_by_key(read_songs_csv(spark, csv_path), key, fraction)
+    return overwrite_table(sample, table, table_path)
