@@ -75,3 +75,23 @@ def local_frame(spark: SparkSession, rows, schema):
     st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     frame = pd.DataFrame([tuple(r) for r in rows], columns=st.names)
     return spark.createDataFrame(frame, st)
+
+
+def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a large cluster, from the input size and the total number of cores.
+
+    Shuffle partitions start at the input size over the target partition size (AQE then merges
+    and splits at run time), never fewer than twice the cores; file splits stay at 128 MiB so
+    one task's Arrow batches and score blocks fit a few GB of executor memory.
+    """
+    shuffle = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+    }
