@@ -77,14 +77,17 @@ def local_frame(spark: SparkSession, rows, schema):
     return spark.createDataFrame(frame, st)
 
 
-def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20,
+                 shuffle_share: float = 0.02) -> dict:
     """Settings for a large cluster, from the input size and the total number of cores.
 
-    Shuffle partitions start at the input size over the target partition size (AQE then merges
-    and splits at run time), never fewer than twice the cores; file splits stay at 128 MiB so
-    one task's Arrow batches and score blocks fit a few GB of executor memory.
+    The plans here shuffle keys, counts and digests, not texts: the largest shuffle is about
+    ``shuffle_share`` of the input. Shuffle partitions start at that size over the target
+    partition size (AQE merges and splits at run time), never fewer than twice the cores; not
+    the input size, since map statuses grow with map tasks × reducers. File splits stay at
+    128 MiB so one task's Arrow batches and score blocks fit a few GB of executor memory.
     """
-    shuffle = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    shuffle = max(2 * cores, -(-int(input_bytes * shuffle_share) // target_partition_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
