@@ -43,16 +43,23 @@ def _unit(vec: str, n: str) -> F.Column:
 
 def train_cells(index: DataFrame, vec: str, dim: int, n_cells: int, seed: int = 42,
                 sample_fraction: float | None = None, key: str | None = None,
-                max_iter: int = 20) -> KMeansModel:
+                max_iter: int = 10) -> KMeansModel:
     """KMeans (cosine) over the index's unit vectors, on a hash sample of the keys when
-    ``sample_fraction`` is given (every row is still indexed and searched)."""
+    ``sample_fraction`` is given (every row is still indexed and searched).
+
+    KMeans reads its input once per iteration: the training vectors are written once to the
+    shared checkpoint folder first, so the iterations read them back instead of recomputing
+    them, and a lost executor does not send the training back to the source.
+    """
     if not 0 < n_cells <= MAX_CELLS:
         raise ValueError(f"n_cells must be in 1..{MAX_CELLS}")
     rows = index.where(has_dim(vec, dim)).withColumn("_n", norm(vec)).where(F.col("_n") > 0)
     if sample_fraction is not None and key is not None:
         rows = rows.where(md5_hex_int(F.col(key).cast("string"), 1, 8) % 1000 < int(sample_fraction * 1000))
-    train = rows.select(array_to_vector(_unit(vec, "_n")).alias("features"))
-    return KMeans(k=n_cells, seed=seed, maxIter=max_iter, distanceMeasure="cosine").fit(train)
+    shared_dir(index.sparkSession)
+    train = rows.select(array_to_vector(_unit(vec, "_n")).alias("features")).checkpoint(eager=True)
+    return KMeans(k=n_cells, seed=seed, maxIter=max_iter, initSteps=1,
+                  distanceMeasure="cosine").fit(train)
 
 
 def centers_of(model: KMeansModel) -> np.ndarray:
@@ -93,9 +100,12 @@ def _route_queries(q: DataFrame, centers: np.ndarray, dim: int, nprobe: int) ->
     return q.mapInArrow(route, schema)
 
 
-def _queries(queries: DataFrame, query_key: str, query_vec: str) -> DataFrame:
+def _queries(queries: DataFrame, query_key: str, query_vec: str, query_payload: Sequence[str] = (),
+             query_norm: str | None = None) -> DataFrame:
+    n = F.col(query_norm) if query_norm else norm(query_vec)
     return queries.select(F.col(query_key).alias("_qk"), F.col(query_vec).alias("_qv"),
-                          norm(query_vec).alias("_qn"))
+                          n.cast("double").alias("_qn"),
+                          *[F.col(c).alias(f"_qp{i}") for i, c in enumerate(query_payload)])
 
 
 def _index_rows(index: DataFrame, index_key: str, index_vec: str, payload: Sequence[str],
@@ -107,7 +117,8 @@ def _index_rows(index: DataFrame, index_key: str, index_vec: str, payload: Seque
 
 def _score_cells(routed: DataFrame, x: DataFrame, n_cells: int, probes: int, *, dim: int, k: int,
                  query_key: str, index_key: str, payload: Sequence[str], exclude_self: bool,
-                 digits: int, query_block_rows: int, index_block_rows: int) -> tuple[DataFrame, float]:
+                 digits: int, query_block_rows: int, index_block_rows: int,
+                 query_payload: Sequence[str] = ()) -> tuple[DataFrame, float]:
     """Exact top-k inside the probed cells, in bounded (cell, index block, query block) groups."""
     xc = dict(x.groupBy("cell").count().collect())          # n_cells rows at most
     qc = dict(routed.groupBy("cell").count().collect())
@@ -127,16 +138,19 @@ def _score_cells(routed: DataFrame, x: DataFrame, n_cells: int, probes: int, *,
 
     qf = {f.name: f for f in routed.schema.fields}
     xf = {f.name: f for f in x.schema.fields}
-    schema = StructType([StructField(query_key, qf["_qk"].dataType), StructField(index_key, xf["_ik"].dataType)]
+    schema = StructType([StructField(query_key, qf["_qk"].dataType)]
+                        + [StructField(c, qf[f"_qp{i}"].dataType) for i, c in enumerate(query_payload)]
+                        + [StructField(index_key, xf["_ik"].dataType)]
                         + [StructField(c, xf[c].dataType) for c in payload] + [StructField("score", DoubleType())])
     arrow_schema = to_arrow_schema(schema)
     payload = list(payload)
+    qp_names = ["_qk"] + [f"_qp{i}" for i in range(len(query_payload))]
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         right = _valid_rows(right, "_iv", "_in", dim, "cosine")
         if left.num_rows == 0 or right.num_rows == 0:
             return arrow_schema.empty_table()
-        qcols = {"_qk": left.column("_qk").combine_chunks()}
+        qcols = {c: left.column(c).combine_chunks() for c in qp_names}
         Q = _matrix(left.column("_qv"), dim)
         qn = left.column("_qn").to_numpy().astype(np.float64)
         ikeys = right.column("_ik").combine_chunks()
@@ -152,7 +166,7 @@ def _score_cells(routed: DataFrame, x: DataFrame, n_cells: int, probes: int, *,
                .applyInArrow(score, schema))
     w = Window.partitionBy(query_key).orderBy(F.desc("score"), F.asc(index_key))
     ranked = partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return ranked.select(query_key, "rank", index_key, *payload, "score"), share
+    return ranked.select(query_key, *query_payload, "rank", index_key, *payload, "score"), share
 
 
 def ivf_search(queries: DataFrame, index: DataFrame, model: KMeansModel, *, dim: int, k: int = 10,
@@ -188,7 +202,8 @@ def write_cells(index: DataFrame, model: KMeansModel, path: str, *, index_key: s
 def ivf_search_stored(queries: DataFrame, path: str, model: KMeansModel, *, dim: int, k: int = 10,
                       nprobe: int = 1, query_key: str = "query_id", query_vec: str = "query_vec",
                       index_key: str = "link", index_vec: str = "emotions_embeddings",
-                      payload: Sequence[str] = (), exclude_self: bool = False, digits: int = 6,
+                      payload: Sequence[str] = (), query_payload: Sequence[str] = (),
+                      query_norm: str | None = None, exclude_self: bool = False, digits: int = 6,
                       query_block_rows: int = 4096, index_block_rows: int = 32768) -> tuple[DataFrame, float]:
     """:func:`ivf_search` over an index written by :func:`write_cells`: only the folders of the
     probed cells are read (partition pruning), so a search reads about ``nprobe / n_cells`` of
@@ -197,7 +212,8 @@ def ivf_search_stored(queries: DataFrame, path: str, model: KMeansModel, *, dim:
         raise ValueError("output column names of the two sides must differ")
     spark = queries.sparkSession
     centers = centers_of(model)
-    routed = _route_queries(_queries(queries, query_key, query_vec), centers, dim, nprobe)
+    routed = _route_queries(_queries(queries, query_key, query_vec, query_payload, query_norm),
+                            centers, dim, nprobe)
     shared_dir(spark)
     routed = routed.checkpoint(eager=True)
     probed = sorted(r["cell"] for r in routed.select("cell").distinct().collect())   # <= n_cells
@@ -206,7 +222,7 @@ def ivf_search_stored(queries: DataFrame, path: str, model: KMeansModel, *, dim:
     return _score_cells(routed, x, len(centers), min(nprobe, len(centers)), dim=dim, k=k,
                         query_key=query_key, index_key=index_key, payload=payload,
                         exclude_self=exclude_self, digits=digits, query_block_rows=query_block_rows,
-                        index_block_rows=index_block_rows)
+                        index_block_rows=index_block_rows, query_payload=query_payload)
 
 
 def ivf_recall(exact: DataFrame, approx: DataFrame, query_key: str, index_key: str) -> DataFrame:

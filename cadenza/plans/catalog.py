@@ -33,6 +33,7 @@ EMB_DIM = 64                 # width of the `embeddings` test table
 KNN = 10                     # results per query
 SAMPLE_FRACTION = 0.2        # the reference's sample fraction
 INDEX_BUCKETS = 8            # buckets of the stored index versions (by link)
+IVF_CELLS = 16               # cells of the inverted file
 
 # The reference's own trial sentences (fixed values, in its order).
 TRIAL_SENTENCES = (
@@ -272,6 +273,16 @@ def q_recommend_stored(spark, d):
     return PL.recommend_from_store(sentences(spark, d), store, dim=DIM, k=KNN)
 
 
+def q_recommend_ivf(spark, d):
+    """Serving from the stored inverted file: each sentence reads only its 2 nearest of 16
+    cells (approximate; rows-only check)."""
+    from cadenza.plans import store as PL
+
+    store = PL.build_store(songs(spark, d), scratch_path(spark, "store-ivf"), dim=DIM,
+                           buckets=INDEX_BUCKETS, ivf_cells=IVF_CELLS)
+    return PL.recommend_from_store(sentences(spark, d), store, dim=DIM, k=KNN, nprobe=2)
+
+
 def q_recommend_raw(spark, d):
     lex = lexicon(spark, d)
     return recommend(sentences(spark, d), song_index(spark, d, lex), lex, k=KNN, dim=DIM,
@@ -359,6 +370,7 @@ QUERIES: dict[str, Query] = {
     "knn_single": q_knn_single,
     "recommend": q_recommend,
     "recommend_stored": q_recommend_stored,
+    "recommend_ivf": q_recommend_ivf,
     "recommend_raw": q_recommend_raw,
     "recommend_trials": q_recommend_trials,
     "stream_index": q_stream_index,
@@ -589,7 +601,6 @@ WHERE o.link IS NULL OR n.link IS NULL OR o.artist IS DISTINCT FROM n.artist
 # ----------------------------------------------------------------------------- approximate search
 # Rows-only keys: the cells come from KMeans, so the answers are approximate by design.
 
-IVF_CELLS = 16
 IVF_PROBES = (1, 2, 4, 8)
 
 

@@ -11,12 +11,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.operators import index as X
+from cadenza.operators import ivf as V
 from cadenza.operators.embed import DEFAULT_DIM, embed
 from cadenza.operators.label import build_lexicon, label_emotions, materialize_lexicon
-from cadenza.plans.recommend import recommend
+from cadenza.plans.recommend import RESULT_COLUMNS, RESULTS_PER_QUERY, query_vectors, recommend
 
 
 @dataclass(frozen=True)
@@ -39,12 +41,23 @@ class Store:
     def index(self) -> str:
         return f"{self.root}/index"
 
+    @property
+    def ivf_model(self) -> str:
+        return f"{self.root}/ivf_model"
+
+    @property
+    def ivf_cells(self) -> str:
+        return f"{self.root}/ivf_cells"
+
 
 def build_store(songs: DataFrame, root: str, dim: int = DEFAULT_DIM, cleaner: str | None = "v2",
-                drop_errors: bool = True, buckets: int = 0) -> Store:
+                drop_errors: bool = True, buckets: int = 0, ivf_cells: int = 0,
+                ivf_sample: float | None = None) -> Store:
     """Write the lexicon, the labeled songs (without text), the embeddings and index
     version 1 under ``root``; ``buckets > 0`` buckets the index by ``link`` (see
-    :func:`cadenza.operators.index.write_version`)."""
+    :func:`cadenza.operators.index.write_version`); ``ivf_cells > 0`` also writes an inverted
+    file (KMeans model, trained on a hash sample of ``ivf_sample`` when given, and the index
+    partitioned by cell) for approximate serving."""
     spark = songs.sparkSession
     store = Store(root)
     build_lexicon(songs).write.mode("overwrite").parquet(store.lexicon)
@@ -56,6 +69,13 @@ def build_store(songs: DataFrame, root: str, dim: int = DEFAULT_DIM, cleaner: st
     index = X.build_index(spark.read.parquet(store.embeddings), dim=dim, drop_errors=drop_errors,
                           check_dim=False)
     X.write_version(index, store.index, 1, bucket_by="link", buckets=buckets)
+    if ivf_cells > 0:
+        stored = X.read_latest(spark, store.index)
+        model = V.train_cells(stored, "emotions_embeddings", dim, ivf_cells,
+                              sample_fraction=ivf_sample, key="link")
+        model.write().overwrite().save(store.ivf_model)
+        V.write_cells(stored, model, store.ivf_cells, index_key="link", index_vec="emotions_embeddings",
+                      payload=["artist", "song", "llm_labeled_emotions"])
     return store
 
 
@@ -71,7 +91,22 @@ def open_index(spark: SparkSession, store: Store) -> DataFrame:
 
 
 def recommend_from_store(sentences: DataFrame, store: Store, dim: int = DEFAULT_DIM,
-                         **options) -> DataFrame:
-    """Answer sentences from a stored index (the serving path: nothing is rebuilt)."""
+                         nprobe: int | None = None, k: int = RESULTS_PER_QUERY, **options) -> DataFrame:
+    """Answer sentences from a stored index (the serving path: nothing is rebuilt).
+
+    With ``nprobe``, search the stored inverted file instead: only the folders of the
+    ``nprobe`` cells nearest to each sentence are read (approximate; see
+    :mod:`cadenza.operators.ivf`).
+    """
     spark = sentences.sparkSession
-    return recommend(sentences, open_index(spark, store), open_lexicon(spark, store), dim=dim, **options)
+    lexicon = open_lexicon(spark, store)
+    if nprobe is None:
+        return recommend(sentences, open_index(spark, store), lexicon, dim=dim, k=k, **options)
+    model = KMeansModel.load(store.ivf_model)
+    queries = query_vectors(sentences, lexicon, dim, **options)
+    hits, _ = V.ivf_search_stored(queries, store.ivf_cells, model, dim=dim, k=k, nprobe=nprobe,
+                                  query_key="query_id", query_vec="query_vec", query_norm="query_norm",
+                                  query_payload=["user_emotions"], index_key="link",
+                                  index_vec="emotions_embeddings",
+                                  payload=["artist", "song", "llm_labeled_emotions"])
+    return hits.select(*RESULT_COLUMNS)
