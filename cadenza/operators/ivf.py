@@ -37,10 +37,6 @@ from cadenza.session import shared_dir
 MAX_CELLS = 65536
 
 
-def _unit(vec: str, n: str) -> F.Column:
-    return F.transform(F.col(vec), lambda x: x.cast("double") / F.col(n))
-
-
 def train_cells(index: DataFrame, vec: str, dim: int, n_cells: int, seed: int = 42,
                 sample_fraction: float | None = None, key: str | None = None,
                 max_iter: int = 10) -> KMeansModel:
@@ -53,11 +49,12 @@ def train_cells(index: DataFrame, vec: str, dim: int, n_cells: int, seed: int =
     """
     if not 0 < n_cells <= MAX_CELLS:
         raise ValueError(f"n_cells must be in 1..{MAX_CELLS}")
-    rows = index.where(has_dim(vec, dim)).withColumn("_n", norm(vec)).where(F.col("_n") > 0)
+    # cosine KMeans normalizes the points itself, so the vectors go in as they are
+    rows = index.where(has_dim(vec, dim) & (norm(vec) > 0))
     if sample_fraction is not None and key is not None:
         rows = rows.where(md5_hex_int(F.col(key).cast("string"), 1, 8) % 1000 < int(sample_fraction * 1000))
     shared_dir(index.sparkSession)
-    train = rows.select(array_to_vector(_unit(vec, "_n")).alias("features")).checkpoint(eager=True)
+    train = rows.select(array_to_vector(vec).alias("features")).checkpoint(eager=True)
     return KMeans(k=n_cells, seed=seed, maxIter=max_iter, initSteps=1,
                   distanceMeasure="cosine").fit(train)
 
@@ -70,9 +67,9 @@ def centers_of(model: KMeansModel) -> np.ndarray:
 
 def assign_cells(index: DataFrame, vec: str, model: KMeansModel) -> DataFrame:
     """``index`` plus ``cell``: the nearest centroid by cosine (KMeansModel.transform, JVM)."""
-    feats = index.withColumn("_n", norm(vec)).withColumn("features", array_to_vector(_unit(vec, "_n")))
+    feats = index.withColumn("features", array_to_vector(vec))
     return (model.setPredictionCol("cell").transform(feats)
-            .withColumn("cell", F.col("cell").cast("int")).drop("features", "_n"))
+            .withColumn("cell", F.col("cell").cast("int")).drop("features"))
 
 
 def _route_queries(q: DataFrame, centers: np.ndarray, dim: int, nprobe: int) -> DataFrame:
