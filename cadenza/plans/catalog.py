@@ -76,14 +76,17 @@ def embedding_queries(e: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------------------- queries
 
 def q_scan_songs(spark, d):
+    """The songs table, every row."""
     return songs(spark, d)
 
 
 def q_scan_limit(spark, d):
+    """S3: ``select * ... limit 3``, made repeatable by ordering on the key."""
     return scan_limit(songs(spark, d), "link", 3)
 
 
 def q_csv_scan(spark, d):
+    """Songs written as CSV, read back with the song file's options."""
     path = scratch_path(spark, "songs-csv")
     io.write_csv(songs(spark, d), path)
     return io.read_songs_csv(spark, path)
@@ -101,6 +104,7 @@ def q_csv_sample_table(spark, d):
 
 
 def q_table_overwrite(spark, d):
+    """A table written with four columns, overwritten with five, read back."""
     io.ensure_namespace(spark, NAMESPACE)                            # S6, one statement per call
     name = f"{NAMESPACE}.songs_{uuid.uuid4().hex[:12]}"
     path = scratch_path(spark, "table-songs")
@@ -111,49 +115,59 @@ def q_table_overwrite(spark, d):
 
 
 def q_sample_songs(spark, d):
+    """L4: the hash sample of the songs (fraction 0.2)."""
     return M.sample_by_key(songs(spark, d), "link", SAMPLE_FRACTION)
 
 
 def q_sample_count(spark, d):
+    """A1: the number of sampled songs."""
     return M.sample_by_key(songs(spark, d), "link", SAMPLE_FRACTION).agg(F.count(F.lit(1)).alias("n_songs"))
 
 
 def q_nonnull_preview(spark, d):
+    """Not-null filter, then the first 200 rows by key."""
     s = fx.songs_with_nulls(read_table(spark, d, "documents"))
     return scan_limit(s.where(F.col("text").isNotNull()), "link", 200)
 
 
 def q_strip_punct(spark, d):
+    """ASCII punctuation removed from every conversation turn."""
     c = read_table(spark, d, "conversations")
     return c.select("conv_id", "turn", T.strip_punct("text").alias("clean_text"))
 
 
 def q_word_count(spark, d):
+    """words per conversation turn, as Python's ``split()`` counts them."""
     c = read_table(spark, d, "conversations")
     return c.select("conv_id", "turn", T.word_count("text").alias("n_words"))
 
 
 def q_clean_v1(spark, d):
+    """cleaner v1 over the model answers."""
     a = fx.model_answers(read_table(spark, d, "documents"))
     return a.select("doc_id", T.clean_v1("answer").alias("cleaned"))
 
 
 def q_clean_v2(spark, d):
+    """Cleaner v2 over the model answers."""
     a = fx.model_answers(read_table(spark, d, "documents"))
     return a.select("doc_id", T.clean_v2("answer").alias("cleaned"))
 
 
 def q_clean_v2_legacy(spark, d):
+    """F7 (D2): cleaner v2 keeping the skip-after-remove behaviour."""
     a = fx.model_answers(read_table(spark, d, "documents"))
     return a.select("doc_id", T.clean_v2("answer", legacy_skip=True).alias("cleaned"))
 
 
 def q_render_prompt(spark, d):
+    """the label prompt rendered for every document."""
     docs = read_table(spark, d, "documents")
     return docs.select("doc_id", T.render_prompt("text").alias("prompt"))
 
 
 def q_label_emotions(spark, d):
+    """The four song columns plus the labels."""
     return L.label_with_text(songs(spark, d), lexicon(spark, d))
 
 
@@ -167,48 +181,59 @@ def q_first_label(spark, d):
 
 
 def q_label_error_rows(spark, d):
+    """P5: songs whose label holds ERROR."""
     return M.error_rows(labeled(spark, d))
 
 
 def q_label_error_rate(spark, d):
+    """A2, A3: songs, error rows and the error rate in percent."""
     return M.error_rate(labeled(spark, d))
 
 
 def q_label_form(spark, d):
+    """label items, distinct items and whether they are ten distinct words."""
     return M.label_form(labeled(spark, d))
 
 
 def q_prompt_grid(spark, d):
+    """Every song under every prompt, written as JSON and read back."""
     grid = P.prompt_grid(songs(spark, d), lexicon(spark, d))
     return io.write_json(grid, scratch_path(spark, "prompt-grid"))
 
 
 def q_prompt_compare(spark, d):
+    """A5: results per song side by side, one column per prompt."""
     return P.prompt_compare(P.prompt_grid(songs(spark, d), lexicon(spark, d)))
 
 
 def q_embed_labels(spark, d):
+    """The embeddings as (link, bucket, weight) rows."""
     return E.sparse_rows(vectors(spark, d))
 
 
 def q_embed_dense(spark, d):
+    """M4: every entry of every dense vector."""
     return E.dense_rows(vectors(spark, d))
 
 
 def q_vector_check(spark, d):
+    """counts of rows the index would keep out."""
     return X.vector_check(vectors(spark, d), DIM)
 
 
 def q_build_index(spark, d):
+    """Rows fit for the index, with their norms."""
     return X.build_index(vectors(spark, d), DIM, check_dim=False).select(*INDEX_COLUMNS)
 
 
 def q_snapshot_diff(spark, d):
+    """Inserted, updated and deleted keys between two snapshots."""
     docs = read_table(spark, d, "documents")
     return X.snapshot_diff(songs_from_documents(docs), fx.next_snapshot(docs))
 
 
 def q_index_upsert(spark, d):
+    """The index after applying the snapshot diff."""
     docs = read_table(spark, d, "documents")
     lex = lexicon(spark, d)
     old, new = songs_from_documents(docs), fx.next_snapshot(docs)
@@ -220,11 +245,13 @@ def q_index_upsert(spark, d):
 
 
 def q_latest_version(spark, d):
+    """A4: newest version per name, versions compared as numbers."""
     ev = read_table(spark, d, "events").select("event_type", F.col("user_id").cast("string").alias("version"))
     return X.latest_version(ev, "event_type", "version")
 
 
 def q_knn_exact(spark, d):
+    """Top 10 by cosine for every embedding (broadcast path)."""
     e = read_table(spark, d, "embeddings")
     return K.knn_search(embedding_queries(e), e, dim=EMB_DIM, k=KNN, query_key="query_id",
                         query_vec="query_vec", index_key="vec_id", index_vec="embedding",
@@ -232,6 +259,7 @@ def q_knn_exact(spark, d):
 
 
 def q_knn_block(spark, d):
+    """The same through the block path (checkpoint, copies, cogroup)."""
     e = read_table(spark, d, "embeddings")
     return K.knn_search(embedding_queries(e), e, dim=EMB_DIM, k=KNN, query_key="query_id",
                         query_vec="query_vec", index_key="vec_id", index_vec="embedding",
@@ -255,11 +283,13 @@ def centroid(e: DataFrame, vec: str = "embedding") -> list[float]:
 
 
 def q_knn_single(spark, d):
+    """L3: top 10 for one query vector (the table's centroid)."""
     e = read_table(spark, d, "embeddings")
     return K.knn_single(e, centroid(e), k=KNN, index_key="vec_id", index_vec="embedding")
 
 
 def q_recommend(spark, d):
+    """Every user sentence answered with the ten most similar songs."""
     lex = lexicon(spark, d)
     return recommend(sentences(spark, d), song_index(spark, d, lex), lex, k=KNN, dim=DIM)
 
@@ -284,12 +314,14 @@ def q_recommend_ivf(spark, d):
 
 
 def q_recommend_raw(spark, d):
+    """M7: the same with the raw sentence embedded instead of its labels."""
     lex = lexicon(spark, d)
     return recommend(sentences(spark, d), song_index(spark, d, lex), lex, k=KNN, dim=DIM,
                      embed_source="raw")
 
 
 def q_recommend_trials(spark, d):
+    """M6: the reference's four trial sentences against all songs."""
     lex = lexicon(spark, d)
     trials = local_frame(spark, [(i + 1, s) for i, s in enumerate(TRIAL_SENTENCES)],
                          "query_id bigint, user_input string")
@@ -326,12 +358,14 @@ def q_stream_recommend(spark, d):
 
 
 def q_exclude_flagged(spark, d):
+    """M9: songs without a toxic flag (left anti join)."""
     flags = (read_table(spark, d, "labels").where(F.col("toxic") == 1)
              .select(F.concat(F.lit("/doc/"), F.col("doc_id").cast("string")).alias("link")))
     return M.exclude_flagged(songs(spark, d), flags)
 
 
 def q_holiday_tag(spark, d):
+    """M9: songs tagged when their text holds a holiday word."""
     return M.holiday_tag(songs(spark, d)).select("link", "is_holiday")
 
 
