@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from cadenza.functions.text import strip_punct
 from cadenza.functions.vectors import densify, hashed_pairs, pairs_norm
 from cadenza.operators.embed import DEFAULT_DIM, embed
-from cadenza.operators.index import build_index  # noqa: F401 (re-export)
 from cadenza.operators.knn import knn_search
 from cadenza.operators.label import label_emotions
 
