@@ -66,6 +66,23 @@ def pairs_norm_sql(pairs: str) -> str:
             "(s, p) -> s + CAST(p.w AS DOUBLE) * CAST(p.w AS DOUBLE)))")
 
 
+def sparse_sql(pairs: str) -> str:
+    """SQL for a sparse vector ``struct<indices: array<int>, values: array<float>>`` from pairs."""
+    return (f"named_struct('indices', transform({pairs}, p -> p.b), "
+            f"'values', transform({pairs}, p -> CAST(p.w AS FLOAT)))")
+
+
+def sparse_vector(pairs: str) -> Column:
+    """Sparse vector (indices ascending, no zeros) from the pairs in column ``pairs``."""
+    return F.expr(sparse_sql(sql_name(pairs)))
+
+
+def sparse_norm(vec: str) -> Column:
+    """Euclidean norm (double) of a sparse vector column."""
+    return F.expr(f"sqrt(aggregate({sql_name(vec)}.`values`, CAST(0 AS DOUBLE), "
+                  "(s, x) -> s + CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))")
+
+
 def hashed_pairs(text: str, dim: int) -> Column:
     """(bucket, weight) pairs of the hashed tokens of column ``text`` (array<struct<b,w>>)."""
     return F.expr(hashed_pairs_sql(sql_name(text), dim))

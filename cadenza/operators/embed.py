@@ -13,20 +13,23 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.functions.vectors import dense_entries, densify, hashed_pairs, norm, pairs_norm
+from cadenza.functions.vectors import dense_entries, densify, hashed_pairs, norm, pairs_norm, sparse_vector
 
 DEFAULT_DIM = 768  # vector width of the reference's embedding model
 
 
 def embed(df: DataFrame, source: str = "llm_labeled_emotions", out: str = "emotions_embeddings",
-          dim: int = DEFAULT_DIM, with_norm: bool = True) -> DataFrame:
+          dim: int = DEFAULT_DIM, with_norm: bool = True, sparse: bool = False) -> DataFrame:
     """Add the hashed vector of ``source`` (array<float>, ``dim`` wide) and its norm.
 
     The (bucket, weight) pairs are computed once; the dense vector and the norm both come
-    from them (the norm from the non-zero entries only).
+    from them (the norm from the non-zero entries only). ``sparse=True`` stores the vector as
+    ``struct<indices, values>`` instead (a dozen entries rather than ``dim``); the search
+    kernels accept both forms.
     """
     with_pairs = df.select("*", hashed_pairs(source, dim).alias("_pairs"))
-    extra = [densify("_pairs", dim).alias(out)] + ([pairs_norm("_pairs").alias("norm")] if with_norm else [])
+    vector = sparse_vector("_pairs") if sparse else densify("_pairs", dim)
+    extra = [vector.alias(out)] + ([pairs_norm("_pairs").alias("norm")] if with_norm else [])
     replaced = {out, "norm"} if with_norm else {out}
     return with_pairs.select(*[F.col(c) for c in df.columns if c not in replaced], *extra)
 

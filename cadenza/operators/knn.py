@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from cadenza.functions.vectors import has_dim, norm
+from cadenza.functions.vectors import has_dim, norm, sparse_norm
 from cadenza.session import shared_dir
 
 DEFAULT_BROADCAST_BYTES = 64 << 20   # query matrix bytes allowed in a broadcast
@@ -143,8 +143,17 @@ def _reduce_topk(tbl: pa.Table, qk: str, ik: str, k: int) -> pa.Table:
 
 
 def _matrix(col: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
+    """Rows of a dense list column, or of a sparse ``struct<indices, values>`` column, as a
+    float64 matrix (sparse rows are scattered into zeros here, inside the task)."""
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
+    if pa.types.is_struct(col.type):
+        idx, val = col.field("indices"), col.field("values")
+        out = np.zeros((len(col), dim), dtype=np.float64)
+        rows = pc.list_parent_indices(idx).to_numpy(zero_copy_only=False)
+        out[rows, pc.list_flatten(idx).to_numpy(zero_copy_only=False)] = (
+            pc.list_flatten(val).to_numpy(zero_copy_only=False))
+        return out
     return col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
@@ -152,6 +161,20 @@ def _valid_rows(tbl: pa.Table, vec: str, nrm: str, dim: int, metric: str) -> pa.
     """Rows with a present, ``dim``-wide vector without null entries (and norm > 0 under
     cosine); the others take no part in the search."""
     col = tbl.column(vec).combine_chunks()
+    if pa.types.is_struct(col.type):  # sparse: same number of indices and values, all in range
+        idx, val = col.field("indices"), col.field("values")
+        n_idx = pc.fill_null(pc.list_value_length(idx), -1).to_numpy(zero_copy_only=False)
+        n_val = pc.fill_null(pc.list_value_length(val), -2).to_numpy(zero_copy_only=False)
+        ok = pc.is_valid(col).to_numpy(zero_copy_only=False) & (n_idx == n_val)
+        flat = pc.list_flatten(idx)
+        if len(flat):
+            at = flat.to_numpy(zero_copy_only=False)
+            bad = pc.is_null(flat).to_numpy(zero_copy_only=False) | (np.nan_to_num(at, nan=-1) < 0) | (np.nan_to_num(at, nan=-1) >= dim)
+            bad |= pc.is_null(pc.list_flatten(val)).to_numpy(zero_copy_only=False)
+            ok[np.unique(pc.list_parent_indices(idx).to_numpy(zero_copy_only=False)[bad])] = False
+        if metric == "cosine":
+            ok &= pc.fill_null(tbl.column(nrm), 0.0).to_numpy(zero_copy_only=False) > 0
+        return tbl if ok.all() else tbl.filter(pa.array(ok))
     ok = pc.fill_null(pc.list_value_length(col), -1).to_numpy(zero_copy_only=False) == dim
     values = pc.list_flatten(col)
     if values.null_count:
@@ -209,10 +232,11 @@ def knn_search(queries: DataFrame, index: DataFrame, *, dim: int, k: int = 10,
         F.col(query_key).alias("_qk"), F.col(query_vec).alias("_qv"),
         (F.col(query_norm) if query_norm else norm(query_vec)).cast("double").alias("_qn"),
         *[F.col(c).alias(f"_qp{i}") for i, c in enumerate(query_payload)])
+    sparse_index = isinstance(index.schema[index_vec].dataType, StructType)
+    index_n = F.col(index_norm) if index_norm else (sparse_norm(index_vec) if sparse_index else norm(index_vec))
     x = index.select(
         F.col(index_key).alias("_ik"), F.col(index_vec).alias("_iv"),
-        (F.col(index_norm) if index_norm else norm(index_vec)).cast("double").alias("_in"),
-        *[F.col(c) for c in payload])
+        index_n.cast("double").alias("_in"), *[F.col(c) for c in payload])
     schema = _output_schema(q, x, query_key, query_payload, index_key, payload)
     arrow_schema = to_arrow_schema(schema)
 

@@ -303,6 +303,15 @@ def q_recommend_stored(spark, d):
     return PL.recommend_from_store(sentences(spark, d), store, dim=DIM, k=KNN)
 
 
+def q_recommend_sparse(spark, d):
+    """M4, M6: the store with sparse vectors (indices, values), served exactly: same answers
+    as ``recommend``."""
+    from cadenza.plans import store as PL
+
+    store = PL.build_store(songs(spark, d), scratch_path(spark, "store-sparse"), dim=DIM, sparse=True)
+    return PL.recommend_from_store(sentences(spark, d), store, dim=DIM, k=KNN)
+
+
 def q_recommend_ivf(spark, d):
     """Serving from the stored inverted file: each sentence reads only its 2 nearest of 16
     cells (approximate; rows-only check)."""
@@ -404,6 +413,7 @@ QUERIES: dict[str, Query] = {
     "knn_single": q_knn_single,
     "recommend": q_recommend,
     "recommend_stored": q_recommend_stored,
+    "recommend_sparse": q_recommend_sparse,
     "recommend_ivf": q_recommend_ivf,
     "recommend_raw": q_recommend_raw,
     "recommend_trials": q_recommend_trials,
@@ -623,6 +633,7 @@ WHERE o.link IS NULL OR n.link IS NULL OR o.artist IS DISTINCT FROM n.artist
     "recommend": O.recommend_sql(DIM, KNN),
     "recommend_stored": O.recommend_sql(DIM, KNN),
     "stream_recommend": O.recommend_sql(DIM, KNN),
+    "recommend_sparse": O.recommend_sql(DIM, KNN),
     "recommend_raw": O.recommend_sql(DIM, KNN, embed_source="raw"),
     "recommend_trials": _sql_recommend_trials(),
     "exclude_flagged": _with(O.songs_cte()) + """SELECT * FROM songs s WHERE NOT EXISTS (

@@ -52,12 +52,16 @@ class Store:
 
 def build_store(songs: DataFrame, root: str, dim: int = DEFAULT_DIM, cleaner: str | None = "v2",
                 drop_errors: bool = True, buckets: int = 0, ivf_cells: int = 0,
-                ivf_sample: float | None = None) -> Store:
+                ivf_sample: float | None = None, sparse: bool = False) -> Store:
     """Write the lexicon, the labeled songs (without text), the embeddings and index
     version 1 under ``root``; ``buckets > 0`` buckets the index by ``link`` (see
     :func:`cadenza.operators.index.write_version`); ``ivf_cells > 0`` also writes an inverted
     file (KMeans model, trained on a hash sample of ``ivf_sample`` when given, and the index
-    partitioned by cell) for approximate serving."""
+    partitioned by cell) for approximate serving; ``sparse=True`` stores the vectors as
+    (indices, values) instead of ``dim`` floats (not with the inverted file, whose KMeans needs
+    dense vectors)."""
+    if sparse and ivf_cells > 0:
+        raise ValueError("the inverted file needs dense vectors")
     spark = songs.sparkSession
     store = Store(root)
     build_lexicon(songs).write.mode("overwrite").parquet(store.lexicon)
@@ -65,7 +69,7 @@ def build_store(songs: DataFrame, root: str, dim: int = DEFAULT_DIM, cleaner: st
     labels = label_emotions(songs.select("artist", "song", "link", "text"), lexicon, key="link",
                             text="text", carry=["artist", "song"], cleaner=cleaner)
     labels.write.mode("overwrite").parquet(store.labeled)
-    embed(spark.read.parquet(store.labeled), dim=dim).write.mode("overwrite").parquet(store.embeddings)
+    embed(spark.read.parquet(store.labeled), dim=dim, sparse=sparse).write.mode("overwrite").parquet(store.embeddings)
     index = X.build_index(spark.read.parquet(store.embeddings), dim=dim, drop_errors=drop_errors,
                           check_dim=False)
     X.write_version(index, store.index, 1, bucket_by="link", buckets=buckets)

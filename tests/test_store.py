@@ -1,5 +1,7 @@
 """The stored tables and the serving paths (exact and inverted file)."""
 
+from pyspark.sql import functions as F
+
 from cadenza.plans import store as PL
 from cadenza.session import scratch_path
 from cadenza.sources.tables import sentences, songs
@@ -19,3 +21,28 @@ def test_inverted_file_serving_with_every_cell_equals_exact(spark):
     for r in some:
         by_query.setdefault(r.query_id, []).append(r["rank"])
     assert by_query and all(sorted(v) == list(range(1, len(v) + 1)) for v in by_query.values())
+
+
+def test_sparse_store_serves_the_same_answers(spark):
+    dense = PL.build_store(songs(spark, SF_SMALL), scratch_path(spark, "test-dense"), dim=64)
+    sparse = PL.build_store(songs(spark, SF_SMALL), scratch_path(spark, "test-sparse"), dim=64, sparse=True)
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    a = PL.recommend_from_store(sentences(spark, SF_SMALL), dense, dim=64)
+    b = PL.recommend_from_store(sentences(spark, SF_SMALL), sparse, dim=64)
+    assert rows(a) == rows(b) and len(rows(a)) > 0
+    stored = spark.read.parquet(sparse.embeddings).schema["emotions_embeddings"].dataType.simpleString()
+    assert stored == "struct<indices:array<int>,values:array<float>>"
+
+
+def test_sparse_index_in_both_search_paths(spark):
+    from cadenza.operators.embed import embed
+    from cadenza.operators.knn import knn_search
+    from cadenza.plans import catalog as C
+
+    lab = C.labeled(spark, SF_SMALL)
+    dense, sparse = embed(lab, dim=64), embed(lab, dim=64, sparse=True)
+    q = embed(lab, dim=64).select(F.col("link").alias("qk"), F.col("emotions_embeddings").alias("qv"))
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    for opts in ({}, {"max_broadcast_bytes": 0, "query_block_rows": 50, "index_block_rows": 70}):
+        kw = dict(dim=64, k=5, query_key="qk", query_vec="qv", index_key="link", exclude_self=True, **opts)
+        assert rows(knn_search(q, dense, **kw)) == rows(knn_search(q, sparse, **kw))
