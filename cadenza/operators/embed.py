@@ -2,8 +2,10 @@
 
 The default embedder is signed feature hashing of the label's words, a pure expression (no
 shuffle, no Python). Vectors hold integer counts; ``norm`` is stored next to them, so cosine
-scores are exact on any engine. A plug-in embedder is any function ``DataFrame -> DataFrame``
-that adds the vector column, e.g. an iterator pandas UDF that loads a model once per worker.
+scores are exact on any engine. Vectors are dense ``array<float>`` by default, or sparse
+``struct<indices, values>`` (``sparse=True``); the search kernels take both. A plug-in embedder
+is any function ``DataFrame -> DataFrame`` that adds the vector column, e.g. an iterator pandas
+UDF that loads a model once per worker.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ previous one (a table cannot overwrite itself while read), and readers take the
 * :func:`snapshot_diff` stands in for a change feed: two snapshots, each reduced to one digest
   per key, then a full outer join on the key; the wide columns never enter the shuffle.
 * :func:`upsert` applies changes: the old index minus changed keys (left anti join, broadcast
-  when AQE sees the change set is small), plus the new rows.
+  when AQE sees the change set is small), plus the new rows. Versions written bucketed by the
+  key (:func:`write_version`) make that join shuffle only the change keys, never the index.
 * :func:`vector_check` counts what :func:`build_index` keeps out.
 """
 

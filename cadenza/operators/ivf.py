@@ -1,9 +1,12 @@
 """Approximate search with an inverted-file index (M8): coarse cells, then exact scoring
 inside the cells a query probes.
 
-* Cells come from ``pyspark.ml`` KMeans (cosine distance) on the unit vectors, trained on a
-  hash sample of the index when one is asked for; the centroids (``n_cells x dim``, bounded by
-  a parameter) are the only thing that reaches the driver.
+* Cells come from ``pyspark.ml`` KMeans (cosine distance, which normalizes the vectors
+  itself), trained on a hash sample of the index when one is asked for; the centroids
+  (``n_cells x dim``, bounded by a parameter) and the per-cell row counts are the only things
+  that reach the driver.
+* Stored form: :func:`write_cells` writes the index partitioned by cell, and
+  :func:`ivf_search_stored` reads only the folders of the probed cells (partition pruning).
 * Every index row goes to its nearest cell (KMeansModel.transform, JVM side); every query goes
   to its ``nprobe`` nearest cells (numpy against the broadcast centroids).
 * One cell may hold a large share of the rows (copies are common). Cells are therefore cut into
@@ -40,7 +43,7 @@ MAX_CELLS = 65536
 def train_cells(index: DataFrame, vec: str, dim: int, n_cells: int, seed: int = 42,
                 sample_fraction: float | None = None, key: str | None = None,
                 max_iter: int = 10) -> KMeansModel:
-    """KMeans (cosine) over the index's unit vectors, on a hash sample of the keys when
+    """KMeans (cosine) over the index's vectors, on a hash sample of the keys when
     ``sample_fraction`` is given (every row is still indexed and searched).
 
     KMeans reads its input once per iteration: the training vectors are written once to the

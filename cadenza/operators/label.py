@@ -4,7 +4,9 @@ The default labeler is a relational plan: the text's tokens meet a small lexicon
 emotion words in a broadcast hash join, and one partial aggregation per row key counts the
 hits per emotion. The ten most frequent emotions (ties by name) form the model answer
 ``[e1, e2, ...]``, which then goes through a cleaner, as an answer of a language model
-would. Text never enters a shuffle: only the key, the carried small columns and the counts do.
+would (for cleaner v2 the cleaner's rule is applied directly: on answers of this form it is
+exactly the same, which a test checks). Text never enters a shuffle: only the key, the carried
+small columns and the counts do.
 
 The lexicon is built from the corpus itself: the most frequent words of a minimum length,
 each mapped to an emotion by a hash of the word. Its size is a parameter with a hard cap,
