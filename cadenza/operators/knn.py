@@ -284,7 +284,10 @@ def _broadcast_scores(local: pa.Table, x: DataFrame, schema, arrow_schema, dim,
         if best is not None:
             yield from best.to_batches()
 
-    return x.mapInArrow(score, schema)
+    # Each scoring task emits a top-k per query, so the merge shuffle grows with the number of
+    # tasks, not with the index: cap the tasks at twice the cores (a narrow coalesce, no
+    # shuffle; every core stays busy, each task reads several splits in turn).
+    return x.coalesce(2 * sc.defaultParallelism).mapInArrow(score, schema)
 
 
 def _block_scores(q: DataFrame, x: DataFrame, schema, arrow_schema, dim, k, digits, metric,
