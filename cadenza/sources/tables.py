@@ -34,18 +34,20 @@ def spread_small_input(df: DataFrame, min_bytes: int = SMALL_INPUT_BYTES) -> Dat
     """Spread a small scan over all cores before CPU-heavy per-row work.
 
     A parquet file is split by row groups; a small file with one row group is read by one
-    task, however many cores there are. When the input is small (few files, under
-    ``min_bytes``), a round-robin repartition is cheap and gives every core a share. Large
+    task, however many cores there are. When the input has fewer files than cores and is small
+    (under ``min_bytes``), a round-robin repartition is cheap and gives every core a share. Large
     inputs are left alone: their scans are parallel already, and a shuffle would cost.
     Filters and column pruning still reach the scan (they pass through the repartition).
     """
+    parts = df.sparkSession.sparkContext.defaultParallelism
     try:
+        if len(df.inputFiles()) >= parts:   # at least one split per core already
+            return df
         size = input_bytes(df)
     except Exception:  # noqa: BLE001 - no JVM file API (e.g. a remote session): leave as is
         return df
     if size is None or size >= min_bytes:
         return df
-    parts = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(parts)
 
 
