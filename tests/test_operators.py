@@ -119,3 +119,12 @@ def test_diff_with_duplicate_keys(spark):
     new = spark.createDataFrame([("a", "y"), ("a", "x"), ("b", "z"), ("b", "z"), ("d", "v")], "link string, text string")
     got = dict(X.snapshot_diff(old, new).collect())
     assert got == {"b": "update", "c": "delete", "d": "insert"}
+
+
+def test_cluster_conf_sizes_from_the_largest_shuffle():
+    from cadenza.session import cluster_conf
+
+    big = cluster_conf(100 * 10**12, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "16000"          # twice the cores wins
+    assert cluster_conf(100 * 10**12, 100)["spark.sql.shuffle.partitions"] == str(-(-2 * 10**12 // (256 << 20)))
+    assert big["spark.sql.adaptive.enabled"] == "true"
