@@ -1,11 +1,15 @@
 """Every registered query against its DuckDB oracle, on the smallest tables."""
 
+import os
+
 import pytest
 
-import __spark_entry__ as entry
-from tools.oracle_check import compare, duck_connect
-from cadenza.sources.tables import TABLES
-from conftest import SF_SMALL
+os.environ.setdefault("ORACLE_EXACT", "1")   # floats must match bit for bit
+
+import __spark_entry__ as entry  # noqa: E402
+from tools.oracle_check import compare, duck_connect  # noqa: E402
+from cadenza.sources.tables import TABLES  # noqa: E402
+from conftest import SF_SMALL  # noqa: E402
 
 KEYS = sorted(entry.queries())
 
