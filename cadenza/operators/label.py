@@ -59,7 +59,10 @@ def build_lexicon(corpus: DataFrame, text: str = "text", size: int = LEXICON_SIZ
     if not 0 < size <= LEXICON_MAX_SIZE:
         raise ValueError(f"lexicon size must be in 1..{LEXICON_MAX_SIZE}")
     n = len(emotions)
-    words = corpus.select(F.explode(tokens(F.col(text))).alias("word")).where(F.length("word") >= min_len)
+    # Runs of at least min_len letters, matched directly: a greedy leftmost match cannot start
+    # inside a run, so these are exactly the long tokens, and the short ones are never exploded.
+    long_tokens = tokens(F.col(text), pattern=f"[a-z]{{{min_len},}}")
+    words = corpus.select(F.explode(long_tokens).alias("word")).where(F.length("word") >= min_len)
     top = (words.groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
            .orderBy(F.desc("freq"), F.asc("word")).limit(size))
     emotion_id = (md5_hex_int(F.col("word"), 1, 8) % n).cast("int")
