@@ -128,3 +128,18 @@ def test_cluster_conf_sizes_from_the_largest_shuffle():
     assert big["spark.sql.shuffle.partitions"] == "16000"          # twice the cores wins
     assert cluster_conf(100 * 10**12, 100)["spark.sql.shuffle.partitions"] == str(-(-2 * 10**12 // (256 << 20)))
     assert big["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_scans_read_only_needed_columns_and_take_the_filters(spark):
+    from cadenza.plans import catalog as C
+
+    def scans(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return [ln for ln in plan.splitlines() if "FileScan" in ln]
+
+    lex = scans(L.build_lexicon(read_table(spark, SF_SMALL, "documents")))
+    assert lex and all("ReadSchema: struct<text:string>" in s for s in lex)
+    flags = [s for s in scans(C.q_exclude_flagged(spark, SF_SMALL)) if "toxic" in s]
+    assert flags and "EqualTo(toxic,1)" in flags[0] and "quality" not in flags[0]
+    knn = scans(C.q_knn_exact(spark, SF_SMALL))
+    assert knn and all("label" not in s.split("ReadSchema")[1] for s in knn)
