@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import jaccard, mix
+from cadenza.llm import jaccard, lines, mix
 from cadenza.llm.common import documents
 
 
@@ -12,12 +12,18 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.mix_table(documents(spark, sf_dir))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return lines.line_dedup(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(documents(spark, sf_dir), k=4, percent=85)
 
 
 QUERIES = {
     "op2_source_mix": op2_source_mix,
+    "op9_line_dedup": op9_line_dedup,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 ORACLES: dict[str, str] = {}
