@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import jaccard, lines, mix
+from cadenza.llm import jaccard, langid, lines, mix
 from cadenza.llm.common import documents
 
 
@@ -12,6 +12,10 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.mix_table(documents(spark, sf_dir))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_table(documents(spark, sf_dir))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return lines.line_dedup(docs).select("doc_id", "n_lines", "n_removed", "text")
@@ -23,6 +27,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_source_mix": op2_source_mix,
+    "op4_language_id": op4_language_id,
     "op9_line_dedup": op9_line_dedup,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
