@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import jaccard, langid, lines, mix
+from cadenza.llm import jaccard, langid, lines, mix, packing
 from cadenza.llm.common import documents
 
 
@@ -16,6 +17,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_table(documents(spark, sf_dir))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return lines.line_dedup(docs).select("doc_id", "n_lines", "n_removed", "text")
@@ -28,6 +33,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op4_language_id": op4_language_id,
+    "op7_packing": op7_packing,
     "op9_line_dedup": op9_line_dedup,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
