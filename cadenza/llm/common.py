@@ -64,6 +64,8 @@ def n_blocks(rows: int, block_rows: int) -> int:
 CHUNK_BYTES = 2 << 20
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Separators of words without punctuation: ASCII characters but letters and digits.
+_PUNCT = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -101,14 +103,15 @@ class Words:
     """Words (runs of bytes other than ASCII white space) of the rows ``lo..hi``.
 
     ``start``/``end`` are byte positions in ``data``, ``row`` the row of each word counted
-    from ``lo``, ``offsets`` the rows' byte offsets in ``data``.
+    from ``lo``, ``offsets`` the rows' byte offsets in ``data``. ``apart`` marks the bytes that
+    separate words.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lo: int, hi: int):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lo: int, hi: int, apart: np.ndarray = _SPACE):
         self.lo, self.hi, self.rows = lo, hi, hi - lo
         self.offsets = offsets[lo:hi + 1] - offsets[lo]
         self.data = data[offsets[lo]:offsets[hi]]
-        inside = ~_SPACE[self.data]
+        inside = ~apart[self.data]
         cuts = self.offsets[:-1][self.offsets[:-1] < len(self.data)]
         before, after = np.zeros_like(inside), np.zeros_like(inside)
         before[1:] = inside[:-1]
@@ -121,8 +124,8 @@ class Words:
         self.count = np.bincount(self.row, minlength=self.rows).astype(np.int64)
         self.first = np.concatenate(([0], np.cumsum(self.count)))
 
-    def hashes(self, lower: bool) -> np.ndarray:
-        """A 64-bit hash per word: a polynomial of its bytes, mixed."""
+    def hashes(self, lower: bool, most: int | None = None) -> np.ndarray:
+        """A 64-bit hash per word: a polynomial of its (first ``most``) bytes, mixed."""
         if not len(self.start):
             return np.zeros(0, np.uint64)
         lens = self.end - self.start
@@ -133,17 +136,19 @@ class Words:
         if lower:
             byte = _LOWER[byte]
         terms = (byte.astype(np.uint64) + np.uint64(1)) * powers[at]
+        if most is not None:
+            terms[at >= most] = 0
         return mix64(np.add.reduceat(terms, first))
 
 
-def word_chunks(column) -> Iterator[Words]:
+def word_chunks(column, apart: np.ndarray = _SPACE) -> Iterator[Words]:
     """A column's words in chunks of whole rows, of about ``CHUNK_BYTES`` each."""
     data, offsets = text_bytes(column)
     lo, n = 0, len(offsets) - 1
     while lo < n:
         hi = int(np.searchsorted(offsets, offsets[lo] + CHUNK_BYTES, "right")) - 1
         hi = min(max(hi, lo + 1), n)
-        yield Words(data, offsets, lo, hi)
+        yield Words(data, offsets, lo, hi, apart)
         lo = hi
 
 

@@ -5,8 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import jaccard, langid, lines, mix, packing
-from cadenza.llm.common import documents
+from cadenza.llm import jaccard, langid, lines, mix, packing, toxicity
+from cadenza.llm.common import documents, table
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_table(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +35,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_source_mix": op2_source_mix,
     "op4_language_id": op4_language_id,
     "op7_packing": op7_packing,
