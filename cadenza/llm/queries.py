@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import jaccard, langid, lines, mix, packing, toxicity
+from cadenza.llm import jaccard, langid, lines, mix, packing, quality, toxicity
 from cadenza.llm.common import documents, table
 
 
@@ -25,6 +25,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_table(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return lines.line_dedup(docs).select("doc_id", "n_lines", "n_removed", "text")
@@ -39,6 +43,7 @@ QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op4_language_id": op4_language_id,
     "op7_packing": op7_packing,
+    "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
