@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import jaccard, langid, lines, mix, packing, quality, toxicity
+from cadenza.llm import jaccard, langid, lines, mix, packing, quality, simhash, toxicity
 from cadenza.llm.common import documents, table
 
 
@@ -21,6 +21,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_table(documents(spark, sf_dir))
 
 
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprint_table(documents(spark, sf_dir))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -42,6 +46,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_source_mix": op2_source_mix,
     "op4_language_id": op4_language_id,
+    "op6_document_fingerprints": op6_document_fingerprints,
     "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
