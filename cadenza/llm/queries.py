@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import jaccard, langid, lines, mix, packing, quality, simhash, toxicity
+from cadenza.llm import jaccard, langid, lines, mix, packing, pii, quality, simhash, toxicity
 from cadenza.llm.common import documents, table
 
 
@@ -17,6 +17,10 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.mix_table(documents(spark, sf_dir))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_table(documents(spark, sf_dir))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_table(documents(spark, sf_dir))
 
@@ -45,6 +49,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_source_mix": op2_source_mix,
+    "op3_pii": op3_pii,
     "op4_language_id": op4_language_id,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_packing": op7_packing,
