@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import jaccard, langid, lines, mix, packing, pii, quality, simhash, toxicity
+from cadenza.llm import htmltext, jaccard, langid, lines, mix, packing, pii, quality, simhash, toxicity
 from cadenza.llm.common import documents, table
 
 
@@ -25,6 +25,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_table(documents(spark, sf_dir))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.main_text(table(spark, sf_dir, "pages"))
+
+
 def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_table(documents(spark, sf_dir))
 
@@ -51,6 +55,7 @@ QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op3_pii": op3_pii,
     "op4_language_id": op4_language_id,
+    "op5_html_extraction": op5_html_extraction,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
