@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from cadenza.llm.common import bounded_batches, broadcast_if_small, n_blocks, written
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)"
-                  r"((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)", re.S)
+                  r"((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?=>)|[^>]*+)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 #: Elements whose content is not markup, and elements without content.
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "xmp"}
