@@ -61,7 +61,7 @@ def n_blocks(rows: int, block_rows: int) -> int:
 
 # ---------------------------------------------------------------- words as numpy arrays
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: Separators of words without punctuation: ASCII characters but letters and digits.
