@@ -16,6 +16,7 @@ padding.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import defaultdict, deque
 
@@ -33,47 +34,68 @@ END_ID = 1
 TAIL_TASKS = 256
 #: Queues at most; more sources share queues by hash.
 MAX_QUEUES = 10_000
-#: Words whose ids a worker remembers (twice this at most).
-CACHE_WORDS = 300_000
+#: Words, and parts of words, whose ids a worker remembers at most.
+CACHE_WORDS, CACHE_PARTS = 400_000, 600_000
 
 PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
-class WordTokenizer:
-    """Ids of a text, word by word with a cache.
+#: A run of letters up to U+00FF and then ASCII punctuation: most words are of this form.
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\\[-`{-~]*)")
+_PROBES = ["The", "word,", "Zebra", "\u00c9t\u00e9", "na\u00efve.", "stra\u00dfe!!", "x###", "QUE%%%", "a", "anti-", "\u00f1andu)."]
 
-    Valid for tokenizers whose pre-tokenizer never joins text across white space and drops it,
-    as the word-level vocabularies do: ids of a text are then those of its words in order.
+
+class WordTokenizer(dict):
+    """Token ids of words (UTF-8 bytes → ids as bytes), remembered while they fit.
+
+    Valid for tokenizers that split at white space and drop it, as the word vocabularies do:
+    the ids of a text are those of its words in order. If the tokenizer also lower-cases and
+    splits letters from punctuation (which is tried on some words), a new word is cut up here
+    and only its parts go through the byte-pair model; otherwise it is encoded as it is.
     """
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_str(spec)
-        self.model.encode_special_tokens = True
-        self.old, self.new = {}, {}
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        super().__init__()
+        self.tokenizer = Tokenizer.from_str(spec)
+        self.tokenizer.encode_special_tokens = True
+        self.model, self.parts = self.tokenizer.model, {}
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.as_bytes = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
+        self.plain = True
+        self.plain = all(self[w.encode()] == self._encode(w) for w in _PROBES)
+        self.clear()
+
+    def _encode(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            if len(self.parts) >= CACHE_PARTS:
+                self.parts.clear()
+            ids = self.parts[part] = b"".join(
+                t.id.to_bytes(4, "little") for t in self.model.tokenize(part.translate(self.as_bytes)))
+        return ids
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode("utf-8")
+        form = _PLAIN.fullmatch(text) if self.plain else None
+        if form is None:
+            ids = self._encode(text)
+        else:
+            ids = self._part(form[1].lower()) + (self._part(form[2]) if form[2] else b"")
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        self[word] = ids
+        return ids
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text, with the end id."""
-        end = np.array([END_ID], "<u4").tobytes()
-        split = [(t or "").encode("utf-8").split() for t in texts]
-        missing = []
-        for w in set().union(*split):
-            if w not in self.new:
-                if w in self.old:
-                    self.new[w] = self.old[w]
-                else:
-                    missing.append(w)
-        for i in range(0, len(missing), 10_000):
-            part = missing[i:i + 10_000]
-            for w, e in zip(part, self.model.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)):
-                self.new[w] = np.array(e.ids, "<u4").tobytes()
-        ids = self.new
-        out = [b"".join([ids[w] for w in words]) + end for words in split]
-        if len(self.new) > CACHE_WORDS:
-            self.old, self.new = self.new, {}
-        return out
+        end = END_ID.to_bytes(4, "little")
+        return [b"".join([self[w] for w in (t or "").encode("utf-8").split()]) + end for t in texts]
 
 
 _TOKENIZERS: dict[int, WordTokenizer] = {}
