@@ -144,3 +144,9 @@ def has_dim(vec: Column | str, dim: int) -> Column:
     """True when the vector is present, has ``dim`` entries and no null entry."""
     v = _c(vec)
     return v.isNotNull() & (F.size(v) == dim) & (F.size(F.array_compact(v)) == dim)
+
+
+def finite_norm(n: Column) -> Column:
+    """True for a norm that is neither NaN nor infinite: a vector with a NaN or infinite entry
+    has such a norm (in Spark, NaN is larger than any number)."""
+    return n < F.lit(float("inf"))

@@ -21,13 +21,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadenza.functions.text import is_error_label
-from cadenza.functions.vectors import has_dim, norm
+from cadenza.functions.vectors import finite_norm, has_dim, norm
 
 INSERT, UPDATE, DELETE = "insert", "update", "delete"
 
 
 def row_hash(columns: Sequence[str]) -> F.Column:
-    """96-bit hash of a row's values, null-aware (a null and a value never hash alike)."""
+    """Two hashes (64 and 32 bits, of which 31 each enter the sums) of a row's values, null-aware (a null and a value never hash alike)."""
     parts = []
     for c in columns:
         parts += [F.col(c), F.col(c).isNull()]
@@ -89,17 +89,17 @@ def upsert(index: DataFrame, diff: DataFrame, fresh: DataFrame, key: str = "link
 def build_index(vectors: DataFrame, dim: int, key: str = "link", vec: str = "emotions_embeddings",
                 drop_errors: bool = True, label: str = "llm_labeled_emotions",
                 check_dim: bool = True) -> DataFrame:
-    """Rows fit for the index (S9): a ``dim``-wide vector without nulls, norm > 0 and (by
+    """Rows fit for the index (S9): a ``dim``-wide vector without nulls, a finite norm > 0 and (by
     default) no ERROR label; ``drop_errors=False`` indexes error rows as the reference does.
-    Adds ``norm`` when missing. Key uniqueness is checked by :func:`vector_check`.
+    Adds ``norm`` when missing. What is kept out, and key uniqueness, is reported by
+    :func:`vector_check`. Read the vectors from a written table: Spark pushes these filters below
+    the projection that computes a vector, which would then be computed twice.
 
-    ``check_dim=False`` skips the width test for vectors whose width is fixed by their
-    embedder: Spark pushes a filter below the projection that computes the vector, so the
-    test would build every vector twice.
+    ``check_dim=False`` skips the width test for vectors whose width is fixed by their embedder.
     """
     if "norm" not in vectors.columns:
         vectors = vectors.withColumn("norm", norm(vec))
-    ok = F.col("norm") > 0
+    ok = (F.col("norm") > 0) & finite_norm(F.col("norm"))
     if check_dim:
         ok = has_dim(vec, dim) & ok
     if drop_errors and label in vectors.columns:
@@ -109,8 +109,8 @@ def build_index(vectors: DataFrame, dim: int, key: str = "link", vec: str = "emo
 
 def vector_check(vectors: DataFrame, dim: int, key: str = "link", vec: str = "emotions_embeddings",
                  label: str | None = "llm_labeled_emotions") -> DataFrame:
-    """One row of counts: rows, null vectors, wrong width, zero norm, error labels, and rows
-    beyond the first per key (F15). One pass plus a distinct count of the key."""
+    """One row of counts: rows, null vectors, wrong width, zero norm, not finite, error labels, and
+    rows beyond the first per key (F15). One pass plus a distinct count of the key."""
     v = F.col(vec)
     n = F.col("norm") if "norm" in vectors.columns else norm(vec)
     aggs = [
@@ -118,6 +118,7 @@ def vector_check(vectors: DataFrame, dim: int, key: str = "link", vec: str = "em
         F.count_if(v.isNull()).alias("n_null_vector"),
         F.count_if(v.isNotNull() & ~has_dim(vec, dim)).alias("n_wrong_dim"),
         F.count_if(has_dim(vec, dim) & (n == 0)).alias("n_zero_norm"),
+        F.count_if(has_dim(vec, dim) & ~finite_norm(n)).alias("n_not_finite"),
     ]
     if label:
         aggs.append(F.count_if(F.coalesce(is_error_label(label), F.lit(False))).alias("n_error_label"))
@@ -127,8 +128,11 @@ def vector_check(vectors: DataFrame, dim: int, key: str = "link", vec: str = "em
 
 def latest_version(df: DataFrame, name: str, version: str) -> DataFrame:
     """Newest version per name, with versions kept as strings compared as numbers (A4):
-    ``'10'`` is newer than ``'9'``. One partial aggregation per name."""
-    return df.groupBy(name).agg(F.max(F.col(version).cast("int")).alias("latest_version"))
+    ``'10'`` is newer than ``'9'``; versions that are no numbers are counted and left out. One
+    partial aggregation per name."""
+    number = F.col(version).try_cast("bigint")
+    return df.groupBy(name).agg(F.max(number).alias("latest_version"),
+                                F.count_if(number.isNull()).alias("n_rejected"))
 
 
 def latest_per_key(df: DataFrame, key: str, order: Sequence[F.Column]) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from cadenza.functions.vectors import has_dim, norm, sparse_norm
+from cadenza.functions.vectors import finite_norm, has_dim, norm, sparse_norm
 from cadenza.session import shared_dir
 
 DEFAULT_BROADCAST_BYTES = 64 << 20   # query matrix bytes allowed in a broadcast
@@ -83,15 +83,14 @@ def _topk_rows(si: np.ndarray, key_rank: np.ndarray, k: int, mask: np.ndarray |
         idx = np.take_along_axis(idx, order, axis=1)
         sel = np.take_along_axis(sel, order, axis=1)
         keep = (sel >= 0).ravel()
-    else:  # very wide score range (dot metric on large vectors): exact per-row sort
-        rows = []
-        for r in range(nq):
-            valid = np.ones(nb, dtype=bool) if mask is None else ~mask[r]
-            cols = np.flatnonzero(valid)
-            order = np.lexsort((key_rank[cols], -si[r, cols]))[:kk]
-            rows.append(np.pad(cols[order], (0, kk - len(order)), constant_values=-1))
-        idx = np.vstack(rows)
-        keep = (idx >= 0).ravel()
+    else:  # very wide score range (dot metric on large vectors): one sort of all cells
+        valid = np.ones((nq, nb), dtype=bool) if mask is None else ~mask
+        row, col = np.nonzero(valid)
+        order = np.lexsort((key_rank[col], -si[row, col], row))
+        row, col = row[order], col[order]
+        first = np.searchsorted(row, np.arange(nq))
+        best = np.arange(len(row)) - first[row] < kk
+        return row[best], col[best]
     qi = np.repeat(np.arange(nq, dtype=np.int64), kk)[keep]
     xi = idx.ravel()[keep]
     return qi, xi
@@ -102,12 +101,30 @@ def _scores(q: np.ndarray, X: np.ndarray, qn: np.ndarray, xn: np.ndarray, metric
     d = q @ X.T
     if metric == "cosine":
         return d / np.outer(qn, xn)
-    if metric == "l2":  # minus the Euclidean distance, from exact squared norms
-        sq = np.einsum("ij,ij->i", q, q)[:, None] + np.einsum("ij,ij->i", X, X)[None, :] - 2.0 * d
-        return -np.sqrt(np.maximum(sq, 0.0))
     return d
 
 
+def _l2_scores(q: np.ndarray, X: np.ndarray, k: int, mask: np.ndarray | None):
+    """Minus the Euclidean distance of the pairs that can be among the k best of a query.
+
+    ``|q|^2 + |x|^2 - 2 q x`` loses digits by cancellation, so it only selects: pairs within its
+    error of the k-th best are computed anew from the differences. The others are masked.
+    """
+    qq, xx = np.einsum("ij,ij->i", q, q), np.einsum("ij,ij->i", X, X)
+    sq = qq[:, None] + xx[None, :] - 2.0 * (q @ X.T)
+    if mask is not None:
+        sq[mask] = np.inf
+    error = 8 * (X.shape[1] + 4) * np.finfo(float).eps * (qq + (xx.max() if len(xx) else 0.0))
+    kth = np.partition(sq, min(k, sq.shape[1]) - 1, axis=1)[:, min(k, sq.shape[1]) - 1]
+    near = (sq <= (kth + 2 * error)[:, None]) & np.isfinite(sq)
+    s = np.zeros_like(sq)
+    row, col = np.nonzero(near)
+    for lo in range(0, len(row), 1 << 15):
+        diff = q[row[lo:lo + (1 << 15)]] - X[col[lo:lo + (1 << 15)]]
+        s[row[lo:lo + (1 << 15)], col[lo:lo + (1 << 15)]] = -np.sqrt(np.einsum("ij,ij->i", diff, diff))
+    return s, ~near
+
+
 def _score_block(Q, qn, qkeys_np, X, xn, ikeys, k, digits, metric, exclude_self):
     """Top-k (query row, index row, scaled score) of one index block against all queries."""
     nb = X.shape[0]
@@ -117,9 +134,12 @@ def _score_block(Q, qn, qkeys_np, X, xn, ikeys, k, digits, metric, exclude_self)
     out_q, out_x, out_s = [], [], []
     for start in range(0, Q.shape[0], step):
         q = Q[start:start + step]
-        s = _scores(q, X, qn[start:start + step], xn, metric)
-        si = _scaled_round(s, digits)
         mask = (qkeys_np[start:start + step, None] == ik_np[None, :]) if exclude_self else None
+        if metric == "l2" and nb:
+            s, mask = _l2_scores(q, X, k, mask)
+        else:
+            s = _scores(q, X, qn[start:start + step], xn, metric)
+        si = _scaled_round(s, digits)
         qi, xi = _topk_rows(si, rank, k, mask)
         out_q.append(qi + start)
         out_x.append(xi)
@@ -157,9 +177,14 @@ def _matrix(col: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
+def _usable_norms(norms) -> np.ndarray:
+    n = pc.fill_null(norms, 0.0).to_numpy(zero_copy_only=False)
+    return (n > 0) & np.isfinite(n)
+
+
 def _valid_rows(tbl: pa.Table, vec: str, nrm: str, dim: int, metric: str) -> pa.Table:
-    """Rows with a present, ``dim``-wide vector without null entries (and norm > 0 under
-    cosine); the others take no part in the search."""
+    """Rows with a present, ``dim``-wide vector without null, NaN or infinite entries (and a
+    finite norm > 0 under cosine); the others take no part in the search."""
     col = tbl.column(vec).combine_chunks()
     if pa.types.is_struct(col.type):  # sparse: same number of indices and values, all in range
         idx, val = col.field("indices"), col.field("values")
@@ -170,18 +195,18 @@ def _valid_rows(tbl: pa.Table, vec: str, nrm: str, dim: int, metric: str) -> pa.
         if len(flat):
             at = flat.to_numpy(zero_copy_only=False)
             bad = pc.is_null(flat).to_numpy(zero_copy_only=False) | (np.nan_to_num(at, nan=-1) < 0) | (np.nan_to_num(at, nan=-1) >= dim)
-            bad |= pc.is_null(pc.list_flatten(val)).to_numpy(zero_copy_only=False)
+            bad |= ~np.isfinite(pc.list_flatten(val).to_numpy(zero_copy_only=False))
             ok[np.unique(pc.list_parent_indices(idx).to_numpy(zero_copy_only=False)[bad])] = False
         if metric == "cosine":
-            ok &= pc.fill_null(tbl.column(nrm), 0.0).to_numpy(zero_copy_only=False) > 0
+            ok &= _usable_norms(tbl.column(nrm))
         return tbl if ok.all() else tbl.filter(pa.array(ok))
     ok = pc.fill_null(pc.list_value_length(col), -1).to_numpy(zero_copy_only=False) == dim
     values = pc.list_flatten(col)
-    if values.null_count:
-        parents = pc.list_parent_indices(col).to_numpy(zero_copy_only=False)
-        ok[np.unique(parents[pc.is_null(values).to_numpy(zero_copy_only=False)])] = False
+    bad = ~np.isfinite(values.to_numpy(zero_copy_only=False).astype(np.float64))     # a null is NaN here
+    if bad.any():
+        ok[pc.list_parent_indices(col).to_numpy(zero_copy_only=False)[bad]] = False
     if metric == "cosine":
-        ok &= pc.fill_null(tbl.column(nrm), 0.0).to_numpy(zero_copy_only=False) > 0
+        ok &= _usable_norms(tbl.column(nrm))
     return tbl if ok.all() else tbl.filter(pa.array(ok))
 
 
@@ -284,10 +309,7 @@ def _broadcast_scores(local: pa.Table, x: DataFrame, schema, arrow_schema, dim,
         if best is not None:
             yield from best.to_batches()
 
-    # Each scoring task emits a top-k per query, so the merge shuffle grows with the number of
-    # tasks, not with the index: cap the tasks at twice the cores (a narrow coalesce, no
-    # shuffle; every core stays busy, each task reads several splits in turn).
-    return x.coalesce(2 * sc.defaultParallelism).mapInArrow(score, schema)
+    return x.mapInArrow(score, schema)
 
 
 def _block_scores(q: DataFrame, x: DataFrame, schema, arrow_schema, dim, k, digits, metric,
@@ -347,7 +369,7 @@ def knn_single(index: DataFrame, query: Sequence[float], *, k: int = 10, index_k
     if qn == 0:
         raise ValueError("query vector has norm 0")
     n = norm(index_vec)
-    score = F.when(has_dim(index_vec, dim) & (n > 0),
+    score = F.when(has_dim(index_vec, dim) & (n > 0) & finite_norm(n),
                    round_half_away(dot(index_vec, qv) / (F.lit(qn) * n), digits))
     top = (index.select(index_key, *payload, score.alias("score"))
            .orderBy(F.desc_nulls_last("score"), F.asc(index_key)).limit(k)

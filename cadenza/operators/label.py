@@ -1,16 +1,15 @@
-"""Emotion labeling (M1-M3).
+"""Emotion labeling (M1-M3), row by row.
 
-The default labeler is a relational plan: the text's tokens meet a small lexicon of
-emotion words in a broadcast hash join, and one partial aggregation per row key counts the
-hits per emotion. The ten most frequent emotions (ties by name) form the model answer
-``[e1, e2, ...]``, which then goes through a cleaner, as an answer of a language model
-would (for cleaner v2 the cleaner's rule is applied directly: on answers of this form it is
-exactly the same, which a test checks). Text never enters a shuffle: only the key, the carried
-small columns and the counts do.
+Each row's tokens are looked up in a small lexicon of emotion words inside an Arrow kernel
+(one hash lookup per token, vectorised), which counts the hits per emotion. The ten most
+frequent emotions (ties by name) form the model answer ``[e1, e2, ...]``, which then goes
+through a cleaner, as an answer of a language model would (for cleaner v2 the cleaner's rule is
+applied directly: on answers of this form it is exactly the same, which a test checks). Nothing
+is shuffled and rows need no key: rows with equal or null keys keep their own labels.
 
 The lexicon is built from the corpus itself: the most frequent words of a minimum length,
-each mapped to an emotion by a hash of the word. Its size is a parameter with a hard cap,
-so broadcasting it is safe at any scale.
+each mapped to an emotion by a hash of the word, plus a few fixed mood words. Its size has a
+hard cap, which is checked before it is shipped to the tasks.
 
 A plug-in labeler (e.g. a pandas UDF that calls a model) is any ``DataFrame -> DataFrame``
 function that adds the label column; :func:`udf_labeler` wraps a Column-level model.
@@ -21,6 +20,9 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,14 +31,18 @@ from cadenza.functions.vectors import md5_hex_int, sql_name, tokens
 from cadenza.session import local_frame
 
 # ---------------------------------------------------------------------------
-# Fixed values of our default labeler (ours, not the reference's). The emotion names are
-# the first words of the reference prompt's worked examples, in their order, without the
-# hyphenated one; emotion number n (0-based) is the n-th name.
+# Fixed values (ours): the eight basic emotions of Plutchik's published wheel and then their
+# intense forms; emotion number n (0-based) is the n-th name.
 EMOTIONS = (
-    "excitement", "curiosity", "desire", "love", "anticipation", "hope", "passion",
-    "longing", "adoration", "fascination", "anger", "frustration", "determination",
-    "independence", "liberation", "freedom",
+    "joy", "trust", "fear", "surprise", "sadness", "disgust", "anger", "anticipation",
+    "ecstasy", "admiration", "terror", "amazement", "grief", "loathing", "rage", "vigilance",
 )
+# Mood words that every lexicon holds (corpus words of the same spelling give way to them).
+SEED_WORDS = {
+    "love": "joy", "happy": "joy", "friend": "trust", "afraid": "fear", "suddenly": "surprise",
+    "believe": "amazement", "rainy": "sadness", "winter": "grief", "awful": "disgust", "hate": "loathing",
+    "wrong": "anger", "unfair": "anger", "furious": "rage", "hope": "anticipation", "lottery": "anticipation",
+}
 LEXICON_SIZE = 200      # words in the lexicon
 LEXICON_MIN_LEN = 4     # shortest word taken
 LABELS_PER_TEXT = 10    # emotions asked for
@@ -50,8 +56,10 @@ assert all(re.fullmatch("[a-z]+", e) and V2_ECHO_MARK not in e for e in EMOTIONS
 
 
 def build_lexicon(corpus: DataFrame, text: str = "text", size: int = LEXICON_SIZE,
-                  min_len: int = LEXICON_MIN_LEN, emotions: Sequence[str] = EMOTIONS) -> DataFrame:
-    """Lexicon ``(word, freq, emotion_id, emotion)`` of the ``size`` most frequent tokens.
+                  min_len: int = LEXICON_MIN_LEN, emotions: Sequence[str] = EMOTIONS,
+                  seeds: bool = True) -> DataFrame:
+    """Lexicon ``(word, freq, emotion_id, emotion)`` of the ``size`` most frequent tokens, and
+    of the fixed mood words (``freq`` 0) unless ``seeds`` is off.
 
     Ties go by word. One partial aggregation (map-side combine) per distinct word, then a
     bounded top-``size`` (TakeOrderedAndProject).
@@ -63,12 +71,17 @@ def build_lexicon(corpus: DataFrame, text: str = "text", size: int = LEXICON_SIZ
     # inside a run, so these are exactly the long tokens, and the short ones are never exploded.
     long_tokens = tokens(F.col(text), pattern=f"[a-z]{{{min_len},}}")
     words = corpus.select(F.explode(long_tokens).alias("word")).where(F.length("word") >= min_len)
+    words = words.where(~F.col("word").isin(*SEED_WORDS)) if seeds else words
     top = (words.groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
            .orderBy(F.desc("freq"), F.asc("word")).limit(size))
     emotion_id = (md5_hex_int(F.col("word"), 1, 8) % n).cast("int")
     names = F.array(*[F.lit(e) for e in emotions])
-    return top.select("word", "freq", emotion_id.alias("emotion_id"),
-                      F.element_at(names, emotion_id + 1).alias("emotion"))
+    out = top.select("word", "freq", emotion_id.alias("emotion_id"),
+                     F.element_at(names, emotion_id + 1).alias("emotion"))
+    if seeds:
+        fixed = [(w, 0, emotions.index(e), e) for w, e in SEED_WORDS.items() if e in emotions]
+        out = out.unionByName(local_frame(corpus.sparkSession, fixed, out.schema))
+    return out
 
 
 def materialize_lexicon(lexicon: DataFrame) -> DataFrame:
@@ -84,23 +97,23 @@ def materialize_lexicon(lexicon: DataFrame) -> DataFrame:
     return local_frame(lexicon.sparkSession, rows, lexicon.schema)
 
 
-def emotion_counts(df: DataFrame, key: str | Sequence[str], text: str, lexicon: DataFrame,
-                   carry: Sequence[str] = (), n_emotions: int = len(EMOTIONS)) -> DataFrame:
-    """Per key: the carried columns and ``counts`` (array<bigint>, one entry per emotion).
+def emotion_counts(text: str, lexicon: DataFrame, n_emotions: int = len(EMOTIONS)) -> Column:
+    """Hits per emotion in a text: array<bigint>, one entry per emotion (0 for null text)."""
+    rows = lexicon.select("word", "emotion_id").limit(LEXICON_MAX_SIZE + 1).collect()
+    if len(rows) > LEXICON_MAX_SIZE:
+        raise ValueError("lexicon exceeds its bound")
+    words, ids = pa.array([r[0] for r in rows], pa.string()), np.array([r[1] for r in rows], np.int64)
 
-    Every input row gives one output row, also when the text is null or has no lexicon word
-    (all counts 0). The key must be unique in ``df``.
-    """
-    keys = [key] if isinstance(key, str) else list(key)
-    lex = F.broadcast(lexicon.select("word", "emotion_id"))
-    toks = df.select(*keys, *carry, F.explode_outer(tokens(F.col(text))).alias("word"))
-    hits = toks.join(lex, "word", "left")
-    # Carried columns depend on the key only, so grouping by them too gives the same groups
-    # and keeps a hash aggregation (first() over strings would force a sort of all tokens).
-    aggs = [F.expr(f"count_if(emotion_id = {i})").alias(f"_c{i}") for i in range(n_emotions)]
-    grouped = hits.groupBy(*keys, *carry).agg(*aggs)
-    counts = F.expr("array(" + ", ".join(f"_c{i}" for i in range(n_emotions)) + ")")
-    return grouped.select(*keys, *carry, counts.alias("counts"))
+    def count(tokens: pa.Array) -> pa.Array:
+        at = pc.index_in(tokens.flatten(), value_set=words)
+        hit = at.is_valid().to_numpy(zero_copy_only=False)
+        row = pc.list_parent_indices(tokens).to_numpy(zero_copy_only=False)[hit]
+        cells = row * n_emotions + ids[at.drop_null().to_numpy(zero_copy_only=False)]
+        counts = np.bincount(cells, minlength=len(tokens) * n_emotions).astype(np.int64)
+        offsets = np.arange(0, len(counts) + 1, n_emotions, dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(counts))
+
+    return F.arrow_udf(count, "array<bigint>")(tokens(F.col(text)))
 
 
 def top_emotions_sql(counts: str, emotions: Sequence[str] = EMOTIONS, top_n: int = LABELS_PER_TEXT) -> str:
@@ -120,20 +133,12 @@ def answer_text(names: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(names, ", "), F.lit("]"))
 
 
-def label_emotions(df: DataFrame, lexicon: DataFrame, key: str | Sequence[str] = "link",
-                   text: str = "text", out: str = "llm_labeled_emotions",
-                   carry: Sequence[str] | None = None, cleaner: str | None = "v2",
+def label_emotions(df: DataFrame, lexicon: DataFrame, text: str = "text",
+                   out: str = "llm_labeled_emotions", cleaner: str | None = "v2",
                    emotions: Sequence[str] = EMOTIONS, top_n: int = LABELS_PER_TEXT) -> DataFrame:
-    """Label each row's text with emotions (M1/M2): ``key, carry..., out``.
-
-    ``carry`` defaults to all columns but the key and the text; carried columns ride through
-    the aggregation as extra grouping columns, so keep them narrow. The text is not carried.
-    """
-    keys = [key] if isinstance(key, str) else list(key)
-    if carry is None:
-        carry = [c for c in df.columns if c not in keys and c != text]
-    counts = emotion_counts(df, keys, text, lexicon, carry, len(emotions))
-    names = top_emotions_sql("counts", emotions, top_n)
+    """``df`` with its label in column ``out`` (M1/M2, P1), row by row and map-only."""
+    counted = df.withColumn("_counts", emotion_counts(text, lexicon, len(emotions)))
+    names = top_emotions_sql("_counts", emotions, top_n)
     if cleaner == "v2" and emotions is EMOTIONS:
         # names evaluated once (a one-element transform), then cleaner v2's verdict
         label = F.expr(
@@ -141,25 +146,16 @@ def label_emotions(df: DataFrame, lexicon: DataFrame, key: str | Sequence[str] =
             f"array_join(n, ', '), concat('{V2_ERROR_PREFIX}', array_join(n, ', ')))), 1)")
     else:
         label = CLEANERS[cleaner](answer_text(F.expr(names)))
-    return counts.select(*keys, *carry, label.alias(out))
-
-
-def label_with_text(df: DataFrame, lexicon: DataFrame, key: str = "link", text: str = "text",
-                    out: str = "llm_labeled_emotions", cleaner: str | None = "v2") -> DataFrame:
-    """Labels next to the full input rows (P1: the four song columns plus the label).
-
-    The label plan aggregates keys and counts only; the text is joined back by key.
-    """
-    labels = label_emotions(df, lexicon, key=key, text=text, out=out, carry=[], cleaner=cleaner)
-    return df.join(labels, key, "left").select(*df.columns, out)
+    return counted.withColumn(out, label).drop("_counts")
 
 
-def top_emotion(df: DataFrame, lexicon: DataFrame, key: Sequence[str], text: str,
-                out: str = "result", emotions: Sequence[str] = EMOTIONS) -> DataFrame:
-    """The single most frequent emotion per key (null when none): the fill-mask stand-in (M3)."""
-    counts = emotion_counts(df, key, text, lexicon, carry=(), n_emotions=len(emotions))
-    first = top_emotions("counts", emotions, 1)
-    return counts.select(*key, F.try_element_at(first, F.lit(1)).alias(out))
+def mood(df: DataFrame, lexicon: DataFrame, text: str = "text", out: str = "user_emotions",
+         emotions: Sequence[str] = EMOTIONS, top_n: int = LABELS_PER_TEXT) -> DataFrame:
+    """The emotions of a short text, joined by ', '; null if it has none. A sentence is too
+    short for the ten emotions that a song's label must have."""
+    counted = df.withColumn("_counts", emotion_counts(text, lexicon, len(emotions)))
+    names = F.array_join(top_emotions("_counts", emotions, top_n), ", ")
+    return counted.withColumn(out, F.nullif(names, F.lit(""))).drop("_counts")
 
 
 def udf_labeler(model: Callable[[Column], Column], text: str = "text",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cadenza.functions.text import is_error_label, label_items
 from cadenza.functions.vectors import md5_hex_int, tokens
 
-SAMPLE_BUCKETS = 1000
+SAMPLE_RANGE = 1 << 32
 
 # ---------------------------------------------------------------------------
 # Fixed values (ours): words that mark a holiday song.
@@ -19,13 +19,12 @@ HOLIDAY_WORDS = ("christmas", "xmas", "santa", "holiday", "holidays", "noel", "s
 # ---------------------------------------------------------------------------
 
 
-def sample_by_key(df: DataFrame, key: str, fraction: float, buckets: int = SAMPLE_BUCKETS) -> DataFrame:
-    """Bernoulli-like sample decided by a hash of the key (L4): the same rows on every run,
+def sample_by_key(df: DataFrame, key: str, fraction: float) -> DataFrame:
+    """Bernoulli-like sample decided by a 32-bit hash of the key (L4): the same rows on every run,
     every retry and every partitioning, unlike an unseeded ``sample``. A filter: no shuffle."""
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must be in [0, 1]")
-    cut = int(round(fraction * buckets))
-    return df.where(md5_hex_int(F.col(key), 1, 8) % buckets < cut)
+    return df.where(md5_hex_int(F.col(key), 1, 8) < int(round(fraction * SAMPLE_RANGE)))
 
 
 def error_rows(labeled: DataFrame, label: str = "llm_labeled_emotions") -> DataFrame:
@@ -39,7 +38,7 @@ def error_rate(labeled: DataFrame, label: str = "llm_labeled_emotions") -> DataF
     n = F.count(F.lit(1))
     errors = F.count_if(is_error_label(label))
     return labeled.agg(n.alias("n_songs"), errors.alias("n_errors"),
-                       (F.round(errors / n, 2) * 100).alias("error_pct"))
+                       (F.round(F.try_divide(errors, n), 2) * 100).alias("error_pct"))
 
 
 def label_form(labeled: DataFrame, key: str = "link", label: str = "llm_labeled_emotions",

@@ -1,10 +1,9 @@
 """Prompt trial (J1, P6, F13, M3, A5): every song under every prompt, then a side-by-side view.
 
 The prompt list is a small fixed literal, so "every song by every prompt" is a generator
-(``inline`` of a literal array) on each song row: no join and no broadcast. The filled-in
-word of ``"{prompt} {text}"`` is the top emotion of the text's counts plus the prompt's
-counts: the text is counted once per song, not once per prompt, and only keys and tokens
-enter the counting shuffle.
+(``inline`` of a literal array) on each song row: no join, no shuffle. The filled-in word of
+``"{prompt} {text}"`` is the top emotion of the text's counts plus the prompt's counts: the
+text is counted once per song, not once per prompt.
 """
 
 from __future__ import annotations
@@ -23,37 +22,30 @@ def prompt_counts(lexicon: DataFrame, prompts: Sequence[tuple[str, str]]) -> dic
     """Emotion counts of each prompt's own words (a handful of rows, computed once)."""
     spark = lexicon.sparkSession
     frame = local_frame(spark, prompts, "prompt_label string, prompt string")
-    rows = emotion_counts(frame, "prompt_label", "prompt", lexicon).collect()
+    rows = frame.select("prompt_label", emotion_counts("prompt", lexicon).alias("counts")).collect()
     return {r["prompt_label"]: list(r["counts"]) for r in rows}
 
 
 def prompt_grid(songs: DataFrame, lexicon: DataFrame, prompts: Sequence[tuple[str, str]] = MASK_PROMPTS,
-                key: str = "link", text: str = "text") -> DataFrame:
-    """``songs columns but text, prompt_label, prompt, input, result``: one row per song and
+                text: str = "text") -> DataFrame:
+    """``songs columns but text, prompt_label, prompt, input, result``: one row per song row and
     prompt; ``input`` is ``"{prompt} {text}"`` and ``result`` its most frequent emotion."""
-    keep = [c for c in songs.columns if c not in (key, text)]
-    # Count per song on (key, token) rows only, then bring the song columns back with a join:
-    # carrying the text through the explode would copy it into every token row.
-    counts = emotion_counts(songs.select(key, text), key, text, lexicon)
-    per_song = songs.join(counts, key, "left")
     fixed = prompt_counts(lexicon, prompts)
     literal = F.array(*[
         F.struct(F.lit(label).alias("prompt_label"), F.lit(p).alias("prompt"),
                  F.array(*[F.lit(c).cast("bigint") for c in fixed[label]]).alias("pcounts"))
         for label, p in prompts])
-    grid = per_song.select(key, *keep, text, "counts", F.inline(literal))
-    total = F.zip_with(F.coalesce(F.col("counts"), F.array_repeat(F.lit(0).cast("bigint"), len(EMOTIONS))),
-                       F.col("pcounts"), lambda a, b: a + b)
-    grid = grid.select("*", total.alias("_total"))
+    grid = songs.select("*", emotion_counts(text, lexicon).alias("_counts")).select("*", F.inline(literal))
+    grid = grid.select("*", F.zip_with("_counts", "pcounts", lambda a, b: a + b).alias("_total"))
     best = F.try_element_at(top_emotions("_total", EMOTIONS, 1), F.lit(1))
     order = [c for c in songs.columns if c != text]
     return grid.select(*order, "prompt_label", "prompt", join_prompt("prompt", text).alias("input"),
                        best.alias("result"))
 
 
-def prompt_compare(grid: DataFrame, group: str = "song",
+def prompt_compare(grid: DataFrame, group: Sequence[str] = ("link", "song"),
                    prompts: Sequence[tuple[str, str]] = MASK_PROMPTS) -> DataFrame:
-    """One row per song, one column of results per prompt (A5); the pivot values are given,
-    so no extra pass looks for them."""
+    """One row per song (by its link, with its title), one column of results per prompt (A5);
+    the pivot values are given, so no extra pass looks for them."""
     labels = [label for label, _ in prompts]
-    return grid.groupBy(group).pivot("prompt_label", labels).agg(F.first("result"))
+    return grid.groupBy(*group).pivot("prompt_label", labels).agg(F.first("result"))

@@ -35,6 +35,9 @@ SAMPLE_FRACTION = 0.2        # the reference's sample fraction
 INDEX_BUCKETS = 8            # buckets of the stored index versions (by link)
 IVF_CELLS = 16               # cells of the inverted file
 
+# Our label prompt.
+LABEL_PROMPT = "List ten moods of this song as [a, b, ...].\nSong: {input}\nMoods: "
+
 # The reference's own trial sentences (fixed values, in its order).
 TRIAL_SENTENCES = (
     "I am in love!",
@@ -52,18 +55,34 @@ def lexicon(spark: SparkSession, d: str) -> DataFrame:
     return L.materialize_lexicon(L.build_lexicon(read_table(spark, d, "documents")))
 
 
-def labeled(spark: SparkSession, d: str, lex: DataFrame | None = None) -> DataFrame:
+def labeled(spark: SparkSession, d: str, lex: DataFrame | None = None, cleaner: str | None = "v2") -> DataFrame:
     """artist, song, link, llm_labeled_emotions (no text)."""
     lex = lex if lex is not None else lexicon(spark, d)
-    return L.label_emotions(songs(spark, d), lex, key="link", text="text", carry=["artist", "song"])
+    return L.label_emotions(songs(spark, d), lex, cleaner=cleaner).drop("text")
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table, read back: models run once, whatever reads it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def saved_labels(spark: SparkSession, d: str) -> DataFrame:
+    return saved(labeled(spark, d), "labeled")
 
 
 def vectors(spark: SparkSession, d: str, lex: DataFrame | None = None) -> DataFrame:
     return E.embed(labeled(spark, d, lex), dim=DIM)
 
 
+def index_of(rows: DataFrame, lex: DataFrame, **options) -> DataFrame:
+    """The index of song rows, from their saved embeddings."""
+    return X.build_index(saved(song_vectors(rows, lex, dim=DIM), "embeddings"), dim=DIM, check_dim=False, **options)
+
+
 def song_index(spark: SparkSession, d: str, lex: DataFrame) -> DataFrame:
-    return X.build_index(song_vectors(songs(spark, d), lex, dim=DIM), dim=DIM, check_dim=False)
+    return index_of(songs(spark, d), lex)
 
 
 INDEX_COLUMNS = ("artist", "song", "link", "llm_labeled_emotions", "norm")
@@ -110,7 +129,7 @@ def q_table_overwrite(spark, d):
     path = scratch_path(spark, "table-songs")
     io.overwrite_table(songs(spark, d), name, path)                 # first: four columns
     lex = lexicon(spark, d)
-    relabeled = L.label_with_text(songs(spark, d), lex)              # then: five columns
+    relabeled = L.label_emotions(songs(spark, d), lex)              # then: five columns
     return io.overwrite_table(relabeled, name, path)
 
 
@@ -163,18 +182,19 @@ def q_clean_v2_legacy(spark, d):
 def q_render_prompt(spark, d):
     """the label prompt rendered for every document."""
     docs = read_table(spark, d, "documents")
-    return docs.select("doc_id", T.render_prompt("text").alias("prompt"))
+    return docs.select("doc_id", T.render_prompt("text", LABEL_PROMPT).alias("prompt"))
 
 
 def q_label_emotions(spark, d):
     """The four song columns plus the labels."""
-    return L.label_with_text(songs(spark, d), lexicon(spark, d))
+    return L.label_emotions(songs(spark, d), lexicon(spark, d))
 
 
 def q_first_label(spark, d):
     """``select(label).first()[0]`` made repeatable (P3, L2), then that one label encoded
     (M5: the embedder on a one-row frame): its non-zero entries and norm."""
-    first = scan_limit(labeled(spark, d), "link", 1).select("link", "llm_labeled_emotions")
+    row = L.label_emotions(scan_limit(songs(spark, d), "link", 1), lexicon(spark, d))
+    first = row.select("link", "llm_labeled_emotions")
     vec = E.embed(first, dim=DIM)
     return vec.select("link", "llm_labeled_emotions",
                       F.size(F.filter("emotions_embeddings", lambda v: v != 0)).alias("nnz"), "norm")
@@ -182,17 +202,17 @@ def q_first_label(spark, d):
 
 def q_label_error_rows(spark, d):
     """P5: songs whose label holds ERROR."""
-    return M.error_rows(labeled(spark, d))
+    return M.error_rows(saved_labels(spark, d))
 
 
 def q_label_error_rate(spark, d):
     """A2, A3: songs, error rows and the error rate in percent."""
-    return M.error_rate(labeled(spark, d))
+    return M.error_rate(saved_labels(spark, d))
 
 
 def q_label_form(spark, d):
     """label items, distinct items and whether they are ten distinct words."""
-    return M.label_form(labeled(spark, d))
+    return M.label_form(saved_labels(spark, d))
 
 
 def q_prompt_grid(spark, d):
@@ -217,13 +237,30 @@ def q_embed_dense(spark, d):
 
 
 def q_vector_check(spark, d):
-    """counts of rows the index would keep out."""
-    return X.vector_check(vectors(spark, d), DIM)
+    """counts of rows the index would keep out, over vectors of which some are damaged."""
+    return X.vector_check(fx.damaged_vectors(saved(vectors(spark, d), "embeddings"), DIM), DIM)
 
 
 def q_build_index(spark, d):
     """Rows fit for the index, with their norms."""
-    return X.build_index(vectors(spark, d), DIM, check_dim=False).select(*INDEX_COLUMNS)
+    return song_index(spark, d, lexicon(spark, d)).select(*INDEX_COLUMNS)
+
+
+def q_index_with_errors(spark, d):
+    """S9 as the reference builds it: rows with ERROR labels are indexed too."""
+    return index_of(songs(spark, d), lexicon(spark, d), drop_errors=False).select(*INDEX_COLUMNS)
+
+
+def q_label_v1(spark, d):
+    """M2: labels cleaned by cleaner v1, as the reference's saved table has them."""
+    return labeled(spark, d, cleaner="v1")
+
+
+def q_label_duplicates(spark, d):
+    """Every row keeps its own label when links repeat or are null."""
+    rows = songs(spark, d).withColumn("link", F.when(F.length("text") % 3 == 0, F.lit(None)).when(
+        F.length("text") % 3 == 1, F.lit("/doc/same")).otherwise(F.col("link")))
+    return L.label_emotions(rows, lexicon(spark, d)).drop("text")
 
 
 def q_snapshot_diff(spark, d):
@@ -237,10 +274,9 @@ def q_index_upsert(spark, d):
     docs = read_table(spark, d, "documents")
     lex = lexicon(spark, d)
     old, new = songs_from_documents(docs), fx.next_snapshot(docs)
-    old_index = X.build_index(song_vectors(old, lex, dim=DIM), dim=DIM, check_dim=False)
-    diff = X.snapshot_diff(old, new)
-    fresh = X.build_index(song_vectors(X.changed_rows(new, diff), lex, dim=DIM), dim=DIM,
-                          check_dim=False)
+    old_index = saved(index_of(old, lex), "index")
+    diff = saved(X.snapshot_diff(old, new), "diff")
+    fresh = index_of(X.changed_rows(new, diff), lex)
     return X.upsert(old_index, diff, fresh).select(*INDEX_COLUMNS)
 
 
@@ -332,8 +368,8 @@ def q_recommend_raw(spark, d):
 def q_recommend_trials(spark, d):
     """M6: the reference's four trial sentences against all songs."""
     lex = lexicon(spark, d)
-    trials = local_frame(spark, [(i + 1, s) for i, s in enumerate(TRIAL_SENTENCES)],
-                         "query_id bigint, user_input string")
+    trials = local_frame(spark, [(str(i + 1), s) for i, s in enumerate(TRIAL_SENTENCES)],
+                         "query_id string, user_input string")
     return recommend(trials, song_index(spark, d, lex), lex, k=KNN, dim=DIM)
 
 
@@ -375,7 +411,7 @@ def q_exclude_flagged(spark, d):
 
 def q_holiday_tag(spark, d):
     """M9: songs tagged when their text holds a holiday word."""
-    return M.holiday_tag(songs(spark, d)).select("link", "is_holiday")
+    return M.holiday_tag(fx.songs_with_holidays(read_table(spark, d, "documents"))).select("link", "is_holiday")
 
 
 QUERIES: dict[str, Query] = {
@@ -404,6 +440,9 @@ QUERIES: dict[str, Query] = {
     "embed_dense": q_embed_dense,
     "vector_check": q_vector_check,
     "build_index": q_build_index,
+    "index_with_errors": q_index_with_errors,
+    "label_v1": q_label_v1,
+    "label_duplicates": q_label_duplicates,
     "snapshot_diff": q_snapshot_diff,
     "index_upsert": q_index_upsert,
     "latest_version": q_latest_version,
@@ -435,7 +474,7 @@ def _wc(expr: str) -> str:
 
 
 def _answers_cte() -> str:
-    w = "array_to_string(list_slice(list_sort(list_distinct(regexp_extract_all(lower(text), '[a-z]+'))), 1, 10), ', ')"
+    w = "array_to_string(list_slice(list_sort(list_distinct(regexp_extract_all(lower(text), '[a-z]+'))), 1, 8 + doc_id % 7), ', ')"
     return f"""answers AS (
   SELECT doc_id, CASE doc_id % 5
       WHEN 0 THEN '[INST] label the ' || lang || ' text [/INST] [' || {w} || ']'
@@ -466,7 +505,10 @@ def _sql_clean_v2() -> str:
 
 
 def _sql_clean_v2_legacy() -> str:
-    # Within each run of consecutive items holding 'inst', the 1st, 3rd, ... are removed.
+    # Within each run of consecutive items holding 'inst', the 1st, 3rd, ... are looked at. Each
+    # removes the first equal item that is still there: itself, or a passed-over one before it.
+    # So of equal items as many stay as were passed over, and they are the last ones from the
+    # first passed-over one on.
     return f"""WITH {_answers_cte()},
 g AS (SELECT doc_id, regexp_extract_all(lower(answer), '\\[([\\s\\S]*?)\\]', 1) AS groups FROM answers),
 items AS (SELECT doc_id, unnest(groups) AS item, unnest(generate_series(1, len(groups))) AS pos FROM g),
@@ -475,9 +517,13 @@ flagged AS (
          coalesce(max(CASE WHEN NOT contains(item, 'inst') THEN pos END)
                   OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prev
   FROM items),
+passed AS (SELECT *, c AND (pos - prev - 1) % 2 = 1 AS passed FROM flagged),
+equal_items AS (
+  SELECT *, sum(CAST(passed AS INTEGER)) OVER (PARTITION BY doc_id, item) AS n_passed,
+         row_number() OVER (PARTITION BY doc_id, item ORDER BY pos DESC) AS from_end FROM passed),
 kept AS (
-  SELECT doc_id, string_agg(item, ' ' ORDER BY pos) AS joined FROM flagged
-  WHERE NOT (c AND (pos - prev - 1) % 2 = 0) GROUP BY doc_id)
+  SELECT doc_id, string_agg(item, ' ' ORDER BY pos) AS joined FROM equal_items
+  WHERE NOT c OR from_end <= n_passed GROUP BY doc_id)
 SELECT g.doc_id, CASE WHEN g.groups IS NULL THEN NULL ELSE {_v2_finish("coalesce(kept.joined, '')")} END AS cleaned
 FROM g LEFT JOIN kept USING (doc_id)"""
 
@@ -542,9 +588,9 @@ SELECT rank, vec_id, score FROM ranked WHERE rank <= {KNN}"""
 
 
 def _sql_recommend_trials() -> str:
-    rows = ", ".join(f"({i + 1}, {O.q(s)})" for i, s in enumerate(TRIAL_SENTENCES))
+    rows = ", ".join(f"('{i + 1}', {O.q(s)})" for i, s in enumerate(TRIAL_SENTENCES))
     sql = O.recommend_sql(DIM, KNN)
-    return sql.replace(O.sentences_cte(), f"sentences AS (SELECT CAST(c1 AS BIGINT) AS query_id, c2 AS user_input FROM (VALUES {rows}) t(c1, c2))")
+    return sql.replace(O.sentences_cte(), f"sentences AS (SELECT c1 AS query_id, c2 AS user_input FROM (VALUES {rows}) t(c1, c2))")
 
 
 def _sql_prompt_grid_base() -> str:
@@ -566,11 +612,11 @@ def _sql_prompt_grid_base() -> str:
 
 def _sql_prompt_compare() -> str:
     cols = ", ".join(f"max(CASE WHEN prompt_label = {O.q(a)} THEN result END) AS \"{a}\"" for a, _ in T.MASK_PROMPTS)
-    return _sql_prompt_grid_base() + f"SELECT song, {cols} FROM graded GROUP BY song"
+    return _sql_prompt_grid_base() + f"SELECT link, song, {cols} FROM graded GROUP BY link, song"
 
 
-def _index_sql(src_cte_sql: str | None = None) -> str:
-    base = O.song_index_ctes(DIM)
+def _index_sql(src_cte_sql: str | None = None, with_errors: bool = False) -> str:
+    base = O.song_index_ctes(DIM, with_errors=with_errors)
     if src_cte_sql:
         base = base.replace(O.songs_cte("songs", "documents"), src_cte_sql)
     return f"WITH {base}\nSELECT artist, song, link, llm_labeled_emotions, norm FROM idx"
@@ -581,9 +627,9 @@ ORACLES: dict[str, str] = {
     "scan_limit": _with(O.songs_cte()) + "SELECT * FROM songs ORDER BY link LIMIT 3",
     "csv_scan": _with(O.songs_cte()) + "SELECT * FROM songs",
     "table_overwrite": _labeled_prefix() + "SELECT artist, song, link, text, llm_labeled_emotions FROM labeled",
-    "sample_songs": _with(O.songs_cte()) + f"SELECT * FROM songs WHERE {O.hex_int('link', 1, 8)} % 1000 < 200",
-    "csv_sample_table": _with(O.songs_cte()) + f"SELECT * FROM songs WHERE {O.hex_int('link', 1, 8)} % 1000 < 200",
-    "sample_count": _with(O.songs_cte()) + f"SELECT count(*) AS n_songs FROM songs WHERE {O.hex_int('link', 1, 8)} % 1000 < 200",
+    "sample_songs": _with(O.songs_cte()) + f"SELECT * FROM songs WHERE {O.hex_int('link', 1, 8)} < 858993459",
+    "csv_sample_table": _with(O.songs_cte()) + f"SELECT * FROM songs WHERE {O.hex_int('link', 1, 8)} < 858993459",
+    "sample_count": _with(O.songs_cte()) + f"SELECT count(*) AS n_songs FROM songs WHERE {O.hex_int('link', 1, 8)} < 858993459",
     "nonnull_preview": _with(O.songs_cte("songs", "(SELECT doc_id, source, CASE WHEN doc_id % 7 = 0 THEN NULL ELSE text END AS text FROM documents)"))
     + "SELECT * FROM songs WHERE text IS NOT NULL ORDER BY link LIMIT 200",
     "strip_punct": f"SELECT conv_id, turn, translate(text, {O.PUNCT_SQL}, '') AS clean_text FROM conversations",
@@ -591,7 +637,7 @@ ORACLES: dict[str, str] = {
     "clean_v1": _sql_clean_v1(),
     "clean_v2": _sql_clean_v2(),
     "clean_v2_legacy": _sql_clean_v2_legacy(),
-    "render_prompt": f"SELECT doc_id, replace({O.q(T.LABEL_PROMPT_TEMPLATE)}, '{{input}}', text) AS prompt FROM documents",
+    "render_prompt": f"SELECT doc_id, replace({O.q(LABEL_PROMPT)}, '{{input}}', text) AS prompt FROM documents",
     "label_emotions": _labeled_prefix() + "SELECT artist, song, link, text, llm_labeled_emotions FROM labeled",
     "first_label": _with(O.lexicon_cte(), O.songs_cte(), O.label_ctes("labeled", "songs", "link", "text", "llm_labeled_emotions"),
                          "first AS (SELECT link, llm_labeled_emotions FROM labeled ORDER BY link LIMIT 1)",
@@ -613,11 +659,20 @@ FROM first f LEFT JOIN sp USING (link) GROUP BY f.link, f.llm_labeled_emotions""
     "embed_dense": _vectors_prefix() + f"""SELECT l.link, r.pos, coalesce(sp.weight, 0.0) AS value
 FROM labeled l CROSS JOIN (SELECT range AS pos FROM range({DIM})) r
 LEFT JOIN sp ON sp.link = l.link AND sp.bucket = r.pos""",
-    "vector_check": _vectors_prefix() + """SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_null_vector, CAST(0 AS BIGINT) AS n_wrong_dim,
-  count(*) FILTER (WHERE link NOT IN (SELECT link FROM sp_norm)) AS n_zero_norm,
+    "vector_check": _vectors_prefix() + """SELECT count(*) AS n_rows, count(*) FILTER (WHERE no % 11 = 0) AS n_null_vector,
+  count(*) FILTER (WHERE no % 11 <> 0 AND no % 13 = 0) AS n_wrong_dim,
+  count(*) FILTER (WHERE no % 11 <> 0 AND no % 13 <> 0 AND (no % 17 = 0 OR zero AND no % 19 <> 0 AND no % 23 <> 0)) AS n_zero_norm,
+  count(*) FILTER (WHERE no % 11 <> 0 AND no % 13 <> 0 AND no % 17 <> 0 AND (no % 19 = 0 OR no % 23 = 0)) AS n_not_finite,
   count(*) FILTER (WHERE contains(llm_labeled_emotions, 'ERROR')) AS n_error_label,
-  count(*) - count(DISTINCT link) AS n_duplicate_key FROM labeled""",
+  count(*) - count(DISTINCT link) AS n_duplicate_key
+FROM (SELECT *, CAST(regexp_extract(link, '([0-9]+)$', 1) AS BIGINT) AS no, link NOT IN (SELECT link FROM sp_norm) AS zero FROM labeled)""",
     "build_index": _index_sql(),
+    "index_with_errors": _index_sql(with_errors=True),
+    "label_v1": _with(O.lexicon_cte(), O.songs_cte(), O.label_ctes(
+        "labeled", "songs", "link", "text", "llm_labeled_emotions", "replace(coalesce(t.names, ''), ',', '')"))
+    + "SELECT artist, song, link, llm_labeled_emotions FROM labeled",
+    "label_duplicates": _labeled_prefix() + """SELECT artist, song, CASE length(text) % 3 WHEN 0 THEN NULL WHEN 1 THEN '/doc/same' ELSE link END AS link,
+  llm_labeled_emotions FROM labeled""",
     "snapshot_diff": _with(O.songs_cte(), _next_snapshot_cte()) + """SELECT coalesce(o.link, n.link) AS link,
   CASE WHEN o.link IS NULL THEN 'insert' WHEN n.link IS NULL THEN 'delete' ELSE 'update' END AS change
 FROM songs o FULL OUTER JOIN songs_new n ON o.link = n.link
@@ -625,7 +680,8 @@ WHERE o.link IS NULL OR n.link IS NULL OR o.artist IS DISTINCT FROM n.artist
    OR o.song IS DISTINCT FROM n.song OR o.text IS DISTINCT FROM n.text""",
     "index_upsert": _index_sql(_next_snapshot_cte().replace("songs_new AS", "songs AS", 1)),
     "stream_index": _index_sql(_next_snapshot_cte().replace("songs_new AS", "songs AS", 1)),
-    "latest_version": "SELECT event_type, max(CAST(CAST(user_id AS VARCHAR) AS INTEGER)) AS latest_version FROM events GROUP BY event_type",
+    "latest_version": "SELECT event_type, max(TRY_CAST(CAST(user_id AS VARCHAR) AS BIGINT)) AS latest_version, "
+    "count(*) FILTER (WHERE TRY_CAST(CAST(user_id AS VARCHAR) AS BIGINT) IS NULL) AS n_rejected FROM events GROUP BY event_type",
     "knn_exact": _sql_knn_exact(),
     "knn_block": _sql_knn_exact(),
     "knn_l2": _sql_knn_l2(),
@@ -638,7 +694,8 @@ WHERE o.link IS NULL OR n.link IS NULL OR o.artist IS DISTINCT FROM n.artist
     "recommend_trials": _sql_recommend_trials(),
     "exclude_flagged": _with(O.songs_cte()) + """SELECT * FROM songs s WHERE NOT EXISTS (
   SELECT 1 FROM labels l WHERE l.toxic = 1 AND '/doc/' || CAST(l.doc_id AS VARCHAR) = s.link)""",
-    "holiday_tag": _with(O.songs_cte()) + "SELECT link, coalesce(list_has_any(regexp_extract_all(lower(text), '[a-z]+'), ["
+    "holiday_tag": _with(O.songs_cte("songs", "(SELECT doc_id, source, CASE WHEN doc_id % 9 = 0 THEN text || ' Merry Christmas!' ELSE text END AS text FROM documents)"))
+    + "SELECT link, coalesce(list_has_any(regexp_extract_all(lower(text), '[a-z]+'), ["
     + ", ".join(O.q(w) for w in M.HOLIDAY_WORDS) + "]), false) AS is_holiday FROM songs",
 }
 

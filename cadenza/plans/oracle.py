@@ -10,7 +10,7 @@ from __future__ import annotations
 import string
 
 from cadenza.functions.text import PUNCTUATION
-from cadenza.operators.label import EMOTIONS, LABELS_PER_TEXT, LEXICON_MIN_LEN, LEXICON_SIZE
+from cadenza.operators.label import EMOTIONS, LABELS_PER_TEXT, LEXICON_MIN_LEN, LEXICON_SIZE, SEED_WORDS
 
 
 def q(s: str) -> str:
@@ -37,8 +37,9 @@ def lexicon_cte(corpus: str = "documents", size: int = LEXICON_SIZE, min_len: in
   SELECT word, CAST({hex_int('word', 1, 8)} % {n} AS INTEGER) AS emotion_id
   FROM (SELECT word, count(*) AS freq
         FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM {corpus})
-        WHERE length(word) >= {min_len}
+        WHERE length(word) >= {min_len} AND word NOT IN ({', '.join(map(q, SEED_WORDS))})
         GROUP BY word ORDER BY freq DESC, word LIMIT {size})
+  UNION ALL SELECT * FROM (VALUES {', '.join(f"({q(w)}, {EMOTIONS.index(e)})" for w, e in SEED_WORDS.items())}) s(w, e)
 ), {emotions_cte()}"""
 
 
@@ -48,12 +49,15 @@ def songs_cte(name: str = "songs", src: str = "documents") -> str:
 
 
 def sentences_cte(name: str = "sentences") -> str:
-    return (f"{name} AS (SELECT CAST(conv_id * 1000 + turn AS BIGINT) AS query_id, text AS user_input "
+    return (f"{name} AS (SELECT CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR) AS query_id, text AS user_input "
             f"FROM conversations WHERE role = 'user')")
 
 
-def label_ctes(name: str, src: str, key: str, text: str, out: str) -> str:
-    """``name``: all columns of ``src`` plus ``out``: ten emotions joined by ', ', or ERROR."""
+def label_ctes(name: str, src: str, key: str, text: str, out: str, verdict: str | None = None) -> str:
+    """``name``: all columns of ``src`` plus ``out``: ten emotions joined by ', ', or ERROR
+    (``verdict``: another expression over ``t.n`` and ``t.names``)."""
+    verdict = verdict or ("CASE WHEN coalesce(t.n, 0) BETWEEN 10 AND 11 THEN t.names "
+                          "ELSE 'ERROR: ' || coalesce(t.names, '') END")
     return f"""{name}_tok AS (
   SELECT {key}, unnest(regexp_extract_all(lower({text}), '[a-z]+')) AS word FROM {src}
 ), {name}_cnt AS (
@@ -64,8 +68,7 @@ def label_ctes(name: str, src: str, key: str, text: str, out: str) -> str:
   FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY c DESC, emotion) AS rk FROM {name}_cnt)
   WHERE rk <= {LABELS_PER_TEXT} GROUP BY {key}
 ), {name} AS (
-  SELECT s.*, CASE WHEN coalesce(t.n, 0) BETWEEN 10 AND 11 THEN t.names
-                   ELSE 'ERROR: ' || coalesce(t.names, '') END AS {out}
+  SELECT s.*, {verdict} AS {out}
   FROM {src} s LEFT JOIN {name}_top t USING ({key})
 )"""
 
@@ -83,14 +86,15 @@ def sparse_ctes(name: str, src: str, key: str, text: str, dim: int) -> str:
 )"""
 
 
-def song_index_ctes(dim: int, songs_src: str = "documents") -> str:
+def song_index_ctes(dim: int, songs_src: str = "documents", with_errors: bool = False) -> str:
     """songs, labeled (songs + llm_labeled_emotions), idx (labeled rows fit for the index),
     dsp / dsp_norm (their sparse vectors)."""
+    fit = "TRUE" if with_errors else "NOT contains(llm_labeled_emotions, 'ERROR')"
     return ",\n".join([
         lexicon_cte(),
         songs_cte("songs", songs_src),
         label_ctes("labeled", "songs", "link", "text", "llm_labeled_emotions"),
-        "idx_src AS (SELECT * FROM labeled WHERE NOT contains(llm_labeled_emotions, 'ERROR'))",
+        f"idx_src AS (SELECT * FROM labeled WHERE {fit})",
         sparse_ctes("dsp", "idx_src", "link", "llm_labeled_emotions", dim),
         "idx AS (SELECT i.*, n.norm FROM idx_src i JOIN dsp_norm n USING (link))",
     ])
@@ -120,7 +124,7 @@ def recommend_sql(dim: int, k: int = 10, embed_source: str = "labels") -> str:
         song_index_ctes(dim),
         sentences_cte(),
         f"qclean AS (SELECT query_id, translate(user_input, {PUNCT_SQL}, '') AS clean_input FROM sentences)",
-        label_ctes("qlab", "qclean", "query_id", "clean_input", "user_emotions"),
+        label_ctes("qlab", "qclean", "query_id", "clean_input", "user_emotions", "t.names"),
         sparse_ctes("qsp", "qlab", "query_id", qtext, dim),
         topk_sql("qsp", "dsp", "query_id", "link", k),
     ])

@@ -16,7 +16,7 @@ from cadenza.functions.text import strip_punct
 from cadenza.functions.vectors import densify, hashed_pairs, pairs_norm
 from cadenza.operators.embed import DEFAULT_DIM, embed
 from cadenza.operators.knn import knn_search
-from cadenza.operators.label import label_emotions
+from cadenza.operators.label import label_emotions, mood
 
 RESULTS_PER_QUERY = 10  # the reference's num_results
 
@@ -37,59 +37,47 @@ def song_vectors(songs: DataFrame, lexicon: DataFrame | None = None, dim: int =
     ``emotions_embeddings`` and ``norm`` from ``llm_labeled_emotions``) replace the defaults.
     """
     base = songs.select("artist", "song", "link", "text")
-    if labeler is None:
-        labeled = label_emotions(base, lexicon, key="link", text="text", carry=["artist", "song"],
-                                 cleaner=cleaner)
-    else:
-        labeled = labeler(base).select("artist", "song", "link", "llm_labeled_emotions")
+    labeled = (label_emotions(base, lexicon, cleaner=cleaner) if labeler is None else labeler(base)).select(
+        "artist", "song", "link", "llm_labeled_emotions")
     if embedder is None:
         return embed(labeled, dim=dim)
     return embedder(labeled)
 
 
 def query_vectors(sentences: DataFrame, lexicon: DataFrame | None = None, dim: int = DEFAULT_DIM,
-                  embed_source: str = "labels", cleaner: str | None = "v2",
-                  labeler: Labeler | None = None, embedder: Embedder | None = None) -> DataFrame:
+                  embed_source: str = "labels", labeler: Labeler | None = None,
+                  embedder: Embedder | None = None) -> DataFrame:
     """Sentences to query rows: query_id, user_emotions, query_vec, query_norm.
 
-    A plug-in ``labeler`` reads ``clean_input`` and adds ``user_emotions``; a plug-in
-    ``embedder`` reads ``llm_labeled_emotions`` and adds ``emotions_embeddings`` (the same
-    functions as for the songs; the columns are renamed around the call).
+    A sentence is labeled with the emotions it has, however few; one without any has null
+    ``user_emotions`` and, embedded by its labels, no vector, so no answer. A plug-in ``labeler``
+    reads ``text`` and adds ``llm_labeled_emotions``; a plug-in ``embedder`` reads
+    ``llm_labeled_emotions`` and adds ``emotions_embeddings`` (the same functions as for songs).
     """
-    clean = sentences.select("query_id", strip_punct("user_input").alias("clean_input"))
+    if embed_source not in ("labels", "raw"):
+        raise ValueError("embed_source must be 'labels' or 'raw'")
+    clean = sentences.select("query_id", strip_punct("user_input").alias("text"))
     if labeler is None:
-        labeled = label_emotions(clean, lexicon, key="query_id", text="clean_input",
-                                 out="user_emotions", carry=[], cleaner=cleaner)
+        labeled = mood(clean, lexicon)
     else:
-        labeled = (labeler(clean.withColumnRenamed("clean_input", "text"))
-                   .withColumnRenamed("llm_labeled_emotions", "user_emotions")
-                   .select("query_id", "user_emotions"))
+        labeled = labeler(clean).withColumnRenamed("llm_labeled_emotions", "user_emotions")
+    source = "user_emotions" if embed_source == "labels" else "text"
     if embedder is not None:
-        src = "user_emotions" if embed_source == "labels" else "clean_input"
-        rows = labeled if embed_source == "labels" else labeled.join(clean, "query_id")
-        out = embedder(rows.withColumn("llm_labeled_emotions", F.col(src)))
+        out = embedder(labeled.select("query_id", "user_emotions", F.col(source).alias("llm_labeled_emotions")))
         return out.select("query_id", "user_emotions", F.col("emotions_embeddings").alias("query_vec"),
                           F.col("norm").alias("query_norm"))
-    if embed_source == "labels":
-        pairs = labeled.select("query_id", "user_emotions", hashed_pairs("user_emotions", dim).alias("_pairs"))
-    elif embed_source == "raw":
-        # the raw vector is map-side work on the sentence; the labels come from the
-        # aggregation; the two meet by key (the sentence never rides through the explode)
-        raw = clean.select("query_id", hashed_pairs("clean_input", dim).alias("_pairs"))
-        pairs = labeled.join(raw, "query_id")
-    else:
-        raise ValueError("embed_source must be 'labels' or 'raw'")
+    pairs = labeled.select("query_id", "user_emotions", hashed_pairs(source, dim).alias("_pairs"))
     return pairs.select("query_id", "user_emotions", densify("_pairs", dim).alias("query_vec"),
                         pairs_norm("_pairs").alias("query_norm"))
 
 
 def recommend(sentences: DataFrame, index: DataFrame, lexicon: DataFrame | None = None, *,
               k: int = RESULTS_PER_QUERY, dim: int = DEFAULT_DIM, embed_source: str = "labels",
-              cleaner: str | None = "v2", labeler: Labeler | None = None,
-              embedder: Embedder | None = None, **search_options) -> DataFrame:
+              labeler: Labeler | None = None, embedder: Embedder | None = None,
+              **search_options) -> DataFrame:
     """Top ``k`` songs per sentence: ``query_id, user_emotions, rank, artist, song, link,
     llm_labeled_emotions, score``. Use the same labeler and embedder as for the index."""
-    queries = query_vectors(sentences, lexicon, dim, embed_source, cleaner, labeler, embedder)
+    queries = query_vectors(sentences, lexicon, dim, embed_source, labeler, embedder)
     hits = knn_search(queries, index, dim=dim, k=k, query_key="query_id", query_vec="query_vec",
                       index_key="link", index_vec="emotions_embeddings",
                       payload=["artist", "song", "llm_labeled_emotions"],

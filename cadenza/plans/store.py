@@ -66,9 +66,8 @@ def build_store(songs: DataFrame, root: str, dim: int = DEFAULT_DIM, cleaner: st
     store = Store(root)
     build_lexicon(songs).write.mode("overwrite").parquet(store.lexicon)
     lexicon = materialize_lexicon(spark.read.parquet(store.lexicon))
-    labels = label_emotions(songs.select("artist", "song", "link", "text"), lexicon, key="link",
-                            text="text", carry=["artist", "song"], cleaner=cleaner)
-    labels.write.mode("overwrite").parquet(store.labeled)
+    labels = label_emotions(songs.select("artist", "song", "link", "text"), lexicon, cleaner=cleaner)
+    labels.drop("text").write.mode("overwrite").parquet(store.labeled)
     embed(spark.read.parquet(store.labeled), dim=dim, sparse=sparse).write.mode("overwrite").parquet(store.embeddings)
     index = X.build_index(spark.read.parquet(store.embeddings), dim=dim, drop_errors=drop_errors,
                           check_dim=False)

@@ -16,10 +16,11 @@ from cadenza.functions.vectors import tokens
 from cadenza.sources.tables import songs_from_documents
 
 
-def answer_words(text: str = "text") -> F.Column:
-    """Ten words for a fake answer: the first ten distinct tokens of the whole text in
-    alphabetical order, joined by ', '."""
-    return F.array_join(F.slice(F.array_sort(F.array_distinct(tokens(F.col(text)))), 1, 10), ", ")
+def answer_words(text: str = "text", key: str = "doc_id") -> F.Column:
+    """Eight to fourteen words (by ``key % 7``) for a fake answer: the first distinct tokens of the
+    whole text in alphabetical order, joined by ', '. The cleaners' bounds lie in that range."""
+    n = (F.lit(8) + F.col(key) % 7).cast("int")
+    return F.array_join(F.slice(F.array_sort(F.array_distinct(tokens(F.col(text)))), F.lit(1), n), ", ")
 
 
 def model_answers(documents: DataFrame) -> DataFrame:
@@ -54,3 +55,24 @@ def next_snapshot(documents: DataFrame) -> DataFrame:
         F.concat(F.lit("/doc/new-"), F.col("doc_id").cast("string")).alias("link"),
         F.col("text"))
     return songs_from_documents(kept).unionByName(added)
+
+
+def songs_with_holidays(documents: DataFrame) -> DataFrame:
+    """Songs of which every ninth also names a holiday."""
+    text = F.when(F.col("doc_id") % 9 == 0, F.concat("text", F.lit(" Merry Christmas!"))).otherwise(F.col("text"))
+    return songs_from_documents(documents.withColumn("text", text))
+
+
+def damaged_vectors(vectors: DataFrame, dim: int, vec: str = "emotions_embeddings") -> DataFrame:
+    """Vectors of which some are null, too short, zero, or hold NaN or infinity, by the link's
+    number; the stored norm is dropped."""
+    no = F.regexp_extract("link", "([0-9]+)$", 1).cast("bigint")
+    v = F.col(vec)
+
+    def first(value: float) -> F.Column:
+        return F.concat(F.array(F.lit(value).cast("float")), F.slice(v, 2, dim - 1))
+
+    bad = (F.when(no % 11 == 0, F.lit(None)).when(no % 13 == 0, F.slice(v, 1, dim - 1))
+           .when(no % 17 == 0, F.transform(v, lambda x: F.lit(0).cast("float")))
+           .when(no % 19 == 0, first(float("nan"))).when(no % 23 == 0, first(float("inf"))).otherwise(v))
+    return vectors.withColumn(vec, bad).drop("norm")

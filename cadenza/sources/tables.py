@@ -11,50 +11,20 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 SONG_COLUMNS = ("artist", "song", "link", "text")
 
 
-SMALL_INPUT_BYTES = 1 << 30   # below this, spreading the rows over all cores costs little
-SMALL_INPUT_MAX_FILES = 64    # more files than this: the scan is parallel by itself
-
-
-def input_bytes(df: DataFrame, max_files: int = SMALL_INPUT_MAX_FILES) -> int | None:
-    """Total size of the files under ``df``, or None when there are more than ``max_files``."""
-    files = df.inputFiles()
-    if len(files) > max_files:
-        return None
-    spark = df.sparkSession
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    total = 0
-    for f in files:
-        path = jvm.org.apache.hadoop.fs.Path(f)
-        total += path.getFileSystem(conf).getFileStatus(path).getLen()
-    return total
-
-
-def spread_small_input(df: DataFrame, min_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
-    """Spread a small scan over all cores before CPU-heavy per-row work.
-
-    A parquet file is split by row groups; a small file with one row group is read by one
-    task, however many cores there are. When the input has fewer files than cores and is small
-    (under ``min_bytes``), a round-robin repartition is cheap and gives every core a share. Large
-    inputs are left alone: their scans are parallel already, and a shuffle would cost.
-    Filters and column pruning still reach the scan (they pass through the repartition).
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan of fewer splits than cores over all cores, before CPU-heavy work per row.
+
+    A parquet file is split by row groups, so a small file is read by one task. Inputs of more
+    splits are parallel already and stay as they are. Only the plan's number of splits is asked
+    for; filters and column pruning still reach the scan.
     """
-    parts = df.sparkSession.sparkContext.defaultParallelism
-    try:
-        if len(df.inputFiles()) >= parts:   # at least one split per core already
-            return df
-        size = input_bytes(df)
-    except Exception:  # noqa: BLE001 - no JVM file API (e.g. a remote session): leave as is
-        return df
-    if size is None or size >= min_bytes:
-        return df
-    return df.repartition(parts)
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One test table (parquet): filters and column choices reach the scan."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small_input(df) if spread else df
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def song_link(doc_id) -> F.Column:
@@ -76,9 +46,9 @@ def songs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sentences_from_conversations(conversations: DataFrame) -> DataFrame:
-    """User input table: every user turn, ``query_id = conv_id * 1000 + turn``."""
+    """User input table: every user turn, ``query_id = "{conv_id}/{turn}"``."""
     return conversations.where(F.col("role") == "user").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).cast("bigint").alias("query_id"),
+        F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("query_id"),
         F.col("text").alias("user_input"),
     )
 

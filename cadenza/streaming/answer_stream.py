@@ -17,7 +17,7 @@ from cadenza.operators.embed import DEFAULT_DIM
 from cadenza.plans.recommend import RESULT_COLUMNS, RESULTS_PER_QUERY
 from cadenza.plans.store import Store, recommend_from_store
 
-SENTENCE_SCHEMA = "query_id bigint, user_input string"
+SENTENCE_SCHEMA = "query_id string, user_input string"
 
 
 def start_answer_stream(spark: SparkSession, source_dir: str, store: Store, out_dir: str,

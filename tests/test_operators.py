@@ -8,7 +8,7 @@ from cadenza.operators import measures as M
 from cadenza.plans import catalog as C
 from cadenza.sources import files as io
 from cadenza.sources.fixtures import next_snapshot
-from cadenza.sources.tables import read_table, songs, songs_from_documents, spread_small_input
+from cadenza.sources.tables import read_table, songs, songs_from_documents, spread
 from conftest import SF_SMALL
 
 
@@ -41,9 +41,47 @@ def test_sample_is_stable_subset(spark):
     assert a == b and a <= allk and 0 < len(a) < len(allk)
 
 
-def test_spread_small_input(spark):
+def test_spread_only_scans_of_few_splits(spark):
     d = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
-    assert spread_small_input(d).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(d).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = d.repartition(50)
+    assert spread(many) is many
+
+
+def test_small_sample_fractions(spark):
+    df = spark.range(100_000).selectExpr("concat('/x/', id) AS link")
+    assert 15 < M.sample_by_key(df, "link", 0.0004).count() < 80
+    assert M.sample_by_key(df, "link", 0.9996).count() < 100_000 == M.sample_by_key(df, "link", 1.0).count()
+
+
+def test_error_rate_of_an_empty_table(spark):
+    r = M.error_rate(spark.createDataFrame([], "llm_labeled_emotions string")).first()
+    assert tuple(r) == (0, 0, None)
+
+
+def test_query_ids_do_not_collide(spark):
+    from cadenza.sources.tables import sentences_from_conversations
+
+    c = spark.createDataFrame([(1, 1000, "user", "a"), (2, 0, "user", "b"), (1, 2500, "user", "c")],
+                              "conv_id bigint, turn int, role string, text string")
+    assert sentences_from_conversations(c).select("query_id").distinct().count() == 3
+
+
+def test_rows_keep_their_own_labels(spark):
+    lex = spark.createDataFrame([("happy", 0), ("rainy", 4)], "word string, emotion_id int")
+    rows = [("/k", "happy day"), ("/k", "nothing"), (None, "rainy rainy happy"), (None, None)]
+    got = L.label_emotions(spark.createDataFrame(rows, "link string, text string"), lex).collect()
+    assert [(r.link, r.text) for r in got] == rows
+    assert [r.llm_labeled_emotions for r in got] == ["ERROR: joy", "ERROR: ", "ERROR: sadness, joy", "ERROR: "]
+
+
+def test_no_exchange_carries_text(spark):
+    lex = C.lexicon(spark, SF_SMALL)
+    base = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    from cadenza.operators.prompts import prompt_grid
+
+    for df in (L.label_emotions(songs_from_documents(base), lex), prompt_grid(songs_from_documents(base), lex)):
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_labels_are_ten_distinct_or_error(spark):
@@ -58,8 +96,10 @@ def test_labels_are_ten_distinct_or_error(spark):
 
 def test_lexicon_bounded(spark):
     lex = C.lexicon(spark, SF_SMALL)
-    assert lex.count() == L.LEXICON_SIZE
+    assert lex.where('freq > 0').count() == L.LEXICON_SIZE
+    assert lex.count() == L.LEXICON_SIZE + len(L.SEED_WORDS)
     assert lex.where(F.length("word") < L.LEXICON_MIN_LEN).count() == 0
+    assert lex.select("word").distinct().count() == lex.count()
 
 
 def test_recommend_invariants(spark):
@@ -71,6 +111,7 @@ def test_recommend_invariants(spark):
         by_q.setdefault(r.query_id, []).append(r)
         assert -1.0 <= r.score <= 1.0
         assert not r.llm_labeled_emotions.startswith("ERROR")
+        assert r.user_emotions and "ERROR" not in r.user_emotions
     for q, rs in by_q.items():
         ranks = sorted(r["rank"] for r in rs)
         assert ranks == list(range(1, len(rs) + 1)) and len(rs) <= 10
@@ -102,16 +143,19 @@ def test_diff_and_upsert_idempotent(spark):
 
 
 def test_latest_version_numeric(spark):
-    df = spark.createDataFrame([("a", "9"), ("a", "10"), ("b", "2")], "name string, version string")
-    assert dict(X.latest_version(df, "name", "version").collect()) == {"a": 10, "b": 2}
+    rows = [("a", "9"), ("a", "10"), ("b", "2"), ("b", "x"), ("c", "123456789012")]
+    df = spark.createDataFrame(rows, "name string, version string")
+    got = {r[0]: (r[1], r[2]) for r in X.latest_version(df, "name", "version").collect()}
+    assert got == {"a": (10, 0), "b": (2, 1), "c": (123456789012, 0)}
 
 
 def test_vector_check_counts(spark):
     df = spark.createDataFrame(
-        [("a", [1.0, 0.0]), ("a", [0.0, 1.0]), ("b", None), ("c", [1.0]), ("d", [0.0, 0.0])],
+        [("a", [1.0, 0.0]), ("a", [0.0, 1.0]), ("b", None), ("c", [1.0]), ("d", [0.0, 0.0]), ("e", [float("nan"), 1.0]), ("f", [1.0, float("inf")])],
         "link string, v array<float>")
     r = X.vector_check(df, 2, vec="v", label=None).collect()[0]
-    assert (r.n_rows, r.n_null_vector, r.n_wrong_dim, r.n_zero_norm, r.n_duplicate_key) == (5, 1, 1, 1, 1)
+    assert (r.n_rows, r.n_null_vector, r.n_wrong_dim, r.n_zero_norm, r.n_not_finite, r.n_duplicate_key) == (7, 1, 1, 1, 2, 1)
+    assert {x.link for x in X.build_index(df, 2, vec="v").collect()} == {"a"}
 
 
 def test_diff_with_duplicate_keys(spark):
