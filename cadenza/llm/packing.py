@@ -15,16 +15,18 @@ padding.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import zlib
 from collections import defaultdict, deque
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import bounded_batches, written
+from cadenza.llm.common import bounded_batches, text_bytes, written
 
 SEQUENCE = 2048
 #: Sequences in a window, and windows that a task buffers.
@@ -35,7 +37,7 @@ TAIL_TASKS = 256
 #: Queues at most; more sources share queues by hash.
 MAX_QUEUES = 10_000
 #: Words, and parts of words, whose ids a worker remembers at most.
-CACHE_WORDS, CACHE_PARTS = 400_000, 600_000
+CACHE_WORDS, CACHE_PARTS = 400_000, 1_000_000
 
 PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -64,6 +66,8 @@ class WordTokenizer(dict):
         self.model, self.parts = self.tokenizer.model, {}
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.as_bytes = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        gc.set_threshold(100_000, 50, 100)      # large dicts of bytes hold no cycles
         self.plain = True
         self.plain = all(self[w.encode()] == self._encode(w) for w in _PROBES)
         self.clear()
@@ -76,26 +80,31 @@ class WordTokenizer(dict):
         if ids is None:
             if len(self.parts) >= CACHE_PARTS:
                 self.parts.clear()
-            ids = self.parts[part] = b"".join(
-                t.id.to_bytes(4, "little") for t in self.model.tokenize(part.translate(self.as_bytes)))
+            tokens = self.model.tokenize(part if part.isascii() else part.translate(self.as_bytes))
+            ids = self.parts[part] = b"".join([self.id_bytes[t.id] for t in tokens])
         return ids
 
     def __missing__(self, word: bytes) -> bytes:
         text = word.decode("utf-8")
-        form = _PLAIN.fullmatch(text) if self.plain else None
-        if form is None:
+        if not self.plain:
             ids = self._encode(text)
+        elif text.isascii() and text.isalpha():
+            ids = self._part(text.lower())
+        elif form := _PLAIN.fullmatch(text):
+            ids = self._part(form[1].lower()) + self._part(form[2]) if form[2] else self._part(form[1].lower())
         else:
-            ids = self._part(form[1].lower()) + (self._part(form[2]) if form[2] else b"")
+            ids = self._encode(text)
         if len(self) >= CACHE_WORDS:
             self.clear()
         self[word] = ids
         return ids
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of every text, with the end id."""
+    def encode(self, column) -> Iterator[bytes]:
+        """Little-endian unsigned 32-bit ids of every text of an Arrow column, with the end id."""
         end = END_ID.to_bytes(4, "little")
-        return [b"".join([self[w] for w in (t or "").encode("utf-8").split()]) + end for t in texts]
+        data, offsets = text_bytes(column)
+        for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+            yield b"".join([self[w] for w in data[lo:hi].tobytes().split()]) + end
 
 
 _TOKENIZERS: dict[int, WordTokenizer] = {}
@@ -208,7 +217,7 @@ def _first_round(batches, spec: str, shares: dict, with_ids: bool):
     for batch in batches:
         queues = batch.column("queue").to_pylist()
         for queue, doc_id, ids in zip(queues, batch.column("doc_id").to_pylist(),
-                                      model.encode(batch.column("text").to_pylist())):
+                                      model.encode(batch.column("text"))):
             pack.add(queue, doc_id, ids, 0, len(ids) // 4)
             while pack.buffered >= BUFFERED * WINDOW * SEQUENCE:
                 pack.fill(WINDOW * SEQUENCE)
