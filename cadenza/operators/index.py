@@ -1,20 +1,28 @@
-"""Vector index maintenance.
+"""Vector index maintenance.
 
 The index is a table keyed by ``link`` with a vector and its norm. Without a transactional
-table format, it is kept in versions: each refresh writes a new version directory from the
-previous one (a table cannot overwrite itself while read), and readers take the newest.
+table format it is a folder of numbered versions, each written once:
+
+* a *base* holds every row (bucketed by the key if asked for),
+* a *delta* holds the rows that one refresh changed, and tombstones of the rows it removed.
+
+Every row carries ``seq``, the order of changes to its key, and ``deleted``. :func:`read_index`
+merges the newest base with the deltas after it: per key the row of the largest ``seq`` counts, so
+a change that arrives late never undoes a newer one, also after a deletion. A refresh of five
+songs writes five rows. :func:`compact` writes a new base on demand; :func:`drop_before` removes
+versions that nobody reads any more. A version's metadata names the stream and epoch it came
+from, so a retried epoch rewrites its own version and a new stream continues the numbering.
 
 * :func:`snapshot_diff` stands in for a change feed: two snapshots, each reduced to one digest
   per key, then a full outer join on the key; the wide columns never enter the shuffle.
-* :func:`upsert` applies changes: the old index minus changed keys (left anti join, broadcast
-  when AQE sees the change set is small), plus the new rows. Versions written bucketed by the
-  key (:func:`write_version`) make that join shuffle only the change keys, never the index.
+* :func:`upsert` applies a diff in batch: the old index minus changed keys, plus the new rows.
 * :func:`vector_check` counts what :func:`build_index` keeps out.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -99,12 +107,18 @@ def build_index(vectors: DataFrame, dim: int, key: str = "link", vec: str = "emo
     """
     if "norm" not in vectors.columns:
         vectors = vectors.withColumn("norm", norm(vec))
+    return vectors.where(fit(dim, vec, label if label in vectors.columns else None, drop_errors, check_dim))
+
+
+def fit(dim: int, vec: str = "emotions_embeddings", label: str | None = "llm_labeled_emotions",
+        drop_errors: bool = True, check_dim: bool = True) -> F.Column:
+    """Whether a row with its ``norm`` is fit for the index; never null."""
     ok = (F.col("norm") > 0) & finite_norm(F.col("norm"))
     if check_dim:
         ok = has_dim(vec, dim) & ok
-    if drop_errors and label in vectors.columns:
+    if drop_errors and label:
         ok = ok & ~F.coalesce(is_error_label(label), F.lit(False))
-    return vectors.where(ok)
+    return F.coalesce(ok, F.lit(False))
 
 
 def vector_check(vectors: DataFrame, dim: int, key: str = "link", vec: str = "emotions_embeddings",
@@ -153,65 +167,154 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+NAMESPACE = "cadenza"
+BASE, DELTA = "base", "delta"
+#: Bytes of a bucket, and buckets at least.
+BUCKET_BYTES, MIN_BUCKETS = 128 << 20, 8
+
+
 def version_path(base: str, version: int) -> str:
     return f"{base.rstrip('/')}/v={version:08d}"
 
 
-def list_versions(spark: SparkSession, base: str) -> list[int]:
-    """Completed versions under ``base`` (those with a _SUCCESS marker), ascending."""
+def bucket_count(rows: int, dim: int) -> int:
+    """Buckets of a base from its size (``rows`` of ``dim`` floats and some text)."""
+    return max(MIN_BUCKETS, -(-rows * (4 * dim + 300) // BUCKET_BYTES))
+
+
+def _read_meta(spark: SparkSession, path: str) -> dict | None:
+    fs, p = _fs(spark, f"{path}/_meta")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
+
+
+def _write_meta(spark: SparkSession, path: str, meta: dict) -> None:
+    fs, p = _fs(spark, f"{path}/_meta")
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(json.dumps(meta).encode()))
+    finally:
+        stream.close()
+
+
+def list_versions(spark: SparkSession, base: str) -> dict[int, dict]:
+    """Complete versions under ``base`` (their metadata is written last), ascending."""
     fs, p = _fs(spark, base)
     if not fs.exists(p):
-        return []
-    out = []
-    for status in fs.listStatus(p):
-        name = status.getPath().getName()
-        if name.startswith("v=") and fs.exists(status.getPath().suffix("/_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
+        return {}
+    names = sorted(s.getPath().getName() for s in fs.listStatus(p))
+    found = {int(n[2:]): _read_meta(spark, f"{base.rstrip('/')}/{n}") for n in names if n.startswith("v=")}
+    return {v: m for v, m in found.items() if m is not None}
 
 
-NAMESPACE = "cadenza"
+def _next_version(spark: SparkSession, base: str, source: str | None) -> int:
+    """The version that ``source`` (stream and epoch) wrote before, or a new one."""
+    versions = list_versions(spark, base)
+    if source is not None:
+        for v, meta in versions.items():
+            if meta.get("source") == source:
+                return v
+    return max(versions, default=0) + 1
 
 
 def version_table(base: str, version: int, namespace: str = NAMESPACE) -> str:
-    """Catalog name of a bucketed index version (derived from its folder)."""
+    """Catalog name of a bucketed base (derived from its folder)."""
     digest = hashlib.md5(base.rstrip("/").encode()).hexdigest()[:12]
     return f"{namespace}.index_{digest}_v{version:08d}"
 
 
-def write_version(df: DataFrame, base: str, version: int, bucket_by: str | None = None,
-                  buckets: int = 0) -> str:
-    """Write one index version (overwrite makes a retried write idempotent).
+def with_state(rows: DataFrame, seq: int = 0) -> DataFrame:
+    """Index rows with the columns that versions carry: ``seq`` and ``deleted``."""
+    if "seq" not in rows.columns:
+        rows = rows.withColumn("seq", F.lit(seq).cast("bigint"))
+    return rows if "deleted" in rows.columns else rows.withColumn("deleted", F.lit(False))
+
+
+def write_version(df: DataFrame, base: str, kind: str = BASE, source: str | None = None,
+                  bucket_by: str | None = None, buckets: int = 0) -> int:
+    """Write one version and return its number; a retry of the same ``source`` overwrites its own.
 
-    With ``bucket_by`` and ``buckets``, the version is also a bucketed catalog table over the
-    same folder: later joins on that key (the upsert's anti join) shuffle only the other side,
-    never the index. The write itself needs no shuffle: each task writes its rows' buckets.
+    With ``bucket_by`` and ``buckets`` a base is also a bucketed catalog table over the same
+    folder: merges and joins on that key shuffle only the other side, never the index. Rows
+    are dealt to their buckets first, so a bucket is one file.
     """
+    spark = df.sparkSession
+    version = _next_version(spark, base, source)
     path = version_path(base, version)
+    df = with_state(df)
     if bucket_by and buckets > 0:
         from cadenza.sources.files import ensure_namespace
 
-        spark = df.sparkSession
         ensure_namespace(spark, NAMESPACE)
-        (df.write.mode("overwrite").bucketBy(buckets, bucket_by).sortBy(bucket_by)
+        (df.repartition(buckets, bucket_by).write.mode("overwrite").bucketBy(buckets, bucket_by).sortBy(bucket_by)
          .option("path", path).saveAsTable(version_table(base, version)))
     else:
         df.write.mode("overwrite").parquet(path)
-    return path
+    _write_meta(spark, path, {"kind": kind, "source": source})
+    return version
 
 
-def read_version(spark: SparkSession, base: str, version: int, schema=None) -> DataFrame:
+def _read_version(spark: SparkSession, base: str, version: int) -> DataFrame:
     """A version as its bucketed table when one is registered, else its parquet folder."""
     name = version_table(base, version)
-    if spark.catalog.tableExists(name):
-        return spark.table(name)
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(version_path(base, version))
+    return spark.table(name) if spark.catalog.tableExists(name) else spark.read.parquet(version_path(base, version))
 
 
-def read_latest(spark: SparkSession, base: str, schema=None, before: int | None = None) -> DataFrame | None:
-    """The newest completed version (below ``before`` when given), or None."""
-    versions = [v for v in list_versions(spark, base) if before is None or v < before]
+def merge(rows: DataFrame, changes: DataFrame, key: str = "link") -> DataFrame:
+    """Rows (one per key) after ``changes`` (several per key): the largest ``seq`` counts, a change
+    before a row of the same ``seq``. Tombstones stay in the result.
+
+    The changes are few: of the rows only key and ``seq`` meet them, once on each side.
+    """
+    order = [F.desc("seq")] + ([F.desc("_version")] if "_version" in changes.columns else [])
+    newest = latest_per_key(changes, key, order).select(rows.columns)
+    kept = (rows.join(newest.select(key, F.col("seq").alias("_seq")), key, "left")
+            .where(F.col("_seq").isNull() | (F.col("_seq") < F.col("seq"))).select(rows.columns))
+    won = (newest.join(rows.select(key, F.col("seq").alias("_seq")), key, "left")
+           .where(F.col("_seq").isNull() | (F.col("_seq") <= F.col("seq"))).select(rows.columns))
+    return kept.unionByName(won)
+
+
+def read_state(spark: SparkSession, base: str) -> DataFrame | None:
+    """All keys of the index with ``seq`` and ``deleted``, or None without a version."""
+    versions = list_versions(spark, base)
     if not versions:
         return None
-    return read_version(spark, base, versions[-1], schema)
+    start = max((v for v, m in versions.items() if m["kind"] == BASE), default=0)
+    deltas = [_read_version(spark, base, v).withColumn("_version", F.lit(v)) for v in versions if v > start]
+    changes = None
+    for d in deltas:
+        changes = d if changes is None else changes.unionByName(d)
+    if not start:
+        newest = latest_per_key(changes, "link", [F.desc("seq"), F.desc("_version")])
+        return newest.drop("_version")
+    rows = _read_version(spark, base, start)
+    return rows if changes is None else merge(rows, changes)
+
+
+def read_index(spark: SparkSession, base: str) -> DataFrame | None:
+    """The index as of now: the newest base merged with the deltas after it."""
+    state = read_state(spark, base)
+    return None if state is None else state.where("NOT deleted").drop("seq", "deleted")
+
+
+def compact(spark: SparkSession, base: str, bucket_by: str | None = None, buckets: int = 0) -> int:
+    """Write the merged state as a new base; tombstones stay, so late changes still lose."""
+    return write_version(read_state(spark, base), base, BASE, None, bucket_by, buckets)
+
+
+def drop_before(spark: SparkSession, base: str) -> list[int]:
+    """Remove the versions before the newest base, which no read needs; returns their numbers."""
+    versions = list_versions(spark, base)
+    start = max((v for v, m in versions.items() if m["kind"] == BASE), default=0)
+    old = [v for v in versions if v < start]
+    for v in old:
+        spark.sql(f"DROP TABLE IF EXISTS {version_table(base, v)}")
+        fs, p = _fs(spark, version_path(base, v))
+        fs.delete(p, True)
+    return old

@@ -1,21 +1,22 @@
 """Approximate search with an inverted-file index (M8): coarse cells, then exact scoring
 inside the cells a query probes.
 
-* Cells come from ``pyspark.ml`` KMeans (cosine distance, which normalizes the vectors
-  itself), trained on a hash sample of the index when one is asked for; the centroids
-  (``n_cells x dim``, bounded by a parameter) and the per-cell row counts are the only things
-  that reach the driver.
-* Stored form: :func:`write_cells` writes the index partitioned by cell, and
-  :func:`ivf_search_stored` reads only the folders of the probed cells (partition pruning).
-* Every index row goes to its nearest cell (KMeansModel.transform, JVM side); every query goes
-  to its ``nprobe`` nearest cells (numpy against the broadcast centroids).
+* A cell belongs to a centre. Centres are *pivots* (:func:`hash_pivots`: the valid rows whose keys
+  hash lowest, which any engine can recompute) or the centroids of ``pyspark.ml`` KMeans
+  (:func:`train_cells`). ``n_cells x dim`` numbers, bounded by a parameter and by
+  ``MAX_CENTER_BYTES``, are the only rows that reach the driver.
+* Every valid index row goes to its nearest centre and every valid query to its ``nprobe``
+  nearest ones: by cosine, rounded, ties by cell number, in score blocks of bounded size. Rows
+  that exact search leaves out (null, short, zero, not finite) have no cell.
+* Stored form: :func:`write_cells` writes the index partitioned by cell and the rows of each
+  cell next to it; :func:`ivf_search_stored` reads only the folders of the probed cells.
 * One cell may hold a large share of the rows (copies are common). Cells are therefore cut into
   sub-blocks of at most ``index_block_rows`` rows, and the queries probing a cell into blocks of
   at most ``query_block_rows``; each (cell, index block, query block) group is scored exactly
   with the kernel of :mod:`cadenza.operators.knn`. No group grows with the data.
 * Per query, partial top-k lists merge in a WindowGroupLimit, as in exact search.
 
-Recall against exact search and the share of (query, row) pairs scored are reported side by
+Recall against exact search and the share of all (query, row) pairs scored are reported side by
 side (:func:`ivf_recall`): recall alone says little when most pairs are scored anyway.
 """
 
@@ -23,26 +24,70 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from cadenza.functions.vectors import has_dim, md5_hex_int, norm
-from cadenza.operators.knn import _candidates, _matrix, _reduce_topk, _score_block, _valid_rows
+from cadenza.functions.vectors import finite_norm, has_dim, md5_hex_int, norm
+from cadenza.operators.knn import (SCORE_CELLS, _candidates, _matrix, _reduce_topk, _scaled_round, _score_block,
+                                   _topk_rows, _valid_rows)
 from cadenza.session import shared_dir
 
 MAX_CELLS = 65536
+MAX_CENTER_BYTES = 256 << 20     # centres are broadcast
+DIGITS = 6                       # of the cosine that routes a row
+CELL_FILE_ROWS = 500_000         # rows of a file of a cell, about
+
+
+@dataclass(frozen=True)
+class Cells:
+    """Unit centres, ``n_cells x dim``; cell number = row."""
+
+    centers: np.ndarray
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        rows = [(i, c.tolist()) for i, c in enumerate(self.centers)]
+        spark.createDataFrame(rows, "cell int, center array<double>").write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "Cells":
+        rows = spark.read.parquet(path).orderBy("cell").limit(MAX_CELLS).collect()
+        return Cells(np.array([r["center"] for r in rows], dtype=np.float64))
+
+
+def _bounded(n_cells: int, dim: int) -> None:
+    if not 0 < n_cells <= MAX_CELLS or n_cells * dim * 8 > MAX_CENTER_BYTES:
+        raise ValueError(f"n_cells must be in 1..{MAX_CELLS} and the centres below {MAX_CENTER_BYTES} bytes")
+
+
+def _unit(rows) -> Cells:
+    centers = np.array([np.asarray(c, dtype=np.float64) for c in rows])
+    return Cells(centers / np.sqrt((centers * centers).sum(axis=1, keepdims=True)))
+
+
+def _valid(index: DataFrame, vec: str, dim: int) -> DataFrame:
+    n = norm(vec)
+    return index.where(has_dim(vec, dim) & (n > 0) & finite_norm(n))
+
+
+def hash_pivots(index: DataFrame, vec: str, dim: int, n_cells: int, key: str) -> Cells:
+    """The ``n_cells`` valid rows whose keys have the lowest hash (ties by key) as centres."""
+    _bounded(n_cells, dim)
+    order = [md5_hex_int(F.col(key).cast("string"), 1, 8), F.col(key)]
+    rows = _valid(index, vec, dim).orderBy(*order).limit(n_cells).select(vec).collect()
+    return _unit([r[0] for r in rows])
 
 
 def train_cells(index: DataFrame, vec: str, dim: int, n_cells: int, seed: int = 42,
                 sample_fraction: float | None = None, key: str | None = None,
-                max_iter: int = 10) -> KMeansModel:
+                max_iter: int = 10) -> Cells:
     """KMeans (cosine) over the index's vectors, on a hash sample of the keys when
     ``sample_fraction`` is given (every row is still indexed and searched).
 
@@ -50,54 +95,37 @@ def train_cells(index: DataFrame, vec: str, dim: int, n_cells: int, seed: int =
     shared checkpoint folder first, so the iterations read them back instead of recomputing
     them, and a lost executor does not send the training back to the source.
     """
-    if not 0 < n_cells <= MAX_CELLS:
-        raise ValueError(f"n_cells must be in 1..{MAX_CELLS}")
-    # cosine KMeans normalizes the points itself, so the vectors go in as they are
-    rows = index.where(has_dim(vec, dim) & (norm(vec) > 0))
+    _bounded(n_cells, dim)
+    rows = _valid(index, vec, dim)
     if sample_fraction is not None and key is not None:
-        rows = rows.where(md5_hex_int(F.col(key).cast("string"), 1, 8) % 1000 < int(sample_fraction * 1000))
+        rows = rows.where(md5_hex_int(F.col(key).cast("string"), 1, 8) < int(round(sample_fraction * (1 << 32))))
     shared_dir(index.sparkSession)
     train = rows.select(array_to_vector(vec).alias("features")).checkpoint(eager=True)
-    return KMeans(k=n_cells, seed=seed, maxIter=max_iter, initSteps=1,
-                  distanceMeasure="cosine").fit(train)
-
+    return _unit(KMeans(k=n_cells, seed=seed, maxIter=max_iter, initSteps=1,
+                        distanceMeasure="cosine").fit(train).clusterCenters())
 
-def centers_of(model: KMeansModel) -> np.ndarray:
-    """Unit centroids, ``n_cells x dim`` (bounded by ``n_cells``)."""
-    centers = np.array([np.asarray(c, dtype=np.float64) for c in model.clusterCenters()])
-    return centers / np.linalg.norm(centers, axis=1, keepdims=True)
 
-
-def assign_cells(index: DataFrame, vec: str, model: KMeansModel) -> DataFrame:
-    """``index`` plus ``cell``: the nearest centroid by cosine (KMeansModel.transform, JVM)."""
-    feats = index.withColumn("features", array_to_vector(vec))
-    return (model.setPredictionCol("cell").transform(feats)
-            .withColumn("cell", F.col("cell").cast("int")).drop("features"))
-
-
-def _route_queries(q: DataFrame, centers: np.ndarray, dim: int, nprobe: int) -> DataFrame:
-    """One row per (query, probed cell), ``nprobe`` nearest cells per valid query."""
-    sc = q.sparkSession.sparkContext
-    shipped = sc.broadcast(centers)
-    fields = q.schema.fields + [StructField("cell", IntegerType())]
-    schema = StructType(fields)
+def _route(rows: DataFrame, vec: str, nrm: str, cells: Cells, dim: int, nprobe: int) -> DataFrame:
+    """One row per (valid row, one of its ``nprobe`` nearest cells): the columns plus ``cell``."""
+    shipped = rows.sparkSession.sparkContext.broadcast(cells.centers)
+    schema = StructType(rows.schema.fields + [StructField("cell", IntegerType())])
     arrow_schema = to_arrow_schema(schema)
-    probes = min(nprobe, len(centers))
+    n_cells = len(cells.centers)
+    probes, step = min(nprobe, n_cells), max(1, SCORE_CELLS // max(n_cells, 1))
 
     def route(batches):
-        C = shipped.value
+        centers = shipped.value
         for b in batches:
-            t = _valid_rows(pa.Table.from_batches([b]), "_qv", "_qn", dim, "cosine")
-            if t.num_rows == 0:
-                continue
-            Q = _matrix(t.column("_qv"), dim)
-            s = (Q @ C.T) / t.column("_qn").to_numpy(zero_copy_only=False)[:, None]
-            order = np.lexsort((np.broadcast_to(np.arange(len(C)), s.shape), -s), axis=1)[:, :probes]
-            t = t.take(pa.array(np.repeat(np.arange(t.num_rows), probes)))
-            t = t.append_column("cell", pa.array(order.ravel().astype(np.int32)))
-            yield from t.cast(arrow_schema).to_batches()
+            t = _valid_rows(pa.Table.from_batches([b]), vec, nrm, dim, "cosine")
+            for lo in range(0, t.num_rows, step):
+                part = t.slice(lo, step)
+                x = _matrix(part.column(vec), dim)
+                s = (x @ centers.T) / part.column(nrm).to_numpy(zero_copy_only=False)[:, None]
+                row, cell = _topk_rows(_scaled_round(s, DIGITS), np.arange(n_cells), probes, None)
+                out = part.take(pa.array(row)).append_column("cell", pa.array(cell.astype(np.int32)))
+                yield from out.cast(arrow_schema).to_batches()
 
-    return q.mapInArrow(route, schema)
+    return rows.mapInArrow(route, schema)
 
 
 def _queries(queries: DataFrame, query_key: str, query_vec: str, query_payload: Sequence[str] = (),
@@ -109,32 +137,33 @@ def _queries(queries: DataFrame, query_key: str, query_vec: str, query_payload:
 
 
 def _index_rows(index: DataFrame, index_key: str, index_vec: str, payload: Sequence[str],
-                index_norm: str | None = None) -> DataFrame:
+                index_norm: str | None = None, cell: bool = False) -> DataFrame:
     n = F.col(index_norm) if index_norm else norm(index_vec)
     return index.select(F.col(index_key).alias("_ik"), F.col(index_vec).alias("_iv"),
-                        n.cast("double").alias("_in"), "cell", *payload)
+                        n.cast("double").alias("_in"), *(["cell"] if cell else []), *payload)
 
 
 def _score_cells(routed: DataFrame, x: DataFrame, n_cells: int, probes: int, *, dim: int, k: int,
                  query_key: str, index_key: str, payload: Sequence[str], exclude_self: bool,
-                 digits: int, query_block_rows: int, index_block_rows: int,
+                 digits: int, query_block_rows: int, index_block_rows: int, xc: dict[int, int],
                  query_payload: Sequence[str] = ()) -> tuple[DataFrame, float]:
-    """Exact top-k inside the probed cells, in bounded (cell, index block, query block) groups."""
-    xc = dict(x.groupBy("cell").count().collect())          # n_cells rows at most
+    """Exact top-k inside the probed cells, in bounded (cell, index block, query block) groups.
+    ``xc``: index rows of every cell, probed or not."""
     qc = dict(routed.groupBy("cell").count().collect())
     nq = sum(qc.values()) // probes                         # each query is routed to that many cells
     nx = sum(xc.values())
     pairs = sum(qc.get(c, 0) * xc.get(c, 0) for c in range(n_cells))
     share = pairs / (nq * nx) if nq and nx else 0.0
-    isub = [max(1, math.ceil(xc.get(c, 0) / index_block_rows)) for c in range(n_cells)]
-    qsub = [max(1, math.ceil(qc.get(c, 0) / query_block_rows)) for c in range(n_cells)]
-    isub_of = F.element_at(F.array(*[F.lit(v) for v in isub]), F.col("cell") + 1)
-    qsub_of = F.element_at(F.array(*[F.lit(v) for v in qsub]), F.col("cell") + 1)
+    sizes = F.broadcast(x.sparkSession.createDataFrame(
+        [(c, max(1, math.ceil(xc.get(c, 0) / index_block_rows)), max(1, math.ceil(qc.get(c, 0) / query_block_rows)))
+         for c in range(n_cells)], "cell int, isub bigint, qsub bigint"))       # a row per cell
+
+    def blocks(n: str):
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
 
-    xrep = (x.withColumn("ib", F.pmod(F.xxhash64("_ik"), isub_of))
-            .withColumn("qb", F.explode(F.sequence(F.lit(0), qsub_of - 1).cast("array<bigint>"))))
-    qrep = (routed.withColumn("qb", F.pmod(F.xxhash64("_qk"), qsub_of))
-            .withColumn("ib", F.explode(F.sequence(F.lit(0), isub_of - 1).cast("array<bigint>"))))
+    xrep = x.join(sizes, "cell").withColumn("ib", F.pmod(F.xxhash64("_ik"), "isub")).withColumn("qb", blocks("qsub"))
+    qrep = routed.join(sizes, "cell").withColumn("qb", F.pmod(F.xxhash64("_qk"), "qsub")).withColumn("ib", blocks("isub"))
+    xrep, qrep = xrep.drop("isub", "qsub"), qrep.drop("isub", "qsub")
 
     qf = {f.name: f for f in routed.schema.fields}
     xf = {f.name: f for f in x.schema.fields}
@@ -169,7 +198,7 @@ def _score_cells(routed: DataFrame, x: DataFrame, n_cells: int, probes: int, *,
     return ranked.select(query_key, *query_payload, "rank", index_key, *payload, "score"), share
 
 
-def ivf_search(queries: DataFrame, index: DataFrame, model: KMeansModel, *, dim: int, k: int = 10,
+def ivf_search(queries: DataFrame, index: DataFrame, model: Cells, *, dim: int, k: int = 10,
                nprobe: int = 1, query_key: str = "query_id", query_vec: str = "query_vec",
                index_key: str = "link", index_vec: str = "emotions_embeddings",
                payload: Sequence[str] = (), exclude_self: bool = False, digits: int = 6,
@@ -179,27 +208,36 @@ def ivf_search(queries: DataFrame, index: DataFrame, model: KMeansModel, *, dim:
     :func:`ivf_search_stored` for an index already written by cell."""
     if query_key == index_key:
         raise ValueError("output column names of the two sides must differ")
-    centers = centers_of(model)
-    routed = _route_queries(_queries(queries, query_key, query_vec), centers, dim, nprobe)
-    x = _index_rows(assign_cells(index, index_vec, model), index_key, index_vec, payload)
-    # cell counts, then copies: save both computed sides once (see knn._block_scores)
+    n_cells = len(model.centers)
+    routed = _route(_queries(queries, query_key, query_vec), "_qv", "_qn", model, dim, nprobe)
+    x = _route(_index_rows(index, index_key, index_vec, payload), "_iv", "_in", model, dim, 1)
+    # cell counts, then copies: save both computed sides once
     shared_dir(queries.sparkSession)
     routed, x = routed.checkpoint(eager=True), x.checkpoint(eager=True)
-    return _score_cells(routed, x, len(centers), min(nprobe, len(centers)), dim=dim, k=k,
+    return _score_cells(routed, x, n_cells, min(nprobe, n_cells), dim=dim, k=k,
                         query_key=query_key, index_key=index_key, payload=payload,
                         exclude_self=exclude_self, digits=digits, query_block_rows=query_block_rows,
-                        index_block_rows=index_block_rows)
+                        index_block_rows=index_block_rows, xc=dict(x.groupBy("cell").count().collect()))
 
 
-def write_cells(index: DataFrame, model: KMeansModel, path: str, *, index_key: str = "link",
+def write_cells(index: DataFrame, model: Cells, path: str, *, dim: int, index_key: str = "link",
                 index_vec: str = "emotions_embeddings", payload: Sequence[str] = ()) -> str:
-    """Store the index as inverted lists: one folder per cell (``partitionBy('cell')``)."""
-    cols = [index_key, index_vec, *payload] + (["norm"] if "norm" in index.columns else [])
-    assign_cells(index.select(*cols), index_vec, model).write.mode("overwrite").partitionBy("cell").parquet(path)
+    """Store the index as inverted lists: one folder per cell (``partitionBy('cell')``), and the
+    rows of every cell beside it. Rows are dealt by cell first (large cells to several tasks), so
+    a cell has few files."""
+    spark = index.sparkSession
+    index_norm = "norm" if "norm" in index.columns else None
+    rows = _route(_index_rows(index, index_key, index_vec, payload, index_norm), "_iv", "_in", model, dim, 1)
+    parts = max(1, len(model.centers))
+    salt = F.pmod(F.xxhash64("_ik"), F.lit(1 + index.count() // (parts * CELL_FILE_ROWS)))
+    out = rows.repartition("cell", salt).select(F.col("_ik").alias(index_key), F.col("_iv").alias(index_vec),
+                                                *([F.col("_in").alias("norm")] if index_norm else []), *payload, "cell")
+    out.write.mode("overwrite").partitionBy("cell").parquet(path)
+    spark.read.parquet(path).groupBy("cell").count().write.mode("overwrite").parquet(f"{path.rstrip('/')}-counts")
     return path
 
 
-def ivf_search_stored(queries: DataFrame, path: str, model: KMeansModel, *, dim: int, k: int = 10,
+def ivf_search_stored(queries: DataFrame, path: str, model: Cells, *, dim: int, k: int = 10,
                       nprobe: int = 1, query_key: str = "query_id", query_vec: str = "query_vec",
                       index_key: str = "link", index_vec: str = "emotions_embeddings",
                       payload: Sequence[str] = (), query_payload: Sequence[str] = (),
@@ -210,19 +248,19 @@ def ivf_search_stored(queries: DataFrame, path: str, model: KMeansModel, *, dim:
     the index instead of all of it."""
     if query_key == index_key:
         raise ValueError("output column names of the two sides must differ")
-    spark = queries.sparkSession
-    centers = centers_of(model)
-    routed = _route_queries(_queries(queries, query_key, query_vec, query_payload, query_norm),
-                            centers, dim, nprobe)
+    spark, n_cells = queries.sparkSession, len(model.centers)
+    routed = _route(_queries(queries, query_key, query_vec, query_payload, query_norm), "_qv", "_qn", model, dim, nprobe)
     shared_dir(spark)
     routed = routed.checkpoint(eager=True)
     probed = sorted(r["cell"] for r in routed.select("cell").distinct().collect())   # <= n_cells
+    counts = spark.read.parquet(f"{path.rstrip('/')}-counts").collect()              # <= n_cells
     stored = spark.read.parquet(path).where(F.col("cell").isin(probed))
-    x = _index_rows(stored, index_key, index_vec, payload, "norm" if "norm" in stored.columns else None)
-    return _score_cells(routed, x, len(centers), min(nprobe, len(centers)), dim=dim, k=k,
+    x = _index_rows(stored, index_key, index_vec, payload, "norm" if "norm" in stored.columns else None, cell=True)
+    return _score_cells(routed, x, n_cells, min(nprobe, n_cells), dim=dim, k=k,
                         query_key=query_key, index_key=index_key, payload=payload,
                         exclude_self=exclude_self, digits=digits, query_block_rows=query_block_rows,
-                        index_block_rows=index_block_rows, query_payload=query_payload)
+                        index_block_rows=index_block_rows, xc={r["cell"]: r["count"] for r in counts},
+                        query_payload=query_payload)
 
 
 def ivf_recall(exact: DataFrame, approx: DataFrame, query_key: str, index_key: str) -> DataFrame:

@@ -7,10 +7,10 @@ tasks, and everything around it is a DataFrame plan:
   once with a row cap derived from the byte budget, broadcast, and every index partition is
   scored batch by batch in ``mapInArrow``. Each task keeps only a running top-k per query, so
   the index is read once and never shuffled, and no pair is ever materialized as a row.
-* **Block path** (larger query sets): queries get a hash block ``qb`` and are copied to every
-  index block ``ib``; index rows get a hash block ``ib`` and are copied to every ``qb``. One
-  ``cogroup`` per ``(qb, ib)`` scores a bounded block pair. Block counts come from the row
-  counts, so no group grows with the data.
+* **Block path** (larger query sets): the queries are written once and cut by hash into blocks of
+  that budget. The index stays where it is: ``PASS_BLOCKS`` blocks at a time pass over it like
+  broadcast queries, and each pass writes its answers. So the index is never copied, shuffled
+  or checkpointed, and is read once per ``PASS_BLOCKS`` blocks.
 
 Both paths end in the same merge: ``row_number() over (partition by query order by score
 desc, key)`` with ``rank <= k``, which Spark plans as a WindowGroupLimit (partial top-k before
@@ -35,12 +35,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from cadenza.functions.vectors import finite_norm, has_dim, norm, sparse_norm
-from cadenza.session import shared_dir
+from cadenza.session import scratch_path
 
 DEFAULT_BROADCAST_BYTES = 64 << 20   # query matrix bytes allowed in a broadcast
 SCORE_CELLS = 4_000_000              # score-matrix cells computed at once per task
-QUERY_BLOCK_ROWS = 4096              # queries per block (block path)
-INDEX_BLOCK_ROWS = 32768             # index rows per block (block path)
+PASS_BLOCKS = 8                      # query blocks that one pass over the index answers
 
 
 # ----------------------------------------------------------------------------- kernel
@@ -239,13 +238,12 @@ def knn_search(queries: DataFrame, index: DataFrame, *, dim: int, k: int = 10,
                payload: Sequence[str] = (), query_payload: Sequence[str] = (),
                query_norm: str | None = None, index_norm: str | None = None,
                metric: str = "cosine", exclude_self: bool = False, digits: int = 6,
-               max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-               query_block_rows: int = QUERY_BLOCK_ROWS,
-               index_block_rows: int = INDEX_BLOCK_ROWS) -> DataFrame:
+               max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Top ``k`` index rows per query: ``query_key, query_payload..., rank, index_key,
     payload..., score``. Rows without a valid ``dim``-wide vector (or with norm 0 under
     cosine) take no part. Keys must be unique on each side. ``query_norm`` / ``index_norm``
-    name precomputed norm columns (else norms are computed here)."""
+    name precomputed norm columns (else norms are computed here). Give a stored index if the
+    queries exceed ``max_broadcast_bytes``: it is then read in several passes."""
     if metric not in ("cosine", "dot", "l2"):
         raise ValueError("metric must be 'cosine', 'dot' or 'l2'")
     if query_key == index_key or set(query_payload) & set(payload):
@@ -265,18 +263,36 @@ def knn_search(queries: DataFrame, index: DataFrame, *, dim: int, k: int = 10,
     schema = _output_schema(q, x, query_key, query_payload, index_key, payload)
     arrow_schema = to_arrow_schema(schema)
 
-    cap_rows = max(0, max_broadcast_bytes // (8 * dim + 64))
-    local = q.limit(cap_rows + 1).toArrow() if cap_rows > 0 else None
-    if local is not None and local.num_rows <= cap_rows:
+    def answers(local: pa.Table) -> DataFrame:
         local = _valid_rows(local, "_qv", "_qn", dim, metric)
-        partial = _broadcast_scores(local, x, schema, arrow_schema, dim, k, digits, metric,
-                                    exclude_self, query_payload, payload)
-    else:
-        partial = _block_scores(q, x, schema, arrow_schema, dim, k, digits, metric, exclude_self,
-                                query_payload, payload, query_block_rows, index_block_rows)
-    w = Window.partitionBy(query_key).orderBy(F.desc("score"), F.asc(index_key))
-    ranked = partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return ranked.select(query_key, *query_payload, "rank", index_key, *payload, "score")
+        return _broadcast_scores(local, x, schema, arrow_schema, dim, k, digits, metric, exclude_self,
+                                 query_payload, payload)
+
+    def ranked(partial: DataFrame) -> DataFrame:
+        w = Window.partitionBy(query_key).orderBy(F.desc("score"), F.asc(index_key))
+        top = partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+        return top.select(query_key, *query_payload, "rank", index_key, *payload, "score")
+
+    cap_rows = max(1, max_broadcast_bytes // (8 * dim + 64))
+    local = q.limit(cap_rows + 1).toArrow()
+    row_bytes = max(8 * dim + 64, local.nbytes // max(local.num_rows, 1))
+    if local.num_rows <= cap_rows and local.num_rows * row_bytes <= 2 * max_broadcast_bytes:
+        return ranked(answers(local))
+    # too many queries for one broadcast: blocks of the budget's size, a few per pass
+    spark = queries.sparkSession
+    saved = scratch_path(spark, "knn-queries")
+    q.write.parquet(saved)
+    q = spark.read.schema(q.schema).parquet(saved)
+    blocks = math.ceil(q.count() * row_bytes / max_broadcast_bytes)
+    out = scratch_path(spark, "knn-answers")
+    block = F.pmod(F.xxhash64("_qk"), F.lit(blocks))
+    for first in range(0, blocks, PASS_BLOCKS):
+        partial = None
+        for b in range(first, min(first + PASS_BLOCKS, blocks)):
+            part = answers(q.where(block == b).toArrow())
+            partial = part if partial is None else partial.unionByName(part)
+        ranked(partial).write.mode("append").parquet(out)
+    return spark.read.parquet(out)
 
 
 def _broadcast_scores(local: pa.Table, x: DataFrame, schema, arrow_schema, dim, k, digits,
@@ -312,46 +328,6 @@ def _broadcast_scores(local: pa.Table, x: DataFrame, schema, arrow_schema, dim,
     return x.mapInArrow(score, schema)
 
 
-def _block_scores(q: DataFrame, x: DataFrame, schema, arrow_schema, dim, k, digits, metric,
-                  exclude_self, query_payload, payload, query_block_rows, index_block_rows) -> DataFrame:
-    spark = x.sparkSession
-    # Both sides are large on this path and are read twice (row counts, then copies): save
-    # them once to the shared checkpoint folder, so an upstream plan (labels, embeddings)
-    # runs once and a lost executor does not send the scoring back to it.
-    shared_dir(spark)
-    q, x = q.checkpoint(eager=True), x.checkpoint(eager=True)
-    nq, nx = q.count(), x.count()
-    n_qb = max(1, math.ceil(nq / query_block_rows))
-    n_ib = max(1, math.ceil(nx / index_block_rows),
-               math.ceil(spark.sparkContext.defaultParallelism / n_qb))
-    qrep = (q.withColumn("qb", F.pmod(F.xxhash64("_qk"), F.lit(n_qb)))
-            .withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(n_ib - 1)).cast("array<bigint>"))))
-    xrep = (x.withColumn("ib", F.pmod(F.xxhash64("_ik"), F.lit(n_ib)))
-            .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_qb - 1)).cast("array<bigint>"))))
-    qk_name, ik_name = schema.names[0], schema.names[1 + len(query_payload)]
-    payload = list(payload)
-    qp_names = ["_qk"] + [f"_qp{i}" for i in range(len(query_payload))]
-
-    def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        left = _valid_rows(left, "_qv", "_qn", dim, metric)
-        right = _valid_rows(right, "_iv", "_in", dim, metric)
-        if left.num_rows == 0 or right.num_rows == 0:
-            return arrow_schema.empty_table()
-        qcols = {c: left.column(c).combine_chunks() for c in qp_names}
-        Q = _matrix(left.column("_qv"), dim)
-        qn = left.column("_qn").to_numpy().astype(np.float64)
-        ikeys = right.column("_ik").combine_chunks()
-        X = _matrix(right.column("_iv"), dim)
-        xn = right.column("_in").to_numpy().astype(np.float64)
-        qi, xi, si = _score_block(Q, qn, qcols["_qk"].to_numpy(zero_copy_only=False), X, xn,
-                                  ikeys, k, digits, metric, exclude_self)
-        cand = _candidates(qcols, qi, ikeys, {c: right.column(c).combine_chunks() for c in payload},
-                           xi, si, digits, arrow_schema)
-        return _reduce_topk(cand, qk_name, ik_name, k)
-
-    return qrep.groupBy("qb", "ib").cogroup(xrep.groupBy("qb", "ib")).applyInArrow(score, schema)
-
-
 def knn_single(index: DataFrame, query: Sequence[float], *, k: int = 10, index_key: str = "link",
                index_vec: str = "emotions_embeddings", payload: Sequence[str] = (),
                digits: int = 6) -> DataFrame:

@@ -32,7 +32,7 @@ DIM = E.DEFAULT_DIM          # song vectors: the reference's width
 EMB_DIM = 64                 # width of the `embeddings` test table
 KNN = 10                     # results per query
 SAMPLE_FRACTION = 0.2        # the reference's sample fraction
-INDEX_BUCKETS = 8            # buckets of the stored index versions (by link)
+BLOCK_BYTES = 250_000        # query bytes per block in the block path's key
 IVF_CELLS = 16               # cells of the inverted file
 
 # Our label prompt.
@@ -295,12 +295,11 @@ def q_knn_exact(spark, d):
 
 
 def q_knn_block(spark, d):
-    """The same through the block path (checkpoint, copies, cogroup)."""
+    """The same through the block path: query blocks pass over the index."""
     e = read_table(spark, d, "embeddings")
     return K.knn_search(embedding_queries(e), e, dim=EMB_DIM, k=KNN, query_key="query_id",
                         query_vec="query_vec", index_key="vec_id", index_vec="embedding",
-                        exclude_self=True, max_broadcast_bytes=0, query_block_rows=128,
-                        index_block_rows=128)
+                        exclude_self=True, max_broadcast_bytes=BLOCK_BYTES)
 
 
 def q_knn_l2(spark, d):
@@ -335,7 +334,7 @@ def q_recommend_stored(spark, d):
     search the stored index."""
     from cadenza.plans import store as PL
 
-    store = PL.build_store(songs(spark, d), scratch_path(spark, "store"), dim=DIM, buckets=INDEX_BUCKETS)
+    store = PL.build_store(songs(spark, d), scratch_path(spark, "store"), dim=DIM, bucketed=True)
     return PL.recommend_from_store(sentences(spark, d), store, dim=DIM, k=KNN)
 
 
@@ -354,7 +353,7 @@ def q_recommend_ivf(spark, d):
     from cadenza.plans import store as PL
 
     store = PL.build_store(songs(spark, d), scratch_path(spark, "store-ivf"), dim=DIM,
-                           buckets=INDEX_BUCKETS, ivf_cells=IVF_CELLS)
+                           bucketed=True, ivf_cells=IVF_CELLS)
     return PL.recommend_from_store(sentences(spark, d), store, dim=DIM, k=KNN, nprobe=2)
 
 
@@ -382,9 +381,45 @@ def q_stream_index(spark, d):
     src, base, ckpt = f"{root}/changes", f"{root}/index", f"{root}/checkpoint"
     old, new = songs_from_documents(docs), fx.next_snapshot(docs)
     S.changes_from_rows(old, seq=1).write.mode("append").parquet(src)
-    S.run_index_stream(spark, src, base, ckpt, lex, DIM, buckets=INDEX_BUCKETS)
-    S.changes_from_diff(new, X.snapshot_diff(old, new), seq=2).write.mode("append").parquet(src)
-    return S.run_index_stream(spark, src, base, ckpt, lex, DIM, buckets=INDEX_BUCKETS).select(*INDEX_COLUMNS)
+    S.run_index_stream(spark, src, base, ckpt, lex, DIM)
+    diff = saved(X.snapshot_diff(old, new), "diff")
+    S.changes_from_diff(new, diff, seq=2).write.mode("append").parquet(src)
+    return S.run_index_stream(spark, src, base, ckpt, lex, DIM).select(*INDEX_COLUMNS)
+
+
+def q_stream_on_store(spark, d):
+    """An index built in batch, then refreshed by a stream with a checkpoint of its
+    own, ends equal to a batch build of the second snapshot."""
+    from cadenza.plans import store as PL
+
+    docs = read_table(spark, d, "documents")
+    old, new = songs_from_documents(docs), fx.next_snapshot(docs)
+    root = scratch_path(spark, "stream-on-store")
+    store = PL.build_store(old, f"{root}/store", dim=DIM, bucketed=True)
+    diff = saved(X.snapshot_diff(old, new), "diff")
+    S.changes_from_diff(new, diff, seq=1).write.parquet(f"{root}/changes")
+    return S.run_index_stream(spark, f"{root}/changes", store.index, f"{root}/checkpoint",
+                              PL.open_lexicon(spark, store), DIM).select(*INDEX_COLUMNS)
+
+
+def q_stream_late(spark, d):
+    """Older changes to updated and deleted songs arrive late and change nothing, neither in a
+    delta nor after a compaction."""
+    docs = read_table(spark, d, "documents")
+    lex = lexicon(spark, d)
+    root = scratch_path(spark, "stream-late")
+    src, base, ckpt = f"{root}/changes", f"{root}/index", f"{root}/checkpoint"
+    old, new = songs_from_documents(docs), fx.next_snapshot(docs)
+    diff = saved(X.snapshot_diff(old, new), "diff")
+    changed = old.join(diff.select("link"), "link", "left_semi")
+    for rows, compacted in ((S.changes_from_rows(old, seq=1), False), (S.changes_from_diff(new, diff, seq=5), False),
+                            (S.changes_from_rows(changed, seq=3), True), (S.changes_from_rows(changed, seq=4), False)):
+        rows.write.mode("append").parquet(src)
+        index = S.run_index_stream(spark, src, base, ckpt, lex, DIM)
+        if compacted:
+            X.compact(spark, base)
+            X.drop_before(spark, base)
+    return index.select(*INDEX_COLUMNS)
 
 
 def q_stream_recommend(spark, d):
@@ -457,6 +492,8 @@ QUERIES: dict[str, Query] = {
     "recommend_raw": q_recommend_raw,
     "recommend_trials": q_recommend_trials,
     "stream_index": q_stream_index,
+    "stream_on_store": q_stream_on_store,
+    "stream_late": q_stream_late,
     "stream_recommend": q_stream_recommend,
     "exclude_flagged": q_exclude_flagged,
     "holiday_tag": q_holiday_tag,
@@ -680,6 +717,8 @@ WHERE o.link IS NULL OR n.link IS NULL OR o.artist IS DISTINCT FROM n.artist
    OR o.song IS DISTINCT FROM n.song OR o.text IS DISTINCT FROM n.text""",
     "index_upsert": _index_sql(_next_snapshot_cte().replace("songs_new AS", "songs AS", 1)),
     "stream_index": _index_sql(_next_snapshot_cte().replace("songs_new AS", "songs AS", 1)),
+    "stream_late": _index_sql(_next_snapshot_cte().replace("songs_new AS", "songs AS", 1)),
+    "stream_on_store": _index_sql(_next_snapshot_cte().replace("songs_new AS", "songs AS", 1)),
     "latest_version": "SELECT event_type, max(TRY_CAST(CAST(user_id AS VARCHAR) AS BIGINT)) AS latest_version, "
     "count(*) FILTER (WHERE TRY_CAST(CAST(user_id AS VARCHAR) AS BIGINT) IS NULL) AS n_rejected FROM events GROUP BY event_type",
     "knn_exact": _sql_knn_exact(),
@@ -701,42 +740,141 @@ WHERE o.link IS NULL OR n.link IS NULL OR o.artist IS DISTINCT FROM n.artist
 
 
 # ----------------------------------------------------------------------------- approximate search
-# Rows-only keys: the cells come from KMeans, so the answers are approximate by design.
 
-IVF_PROBES = (1, 2, 4, 8)
+IVF_PROBES = (1, 2, 4, 8, IVF_CELLS)
+
+
+def q_knn_bad_vectors(spark, d):
+    """Rows with null, short, zero, NaN or infinite vectors take no part, for every metric
+    and on both paths."""
+    e = read_table(spark, d, "embeddings").select("vec_id", "embedding", F.concat(F.lit("/"), F.col("vec_id").cast("string")).alias("link"))
+    bad = fx.damaged_vectors(e, EMB_DIM, "embedding")
+    out = None
+    for metric in ("cosine", "dot", "l2"):
+        for path, size in (("broadcast", K.DEFAULT_BROADCAST_BYTES), ("block", BLOCK_BYTES)):
+            hits = K.knn_search(embedding_queries(bad), bad, dim=EMB_DIM, k=KNN, query_key="query_id", query_vec="query_vec",
+                                index_key="vec_id", index_vec="embedding", metric=metric, exclude_self=True,
+                                max_broadcast_bytes=size)
+            hits = hits.withColumn("metric", F.lit(metric)).withColumn("path", F.lit(path))
+            out = hits if out is None else out.unionByName(hits)
+    return out
 
 
 def _ivf_inputs(spark, d):
     from cadenza.operators import ivf as V
 
     e = read_table(spark, d, "embeddings")
-    model = V.train_cells(e, "embedding", EMB_DIM, IVF_CELLS, seed=42)
-    return V, e, model
+    model = V.hash_pivots(e, "embedding", EMB_DIM, IVF_CELLS, "vec_id")
+    path = V.write_cells(e, model, scratch_path(spark, "ivf-cells"), dim=EMB_DIM, index_key="vec_id", index_vec="embedding")
+
+    def search(nprobe: int):
+        return V.ivf_search_stored(embedding_queries(e), path, model, dim=EMB_DIM, k=KNN, nprobe=nprobe,
+                                   query_key="query_id", query_vec="query_vec", index_key="vec_id",
+                                   index_vec="embedding", exclude_self=True)
+
+    return V, search
 
 
 def q_knn_ivf(spark, d):
-    """Inverted lists written by cell, then searched reading only the probed cells."""
-    V, e, model = _ivf_inputs(spark, d)
-    path = V.write_cells(e, model, scratch_path(spark, "ivf-cells"), index_key="vec_id", index_vec="embedding")
-    res, _ = V.ivf_search_stored(embedding_queries(e), path, model, dim=EMB_DIM, k=KNN, nprobe=2,
-                                 query_key="query_id", query_vec="query_vec", index_key="vec_id",
-                                 index_vec="embedding", exclude_self=True)
-    return res
+    """M8: inverted lists written by cell, then searched reading only the 2 probed cells."""
+    return _ivf_inputs(spark, d)[1](2)[0]
+
+
+def q_knn_ivf_all(spark, d):
+    """M8: with every cell probed the answers are those of exact search."""
+    return _ivf_inputs(spark, d)[1](IVF_CELLS)[0]
 
 
 def q_knn_recall(spark, d):
-    """recall@10 and share of pairs scored, per number of probed cells."""
-    V, e, model = _ivf_inputs(spark, d)
-    exact = q_knn_exact(spark, d)
-    rows = []
+    """M8: recall@10 and share of pairs scored, per number of probed cells."""
+    V, search = _ivf_inputs(spark, d)
+    exact = saved(q_knn_exact(spark, d), "knn-exact")
+    out = None
     for nprobe in IVF_PROBES:
-        approx, share = V.ivf_search(embedding_queries(e), e, model, dim=EMB_DIM, k=KNN, nprobe=nprobe,
-                                     query_key="query_id", query_vec="query_vec", index_key="vec_id",
-                                     index_vec="embedding", exclude_self=True)
-        recall = V.ivf_recall(exact, approx, "query_id", "vec_id").collect()[0]["recall"]
-        rows.append((IVF_CELLS, nprobe, float(recall), float(share)))
-    return local_frame(spark, rows, "n_cells int, nprobe int, recall double, pairs_scored double")
+        approx, share = search(nprobe)
+        row = V.ivf_recall(exact, approx, "query_id", "vec_id").select(
+            F.lit(IVF_CELLS).alias("n_cells"), F.lit(nprobe).alias("nprobe"), "recall", F.lit(share).alias("pairs_scored"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+QUERIES |= {"knn_bad_vectors": q_knn_bad_vectors, "knn_ivf": q_knn_ivf, "knn_ivf_all": q_knn_ivf_all,
+            "knn_recall": q_knn_recall}
+
+
+def _ivf_ctes(probes: str) -> str:
+    """emb, every vector's cell, the probed cells of every query (``probes``: rank condition)."""
+    return f"""{_emb_cte()},
+piv AS (SELECT CAST(row_number() OVER (ORDER BY {O.hex_int('CAST(vec_id AS VARCHAR)', 1, 8)}, vec_id) - 1 AS INTEGER) AS cell, v, norm
+        FROM emb WHERE norm > 0 QUALIFY cell < {IVF_CELLS}),
+near AS (SELECT e.vec_id, p.cell, row_number() OVER (PARTITION BY e.vec_id ORDER BY
+           round(list_dot_product(e.v, p.v) / (e.norm * p.norm), 6) DESC, p.cell) AS nth FROM emb e, piv p WHERE e.norm > 0),
+cells AS (SELECT vec_id, cell FROM near WHERE nth = 1),
+probed AS (SELECT vec_id, cell, nth FROM near WHERE {probes})"""
+
+
+def _sql_knn_ivf() -> str:
+    return f"""WITH {_ivf_ctes("nth <= 2")},
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, round(list_dot_product(a.v, b.v) / (a.norm * b.norm), 6) AS score
+  FROM probed p JOIN cells c USING (cell) JOIN emb a ON a.vec_id = p.vec_id JOIN emb b ON b.vec_id = c.vec_id
+  WHERE a.vec_id <> b.vec_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {KNN}"""
 
 
-QUERIES["knn_ivf"] = q_knn_ivf
-QUERIES["knn_recall"] = q_knn_recall
+def _sql_knn_recall() -> str:
+    return f"""WITH {_ivf_ctes("TRUE")},
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, p.nth, round(list_dot_product(a.v, b.v) / (a.norm * b.norm), 6) AS score
+  FROM emb a, emb b, probed p, cells c
+  WHERE a.vec_id <> b.vec_id AND p.vec_id = a.vec_id AND c.vec_id = b.vec_id AND p.cell = c.cell),
+exact AS (SELECT query_id, vec_id FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= {KNN}),
+probes AS (SELECT * FROM (VALUES {', '.join(f'({n})' for n in IVF_PROBES)}) t(nprobe)),
+approx AS (SELECT nprobe, query_id, vec_id FROM scored JOIN probes ON nth <= nprobe
+           QUALIFY row_number() OVER (PARTITION BY nprobe, query_id ORDER BY score DESC, vec_id) <= {KNN}),
+share AS (SELECT nprobe, count(*) / (SELECT pow(count(*), 2) FROM cells) AS pairs_scored
+          FROM probes JOIN probed ON nth <= nprobe JOIN cells USING (cell) GROUP BY nprobe)
+SELECT {IVF_CELLS} AS n_cells, s.nprobe, count(a.query_id) / count(*) AS recall, any_value(s.pairs_scored) AS pairs_scored
+FROM share s CROSS JOIN exact e LEFT JOIN approx a ON a.nprobe = s.nprobe AND a.query_id = e.query_id AND a.vec_id = e.vec_id
+GROUP BY s.nprobe"""
+
+
+def _sql_knn_bad_vectors() -> str:
+    fine = "vec_id % 11 <> 0 AND vec_id % 13 <> 0 AND vec_id % 17 <> 0 AND vec_id % 19 <> 0 AND vec_id % 23 <> 0"
+    score = {"cosine": "list_dot_product(a.v, b.v) / (a.norm * b.norm)", "dot": "list_dot_product(a.v, b.v)"}
+    parts = []
+    for metric in ("cosine", "dot", "l2"):
+        expr = f"round({score[metric]}, 6)" if metric in score else "-round(list_distance(a.v, b.v), 6)"
+        # the zero vectors (vec_id % 17 = 0) take part where a norm is not divided by
+        zero = "" if metric == "cosine" else " OR zero"
+        parts.append(f"""SELECT '{metric}' AS metric, a.vec_id AS query_id, b.vec_id, {expr} AS score FROM bad a, bad b
+  WHERE a.vec_id <> b.vec_id AND (a.fine{zero.replace('zero', 'a.zero')}) AND (b.fine{zero.replace('zero', 'b.zero')})""")
+    zero = "vec_id % 11 <> 0 AND vec_id % 13 <> 0 AND vec_id % 17 = 0"
+    return f"""WITH {_emb_cte()},
+bad AS (SELECT vec_id, {fine} AND norm > 0 AS fine, {zero} OR ({fine} AND norm = 0) AS zero, norm,
+        CASE WHEN {zero} THEN list_transform(v, lambda x: 0.0::DOUBLE) ELSE v END AS v FROM emb),
+scored AS ({" UNION ALL ".join(parts)}),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY metric, query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score, metric, path FROM ranked CROSS JOIN (VALUES ('broadcast'), ('block')) t(path) WHERE rank <= {KNN}"""
+
+
+def _sql_recommend_ivf() -> str:
+    """The exact SQL, with pairs restricted to the probed cells."""
+    sql = O.recommend_sql(DIM, KNN)
+    cells = f"""piv AS (SELECT link AS plink, CAST(row_number() OVER (ORDER BY {O.hex_int('link', 1, 8)}, link) - 1 AS INTEGER) AS cell, norm AS pn
+        FROM dsp_norm QUALIFY cell < {IVF_CELLS}),
+pdot AS (SELECT a.id, p.cell, sum(a.weight * d.weight) AS dot
+         FROM (SELECT query_id AS id, bucket, weight FROM qsp UNION ALL SELECT link, bucket, weight FROM dsp) a
+         JOIN dsp d USING (bucket) JOIN piv p ON p.plink = d.link GROUP BY ALL),
+near AS (SELECT n.id, p.cell, row_number() OVER (PARTITION BY n.id ORDER BY round(coalesce(t.dot, 0) / (n.norm * p.pn), 6) DESC, p.cell) AS nth
+         FROM (SELECT query_id AS id, norm FROM qsp_norm UNION ALL SELECT link, norm FROM dsp_norm) n CROSS JOIN piv p
+         LEFT JOIN pdot t ON t.id = n.id AND t.cell = p.cell),
+pairs AS ("""
+    sql = sql.replace("pairs AS (", cells, 1)
+    return sql.replace("FROM qsp_norm a CROSS JOIN dsp_norm b", """FROM qsp_norm a JOIN near q ON q.id = a.query_id AND q.nth <= 2
+  JOIN near c ON c.cell = q.cell AND c.nth = 1 JOIN dsp_norm b ON b.link = c.id""")
+
+
+ORACLES |= {"knn_ivf": _sql_knn_ivf(), "knn_ivf_all": _sql_knn_exact(), "knn_recall": _sql_knn_recall(),
+            "knn_bad_vectors": _sql_knn_bad_vectors(), "recommend_ivf": _sql_recommend_ivf()}

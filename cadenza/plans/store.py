@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.operators import index as X
@@ -51,11 +50,11 @@ class Store:
 
 
 def build_store(songs: DataFrame, root: str, dim: int = DEFAULT_DIM, cleaner: str | None = "v2",
-                drop_errors: bool = True, buckets: int = 0, ivf_cells: int = 0,
-                ivf_sample: float | None = None, sparse: bool = False) -> Store:
-    """Write the lexicon, the labeled songs (without text), the embeddings and index
-    version 1 under ``root``; ``buckets > 0`` buckets the index by ``link`` (see
-    :func:`cadenza.operators.index.write_version`); ``ivf_cells > 0`` also writes an inverted
+                drop_errors: bool = True, bucketed: bool = False, ivf_cells: int = 0,
+                sparse: bool = False) -> Store:
+    """Write the lexicon, the labeled songs (without text), the embeddings and a base version of
+    the index under ``root``; ``bucketed`` buckets it by ``link``, in buckets sized from its rows
+    (see :func:`cadenza.operators.index.write_version`); ``ivf_cells > 0`` also writes an inverted
     file (KMeans model, trained on a hash sample of ``ivf_sample`` when given, and the index
     partitioned by cell) for approximate serving; ``sparse=True`` stores the vectors as
     (indices, values) instead of ``dim`` floats (not with the inverted file, whose KMeans needs
@@ -69,15 +68,15 @@ def build_store(songs: DataFrame, root: str, dim: int = DEFAULT_DIM, cleaner: st
     labels = label_emotions(songs.select("artist", "song", "link", "text"), lexicon, cleaner=cleaner)
     labels.drop("text").write.mode("overwrite").parquet(store.labeled)
     embed(spark.read.parquet(store.labeled), dim=dim, sparse=sparse).write.mode("overwrite").parquet(store.embeddings)
-    index = X.build_index(spark.read.parquet(store.embeddings), dim=dim, drop_errors=drop_errors,
-                          check_dim=False)
-    X.write_version(index, store.index, 1, bucket_by="link", buckets=buckets)
+    vectors = spark.read.parquet(store.embeddings)
+    index = X.build_index(vectors, dim=dim, drop_errors=drop_errors, check_dim=False)
+    X.write_version(index, store.index, bucket_by="link",
+                    buckets=X.bucket_count(vectors.count(), dim) if bucketed else 0)
     if ivf_cells > 0:
-        stored = X.read_latest(spark, store.index)
-        model = V.train_cells(stored, "emotions_embeddings", dim, ivf_cells,
-                              sample_fraction=ivf_sample, key="link")
-        model.write().overwrite().save(store.ivf_model)
-        V.write_cells(stored, model, store.ivf_cells, index_key="link", index_vec="emotions_embeddings",
+        stored = X.read_index(spark, store.index)
+        model = V.hash_pivots(stored, "emotions_embeddings", dim, ivf_cells, "link")
+        model.save(spark, store.ivf_model)
+        V.write_cells(stored, model, store.ivf_cells, dim=dim, index_key="link", index_vec="emotions_embeddings",
                       payload=["artist", "song", "llm_labeled_emotions"])
     return store
 
@@ -87,7 +86,7 @@ def open_lexicon(spark: SparkSession, store: Store) -> DataFrame:
 
 
 def open_index(spark: SparkSession, store: Store) -> DataFrame:
-    index = X.read_latest(spark, store.index)
+    index = X.read_index(spark, store.index)
     if index is None:
         raise FileNotFoundError(f"no index version under {store.index}")
     return index
@@ -105,7 +104,7 @@ def recommend_from_store(sentences: DataFrame, store: Store, dim: int = DEFAULT_
     lexicon = open_lexicon(spark, store)
     if nprobe is None:
         return recommend(sentences, open_index(spark, store), lexicon, dim=dim, k=k, **options)
-    model = KMeansModel.load(store.ivf_model)
+    model = V.Cells.load(spark, store.ivf_model)
     queries = query_vectors(sentences, lexicon, dim, **options)
     hits, _ = V.ivf_search_stored(queries, store.ivf_cells, model, dim=dim, k=k, nprobe=nprobe,
                                   query_key="query_id", query_vec="query_vec", query_norm="query_norm",

@@ -2,26 +2,31 @@
 
 New song rows and deletions arrive as files (a change feed) in a folder. A Structured
 Streaming query with ``trigger(availableNow=True)`` picks up only the files not seen before
-(the checkpoint remembers them), and ``foreachBatch`` applies each micro-batch:
+(the checkpoint remembers them), and ``foreachBatch`` turns each micro-batch into one delta
+version of the index (see :mod:`cadenza.operators.index`):
 
 1. keep the newest change per key within the batch (WindowGroupLimit),
 2. label and embed the upserted rows (the same plans as the batch path),
-3. write index version ``epoch + 1`` = version ``<= epoch`` minus the batch's keys, plus the
-   fresh rows.
+3. write them with their ``seq``; deleted rows, and rows no longer fit for the index, become
+   tombstones.
 
-A retried epoch rewrites the same version from the same base, so a failure mid-batch can be
-replayed safely; every version is a written table, which also cuts the lineage.
+Versions are numbered after those that exist, whoever wrote them, so a stream can start on an
+index built in batch, and a new checkpoint never overwrites one. A retried epoch finds the
+version it wrote by the stream's id and its epoch, and rewrites it.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from cadenza.operators import index as X
-from cadenza.plans.recommend import song_vectors
+from cadenza.operators.embed import embed
+from cadenza.operators.label import label_emotions
 
 CHANGE_SCHEMA = StructType([
     StructField("artist", StringType()),
@@ -52,29 +57,32 @@ def changes_from_diff(new: DataFrame, diff: DataFrame, seq: int) -> DataFrame:
     return ups.unionByName(dels)
 
 
-def apply_changes(batch: DataFrame, base: DataFrame | None, lexicon: DataFrame, dim: int) -> DataFrame:
-    """Index after one batch of changes."""
+def delta_of(batch: DataFrame, lexicon: DataFrame, dim: int) -> DataFrame:
+    """The delta version of one batch of changes: index columns, ``seq``, ``deleted``."""
     latest = X.latest_per_key(batch, "link", [F.desc("seq"), F.desc("change")])
-    ups = latest.where(F.col("change") == UPSERT).select("artist", "song", "link", "text")
-    fresh = X.build_index(song_vectors(ups, lexicon, dim=dim), dim=dim, check_dim=False).select(*INDEX_COLUMNS)
-    if base is None:
-        return fresh
-    return base.join(latest.select("link"), "link", "left_anti").select(*INDEX_COLUMNS).unionByName(fresh)
+    gone = F.col("change") == DELETE
+    # a deletion goes through the same row-wise plan with a null text, which has no vector
+    rows = latest.withColumn("text", F.when(~gone, F.col("text")))
+    state = embed(label_emotions(rows, lexicon).drop("text"), dim=dim).withColumn(
+        "deleted", gone | ~X.fit(dim, check_dim=False))
+    live = ~F.col("deleted")
+    return state.select(*[c if c == "link" else F.when(live, F.col(c)).alias(c) for c in INDEX_COLUMNS],
+                        F.coalesce("seq", F.lit(0)).alias("seq"), "deleted")
 
 
-def start_index_stream(spark: SparkSession, source_dir: str, index_base: str, checkpoint: str,
-                       lexicon: DataFrame, dim: int, buckets: int = 0) -> StreamingQuery:
-    """Start one ``availableNow`` run over the change folder; returns the running query.
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream of this checkpoint (a new one after a loss)."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
 
-    With ``buckets > 0`` every version is bucketed by ``link``, so each batch's anti join
-    shuffles only the batch's keys, not the index.
-    """
+
+def start_index_stream(spark: SparkSession, source_dir: str, index_base: str, checkpoint: str,
+                       lexicon: DataFrame, dim: int) -> StreamingQuery:
+    """Start one ``availableNow`` run over the change folder; returns the running query."""
     changes = spark.readStream.schema(CHANGE_SCHEMA).parquet(source_dir)
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        base = X.read_latest(spark, index_base, before=epoch_id + 1)
-        X.write_version(apply_changes(batch, base, lexicon, dim), index_base, epoch_id + 1,
-                        bucket_by="link", buckets=buckets)
+        source = f"{stream_id(spark, checkpoint)}/{epoch_id}"
+        X.write_version(delta_of(batch, lexicon, dim), index_base, X.DELTA, source)
 
     return (changes.writeStream.foreachBatch(handle)
             .option("checkpointLocation", checkpoint)
@@ -83,10 +91,10 @@ def start_index_stream(spark: SparkSession, source_dir: str, index_base: str, ch
 
 
 def run_index_stream(spark: SparkSession, source_dir: str, index_base: str, checkpoint: str,
-                     lexicon: DataFrame, dim: int, buckets: int = 0) -> DataFrame | None:
-    """Run the stream until the folder is drained; return the newest index version."""
-    query = start_index_stream(spark, source_dir, index_base, checkpoint, lexicon, dim, buckets)
+                     lexicon: DataFrame, dim: int) -> DataFrame | None:
+    """Run the stream until the folder is drained; return the index."""
+    query = start_index_stream(spark, source_dir, index_base, checkpoint, lexicon, dim)
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    return X.read_latest(spark, index_base)
+    return X.read_index(spark, index_base)

@@ -44,7 +44,7 @@ def data(spark):
 @pytest.mark.parametrize("exclude_self", [False, True])
 def test_knn_matches_brute_force(spark, data, mode, exclude_self):
     Q, qk, X, xk, idx, qs = data
-    opts = {} if mode == "broadcast" else {"max_broadcast_bytes": 0, "query_block_rows": 7, "index_block_rows": 11}
+    opts = {} if mode == "broadcast" else {"max_broadcast_bytes": 900}
     df = K.knn_search(qs, idx.repartition(3), dim=8, k=5, query_key="qid", query_vec="qv", index_key="link",
                       index_vec="v", exclude_self=exclude_self, **opts).withColumnRenamed("qid", "query_id")
     got = to_rows(df)
@@ -73,7 +73,7 @@ def test_knn_single_matches_brute(spark, data):
 @pytest.mark.parametrize("mode", ["broadcast", "block"])
 def test_knn_l2_matches_brute_force(spark, data, mode):
     Q, qk, X, xk, idx, qs = data
-    opts = {} if mode == "broadcast" else {"max_broadcast_bytes": 0, "query_block_rows": 9, "index_block_rows": 13}
+    opts = {} if mode == "broadcast" else {"max_broadcast_bytes": 900}
     df = K.knn_search(qs, idx, dim=8, k=4, query_key="qid", query_vec="qv", index_key="link",
                       index_vec="v", metric="l2", **opts).withColumnRenamed("qid", "query_id")
     got = [(a, b) for a, b, _ in to_rows(df)]
@@ -120,7 +120,7 @@ def test_ivf_stored_cells_equal_on_the_fly(spark):
 
     e = read_table(spark, SF_SMALL, "embeddings")
     model = V.train_cells(e, "embedding", 64, 8, seed=3)
-    path = V.write_cells(e, model, scratch_path(spark, "test-cells"), index_key="vec_id", index_vec="embedding")
+    path = V.write_cells(e, model, scratch_path(spark, "test-cells"), dim=64, index_key="vec_id", index_vec="embedding")
     opts = dict(dim=64, k=10, nprobe=2, query_key="query_id", query_vec="query_vec", index_key="vec_id",
                 index_vec="embedding", exclude_self=True)
     a, sa = V.ivf_search(C.embedding_queries(e), e, model, **opts)
@@ -130,3 +130,56 @@ def test_ivf_stored_cells_equal_on_the_fly(spark):
     pruned = spark.read.parquet(path).where(F.col("cell").isin([0, 1]))
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "cell" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+
+
+def test_bad_rows_take_no_place(spark):
+    """One row of NaN or infinity, first in its batch, displaces nobody."""
+    good = [(f"k{i}", [float(i), 1.0]) for i in range(1, 6)]
+    bad = [("a", [float("nan"), 1.0]), ("b", [float("inf"), 1.0]), ("c", [float("-inf"), float("nan")]), ("d", None),
+           ("e", [1.0]), ("f", [None, 1.0])]
+    idx = spark.createDataFrame(bad + good, "link string, v array<double>").coalesce(1)
+    qs = spark.createDataFrame([("q", [1.0, 1.0]), ("bad", [float("nan"), 0.0])], "qid string, qv array<double>")
+    for metric in ("cosine", "dot", "l2"):
+        got = K.knn_search(qs, idx, dim=2, k=5, query_key="qid", query_vec="qv", index_key="link", index_vec="v", metric=metric)
+        assert {(r.qid, r.link) for r in got.collect()} == {("q", k) for k, _ in good}
+
+
+def test_l2_does_not_cancel(spark):
+    rng = np.random.default_rng(3)
+    X = 1000 + rng.normal(size=(80, 64))
+    idx = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(X)], "link bigint, v array<double>")
+    qs = idx.select(F.col("link").alias("qid"), F.col("v").alias("qv"))
+    got = K.knn_search(qs, idx, dim=64, k=3, query_key="qid", query_vec="qv", index_key="link", index_vec="v", metric="l2")
+    for r in got.collect():
+        assert abs(r.score + np.linalg.norm(X[r.qid] - X[r.link])) <= 1e-6
+        assert r["rank"] != 1 or (r.link == r.qid and r.score == 0.0)
+
+
+def test_wide_scores_are_sorted_exactly():
+    rng = np.random.default_rng(1)
+    si = rng.integers(-(1 << 62), 1 << 62, size=(6, 40))
+    si[:, 5] = si[:, 7]
+    rank = rng.permutation(40)
+    mask = rng.random((6, 40)) < 0.3
+    qi, xi = K._topk_rows(si, rank, 4, mask)
+    for r in range(6):
+        want = sorted((c for c in range(40) if not mask[r, c]), key=lambda c: (-int(si[r, c]), rank[c]))[:4]
+        assert xi[qi == r].tolist() == want
+
+
+def test_ivf_share_and_bad_rows(spark):
+    from cadenza.operators import ivf as V
+    from cadenza.session import scratch_path
+
+    rng = np.random.default_rng(5)
+    rows = [(i, x.tolist()) for i, x in enumerate(rng.normal(size=(200, 8)))]
+    rows += [(900, [0.0] * 8), (901, None), (902, [1.0]), (903, [float("nan")] * 8)]
+    idx = spark.createDataFrame(rows, "link bigint, v array<double>")
+    model = V.hash_pivots(idx, "v", 8, 4, "link")
+    path = V.write_cells(idx, model, scratch_path(spark, "test-share"), dim=8, index_key="link", index_vec="v")
+    one = idx.where("link = 3").select(F.col("link").alias("qid"), F.col("v").alias("qv"))
+    opts = dict(dim=8, k=3, nprobe=1, query_key="qid", query_vec="qv", index_key="link", index_vec="v")
+    stored, s1 = V.ivf_search_stored(one, path, model, **opts)
+    fly, s2 = V.ivf_search(one, idx, model, **opts)
+    assert s1 == s2 < 1.0 and sorted(stored.collect()) == sorted(fly.collect())
+    assert spark.read.parquet(path).count() == 200

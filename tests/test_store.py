@@ -10,7 +10,7 @@ from conftest import SF_SMALL
 
 def test_inverted_file_serving_with_every_cell_equals_exact(spark):
     store = PL.build_store(songs(spark, SF_SMALL), scratch_path(spark, "test-store"), dim=64,
-                           buckets=4, ivf_cells=4)
+                           bucketed=True, ivf_cells=4)
     exact = PL.recommend_from_store(sentences(spark, SF_SMALL), store, dim=64)
     every = PL.recommend_from_store(sentences(spark, SF_SMALL), store, dim=64, nprobe=4)
     rows = lambda df: sorted(tuple(r) for r in df.collect())
@@ -43,6 +43,6 @@ def test_sparse_index_in_both_search_paths(spark):
     dense, sparse = embed(lab, dim=64), embed(lab, dim=64, sparse=True)
     q = embed(lab, dim=64).select(F.col("link").alias("qk"), F.col("emotions_embeddings").alias("qv"))
     rows = lambda df: sorted(tuple(r) for r in df.collect())
-    for opts in ({}, {"max_broadcast_bytes": 0, "query_block_rows": 50, "index_block_rows": 70}):
+    for opts in ({}, {"max_broadcast_bytes": 20_000}):
         kw = dict(dim=64, k=5, query_key="qk", query_vec="qv", index_key="link", exclude_self=True, **opts)
         assert rows(knn_search(q, dense, **kw)) == rows(knn_search(q, sparse, **kw))
