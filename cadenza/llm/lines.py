@@ -1,7 +1,7 @@
 """Line dedup (operator 9): a deletion-neighbourhood join of lines.
 
 A line is a newline-separated part of a text, compared without outer white space. Lines of
-fewer than ``MIN_WORDS`` words say too little to be copies and always stay. Of two lines
+fewer than ``MIN_WORDS`` words (parted by ASCII white space) say too little to be copies and always stay. Of two lines
 within one character edit the earlier, by (doc_id, line number), stays: a line goes if an
 earlier line within the bound exists.
 
@@ -42,7 +42,7 @@ def text_lines(text: str | None):
     """(line number, compared form) of the lines that take part."""
     for no, line in enumerate((text or "").split("\n")):
         line = line.strip(_SPACE)
-        if len(line.split(None, MIN_WORDS - 1)) >= MIN_WORDS:
+        if len(line.encode("utf-8", "surrogatepass").split(None, MIN_WORDS - 1)) >= MIN_WORDS:
             yield no, line
 
 
