@@ -132,9 +132,9 @@ class ToxicityModel:
     def fit(labelled: DataFrame, levels: tuple[float, ...] = (0.5, 0.9)) -> "ToxicityModel":
         """From ``(text, grade)``; null grades and texts are left out.
 
-        Grades are integers from 0. If only 0 and 1 occur, the texts of grade 1 are graded
-        by the occurrences of the kept features per word: one grade more above each of the
-        quantiles ``levels``. Without texts on both sides nothing is learned and every
+        Grades are integers from 0. If only 0 and 1 occur, the texts of grade 1 are graded by the
+        sum of their features' values (how many there are, and how dense): one grade more above
+        each of the quantiles ``levels``. Without texts on both sides nothing is learned and every
         severity is 0.
         """
         use = labelled.where("grade IS NOT NULL AND text IS NOT NULL").select("text", F.col("grade").cast("int").alias("grade"))
@@ -159,9 +159,9 @@ class ToxicityModel:
         feature = np.array([x for r in rows for x in r["features"]], np.int64)
         value = np.array([x for r in rows for x in r["values"]])
         if grade.max() == 1:
-            dense = np.bincount(row, np.expm1(value - 1), minlength=len(rows))
-            for cut in np.quantile(dense[grade > 0], levels):
-                grade = grade + ((grade > 0) & (dense > cut))
+            total = np.bincount(row, value, minlength=len(rows))
+            for cut in np.quantile(total[grade > 0], levels):
+                grade = grade + ((grade > 0) & (total > cut))
             grade = np.unique(grade, return_inverse=True)[1]
         return ToxicityModel(features, *fit_ordinal(row, feature, value, grade, len(features)))
 
