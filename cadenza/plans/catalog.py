@@ -123,11 +123,15 @@ def q_csv_sample_table(spark, d):
 
 
 def q_table_overwrite(spark, d):
-    """A table written with four columns, overwritten with five, read back."""
-    io.ensure_namespace(spark, NAMESPACE)                            # S6, one statement per call
-    name = f"{NAMESPACE}.songs_{uuid.uuid4().hex[:12]}"
-    path = scratch_path(spark, "table-songs")
-    io.overwrite_table(songs(spark, d), name, path)                 # first: four columns
+    """A table written with four columns in the used namespace, overwritten with five
+    under its full name, read back."""
+    short = f"songs_{uuid.uuid4().hex[:12]}"
+    name, path = f"{NAMESPACE}.{short}", scratch_path(spark, "table-songs")
+    before = io.use_namespace(spark, NAMESPACE)
+    try:
+        io.overwrite_table(songs(spark, d), short, path)            # first: four columns
+    finally:
+        io.use_namespace(spark, before)
     lex = lexicon(spark, d)
     relabeled = L.label_emotions(songs(spark, d), lex)              # then: five columns
     return io.overwrite_table(relabeled, name, path)

@@ -58,9 +58,24 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Remove what this driver wrote under :func:`scratch_path`, once the results that read it are
+    saved elsewhere; returns the number of paths."""
+    jvm, conf, n = spark._jvm, spark._jsc.hadoopConfiguration(), len(_SCRATCH)
+    while _SCRATCH:
+        where = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        where.getFileSystem(conf).delete(where, True)
+    return n
 
 
 def local_frame(spark: SparkSession, rows, schema):

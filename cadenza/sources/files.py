@@ -43,6 +43,15 @@ def ensure_namespace(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{name}` LOCATION '{location}'")
 
 
+def use_namespace(spark: SparkSession, name: str) -> str:
+    """``USE`` of a namespace, which is made if it is missing (S6); returns the one used before.
+    Table names without a namespace then belong to it."""
+    before = spark.catalog.currentDatabase()
+    ensure_namespace(spark, name)
+    spark.sql(f"USE `{name}`")
+    return before
+
+
 def overwrite_table(df: DataFrame, name: str, path: str) -> DataFrame:
     """``write.mode('overwrite').saveAsTable`` at an explicit shared path.
 

@@ -46,3 +46,15 @@ def test_sparse_index_in_both_search_paths(spark):
     for opts in ({}, {"max_broadcast_bytes": 20_000}):
         kw = dict(dim=64, k=5, query_key="qk", query_vec="qv", index_key="link", exclude_self=True, **opts)
         assert rows(knn_search(q, dense, **kw)) == rows(knn_search(q, sparse, **kw))
+
+
+def test_scratch_can_be_dropped(spark, monkeypatch):
+    import os
+
+    from cadenza import session
+
+    monkeypatch.setattr(session, "_SCRATCH", [])
+    path = scratch_path(spark, "test-drop")
+    spark.range(3).write.parquet(path)
+    local = path.removeprefix("file:")
+    assert os.path.isdir(local) and session.drop_scratch(spark) == 1 and not os.path.exists(local)
