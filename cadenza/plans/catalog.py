@@ -829,10 +829,12 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {KNN}"""
 
 def _sql_knn_recall() -> str:
     return f"""WITH {_ivf_ctes("TRUE")},
+dots AS MATERIALIZED (
+  SELECT a.vec_id AS query_id, b.vec_id, round(list_dot_product(a.v, b.v) / (a.norm * b.norm), 6) AS score
+  FROM emb a, emb b WHERE a.vec_id <> b.vec_id AND a.norm > 0 AND b.norm > 0),
 scored AS (
-  SELECT a.vec_id AS query_id, b.vec_id, p.nth, round(list_dot_product(a.v, b.v) / (a.norm * b.norm), 6) AS score
-  FROM emb a, emb b, probed p, cells c
-  WHERE a.vec_id <> b.vec_id AND p.vec_id = a.vec_id AND c.vec_id = b.vec_id AND p.cell = c.cell),
+  SELECT d.query_id, d.vec_id, p.nth, d.score
+  FROM dots d JOIN cells c ON c.vec_id = d.vec_id JOIN probed p ON p.vec_id = d.query_id AND p.cell = c.cell),
 exact AS (SELECT query_id, vec_id FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= {KNN}),
 probes AS (SELECT * FROM (VALUES {', '.join(f'({n})' for n in IVF_PROBES)}) t(nprobe)),
 approx AS (SELECT nprobe, query_id, vec_id FROM scored JOIN probes ON nth <= nprobe
