@@ -43,10 +43,27 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+class Tables:
+    """The tables that one call writes, to be dropped once all that is read from them is written."""
+
+    def __init__(self):
+        self.paths: dict[str, str] = {}
+
+    def drop(self, spark: SparkSession, *names: str) -> None:
+        """Remove the tables of these names, or all; the shared folder keeps no leftovers."""
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in [p for p, n in self.paths.items() if not names or n in names]:
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
+            del self.paths[path]
+
+
+def written(df: DataFrame, name: str, tables: Tables | None = None) -> DataFrame:
     """``df`` as a table in the shared folder, read back: computed once, recomputed never."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
+    if tables is not None:
+        tables.paths[path] = name
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

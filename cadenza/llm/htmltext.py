@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import bounded_batches, broadcast_if_small, n_blocks, written
+from cadenza.llm.common import Tables, bounded_batches, broadcast_if_small, n_blocks, written
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)"
                   r"((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?=>)|[^>]*+)(?:>|\Z)", re.S)
@@ -249,14 +249,15 @@ def _extracted(batches):
              pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
-def neighbours(paths: DataFrame) -> DataFrame:
+def neighbours(paths: DataFrame, tables: Tables) -> DataFrame:
     """``(host, path, before, after)``: the lines of the nearest paths of the host, in order.
 
     ``paths`` holds one row per host and path. Ranges of (host, path) are sorted in parallel;
     each gets the last row of the range before it and the first of the one after it as guests.
     """
     ranges = min(n_blocks(paths.count(), RANGE_ROWS), MAX_RANGES)
-    dealt = written(paths.repartitionByRange(ranges, "host", "path").withColumn("rng", F.spark_partition_id()), "html-paths")
+    dealt = written(paths.repartitionByRange(ranges, "host", "path").withColumn("rng", F.spark_partition_id()),
+                    "html-paths", tables)
     ends = dealt.groupBy("rng").agg(F.min(F.struct("host", "path")).alias("lo"), F.max(F.struct("host", "path")).alias("hi"))
     ends = sorted(ends.collect(), key=lambda r: r["rng"])       # a row per range
     guests = [(a["hi"]["host"], a["hi"]["path"], b["rng"]) for a, b in zip(ends, ends[1:])]
@@ -282,17 +283,19 @@ def main_text(pages: DataFrame) -> DataFrame:
     alone on its host, is not differenced. Rows may repeat: equal rows get equal texts. Of the
     pages of one path, the one of the smallest line hashes stands for them all in comparisons.
     """
+    tables = Tables()
     bounded_batches(pages.sparkSession)
     base = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"))
     base = base.withColumn("uid", F.xxhash64("page_id", "url", "html"))
     hashed = written(base.select("uid", "url", "html").mapInArrow(
-        _hashed, f"uid bigint, host string, path string, lines {LINES}"), "html-lines")
-    paths = written(hashed.groupBy("host", "path").agg(F.min(F.struct("uid", "lines"))["lines"].alias("lines")), "html-first")
-    near = neighbours(paths).where("before IS NOT NULL OR after IS NOT NULL")
+        _hashed, f"uid bigint, host string, path string, lines {LINES}"), "html-lines", tables)
+    paths = written(hashed.groupBy("host", "path").agg(F.min(F.struct("uid", "lines"))["lines"].alias("lines")), "html-first", tables)
+    near = neighbours(paths, tables).where("before IS NOT NULL OR after IS NOT NULL")
     gone = hashed.dropDuplicates(["uid"]).join(near, ["host", "path"]).select("uid", "lines", "before", "after").mapInArrow(
         _deleted, "uid bigint, gone array<bigint>")
     gone = written(gone, "html-gone")
+    tables.drop(pages.sparkSession)
     got = base.join(broadcast_if_small(gone, gone.count()), "uid", "left")
     return got.select("page_id", "url", "html", "gone").mapInArrow(
         _extracted, "page_id bigint, url string, text string, n_chars bigint")

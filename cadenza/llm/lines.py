@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import bounded_batches, broadcast_if_small, written
+from cadenza.llm.common import Tables, bounded_batches, broadcast_if_small, written
 
 MIN_WORDS = 5
 #: Rows and line numbers of a broadcast list of lost lines at most.
@@ -137,47 +137,47 @@ def _variants(batches):
             yield packed(keys, roles, own)
 
 
-def dropped_lines(docs: DataFrame) -> DataFrame:
+def dropped_lines(docs: DataFrame, tables: Tables) -> DataFrame:
     """``(doc_id, lines)``: the line numbers that go, per document that loses any.
 
     Rows that repeat a doc_id count as one place. A null doc_id is the last of all ids.
     """
-    spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     lines = base.mapInArrow(_anchors, "doc_id bigint, line_no bigint, h bigint, anchors array<bigint>")
-    lines = written(lines, "lines")
+    lines = written(lines, "lines", tables)
     # a null id sorts last
     place = F.struct(F.col("doc_id").isNull().cast("int").alias("n"), "doc_id", "line_no")
     firsts = written(lines.groupBy("h").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("places"),
-                                            F.first("anchors").alias("anchors")), "lines-first")
-    gone = _near(base, firsts)
+                                            F.first("anchors").alias("anchors")), "lines-first",
+                     tables)
+    gone = _near(base, firsts, tables)
     # only lines with several places, or gone ones, need a look at their places
     known = firsts.select("h", "first", "places").join(gone.select("h", F.lit(True).alias("gone")), "h", "left")
     known = known.where("places > 1 OR gone").select("h", "first", F.coalesce("gone", F.lit(False)).alias("gone"))
-    known = written(known, "lines-known")
+    known = written(known, "lines-known", tables)
     lost = (lines.select("doc_id", "line_no", "h").join(broadcast_if_small(known, known.count()), "h")
             .where(F.col("gone") | ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
                                      & (F.col("line_no") == F.col("first.line_no")))))
     return lost.groupBy("doc_id").agg(F.collect_set("line_no").alias("lines"))
 
 
-def _near(base: DataFrame, firsts: DataFrame) -> DataFrame:
+def _near(base: DataFrame, firsts: DataFrame, tables: Tables) -> DataFrame:
     """``(h)`` of the lines within one edit of an earlier, different line."""
     halves_of = firsts.select("h", F.explode("anchors").alias("anchor"))
     shared = (halves_of.groupBy("anchor").agg(F.min("h").alias("a"), F.max("h").alias("b"))
               .where("a <> b").select("anchor"))
-    shared = written(shared, "lines-shared")
+    shared = written(shared, "lines-shared", tables)
     cand = halves_of.join(broadcast_if_small(shared, shared.count()), "anchor")
     cand = cand.groupBy("h").agg(F.collect_set("anchor").alias("shared"))
-    cand = written(cand.join(firsts.select("h", "first"), "h"), "lines-cand")
+    cand = written(cand.join(firsts.select("h", "first"), "h"), "lines-cand", tables)
     wanted = cand.groupBy(F.col("first.doc_id").alias("d")).agg(
         F.collect_list(F.struct(F.col("first.line_no").alias("line_no"), "h")).alias("lines"))
-    wanted = written(wanted, "lines-wanted")
+    wanted = written(wanted, "lines-wanted", tables)
     texts = (base.join(broadcast_if_small(wanted, wanted.count()), F.col("doc_id").eqNullSafe(F.col("d")))
              .select("doc_id", "text", "lines")
              .mapInArrow(_candidates, "h bigint, doc_id bigint, line_no bigint, line string"))
-    texts = written(texts.dropDuplicates(["h"]), "lines-texts")
+    texts = written(texts.dropDuplicates(["h"]), "lines-texts", tables)
     rows = texts.join(cand.select("h", "shared"), "h").mapInArrow(
         _variants, "key bigint, role int, h bigint, doc_id bigint, line_no bigint")
     order = F.struct(F.col("doc_id").isNull().cast("int"), "doc_id", "line_no", "h")
@@ -193,7 +193,7 @@ def _near(base: DataFrame, firsts: DataFrame) -> DataFrame:
     text = texts.select("h", "line")
     checked = (pairs.join(text, "h").join(text.select(F.col("h").alias("p"), F.col("line").alias("other")), "p")
                .where(F.levenshtein("line", "other", 1) >= 0))
-    return written(checked.select("h").distinct(), "lines-gone")
+    return written(checked.select("h").distinct(), "lines-gone", tables)
 
 
 def line_dedup(docs: DataFrame) -> DataFrame:
@@ -203,8 +203,10 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     null text stays null, an empty one empty. Other columns keep their values; columns of the
     names ``n_lines`` and ``n_removed`` are replaced.
     """
-    lost = dropped_lines(docs).select(F.col("doc_id").alias("_cz_id"), F.col("lines").alias("_cz_lines"))
+    tables = Tables()
+    lost = dropped_lines(docs, tables).select(F.col("doc_id").alias("_cz_id"), F.col("lines").alias("_cz_lines"))
     lost = written(lost, "lines-lost")
+    tables.drop(docs.sparkSession)
     size = lost.agg(F.count(F.lit(1)) + F.coalesce(F.sum(F.size("_cz_lines")), F.lit(0))).first()[0]
     got = docs.join(broadcast_if_small(lost, size, BROADCAST_LINES), docs["doc_id"].eqNullSafe(lost["_cz_id"]), "left")
     parts = F.split("text", "\n", -1)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from cadenza.llm.common import bounded_batches, broadcast_if_small, written
+from cadenza.llm.common import Tables, bounded_batches, broadcast_if_small, written
 
 #: Documents of a source that walk together; a block leaves two open at most.
 BLOCK_ROWS = 2000
@@ -168,10 +168,10 @@ def balanced_copies(docs: DataFrame, size: Column, source: str = "source", key:
     null source is a source like any other. A source of size 0 has target 0. Copies are 0 to
     ``ceil(most)``. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
+    spark, tables = docs.sparkSession, Tables()
     bounded_batches(spark)
     sized = docs.withColumn("_cz_size", F.coalesce(size, F.lit(0)).cast("bigint"))
-    sized = written(sized.withColumn("_cz_hash", F.xxhash64(*[F.col(k) for k in key], "_cz_size")), "mix-sized")
+    sized = written(sized.withColumn("_cz_hash", F.xxhash64(*[F.col(k) for k in key], "_cz_size")), "mix-sized", tables)
     per = written(source_targets(sized.select(F.col(source).alias("source"), F.col("_cz_size").alias("size")),
                                  weights, share, most), "mix-sources")
     per = per.select(
@@ -196,6 +196,7 @@ def balanced_copies(docs: DataFrame, size: Column, source: str = "source", key:
                                        *[F.col(k) for k in key]))
         walked = dealt.mapInArrow(_walk, schema)
         walked = written(walked, f"mix-walk{len(done)}")
+        tables.drop(spark)
         if last:
             done.append(walked)
             break
