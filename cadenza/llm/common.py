@@ -18,7 +18,7 @@ from cadenza.session import scratch_path
 #: Rows of a broadcast side at most; larger sides are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 #: Arrow batches end at this many bytes, so that many long texts never meet in one batch.
-ARROW_BATCH_BYTES = 16 << 20
+ARROW_BATCH_BYTES = 8 << 20
 ARROW_BATCH_ROWS = 4_000
 
 
@@ -78,7 +78,7 @@ def n_blocks(rows: int, block_rows: int) -> int:
 
 # ---------------------------------------------------------------- words as numpy arrays
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 512 << 10
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: Separators of words without punctuation: ASCII characters but letters and digits.

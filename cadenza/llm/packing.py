@@ -32,12 +32,14 @@ SEQUENCE = 2048
 #: Sequences in a window, and windows that a task buffers.
 WINDOW, BUFFERED = 32, 4
 END_ID = 1
+#: Pieces that a task holds before it passes them on, about.
+MOST_PIECES = 512
 #: First-round tasks whose rest one second-round task packs.
 TAIL_TASKS = 256
 #: Queues at most; more sources share queues by hash.
 MAX_QUEUES = 10_000
 #: Words, and parts of words, whose ids a worker remembers at most.
-CACHE_WORDS, CACHE_PARTS = 400_000, 1_000_000
+CACHE_WORDS, CACHE_PARTS = 350_000, 400_000
 
 PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -221,8 +223,8 @@ def _first_round(batches, spec: str, shares: dict, with_ids: bool):
             pack.add(queue, doc_id, ids, 0, len(ids) // 4)
             while pack.buffered >= BUFFERED * WINDOW * SEQUENCE:
                 pack.fill(WINDOW * SEQUENCE)
-        if pack.out:
-            yield done()
+            if len(pack.out) >= MOST_PIECES:
+                yield done()
     while pack.buffered >= WINDOW * SEQUENCE:
         pack.fill(WINDOW * SEQUENCE)
     if pack.buffered:
