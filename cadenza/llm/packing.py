@@ -1,7 +1,8 @@
 """Mixture-controlled packing (operator 7): deficit round-robin over source queues.
 
-A document is its token ids and an end id. Every task reads its documents once and queues
-them by source. It fills one window of ``WINDOW`` sequences after another: each source earns
+A document is its token ids and an end id. Documents are dealt to tasks, and ordered within
+them, by a hash of the row, so that every task meets all sources side by side whatever the
+order of the input. Every task reads its documents once and queues them by source. It fills one window of ``WINDOW`` sequences after another: each source earns
 its share of the window, and is served whole documents while its deficit (what it earned and
 has not got) lasts; documents longer than a sequence are served in parts. Room that is left
 goes to the queues with the largest deficits. Deficits carry over from window to window.
@@ -26,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import bounded_batches, text_bytes, written
+from cadenza.llm.common import bounded_batches, n_blocks, text_bytes, written
 
 SEQUENCE = 2048
 #: Sequences in a window, and windows that a task buffers.
@@ -34,6 +35,8 @@ WINDOW, BUFFERED = 32, 4
 END_ID = 1
 #: Pieces that a task holds before it passes them on, about.
 MOST_PIECES = 512
+#: Bytes of text that a first-round task packs, about, and first-round tasks at most.
+TASK_BYTES, MAX_TASKS = 8 << 20, 10_000
 #: First-round tasks whose rest one second-round task packs.
 TAIL_TASKS = 256
 #: Queues at most; more sources share queues by hash.
@@ -290,11 +293,16 @@ def _second_round(batches, shares: dict, with_ids: bool):
         yield end()
 
 
-def source_shares(docs: DataFrame) -> dict[str, float]:
-    """Each queue's share of all bytes of text; the driver gets one row per queue."""
+def source_bytes(docs: DataFrame) -> dict[str, int]:
+    """Each queue's bytes of text and end ids; the driver gets one row per queue."""
     rows = docs.groupBy("queue").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1).alias("n")).collect()
-    total = sum(r["n"] for r in rows)
-    return {r["queue"]: r["n"] / total for r in rows}
+    return {r["queue"]: r["n"] for r in rows}
+
+
+def dealt(flow: DataFrame, tasks: int) -> DataFrame:
+    """``flow`` in ``tasks`` partitions, dealt and ordered by a hash of the whole row."""
+    return (flow.withColumn("deal", F.xxhash64("doc_id", "queue", "text")).repartition(tasks, "deal")
+            .sortWithinPartitions("deal").drop("deal"))
 
 
 def pack(docs: DataFrame, tokenizer_path: str, shares: dict[str, float] | None = None,
@@ -317,7 +325,10 @@ def pack(docs: DataFrame, tokenizer_path: str, shares: dict[str, float] | None =
     queue = source if named <= MAX_QUEUES else F.pmod(F.xxhash64(source), F.lit(MAX_QUEUES)).cast("string")
     flow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        queue.alias("queue"))
-    shares = shares if shares is not None else source_shares(flow)
+    sizes = source_bytes(flow)
+    total = sum(sizes.values())
+    shares = shares if shares is not None else {q: n / total for q, n in sizes.items()}
+    flow = dealt(flow, min(n_blocks(total, TASK_BYTES), MAX_TASKS))
     ids = ", ids array<int>" if with_ids else ""
     first = written(flow.mapInArrow(lambda it: _first_round(it, spec.value, shares, with_ids), FIRST + ids), "pack")
     rest = (first.where("rest IS NOT NULL")

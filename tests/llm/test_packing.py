@@ -72,3 +72,23 @@ def test_windows_follow_the_shares():
         own = sum(len(r[2]) // 4 for r in pack.out if r[0] % 2 == 0)
         assert abs(own / (packing.WINDOW * packing.SEQUENCE) - 0.7) < 0.01
     assert all(abs(d) <= 600 for d in pack.deficit.values())
+
+
+def test_windows_follow_the_shares_of_clustered_input(spark, monkeypatch):
+    monkeypatch.setattr(packing, "TASK_BYTES", 2 << 20, raising=False)      # several tasks
+    docs = [(i, "alpha " * 300, "abc"[(i >= 3000) + (i >= 4500)]) for i in range(6000)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, source string").repartitionByRange(4, "doc_id")
+    df = df.sortWithinPartitions("source", "doc_id")
+    windows = {}
+    for p in packing.pack(df, PATH).collect():
+        if p["sequence_id"] >> 32 < 1 << 30:        # first round
+            task, nth = p["sequence_id"] >> 32, p["sequence_id"] & 0xFFFFFFFF
+            own = windows.setdefault((task, nth // packing.WINDOW), {})
+            source = docs[p["doc_id"]][2]
+            own[source] = own.get(source, 0) + p["length"]
+    size = packing.WINDOW * packing.SEQUENCE
+    full = [w for w in windows.values() if sum(w.values()) == size]
+    assert len({task for task, _ in windows}) > 1 and len(full) >= 20
+    for own in full:
+        for source, share in zip("abc", (0.5, 0.25, 0.25)):
+            assert abs(own.get(source, 0) / size - share) < 0.1, own
