@@ -9,7 +9,8 @@ are the page's own and stay: articles that quote each other must stay whole.
 
 An exact check by markup follows, for what is not on the neighbouring pages: of the lines left,
 the article's are the main text, or without an article those outside of containers that never are
-main text (menus, forms, adverts, reader comments; by tag and by class, id and role).
+main text (menus, forms, adverts, reader comments; by tag and by class, id and role). A form or a
+named container that is wrapped around the article or most of the text is main text all the same.
 
 Spark moves line hashes, not texts: the lines that go are found on hashes and taken out in a
 second pass over the pages.
@@ -17,6 +18,7 @@ second pass over the pages.
 
 from __future__ import annotations
 
+import heapq
 import html as entities
 import re
 
@@ -38,12 +40,17 @@ APART = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "select",
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
           "img", "ins", "kbd", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub",
           "sup", "time", "tt", "u", "var", "wbr"}
+#: Containers that mostly are not main text, but may be wrapped around it.
+SOFT = {"form", "fieldset"}
 #: Words of a class, id or role that mark a container as not main text.
 _APART_NAME = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|popup|modal|overlay|"
     r"newsletter|subscribe|sidebar|widget|menu|nav\w*|breadcrumbs?|masthead|footer|comments?|respond|replies|disqus|"
     r"share|sharing|social|related|login|signup|search|toolbar|pagination|pager|copyright|contentinfo|complementary)"
     r"(?:$|[\s_-])", re.I)
+#: First words of names that tell of a layout, not of what the container is.
+_LAYOUT = re.compile(r"(?:has|no|not|with|without|sticky|is)[_-]", re.I)
+NO_NAME, WEAK, STRONG = 0, 1, 2
 #: What a line is: in a container that is not main text, in the page's body, in its article.
 APART_LINE, BODY_LINE, ARTICLE_LINE = 0, 1, 2
 #: Pages that share this much of either one's text are copies and do not delete it.
@@ -51,11 +58,64 @@ COPY_SHARE = 0.5
 RANGE_ROWS, MAX_RANGES = 4_000, 2_000
 
 
+def named_apart(value: str) -> int:
+    """How surely a class, id or role names a container that is not main text: ``STRONG`` if a
+    name is such a word or ends in one (``top-ad``), ``WEAK`` if it only has one (``search-results``)."""
+    sure = NO_NAME
+    for name in value.split():
+        if not _LAYOUT.match(name) and (found := list(_APART_NAME.finditer(name))):
+            sure = max(sure, STRONG if found[-1].end() == len(name) else WEAK)
+    return sure
+
+
+class _Soft:
+    """A container that may be wrapped around the main text."""
+
+    __slots__ = ("parent", "strong", "children", "own", "held", "article", "has_article")
+
+    def __init__(self, parent, strong):
+        self.parent, self.strong, self.children = parent, strong, []
+        self.own = self.held = 0                        # characters outside and inside of containers within it
+        self.article = self.has_article = False         # it has article lines, itself or within
+
+
+def _released(soft: list[_Soft], left: int) -> set[int]:
+    """Containers that count as main text after all, for a page without an article outside of them.
+
+    ``left``: characters of main text without any of them. The largest are tried first, outer
+    ones before those within. A container around an article, or of a weak name, is main text if
+    it holds more than is left; any is if nothing is left.
+    """
+    for i in range(len(soft) - 1, -1, -1):
+        c = soft[i]
+        c.held += c.own
+        c.has_article |= c.article
+        if c.parent is not None:
+            soft[c.parent].held += c.held
+            soft[c.parent].has_article |= c.has_article
+            soft[c.parent].children.append(i)
+    out: set[int] = set()
+    heap = [(-c.held, i) for i, c in enumerate(soft) if c.parent is None]
+    heapq.heapify(heap)
+    while heap:
+        _, i = heapq.heappop(heap)
+        c = soft[i]
+        if c.held > left and (c.has_article or not c.strong or not left):
+            out.add(i)
+            left += c.own
+            if c.article:
+                break
+            for j in c.children:
+                heapq.heappush(heap, (-soft[j].held, j))
+    return out
+
+
 def text_lines(page: str | None) -> list[tuple[str, int]]:
     """The text lines of a page and what each is; scripts and the like have none."""
     page = page or ""
-    lines: list[tuple[str, int]] = []
-    stack: list[tuple[str, bool, bool]] = []        # open elements: name, apart, article
+    found: list[tuple[str, bool, bool, int | None]] = []    # line, apart, article, innermost soft container
+    stack: list[tuple[str, bool, bool, int | None]] = []    # open elements: name, and the same
+    soft: list[_Soft] = []
     parts: list[str] = []
     pos = 0
 
@@ -63,8 +123,7 @@ def text_lines(page: str | None) -> list[tuple[str, int]]:
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                _, apart, article = stack[-1] if stack else ("", False, False)
-                lines.append((text, APART_LINE if apart else ARTICLE_LINE if article else BODY_LINE))
+                found.append((text, *(stack[-1][1:] if stack else (False, False, None))))
             parts.clear()
 
     def text(upto: int):
@@ -96,12 +155,29 @@ def text_lines(page: str | None) -> list[tuple[str, int]]:
                 while stack and stack[-1][0] == "p":
                     stack.pop()
             article = bool(stack) and stack[-1][2] or name in ("article", "main")
-            apart = bool(stack) and stack[-1][1] or name in APART or name == "header" and not article
-            if not apart and tag[3] and name not in ("html", "body", "article", "main"):
-                apart = any(_APART_NAME.search(next(filter(None, a), "")) for a in _ATTR.findall(tag[3]))
-            stack.append((name, apart, article))
+            apart = bool(stack) and stack[-1][1] or name in APART - SOFT or name == "header" and not article
+            within = stack[-1][3] if stack else None
+            if not apart and name not in ("html", "body", "article", "main"):
+                sure = max((named_apart(next(filter(None, a), "")) for a in _ATTR.findall(tag[3])),
+                           default=NO_NAME) if tag[3] else NO_NAME
+                if sure or name in SOFT:
+                    soft.append(_Soft(within, sure == STRONG))
+                    within = len(soft) - 1
+            stack.append((name, apart, article, within))
     flush()
-    return lines
+    main = set()
+    if soft:
+        left, has_article = 0, False
+        for line, apart, article, within in found:
+            if not apart and within is None:
+                left += len(line)
+                has_article |= article
+            elif not apart:
+                soft[within].own += len(line)
+                soft[within].article |= article
+        main = set() if has_article else _released(soft, left)
+    return [(line, APART_LINE if apart or within is not None and within not in main
+             else ARTICLE_LINE if article else BODY_LINE) for line, apart, article, within in found]
 
 
 def main_lines(lines: list[tuple[str, int]], gone: set[int]) -> list[str]:

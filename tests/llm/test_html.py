@@ -67,3 +67,20 @@ def test_articles_of_the_test_pages(spark):
         article = re.search(r"<article>(.*?)</article>", source[r["page_id"]], re.S)[1]
         plain = re.sub(r"<!--.*?-->|<[^>]+>", "", re.sub(r"</?(?:p|h1|br)\b[^>]*>", " ", article), flags=re.S)
         assert r["text"] == " ".join(html.unescape(plain).split()) and r["n_chars"] == len(r["text"])
+
+
+def test_containers_around_the_text_are_main_text():
+    def main(page):
+        return htmltext.main_lines(htmltext.text_lines(page), set())
+
+    for name in ("site has-sidebar", "no-sidebar", "content with-comments", "wrap sticky-footer", "container nav-open",
+                 "search-results", "social-policy", "search"):
+        assert main(f'<div class="{name}"><p>own text</p><p>of the page</p></div>') == ["own text", "of the page"], name
+        assert main(f'<p>menu</p><div class="{name}"><article><p>own text</p></article><div class="related"><article>'
+                    '<p>more</p></article></div></div>') == ["own text"], name
+    assert main('<form action="/"><div><p>own text</p><div class="user-comments">a reader wrote this</div></div></form>') == ["own text"]
+    assert main('<form><nav>menu</nav><article><p>own text</p></article></form>') == ["own text"]
+    assert main('<p>own text</p><form>a form that is much longer than the text</form><article><p>x</p></article>') == ["x"]
+    assert main('<p>own text of the page</p><div class="related"><article>more</article></div><div class="ad-slot">buy</div>') == ["own text of the page"]
+    deep = '<div class="ad">' * 20_000 + "x"
+    assert main(deep) == ["x"]
