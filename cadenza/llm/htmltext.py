@@ -1,11 +1,15 @@
 """HTML extraction (operator 5): nearest-URL page differencing.
 
 A page is parsed into text lines (blocks). Pages are paired by URL path: within a host, every
-page is compared with the pages of the nearest path before and after its own. The lines of both
-are aligned by a longest common subsequence, and shared lines go: they are the site's, not the
-page's. Pages of one path are variants of each other and are never compared; nor do two pages
-delete each other's text if most of it is shared, as copies would. Lines inside an article element
-are the page's own and stay: articles that quote each other must stay whole.
+page is compared with the pages of the nearest ``REACH`` paths before and after its own. The lines
+of both are aligned by a longest common subsequence. Lines shared with the nearest path on a side
+go: they are the site's, not the page's. Pages of one path are variants of each other and are never
+compared, unless the host has no other path; then their queries part them. A page that shares most
+of its text may be a copy, and the next path takes its place.
+
+Lines shared with ``SITE_PAGES`` different pages go as well, whatever else those share, if the page
+keeps some text: so go the lines of a template that is longer than the page's own text. Lines
+inside an article element stay: articles that quote each other must stay whole.
 
 An exact check by markup follows, for what is not on the neighbouring pages: of the lines left,
 the article's are the main text, or without an article those outside of containers that never are
@@ -21,6 +25,7 @@ from __future__ import annotations
 import heapq
 import html as entities
 import re
+from collections import Counter
 
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -53,8 +58,10 @@ _LAYOUT = re.compile(r"(?:has|no|not|with|without|sticky|is)[_-]", re.I)
 NO_NAME, WEAK, STRONG = 0, 1, 2
 #: What a line is: in a container that is not main text, in the page's body, in its article.
 APART_LINE, BODY_LINE, ARTICLE_LINE = 0, 1, 2
-#: Pages that share this much of either one's text are copies and do not delete it.
+#: Pages that share more than this of either one's text may be copies.
 COPY_SHARE = 0.5
+#: Paths on either side that a page is compared with, and pages that make a shared line the site's.
+REACH, SITE_PAGES = 3, 3
 RANGE_ROWS, MAX_RANGES = 4_000, 2_000
 
 
@@ -197,6 +204,12 @@ def url_key(url: str | None) -> tuple[str | None, str | None]:
     return m[1].lower().rsplit("@", 1)[-1], re.sub(r"\d+", lambda d: d.group().zfill(12), path)
 
 
+def url_query(url: str | None) -> str:
+    """The query of a URL, numbers padded as in its path; empty without one."""
+    m = re.match(r"[^?#]*\?([^#]*)", url or "")
+    return re.sub(r"\d+", lambda d: d.group().zfill(12), m[1]) if m else ""
+
+
 def _line_hash(line: str) -> int:
     h = xxhash.xxh3_64_intdigest(line.encode("utf-8", "surrogatepass"))
     return h - (1 << 64) if h >> 63 else h
@@ -259,7 +272,7 @@ def _align(a: list, b: list) -> list[tuple[int, int]]:
 
 
 def _hashed(batches):
-    """Per page: key of the row, host, path, line hashes, lengths, and what is protected."""
+    """Per page: key of the row, host, path, query, line hashes, lengths, and what is protected."""
     import pyarrow as pa
 
     for batch in batches:
@@ -269,11 +282,11 @@ def _hashed(batches):
             if host is None:
                 continue
             lines = text_lines(page)
-            out.append((uid, host, path, [{"h": _line_hash(t), "n": len(t), "kind": k} for t, k in lines]))
+            out.append((uid, host, path, url_query(url), [{"h": _line_hash(t), "n": len(t), "kind": k} for t, k in lines]))
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.string()),
-             pa.array([r[2] for r in out], pa.string()), pa.array([r[3] for r in out], _lines_type())],
-            names=["uid", "host", "path", "lines"])
+             pa.array([r[2] for r in out], pa.string()), pa.array([r[3] for r in out], pa.string()),
+             pa.array([r[4] for r in out], _lines_type())], names=["uid", "host", "path", "query", "lines"])
 
 
 LINES = "array<struct<h: bigint, n: bigint, kind: int>>"
@@ -285,17 +298,28 @@ def _lines_type():
     return pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int64()), ("kind", pa.int32())]))
 
 
-def shared_lines(lines: list[dict], other: list[dict] | None) -> set[int]:
-    """Numbers of the lines that the other page shares; none if the pages are copies."""
-    if not lines or not other:
-        return set()
+def gone_lines(lines: list[dict], before: list[dict], after: list[dict]) -> set[int]:
+    """Numbers of the lines that go, by the pages of the paths on either side, nearest first."""
     def chars(rows) -> int:
-        return sum(x["n"] for x in rows if x["kind"] != APART_LINE)
-
-    pairs = lcs([x["h"] for x in lines], [x["h"] for x in other])
-    if chars(lines[i] for i, _ in pairs) > COPY_SHARE * min(chars(lines), chars(other)):
-        return set()
-    return {i for i, _ in pairs}
+        return sum(lines[i]["n"] for i in rows if lines[i]["kind"] != APART_LINE)
+
+    own, every = [x["h"] for x in lines], range(len(lines))
+    total, near, pages, seen = chars(every), set(), Counter(), {tuple(own)}
+    for side in (before, after):
+        paired = False
+        for other in side:
+            shared = {i for i, _ in lcs(own, other["hs"])}
+            if not paired and chars(shared) <= COPY_SHARE * min(total, other["chars"]):
+                near |= shared
+                paired = True
+            if tuple(other["hs"]) not in seen:
+                seen.add(tuple(other["hs"]))
+                pages.update(shared)
+    site = {i for i, n in pages.items() if n >= SITE_PAGES}
+    article = {i for i in every if lines[i]["kind"] == ARTICLE_LINE}
+    if not article and not chars(set(every) - near - site):
+        site = set()
+    return (near | site) - article
 
 
 def _deleted(batches):
@@ -304,8 +328,7 @@ def _deleted(batches):
     for batch in batches:
         uids, gone = [], []
         for uid, lines, before, after in zip(*(batch.column(c).to_pylist() for c in ("uid", "lines", "before", "after"))):
-            shared = shared_lines(lines, before) | shared_lines(lines, after)
-            rows = [i for i in sorted(shared) if lines[i]["kind"] != ARTICLE_LINE]
+            rows = sorted(gone_lines(lines, before, after))
             if rows:
                 uids.append(uid)
                 gone.append(rows)
@@ -325,31 +348,53 @@ def _extracted(batches):
              pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
+def _guests(ends: list) -> list[tuple[str, str, int]]:
+    """``(host, path, range)``: the ``REACH`` paths next to each range, from the ranges beside it.
+
+    ``ends``: the first and last paths of every range, sorted by range and path.
+    """
+    by_range: dict[int, list] = {}
+    for r in ends:
+        by_range.setdefault(r["rng"], []).append((r["host"], r["path"]))
+    out, ranges = [], sorted(by_range)
+    for order, end in ((ranges, slice(-REACH, None)), (ranges[::-1], slice(0, REACH))):
+        last: list = []         # the paths passed last, in order
+        for rng in order:
+            out += [(*path, rng) for path in last]
+            own = by_range[rng][end]
+            last = (last + own)[end] if order is ranges else (own + last)[end]
+    return out
+
+
 def neighbours(paths: DataFrame, tables: Tables) -> DataFrame:
-    """``(host, path, before, after)``: the lines of the nearest paths of the host, in order.
+    """``(host, path, before, after)``: the nearest paths of the host on either side, nearest first.
 
     ``paths`` holds one row per host and path. Ranges of (host, path) are sorted in parallel;
-    each gets the last row of the range before it and the first of the one after it as guests.
+    each gets the last rows before it and the first ones after it as guests.
     """
     ranges = min(n_blocks(paths.count(), RANGE_ROWS), MAX_RANGES)
     dealt = written(paths.repartitionByRange(ranges, "host", "path").withColumn("rng", F.spark_partition_id()),
                     "html-paths", tables)
-    ends = dealt.groupBy("rng").agg(F.min(F.struct("host", "path")).alias("lo"), F.max(F.struct("host", "path")).alias("hi"))
-    ends = sorted(ends.collect(), key=lambda r: r["rng"])       # a row per range
-    guests = [(a["hi"]["host"], a["hi"]["path"], b["rng"]) for a, b in zip(ends, ends[1:])]
-    guests += [(b["lo"]["host"], b["lo"]["path"], a["rng"]) for a, b in zip(ends, ends[1:])]
+    order = Window.partitionBy("rng").orderBy("host", "path")
+    back = Window.partitionBy("rng").orderBy(F.desc("host"), F.desc("path"))
+    ends = (dealt.select("rng", "host", "path").withColumn("nth", F.row_number().over(order))
+            .withColumn("last", F.row_number().over(back)).where(F.least("nth", "last") <= REACH))
+    guests = _guests(sorted(ends.collect(), key=lambda r: (r["rng"], r["nth"])))     # a few rows per range
     if guests:
         extra = paths.sparkSession.createDataFrame(guests, "host string, path string, to int")
-        extra = dealt.join(F.broadcast(extra), ["host", "path"]).select("host", "path", "lines", F.col("to").alias("rng"))
+        extra = dealt.join(F.broadcast(extra), ["host", "path"]).select("host", "path", "hs", "chars", F.col("to").alias("rng"))
         dealt = dealt.withColumn("guest", F.lit(False)).unionByName(extra.withColumn("guest", F.lit(True)))
     else:
         dealt = dealt.withColumn("guest", F.lit(False))
-    order = Window.partitionBy("rng").orderBy("host", "path")
-    lag, lead = F.lag(F.struct("host", "lines")).over(order), F.lead(F.struct("host", "lines")).over(order)
-    near = dealt.select("host", "path", "guest", lag.alias("b"), lead.alias("a"))
-    return near.where("NOT guest").select(
-        "host", "path", F.when(F.col("b.host") == F.col("host"), F.col("b.lines")).alias("before"),
-        F.when(F.col("a.host") == F.col("host"), F.col("a.lines")).alias("after"))
+    page = F.struct("host", "hs", "chars")
+
+    def side(at):
+        found = F.filter(F.array(*[F.col(f"{at.__name__}{k}") for k in range(1, REACH + 1)]), lambda x: x["host"] == F.col("host"))
+        return F.transform(found, lambda x: F.struct(x["hs"].alias("hs"), x["chars"].alias("chars")))
+
+    near = dealt.select("host", "path", "guest", *[at(page, k).over(order).alias(f"{at.__name__}{k}")
+                                                   for at in (F.lag, F.lead) for k in range(1, REACH + 1)])
+    return near.where("NOT guest").select("host", "path", side(F.lag).alias("before"), side(F.lead).alias("after"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -357,7 +402,8 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     Null or empty html gives an empty text. A page whose url is null or has no host, or which is
     alone on its host, is not differenced. Rows may repeat: equal rows get equal texts. Of the
-    pages of one path, the one of the smallest line hashes stands for them all in comparisons.
+    pages of one path, the one of the smallest line hashes stands for them all in comparisons. On a
+    host of one path the query counts as part of it.
     """
     tables = Tables()
     bounded_batches(pages.sparkSession)
@@ -365,9 +411,20 @@ def main_text(pages: DataFrame) -> DataFrame:
                         F.col("html").cast("string").alias("html"))
     base = base.withColumn("uid", F.xxhash64("page_id", "url", "html"))
     hashed = written(base.select("uid", "url", "html").mapInArrow(
-        _hashed, f"uid bigint, host string, path string, lines {LINES}"), "html-lines", tables)
-    paths = written(hashed.groupBy("host", "path").agg(F.min(F.struct("uid", "lines"))["lines"].alias("lines")), "html-first", tables)
-    near = neighbours(paths, tables).where("before IS NOT NULL OR after IS NOT NULL")
+        _hashed, f"uid bigint, host string, path string, query string, lines {LINES}"), "html-lines", tables)
+    single = (hashed.groupBy("host").agg(F.min("path").alias("lo"), F.max("path").alias("hi"), F.min("query").alias("qlo"),
+                                         F.max("query").alias("qhi"))
+              .where("lo = hi AND qlo <> qhi").select("host", F.lit(True).alias("single")))
+    single = written(single, "html-single", tables)
+    hashed = (hashed.join(broadcast_if_small(single, single.count()), "host", "left")
+              .withColumn("path", F.when(F.col("single"), F.concat("path", F.lit("?"), "query")).otherwise(F.col("path")))
+              .drop("single", "query"))
+    counted = F.aggregate("lines", F.lit(0).cast("bigint"),
+                          lambda n, x: n + F.when(x["kind"] != APART_LINE, x["n"]).otherwise(0))
+    paths = hashed.groupBy("host", "path").agg(F.min(F.struct("uid", "lines"))["lines"].alias("lines"))
+    paths = paths.select("host", "path", F.transform("lines", lambda x: x["h"]).alias("hs"), counted.alias("chars"))
+    paths = written(paths, "html-first", tables)
+    near = neighbours(paths, tables).where("size(before) > 0 OR size(after) > 0")
     gone = hashed.dropDuplicates(["uid"]).join(near, ["host", "path"]).select("uid", "lines", "before", "after").mapInArrow(
         _deleted, "uid bigint, gone array<bigint>")
     gone = written(gone, "html-gone")

@@ -84,3 +84,25 @@ def test_containers_around_the_text_are_main_text():
     assert main('<p>own text of the page</p><div class="related"><article>more</article></div><div class="ad-slot">buy</div>') == ["own text of the page"]
     deep = '<div class="ad">' * 20_000 + "x"
     assert main(deep) == ["x"]
+
+
+def test_templates_longer_than_the_text(spark, monkeypatch):
+    monkeypatch.setattr(htmltext, "RANGE_ROWS", 2)
+    menu = "".join(f"<p>menu entry {i} of a long template</p>" for i in range(9))
+    stub = 3
+    rows = [(i, f"http://long.example/{i}", menu + (f"<p>own {i}</p>" if i != stub else "")) for i in range(8)]
+    rows += [(100 + i, f"http://query.example/index.php?id={i}", f"<p>Site name</p><p>own text of page number {i}</p>") for i in range(8)]
+    notice = "<p>share this</p>"
+    rows += [(200 + i, f"http://art.example/{i}", f"<article><h1>title {i}</h1>{notice}<p>the text of article {i}</p></article>") for i in range(8)]
+    same = "<p>a long passage that near copies have</p>"
+    rows += [(300 + i, f"http://near.example/{i}", f"{same}<p>date {i}</p>") for i in range(2)]
+    rows += [(400 + i, f"http://quotes.example/{i}", f"<article>{same}<p>date {i}</p></article>") for i in range(8)]
+    # a copy beside each page: the next path takes its place
+    rows += [(500 + i, f"http://beside.example/{i}", f"<p>Site</p><p>the own text of page {i // 2}</p>") for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4)
+    got = {r["page_id"]: r["text"] for r in htmltext.main_text(pages).collect()}
+    assert all(got[i] == f"own {i}" for i in range(8) if i != stub)
+    assert all(got[100 + i] == f"own text of page number {i}" for i in range(8))
+    assert all(got[300 + i] == f"a long passage that near copies have date {i}" for i in range(2))
+    assert all(got[400 + i] == f"a long passage that near copies have date {i}" for i in range(8))
+    assert all(got[500 + i] == f"the own text of page {i // 2}" for i in range(6))
