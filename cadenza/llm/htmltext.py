@@ -8,8 +8,9 @@ compared, unless the host has no other path; then their queries part them. A pag
 of its text may be a copy, and the next path takes its place.
 
 Lines shared with ``SITE_PAGES`` different pages go as well, whatever else those share, if the page
-keeps some text: so go the lines of a template that is longer than the page's own text. Lines
-inside an article element stay: articles that quote each other must stay whole.
+keeps some text: so go the lines of a template that is longer than the page's own text, and the
+lines that a site repeats in its articles. Other lines inside an article element stay, and all do
+if most of the article is shared: articles that quote each other must stay whole.
 
 An exact check by markup follows, for what is not on the neighbouring pages: of the lines left,
 the article's are the main text, or without an article those outside of containers that never are
@@ -58,7 +59,7 @@ _LAYOUT = re.compile(r"(?:has|no|not|with|without|sticky|is)[_-]", re.I)
 NO_NAME, WEAK, STRONG = 0, 1, 2
 #: What a line is: in a container that is not main text, in the page's body, in its article.
 APART_LINE, BODY_LINE, ARTICLE_LINE = 0, 1, 2
-#: Pages that share more than this of either one's text may be copies.
+#: Pages that share more than this of either one's text may be copies; so may articles.
 COPY_SHARE = 0.5
 #: Paths on either side that a page is compared with, and pages that make a shared line the site's.
 REACH, SITE_PAGES = 3, 3
@@ -317,9 +318,12 @@ def gone_lines(lines: list[dict], before: list[dict], after: list[dict]) -> set[
                 pages.update(shared)
     site = {i for i, n in pages.items() if n >= SITE_PAGES}
     article = {i for i in every if lines[i]["kind"] == ARTICLE_LINE}
+    repeated = site & article
+    if chars(repeated) > COPY_SHARE * chars(article):
+        repeated = set()
     if not article and not chars(set(every) - near - site):
         site = set()
-    return (near | site) - article
+    return (near | site) - article | repeated
 
 
 def _deleted(batches):

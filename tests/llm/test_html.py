@@ -103,6 +103,7 @@ def test_templates_longer_than_the_text(spark, monkeypatch):
     got = {r["page_id"]: r["text"] for r in htmltext.main_text(pages).collect()}
     assert all(got[i] == f"own {i}" for i in range(8) if i != stub)
     assert all(got[100 + i] == f"own text of page number {i}" for i in range(8))
+    assert all(got[200 + i] == f"title {i} the text of article {i}" for i in range(8))
     assert all(got[300 + i] == f"a long passage that near copies have date {i}" for i in range(2))
     assert all(got[400 + i] == f"a long passage that near copies have date {i}" for i in range(8))
     assert all(got[500 + i] == f"the own text of page {i // 2}" for i in range(6))
