@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import htmltext, jaccard, langid, lines, mix, packing, pii, quality, simhash, toxicity
+from cadenza.llm import htmltext, jaccard, langid, lines, lloyd, mix, packing, pii, quality, simhash, toxicity
 from cadenza.llm.common import documents, table
 
 
@@ -50,6 +50,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(documents(spark, sf_dir), k=4, percent=85)
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lloyd.lloyd(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, scale=256)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_source_mix": op2_source_mix,
@@ -61,6 +65,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_centroid_clustering": op11_centroid_clustering,
 }
 
 
@@ -107,6 +112,27 @@ SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, least(d.doc_id, min(
 FROM documents d LEFT JOIN size s USING (doc_id) LEFT JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id"""
 
 
+def _sql_op11(k: int = 40, rounds: int = 5, dims: int = 64, scale: int = 256) -> str:
+    """Every round as two steps: all distances to the centroids, then the means by cluster."""
+    far = f"list_sum(list_transform(range(1, {dims + 1}), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))::BIGINT"
+    steps = [f"""v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: floor(e::DOUBLE * {scale})::BIGINT) AS x
+  FROM embeddings WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda e: isfinite(e))) = {dims}),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), x) - 1 AS j, x FROM v ORDER BY j LIMIT {k})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT r, any_value(vec_id) AS vec_id, min((d, j)) AS best
+  FROM (SELECT v.r, v.vec_id, c.j, {far} AS d FROM v CROSS JOIN c{i} c) GROUP BY r)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (SELECT c.j, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN (
+  SELECT j, list((s - (s % n + n) % n) // n ORDER BY i)::BIGINT[] AS x FROM (
+    SELECT a.best[2] AS j, i, sum(v.x[i]) AS s, count(*) AS n FROM a{i} a JOIN v USING (r), range(1, {dims + 1}) t(i) GROUP BY ALL)
+  GROUP BY j) m ON m.j = c.j)""")
+    return f"""WITH {", ".join(steps)}
+SELECT a.vec_id, a.best[2]::INT AS cluster, a.best[1] AS distance, sum(a.best[1]) OVER (PARTITION BY a.best[2])::BIGINT AS cluster_inertia,
+       sum(a.best[1]) OVER ()::BIGINT AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON c.j = a.best[2]"""
+
+
 #: The other operators draw, learn, tokenize or parse, which SQL cannot express; they are
 #: tested against brute force, exact round trips or held-out accuracy.
-ORACLES: dict[str, str] = {"op9_line_dedup": _sql_op9(), "op10_ngram_jaccard_join": _sql_op10()}
+ORACLES: dict[str, str] = {"op9_line_dedup": _sql_op9(), "op10_ngram_jaccard_join": _sql_op10(),
+                            "op11_centroid_clustering": _sql_op11()}
