@@ -47,16 +47,16 @@ def first_centroids(kept: DataFrame, k: int, tag: str) -> list[list[int]]:
     return [r["x"] for r in rows]
 
 
-def _shards(batches, blocks: int):
-    """Every ``VECTOR_BLOCK`` rows: their ids, then one row per column block with its columns."""
+def _shards(batches, blocks: int, rows: int):
+    """Every ``rows`` rows: their ids, then one row per column block with its columns."""
     import pyarrow as pa
     from pyspark import TaskContext
 
     task, n = TaskContext.get().partitionId(), 0
     for batch in batches:
         dims = len(batch.column("x")[0]) if batch.num_rows else 0
-        for lo in range(0, batch.num_rows, VECTOR_BLOCK):
-            part = batch.slice(lo, VECTOR_BLOCK)
+        for lo in range(0, batch.num_rows, rows):
+            part = batch.slice(lo, rows)
             x = part.column("x").flatten().to_numpy(zero_copy_only=False).astype("<i4").reshape(-1, dims)
             vb, ids = (task << 32) + n, part.column("vec_id")
             n += 1
@@ -155,9 +155,10 @@ def lloyd(vectors: DataFrame, k: int = 40, rounds: int = 5, dims: int = 64, scal
     spark, tables = vectors.sparkSession, Tables()
     blocks = max(1, min(blocks, dims))
     bounded_batches(spark)
-    kept = whole_vectors(vectors, dims, scale, column)
+    kept, block = whole_vectors(vectors, dims, scale, column), VECTOR_BLOCK
     out = "vec_id bigint, cluster int, distance bigint, cluster_inertia bigint, inertia bigint, centroid_sha256 string"
-    shards = written(kept.mapInArrow(lambda it: _shards(it, blocks), "vb bigint, db int, ids array<bigint>, part binary"), "lloyd-shards")
+    shards = written(kept.mapInArrow(lambda it: _shards(it, blocks, block),
+                                     "vb bigint, db int, ids array<bigint>, part binary"), "lloyd-shards")
     first = first_centroids(kept, k, tag)
     if not first:
         return local_frame(spark, [], out)

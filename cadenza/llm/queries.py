@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import htmltext, jaccard, langid, lines, lloyd, mix, packing, pii, quality, simhash, toxicity
+from cadenza.llm import htmltext, jaccard, langid, lines, lloyd, mix, packing, phrases, pii, quality, simhash, toxicity
 from cadenza.llm.common import documents, table
 
 
@@ -54,6 +54,10 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lloyd.lloyd(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, scale=256)
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir), max_words=3, least=10, top=2000, within=50)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_source_mix": op2_source_mix,
@@ -66,6 +70,7 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_phrase_collocations": op12_phrase_collocations,
 }
 
 
@@ -132,7 +137,30 @@ SELECT a.vec_id, a.best[2]::INT AS cluster, a.best[1] AS distance, sum(a.best[1]
 FROM a{rounds} a JOIN c{rounds} c ON c.j = a.best[2]"""
 
 
+def _sql_op12(least: int = 10, top: int = 2000, within: int = 50) -> str:
+    """All phrases of one to three words counted by grouping, cuts and containers joined by their words."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{upper}', '{lower}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+grams AS (SELECT lang, p, len(p) AS n, count(*) AS f FROM (
+    SELECT lang, unnest([list_slice(w, i, i + k - 1) FOR k IN range(1, 4) IF i + k - 1 <= len(w)]) AS p
+    FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces)) GROUP BY lang, p),
+size AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE n = 1 GROUP BY lang),
+cand AS (SELECT lang, p, n, f AS a FROM grams WHERE n >= 2 AND f >= {least}),
+cuts AS (SELECT c.lang, c.p, c.a, k, x.f AS l, y.f AS r, ((1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, n)) AS k FROM cand) c JOIN grams x ON x.lang = c.lang AND x.p = list_slice(c.p, 1, k)
+  JOIN grams y ON y.lang = c.lang AND y.p = list_slice(c.p, k + 1, c.n)),
+best AS (SELECT lang, p, a, min((score, k, l, r)) AS m FROM cuts GROUP BY lang, p, a),
+around AS (SELECT lang, p, max(a) AS longer FROM (
+  SELECT lang, a, unnest([list_slice(p, 1, 2), list_slice(p, 2, 3)]) AS p FROM cand WHERE n = 3) GROUP BY lang, p),
+kept AS (SELECT b.lang, array_to_string(b.p, ' ') AS phrase, a, m[3] AS l, m[4] AS r, m[1] AS score
+  FROM best b LEFT JOIN around o ON o.lang = b.lang AND o.p = b.p WHERE o.longer IS NULL OR 100 * o.longer < {within} * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, s.n, score
+FROM kept JOIN size s USING (lang) QUALIFY rank <= {top}"""
+
+
 #: The other operators draw, learn, tokenize or parse, which SQL cannot express; they are
 #: tested against brute force, exact round trips or held-out accuracy.
 ORACLES: dict[str, str] = {"op9_line_dedup": _sql_op9(), "op10_ngram_jaccard_join": _sql_op10(),
-                            "op11_centroid_clustering": _sql_op11()}
+                            "op11_centroid_clustering": _sql_op11(), "op12_phrase_collocations": _sql_op12()}
