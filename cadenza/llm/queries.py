@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import htmltext, jaccard, langid, lines, lloyd, mix, packing, phrases, pii, quality, simhash, toxicity
+from cadenza.llm import (htmltext, jaccard, langid, lines, lloyd, mix, packing, phrases, pii, quality, repeats,
+                         simhash, toxicity)
 from cadenza.llm.common import documents, table
 
 
@@ -58,6 +59,10 @@ def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(documents(spark, sf_dir), max_words=3, least=10, top=2000, within=50)
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated_spans(documents(spark, sf_dir), length=200)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_source_mix": op2_source_mix,
@@ -71,6 +76,7 @@ QUERIES = {
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_centroid_clustering": op11_centroid_clustering,
     "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 
