@@ -12,7 +12,7 @@ windows of one key form a *region*. The steps, each over Spark shuffles:
 3. Regions go to shards by key, equal regions once with their count. A shard's suffixes are
    sorted by external induced sorting (:mod:`cadenza.llm.suffixes`); a window repeats if its
    suffix shares ``length`` bytes or more with a neighbour in sorted order, or if its region
-   was counted twice.
+   was counted twice. A key all of whose regions are equal needs no sorting.
 4. What repeats is joined back to the regions' places and cut out of the texts.
 
 A shard's queues live on disk, so a hot key costs time in its shard and no memory; regions of
@@ -33,7 +33,7 @@ from cadenza.llm.common import Tables, bounded_batches, mix64, n_blocks, written
 from cadenza.session import scratch_path
 
 #: Bytes of a gram; bytes of text that are hashed at a time; windows of a region at most.
-GRAM, SEGMENT, REGION = 32, 256 << 10, 1024
+GRAM, SEGMENT, REGION = 48, 256 << 10, 1024
 #: Bytes of regions in a shard, about; texts in a bucket, about; regions that a task holds back at most.
 SHARD_BYTES, BUCKET_BYTES, HELD = 24 << 20, 24 << 20, 100_000
 #: Never part of a text in UTF-8: stands between the regions of a shard.
@@ -140,20 +140,23 @@ def _regions(batches, length: int, gram: int, segment: int, region: int):
 
 
 def _cut_out(batch, length: int) -> Iterator[tuple]:
-    """``(row, shard, at, n, bytes)`` of every listed region of a batch of texts."""
+    """``(row, shard, key, at, bytes)`` of every listed region of a batch of texts."""
     raw, off = _texts(batch)
     listed = batch.column("regions")
     counts = np.diff(listed.offsets.to_numpy())
     flat = listed.flatten()
-    at, n, shard = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("at", "n", "shard"))
+    at, n, shard, h = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("at", "n", "shard", "h"))
     row = np.repeat(np.arange(len(counts)), counts)
     lo = off[row] + at
-    for r, s, a, k, x in zip(row.tolist(), shard.tolist(), at.tolist(), n.tolist(), lo.tolist()):
-        yield r, s, a, k, raw[x:x + k + length - 1].tobytes()
+    for r, s, key, a, k, x in zip(row.tolist(), shard.tolist(), h.tolist(), at.tolist(), n.tolist(), lo.tolist()):
+        yield r, s, key, a, raw[x:x + k + length - 1].tobytes()
+
+
+SENT = ["shard", "h", "digest", "part", "times"]
 
 
 def _sent(batches, length: int, held: int):
-    """``(shard, digest, part, times)``: a task's regions, equal ones once where they are held."""
+    """``(shard, h, digest, part, times)``: a task's regions, equal ones once where they are held."""
     import pyarrow as pa
 
     seen: dict[bytes, list] = {}
@@ -164,21 +167,21 @@ def _sent(batches, length: int, held: int):
         for lo in range(0, len(rows), 4000):
             some = rows[lo:lo + 4000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([v[0] for _, v in some], pa.int64()), pa.array([k for k, _ in some], pa.binary()),
-                 pa.array([v[1] for _, v in some], pa.binary()), pa.array([v[2] for _, v in some], pa.int64())],
-                names=["shard", "digest", "part", "times"])
+                [pa.array([v[0] for _, v in some], pa.int64()), pa.array([v[1] for _, v in some], pa.int64()),
+                 pa.array([k for k, _ in some], pa.binary()), pa.array([v[2] for _, v in some], pa.binary()),
+                 pa.array([v[3] for _, v in some], pa.int64())], names=SENT)
 
     for batch in batches:
         times = batch.column("times").to_pylist()
-        for r, shard, _, _, part in _cut_out(batch, length):
+        for r, shard, h, _, part in _cut_out(batch, length):
             digest = hashlib.md5(part).digest()
             own = seen.get(digest)
             if own is None:
-                seen[digest] = [shard, part, times[r]]
+                seen[digest] = [shard, h, part, times[r]]
                 if len(seen) >= held:
                     yield from out()
             else:
-                own[2] += times[r]
+                own[3] += times[r]
     yield from out()
 
 
@@ -221,34 +224,52 @@ class Shard:
 
 
 def _sorted_shards(batches, length: int):
-    """Rows sorted by shard and digest: equal regions of several tasks meet and become one."""
+    """Rows sorted by shard, key and digest: equal regions of several tasks meet and become one.
+
+    Windows of different keys differ. So where all regions of a key are equal and counted twice
+    or more, they repeat whole, and there is nothing to sort; all others go into the shard's text.
+    """
     import pyarrow as pa
 
-    shard, now, last = None, None, None
+    shard, now, key, last, alone, equal = None, None, None, None, True, []
 
-    def done():
-        rows = list(shard.repeats())
-        for lo in range(0, len(rows), 4000):
-            some = list(zip(*rows[lo:lo + 4000]))
+    def rows(found):
+        for lo in range(0, len(found), 4000):
+            some = list(zip(*found[lo:lo + 4000]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(some[0], pa.binary()), pa.array(some[1], pa.list_(pa.int32())), pa.array(some[2], pa.list_(pa.int32()))],
                 names=["digest", "begins", "ends"])
 
+    def key_done():
+        if alone and last[2] > 1:
+            equal.append((last[0], [0], [len(last[1]) - length + 1]))
+        else:
+            shard.add(*last)
+
     for batch in batches:
-        for number, digest, part, times in zip(*(batch.column(c).to_pylist() for c in ("shard", "digest", "part", "times"))):
-            if last is not None and last[0] == digest and now == number:
-                last[2] += times
-                continue
-            if last is not None:
+        for number, h, digest, part, times in zip(*(batch.column(c).to_pylist() for c in SENT)):
+            if last is not None and key == h and now == number:
+                if last[0] == digest:
+                    last[2] += times
+                    continue
                 shard.add(*last)
-            if now != number:
-                if shard is not None:
-                    yield from done()
-                shard, now = Shard(length), number
+                alone = False
+            else:
+                if last is not None:
+                    key_done()
+                if now != number:
+                    if shard is not None:
+                        yield from rows(list(shard.repeats()))
+                    shard, now = Shard(length), number
+                key, alone = h, True
+                if len(equal) >= 4000:
+                    yield from rows(equal)
+                    equal.clear()
             last = [digest, part, times]
     if last is not None:
-        shard.add(*last)
-        yield from done()
+        key_done()
+        yield from rows(equal)
+        yield from rows(list(shard.repeats()))
 
 
 def _found_again(batches, length: int):
@@ -257,7 +278,7 @@ def _found_again(batches, length: int):
 
     for batch in batches:
         keys = batch.column("key")
-        rows = [(hashlib.md5(part).digest(), r, at) for r, _, at, _, part in _cut_out(batch, length)]
+        rows = [(hashlib.md5(part).digest(), r, at) for r, _, _, at, part in _cut_out(batch, length)]
         for lo in range(0, len(rows), 50_000):
             some = list(zip(*rows[lo:lo + 50_000]))
             yield pa.RecordBatch.from_arrays(
@@ -320,7 +341,7 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
     doc_id stays null. Rows are told apart by nothing but their text: equal texts (repeated rows
     too) repeat each other whole if they have ``length`` bytes. An empty table gives an empty
     result. A long text is hashed in parts that overlap by one window. ``length`` must exceed
-    the gram's 32 bytes, else grams of half the length are used.
+    the gram's 48 bytes, else grams of half the length are used.
     """
     spark, tables = docs.sparkSession, Tables()
     bounded_batches(spark)
@@ -343,12 +364,12 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
                                                      "h bigint, key binary, at bigint, n int")
     found = written(regions.join(often, "h", "left_semi"), "repeats-regions", tables)
     shards = n_blocks(found.agg(F.sum(F.col("n") + F.lit(length))).first()[0] or 0, SHARD_BYTES)
-    place = F.struct("at", "n", F.pmod(F.xxhash64("h"), F.lit(shards)).alias("shard"))
+    place = F.struct("at", "n", "h", F.pmod(F.xxhash64("h"), F.lit(shards)).alias("shard"))
     listed = written(found.groupBy("key").agg(F.collect_list(place).alias("regions")), "repeats-listed", tables)
     both = texts.join(listed.hint("shuffle_hash"), "key")
     sent = both.select("text", "times", "regions").mapInArrow(
-        lambda it: _sent(it, length, held), "shard bigint, digest binary, part binary, times bigint")
-    hits = written(sent.repartition(shards, "shard").sortWithinPartitions("shard", "digest").mapInArrow(
+        lambda it: _sent(it, length, held), "shard bigint, h bigint, digest binary, part binary, times bigint")
+    hits = written(sent.repartition(shards, "shard").sortWithinPartitions("shard", "h", "digest").mapInArrow(
         lambda it: _sorted_shards(it, length), "digest binary, begins array<int>, ends array<int>"), "repeats-hits", tables)
     again = both.select("key", "text", "regions").mapInArrow(lambda it: _found_again(it, length), "digest binary, key binary, at bigint")
     run = F.explode(F.arrays_zip("begins", "ends"))
