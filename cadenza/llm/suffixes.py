@@ -2,7 +2,7 @@
 
 Suffixes are of type S (smaller than the one behind) or L. The leftmost S suffixes (LMS: S behind
 an L) are sorted first: the stretches between them get names in sorted order, and where names
-repeat, the string of names is sorted by the same procedure, recursively. Two scans then induce
+repeat, the string of names is sorted by the same procedure, recursively, until it is short. Two scans then induce
 the rest: popping a suffix tuple (position, common prefix with the tuple popped before) pushes the
 suffix in front of it, with its own common prefix: one more than the least value popped since the
 last push to the same symbol.
@@ -24,6 +24,8 @@ import numpy as np
 
 #: Tuples popped at a time, and bytes up to which an array stays in memory.
 BLOCK, MEMORY = 1 << 18, 48 << 20
+#: Strings of names up to this length end the recursion: they are sorted in memory.
+BASE = 300_000
 
 
 def stored(n: int, dtype, memory: int | None = None) -> np.ndarray:
@@ -107,7 +109,8 @@ class _Queue:
         """Push ``position[i]`` to ``symbol[i]``, induced by the ``at[i]``-th tuple popped in this
         block; ``popped``: the block's common-prefix values."""
         if len(symbol):
-            order = np.argsort(symbol, kind="stable")
+            # numpy sorts short integers by radix
+            order = np.argsort(symbol.astype(np.uint8 if len(self.head) <= 256 else np.int32), kind="stable")
             symbol, position, at = symbol[order], position[order], at[order]
             new = np.empty(len(symbol), bool)
             new[0] = True
@@ -199,6 +202,29 @@ def _names(text: np.ndarray, small: np.ndarray, lms: np.ndarray) -> tuple[np.nda
     return order, names
 
 
+def _doubled(text: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same for a short string, by ranks of doubling lengths."""
+    n, ranks, h = len(text), [text.astype(np.int64)], 1
+    while True:
+        key = ranks[-1] * (int(ranks[-1].max()) + 2)
+        key[:n - h] += ranks[-1][h:] + 1
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        new = np.append(True, key[1:] != key[:-1])
+        if new.all():
+            break
+        rank = np.empty(n, np.int64)
+        rank[order] = np.cumsum(new) - 1
+        ranks.append(rank)
+        h *= 2
+    a, b, k = order[:-1], order[1:], np.zeros(n - 1, np.int64)
+    for rank in reversed(ranks):
+        inside = np.flatnonzero(np.maximum(a, b) + k < n)
+        k[inside[rank[(a + k)[inside]] == rank[(b + k)[inside]]]] += h
+        h //= 2
+    return order, np.minimum(np.append(0, k), cap)
+
+
 def suffixes(text: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
     """The positions of all suffixes in sorted order, and each one's common prefix with the one
     before (``cap`` at most). ``text``: unsigned bytes, or names from 0 on."""
@@ -211,7 +237,7 @@ def suffixes(text: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
     if len(lms):
         order, names = _names(text, small, lms)
         if len(lms) > 1 and int(names.max()) + 1 < len(lms):
-            order, shared = suffixes(names, cap)
+            order, shared = (_doubled if len(names) <= BASE else suffixes)(names, cap)
             order, shared = np.asarray(order, np.int64), np.asarray(shared, np.int64)
             # equal names are equal stretches: so many symbols are known to be the same
             ends = np.append(lms, n)

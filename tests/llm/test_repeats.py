@@ -66,6 +66,7 @@ def test_suffixes(monkeypatch, seed):
     for _ in range(150):
         monkeypatch.setattr(suffixes, "BLOCK", rng.choice([1, 3, 17, 1 << 18]))
         monkeypatch.setattr(suffixes, "MEMORY", rng.choice([0, 1 << 20]))
+        monkeypatch.setattr(suffixes, "BASE", rng.choice([0, 300_000]), raising=False)
         t = [rng.randrange(rng.choice([1, 2, 3, 250])) for _ in range(rng.choice([0, 1, 2, 9, 60, 200]))]
         t = bytes(t[:len(t) // 3] * 2 + [255] + t) if rng.random() < 0.5 else bytes(t)
         cap = rng.choice([3, 20, 200, 300])
