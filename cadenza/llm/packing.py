@@ -1,10 +1,11 @@
 """Mixture-controlled packing (operator 7): deficit round-robin over source queues.
 
-A document is its token ids and an end id. Documents are dealt to tasks, and ordered within
-them, by a hash of the row, so that every task meets all sources side by side whatever the
-order of the input. Every task reads its documents once and queues them by source. It fills one window of ``WINDOW`` sequences after another: each source earns
-its share of the window, and is served whole documents while its deficit (what it earned and
-has not got) lasts; documents longer than a sequence are served in parts. Room that is left
+A document is its token ids and an end id. Texts are tokenized where they are read; the ids are
+dealt to tasks, and ordered within them, by a hash of the row, so that every task meets all
+sources side by side whatever the order of the input. Every task reads its documents once and
+queues them by source. It fills one window of ``WINDOW`` sequences after another: each source
+earns its share of the window, and is served whole documents while its deficit (what it earned
+and has not got) lasts; documents longer than a sequence are served in parts. Room that is left
 goes to the queues with the largest deficits. Deficits carry over from window to window.
 Sequences are cut from the stream of served documents, without gaps.
 
@@ -27,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import bounded_batches, n_blocks, text_bytes, written
+from cadenza.llm.common import _SPACE, Tables, bounded_batches, n_blocks, text_bytes, written
 
 SEQUENCE = 2048
 #: Sequences in a window, and windows that a task buffers.
@@ -41,75 +42,131 @@ TASK_BYTES, MAX_TASKS = 8 << 20, 10_000
 TAIL_TASKS = 256
 #: Queues at most; more sources share queues by hash.
 MAX_QUEUES = 10_000
-#: Words, and parts of words, whose ids a worker remembers at most.
-CACHE_WORDS, CACHE_PARTS = 350_000, 400_000
+#: Words of a generation, of which a worker remembers two; bytes of text that are encoded at a time.
+CACHE_WORDS, STRETCH = 300_000, 4 << 20
 
 PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
 #: A run of letters up to U+00FF and then ASCII punctuation: most words are of this form.
 _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\\[-`{-~]*)")
+#: ASCII punctuation.
+_ENDS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _PROBES = ["The", "word,", "Zebra", "\u00c9t\u00e9", "na\u00efve.", "stra\u00dfe!!", "x###", "QUE%%%", "a", "anti-", "\u00f1andu)."]
 
 
-class WordTokenizer(dict):
-    """Token ids of words (UTF-8 bytes → ids as bytes), remembered while they fit.
+class WordTokenizer:
+    """Token ids of texts by their distinct words.
 
-    Valid for tokenizers that split at white space and drop it, as the word vocabularies do:
-    the ids of a text are those of its words in order. If the tokenizer also lower-cases and
-    splits letters from punctuation (which is tried on some words), a new word is cut up here
-    and only its parts go through the byte-pair model; otherwise it is encoded as it is.
+    Valid for tokenizers that split at white space and drop it, as the word vocabularies do: the
+    ids of a text are those of its words in order. The words of a batch are numbered (exactly, by
+    Arrow), every new one is encoded once, and Arrow puts the ids together. Words are
+    remembered in two generations, so that common ones outlive a flood of rare ones.
     """
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.encode_special_tokens = True
-        self.model, self.parts = self.tokenizer.model, {}
+        size = self.tokenizer.get_vocab_size()
+        #: Bytes of an id: most vocabularies fit in 16 bits.
+        self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.as_bytes = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
-        self.id_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.id_bytes = [i.to_bytes(self.kind.itemsize, "little") for i in range(size)]
         gc.set_threshold(100_000, 50, 100)      # large dicts of bytes hold no cycles
         self.plain = True
-        self.plain = all(self[w.encode()] == self._encode(w) for w in _PROBES)
-        self.clear()
+        self.plain = all(self._ids(w.encode()) == self._encode(w) for w in _PROBES)
 
     def _encode(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def _part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
+    def _part(self, part: bytes) -> bytes:
+        """The ids of lower-case letters, or of punctuation."""
+        ids = self.young.get(part)
         if ids is None:
-            if len(self.parts) >= CACHE_PARTS:
-                self.parts.clear()
-            tokens = self.model.tokenize(part if part.isascii() else part.translate(self.as_bytes))
-            ids = self.parts[part] = b"".join([self.id_bytes[t.id] for t in tokens])
+            ids = self.old.get(part)
+            if ids is None:
+                text = part.decode("utf-8")
+                tokens = self.model.tokenize(text if text.isascii() else text.translate(self.as_bytes))
+                ids = b"".join([self.id_bytes[t.id] for t in tokens])
+            self.young[part] = ids
         return ids
 
-    def __missing__(self, word: bytes) -> bytes:
-        text = word.decode("utf-8")
-        if not self.plain:
-            ids = self._encode(text)
-        elif text.isascii() and text.isalpha():
-            ids = self._part(text.lower())
-        elif form := _PLAIN.fullmatch(text):
-            ids = self._part(form[1].lower()) + self._part(form[2]) if form[2] else self._part(form[1].lower())
-        else:
-            ids = self._encode(text)
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = ids
+    def _ids(self, word: bytes) -> bytes:
+        """A word's ids. If the tokenizer lower-cases and splits letters from punctuation (which is
+        tried on some words), only the parts of plain words go through the byte-pair model."""
+        if self.plain:
+            core = word.rstrip(_ENDS)
+            if core.isalpha():
+                ids = self._part(core.lower())
+                return ids if len(core) == len(word) else ids + self._part(word[len(core):])
+            if not word.isascii() and (form := _PLAIN.fullmatch(word.decode("utf-8"))):
+                ids = self._part(form[1].lower().encode())
+                return ids + self._part(form[2].encode()) if form[2] else ids
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self._encode(word.decode("utf-8"))
+        self.young[word] = ids
         return ids
 
+    def _known(self, words: list[bytes]) -> list[bytes]:
+        """The ids of distinct words."""
+        get, ids = self.young.get, self._ids
+        out = [x if (x := get(w)) is not None else ids(w) for w in words]
+        if len(self.young) >= CACHE_WORDS:
+            self.young, self.old = {}, self.young
+        return out
+
     def encode(self, column) -> Iterator[bytes]:
-        """Little-endian unsigned 32-bit ids of every text of an Arrow column, with the end id."""
-        end = END_ID.to_bytes(4, "little")
+        """The ids (``kind``) of every text of an Arrow column, with the end id; long columns in
+        stretches of texts of about ``STRETCH`` bytes, long texts in parts that end between words."""
         data, offsets = text_bytes(column)
-        for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-            yield b"".join([self[w] for w in data[lo:hi].tobytes().split()]) + end
+        lo, n = 0, len(offsets) - 1
+        while lo < n:
+            hi = min(max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + STRETCH, "right")) - 1), n)
+            if hi == lo + 1 and offsets[hi] - offsets[lo] > 2 * STRETCH:
+                yield self._long(data[offsets[lo]:offsets[hi]])
+            else:
+                yield from self._stretch(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], True)
+            lo = hi
+
+    def _long(self, data: np.ndarray) -> bytes:
+        parts, lo = [], 0
+        while lo < len(data):
+            hi = min(lo + STRETCH, len(data))
+            while hi < len(data) and not _SPACE[data[hi]]:
+                space = _SPACE[data[hi:hi + STRETCH]]
+                hi += int(space.argmax()) if space.any() else len(space)
+            parts += self._stretch(data[lo:hi], np.array([0, hi - lo]), False)
+            lo = hi
+        return b"".join(parts) + np.array([END_ID], self.kind).tobytes()
+
+    def _stretch(self, data: np.ndarray, offsets: np.ndarray, end: bool) -> Iterator[bytes]:
+        import pyarrow as pa
+
+        rows = len(offsets) - 1
+        inside = ~_SPACE[data]
+        before = np.zeros_like(inside)
+        before[1:] = inside[:-1]
+        before[offsets[:-1][offsets[:-1] < len(data)]] = False
+        start = np.flatnonzero(inside & ~before)
+        row = np.searchsorted(offsets, start, "right") - 1
+        kept = data[inside]
+        off = np.append(np.cumsum(inside)[start] - 1, len(kept)).astype(np.int64)
+        coded = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(off), pa.py_buffer(kept)]).dictionary_encode()
+        known = pa.array(self._known(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
+        # the ids of the words in order stand side by side: cut them where texts begin
+        at = np.frombuffer(known.buffers()[1], np.int64)[known.offset:known.offset + len(known) + 1]
+        ids = memoryview(known.buffers()[2] or b"")
+        cuts = at[np.searchsorted(row, np.arange(rows + 1))].tolist() if len(known) else [0] * (rows + 1)
+        last = END_ID.to_bytes(self.kind.itemsize, "little") if end else b""
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            yield bytes(ids[lo:hi]) + last
 
 
 _TOKENIZERS: dict[int, WordTokenizer] = {}
@@ -204,13 +261,23 @@ class Packer:
         return cols, ids
 
 
-def _first_round(batches, spec: str, shares: dict, with_ids: bool):
+def _token_rows(batches, spec: str):
+    """``(doc_id, queue, ids)``: the ids of every document with the end id, as bytes."""
+    import pyarrow as pa
+
+    model = tokenizer_of(spec)
+    for batch in batches:
+        ids = pa.array(list(model.encode(batch.column("text"))), pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("queue"), ids], names=["doc_id", "queue", "ids"])
+
+
+def _first_round(batches, kind: str, shares: dict, with_ids: bool):
     """Whole windows of a task's documents; what is left as rows with ids, queue and deficit."""
     import pyarrow as pa
     from pyspark import TaskContext
 
     task = TaskContext.get().partitionId()
-    pack, model = Packer(shares, task << 32), tokenizer_of(spec)
+    pack = Packer(shares, task << 32)
 
     def done():
         cols, ids = pack.rows(with_ids)
@@ -220,9 +287,8 @@ def _first_round(batches, spec: str, shares: dict, with_ids: bool):
             cols + none + ([ids] if with_ids else []), names=NAMES + (["ids"] if with_ids else []))
 
     for batch in batches:
-        queues = batch.column("queue").to_pylist()
-        for queue, doc_id, ids in zip(queues, batch.column("doc_id").to_pylist(),
-                                      model.encode(batch.column("text"))):
+        for queue, doc_id, ids in zip(*(batch.column(c).to_pylist() for c in ("queue", "doc_id", "ids"))):
+            ids = np.frombuffer(ids, kind).astype("<u4").tobytes()
             pack.add(queue, doc_id, ids, 0, len(ids) // 4)
             while pack.buffered >= BUFFERED * WINDOW * SEQUENCE:
                 pack.fill(WINDOW * SEQUENCE)
@@ -293,15 +359,9 @@ def _second_round(batches, shares: dict, with_ids: bool):
         yield end()
 
 
-def source_bytes(docs: DataFrame) -> dict[str, int]:
-    """Each queue's bytes of text and end ids; the driver gets one row per queue."""
-    rows = docs.groupBy("queue").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1).alias("n")).collect()
-    return {r["queue"]: r["n"] for r in rows}
-
-
 def dealt(flow: DataFrame, tasks: int) -> DataFrame:
     """``flow`` in ``tasks`` partitions, dealt and ordered by a hash of the whole row."""
-    return (flow.withColumn("deal", F.xxhash64("doc_id", "queue", "text")).repartition(tasks, "deal")
+    return (flow.withColumn("deal", F.xxhash64("doc_id", "queue", "ids")).repartition(tasks, "deal")
             .sortWithinPartitions("deal").drop("deal"))
 
 
@@ -312,25 +372,30 @@ def pack(docs: DataFrame, tokenizer_path: str, shares: dict[str, float] | None =
 
     ``shares``: target share of every source's tokens in each window (null source: empty
     string); sources without one wait until room is left. By default each source's share of
-    all text, so that queues run dry together. All documents are packed in the end. Null and
+    all tokens, so that queues run dry together. All documents are packed in the end. Null and
     empty texts are documents of the end id alone. Repeated rows are packed as often as they
     come; a null doc_id stays null. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     with open(tokenizer_path, encoding="utf-8") as f:
-        spec = spark.sparkContext.broadcast(f.read())    # a vocabulary file
+        text = f.read()
+    kind, spec = WordTokenizer(text).kind.str, spark.sparkContext.broadcast(text)    # a vocabulary file
     source = F.coalesce(F.col("source").cast("string"), F.lit(""))
     named = docs.select("source").distinct().limit(MAX_QUEUES + 1).count()
     queue = source if named <= MAX_QUEUES else F.pmod(F.xxhash64(source), F.lit(MAX_QUEUES)).cast("string")
     flow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        queue.alias("queue"))
-    sizes = source_bytes(flow)
+    size = flow.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    tokens = flow.mapInArrow(lambda it: _token_rows(it, spec.value), "doc_id bigint, queue string, ids binary")
+    flow, tables = dealt(tokens, min(n_blocks(size, TASK_BYTES), MAX_TASKS)), Tables()
+    flow = written(flow, "pack-tokens", tables)
+    sizes = {r["queue"]: r["n"] for r in flow.groupBy("queue").agg(F.sum(F.octet_length("ids").cast("bigint")).alias("n")).collect()}
     total = sum(sizes.values())
     shares = shares if shares is not None else {q: n / total for q, n in sizes.items()}
-    flow = dealt(flow, min(n_blocks(total, TASK_BYTES), MAX_TASKS))
     ids = ", ids array<int>" if with_ids else ""
-    first = written(flow.mapInArrow(lambda it: _first_round(it, spec.value, shares, with_ids), FIRST + ids), "pack")
+    first = written(flow.mapInArrow(lambda it: _first_round(it, kind, shares, with_ids), FIRST + ids), "pack")
+    tables.drop(spark)
     rest = (first.where("rest IS NOT NULL")
             .withColumn("block", F.floor(F.col("task") / F.lit(TAIL_TASKS)).cast("bigint"))
             .select("block", "task", F.col("offset").alias("nth"), "doc_id", "start", "doc_tokens", "queue", "deficit", "rest")

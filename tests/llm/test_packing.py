@@ -14,20 +14,20 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
-def test_words_give_the_ids_of_the_text(tokenizer):
+def test_words_give_the_ids_of_the_text(tokenizer, monkeypatch):
     own = packing.WordTokenizer(open(PATH, encoding="utf-8").read())
-    assert own.plain
+    assert own.kind == np.dtype("<u2")
+    monkeypatch.setattr(packing, "STRETCH", 500)
+    monkeypatch.setattr(packing, "CACHE_WORDS", 300)
     rng = random.Random(1)
     alphabet = "abcXYZéÉßµİΣσ́  \n\t.,'\"!#0123_-\U0001f600水\x1c\x85"
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
     texts += ["don't we'll", "<|endoftext|> x", "Å ﬁ", None]
     for text, ids in zip(texts, own.encode(pa.array(texts))):
-        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids + [1], repr(text)
+        assert np.frombuffer(ids, own.kind).tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids + [1], repr(text)
 
 
 @pytest.mark.parametrize("with_ids", [False, True])
