@@ -8,10 +8,16 @@ inside the cells a query probes.
 * Every valid index row goes to its nearest centre and every valid query to its ``nprobe``
   nearest ones: by cosine, rounded, ties by cell number, in score blocks of bounded size. Rows
   that exact search leaves out (null, short, zero, not finite) have no cell.
-* Stored form: :func:`write_cells` writes the index partitioned by cell and the rows of each
-  cell next to it; :func:`ivf_search_stored` reads only the folders of the probed cells.
-* One cell may hold a large share of the rows (copies are common). Cells are therefore cut into
-  sub-blocks of at most ``index_block_rows`` rows, and the queries probing a cell into blocks of
+* Stored form: versions, like the index itself. :func:`write_cells` writes a base, the index
+  partitioned by cell with the rows of each cell next to it. :func:`refresh_cells` adds what the
+  index's deltas changed since then as a delta: the changed keys, and the rows they have now, by
+  cell. :func:`read_cells` merges on read: a row counts if no later version changed its key, so
+  a deleted key is never served. :func:`ivf_search_stored` reads only the folders of the probed
+  cells.
+* A search sends the queries to the cells, not the index to the queries: while the routed queries
+  fit a broadcast, they are scored inside the scan of the cells' folders (:func:`_score_scan`).
+* Beyond the broadcast's bytes both sides are dealt by cell. One cell may hold a large share of the
+  rows (copies are common). Cells are therefore cut into sub-blocks of at most ``index_block_rows`` rows, and the queries probing a cell into blocks of
   at most ``query_block_rows``; each (cell, index block, query block) group is scored exactly
   with the kernel of :mod:`cadenza.operators.knn`. No group grows with the data.
 * Per query, partial top-k lists merge in a WindowGroupLimit, as in exact search.
@@ -22,12 +28,14 @@ side (:func:`ivf_recall`): recall alone says little when most pairs are scored a
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -36,13 +44,16 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from cadenza.functions.vectors import finite_norm, has_dim, md5_hex_int, norm
-from cadenza.operators.knn import (SCORE_CELLS, _candidates, _matrix, _reduce_topk, _scaled_round, _score_block,
-                                   _topk_rows, _valid_rows)
+from cadenza.operators import index as X
+from cadenza.operators.knn import (DEFAULT_BROADCAST_BYTES, SCORE_CELLS, _candidates, _matrix, _reduce_topk,
+                                   _scaled_round, _score_block, _topk_rows, _valid_rows)
 from cadenza.session import shared_dir
 
 MAX_CELLS = 65536
 MAX_CENTER_BYTES = 256 << 20     # centres are broadcast
+MAX_CHANGED_KEYS = 500_000       # changed keys of deltas that are broadcast; more are joined by a shuffle
 DIGITS = 6                       # of the cosine that routes a row
+PRUNE_SLACK = 1e-5               # of bounds that rule a cell out: more than scores are rounded by
 CELL_FILE_ROWS = 500_000         # rows of a file of a cell, about
 
 
@@ -165,12 +176,7 @@ def _score_cells(routed: DataFrame, x: DataFrame, n_cells: int, probes: int, *,
     qrep = routed.join(sizes, "cell").withColumn("qb", F.pmod(F.xxhash64("_qk"), "qsub")).withColumn("ib", blocks("isub"))
     xrep, qrep = xrep.drop("isub", "qsub"), qrep.drop("isub", "qsub")
 
-    qf = {f.name: f for f in routed.schema.fields}
-    xf = {f.name: f for f in x.schema.fields}
-    schema = StructType([StructField(query_key, qf["_qk"].dataType)]
-                        + [StructField(c, qf[f"_qp{i}"].dataType) for i, c in enumerate(query_payload)]
-                        + [StructField(index_key, xf["_ik"].dataType)]
-                        + [StructField(c, xf[c].dataType) for c in payload] + [StructField("score", DoubleType())])
+    schema = _found_schema(routed.schema, x.schema, query_key, query_payload, index_key, payload)
     arrow_schema = to_arrow_schema(schema)
     payload = list(payload)
     qp_names = ["_qk"] + [f"_qp{i}" for i in range(len(query_payload))]
@@ -193,9 +199,62 @@ def _score_cells(routed: DataFrame, x: DataFrame, n_cells: int, probes: int, *,
 
     partial = (qrep.groupBy("cell", "ib", "qb").cogroup(xrep.groupBy("cell", "ib", "qb"))
                .applyInArrow(score, schema))
+    return _ranked(partial, k, query_key, query_payload, index_key, payload), share
+
+
+def _score_scan(routed: pa.Table, x: DataFrame, out: StructType, *, dim: int, k: int, query_key: str, index_key: str,
+                payload: Sequence[str], exclude_self: bool, digits: int, n_query_payload: int) -> DataFrame:
+    """Partial top-k lists from one scan of the cells' rows: every batch meets the queries of its
+    cells, which are broadcast; the index is neither shuffled nor copied."""
+    names = ["_qk"] + [f"_qp{i}" for i in range(n_query_payload)]
+    routed = _valid_rows(routed, "_qv", "_qn", dim, "cosine").sort_by("cell")
+    cells = routed.column("cell").to_numpy()
+    shipped = x.sparkSession.sparkContext.broadcast((
+        cells, {c: routed.column(c).combine_chunks() for c in names}, _matrix(routed.column("_qv"), dim),
+        routed.column("_qn").to_numpy().astype(np.float64)))
+    arrow_schema = to_arrow_schema(out)
+    payload = list(payload)
+
+    def score(batches):
+        cells, qcols, Q, qn = shipped.value
+        keys = qcols["_qk"].to_numpy(zero_copy_only=False)
+        best = None
+        for batch in batches:
+            table = _valid_rows(pa.Table.from_batches([batch]), "_iv", "_in", dim, "cosine")
+            of = table.column("cell").to_numpy()
+            for cell in np.unique(of).tolist():
+                lo, hi = np.searchsorted(cells, [cell, cell + 1])
+                if lo == hi:
+                    continue
+                part = table.filter(pa.array(of == cell))
+                ikeys = part.column("_ik").combine_chunks()
+                qi, xi, si = _score_block(Q[lo:hi], qn[lo:hi], keys[lo:hi], _matrix(part.column("_iv"), dim),
+                                          part.column("_in").to_numpy().astype(np.float64), ikeys, k, digits, "cosine", exclude_self)
+                cand = _candidates(qcols, qi + lo, ikeys, {c: part.column(c).combine_chunks() for c in payload}, xi, si,
+                                   digits, arrow_schema)
+                best = cand if best is None else pa.concat_tables([best, cand])
+            if best is not None and best.num_rows > 4 * k * max(1, len(np.unique(keys))):
+                best = _reduce_topk(best, query_key, index_key, k)
+        if best is not None:
+            yield from _reduce_topk(best, query_key, index_key, k).to_batches()
+
+    return x.mapInArrow(score, out)
+
+
+def _found_schema(routed: StructType, x: StructType, query_key: str, query_payload: Sequence[str], index_key: str,
+                  payload: Sequence[str]) -> StructType:
+    qf, xf = {f.name: f for f in routed.fields}, {f.name: f for f in x.fields}
+    return StructType([StructField(query_key, qf["_qk"].dataType)]
+                      + [StructField(c, qf[f"_qp{i}"].dataType) for i, c in enumerate(query_payload)]
+                      + [StructField(index_key, xf["_ik"].dataType)]
+                      + [StructField(c, xf[c].dataType) for c in payload] + [StructField("score", DoubleType())])
+
+
+def _ranked(partial: DataFrame, k: int, query_key: str, query_payload: Sequence[str], index_key: str,
+            payload: Sequence[str]) -> DataFrame:
     w = Window.partitionBy(query_key).orderBy(F.desc("score"), F.asc(index_key))
-    ranked = partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return ranked.select(query_key, *query_payload, "rank", index_key, *payload, "score"), share
+    top = partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return top.select(query_key, *query_payload, "rank", index_key, *payload, "score")
 
 
 def ivf_search(queries: DataFrame, index: DataFrame, model: Cells, *, dim: int, k: int = 10,
@@ -220,29 +279,120 @@ def ivf_search(queries: DataFrame, index: DataFrame, model: Cells, *, dim: int,
                         index_block_rows=index_block_rows, xc=dict(x.groupBy("cell").count().collect()))
 
 
-def write_cells(index: DataFrame, model: Cells, path: str, *, dim: int, index_key: str = "link",
-                index_vec: str = "emotions_embeddings", payload: Sequence[str] = ()) -> str:
-    """Store the index as inverted lists: one folder per cell (``partitionBy('cell')``), and the
-    rows of every cell beside it. Rows are dealt by cell first (large cells to several tasks), so
-    a cell has few files."""
-    spark = index.sparkSession
-    index_norm = "norm" if "norm" in index.columns else None
-    rows = _route(_index_rows(index, index_key, index_vec, payload, index_norm), "_iv", "_in", model, dim, 1)
+def _versions(path: str) -> str:
+    return f"{path.rstrip('/')}-versions"
+
+
+def _write_cell_version(rows: DataFrame, model: Cells, path: str, kind: str, source: str | None, covers: int, *, dim: int,
+                        index_key: str, index_vec: str, payload: Sequence[str], changed: DataFrame | None = None) -> None:
+    """One version beside ``path``: rows by cell (the first base's lie in ``path`` itself), rows of
+    every cell (``counts``) and, for a delta, the changed keys (``keys``). Its metadata, written
+    last, makes it visible."""
+    spark, root = rows.sparkSession, _versions(path)
+    version = X._next_version(spark, root, source)
+    at = X.version_path(root, version)
+    data = path.rstrip("/") if version == 1 else f"{at}/data"
+    index_norm = "norm" if "norm" in rows.columns else None
+    routed = _route(_index_rows(rows, index_key, index_vec, payload, index_norm), "_iv", "_in", model, dim, 1)
     parts = max(1, len(model.centers))
-    salt = F.pmod(F.xxhash64("_ik"), F.lit(1 + index.count() // (parts * CELL_FILE_ROWS)))
-    out = rows.repartition("cell", salt).select(F.col("_ik").alias(index_key), F.col("_iv").alias(index_vec),
-                                                *([F.col("_in").alias("norm")] if index_norm else []), *payload, "cell")
-    out.write.mode("overwrite").partitionBy("cell").parquet(path)
-    spark.read.parquet(path).groupBy("cell").count().write.mode("overwrite").parquet(f"{path.rstrip('/')}-counts")
+    salt = F.pmod(F.xxhash64("_ik"), F.lit(1 + rows.count() // (parts * CELL_FILE_ROWS)))
+    out = routed.repartition("cell", salt).select(F.col("_ik").alias(index_key), F.col("_iv").alias(index_vec),
+                                                  *([F.col("_in").alias("norm")] if index_norm else []), *payload, "cell")
+    out.write.mode("overwrite").partitionBy("cell").parquet(data)
+    counts = spark.read.schema(out.schema).parquet(data).groupBy("cell").count()
+    counts.write.mode("overwrite").parquet(f"{at}/counts")
+    meta = {"kind": kind, "source": source, "covers": covers, "data": data, "schema": out.schema.json()}
+    if changed is not None:
+        changed.select(index_key).distinct().write.mode("overwrite").parquet(f"{at}/keys")
+        meta["n_keys"] = spark.read.parquet(f"{at}/keys").count()
+    X._write_meta(spark, at, meta)
+
+
+def write_cells(index: DataFrame, model: Cells, path: str, *, dim: int, index_key: str = "link",
+                index_vec: str = "emotions_embeddings", payload: Sequence[str] = (), covers: int = 0) -> str:
+    """Store the index as a base of inverted lists: one folder per cell, and the rows of every cell
+    beside them. Rows are dealt by cell first (large cells to several tasks), so a cell has few
+    files. ``covers``: the index version that these rows are."""
+    _write_cell_version(index, model, path, X.BASE, None, covers, dim=dim, index_key=index_key, index_vec=index_vec, payload=payload)
     return path
 
 
+def cell_versions(spark: SparkSession, path: str) -> dict[int, dict]:
+    """The newest base of the inverted file and the deltas after it."""
+    versions = X.list_versions(spark, _versions(path))
+    start = max((v for v, m in versions.items() if m["kind"] == X.BASE), default=0)
+    return {v: m for v, m in versions.items() if v >= start}
+
+
+def refresh_cells(spark: SparkSession, index_base: str, model: Cells, path: str, *, dim: int, index_key: str = "link",
+                  index_vec: str = "emotions_embeddings", payload: Sequence[str] = ()) -> int:
+    """Bring the inverted file up to the index's newest version; returns the version it covers.
+
+    What later versions of the index touched is written as one delta: those keys, and the rows they
+    have in the merged index. The rows that did not change are not read by cell again. Where the
+    index was compacted meanwhile, so its deltas may be gone, a new base is written. A retry
+    rewrites its own version.
+    """
+    have, own = X.list_versions(spark, index_base), cell_versions(spark, path)
+    covered, newest = max((m["covers"] for m in own.values()), default=0), max(have, default=0)
+    later = [v for v in have if v > covered]
+    if not later:
+        return covered
+    source, kw = f"index-{newest}", {"dim": dim, "index_key": index_key, "index_vec": index_vec, "payload": payload}
+    index = X.read_index(spark, index_base)
+    if not own or any(have[v]["kind"] == X.BASE for v in later):
+        _write_cell_version(index, model, path, X.BASE, source, newest, **kw)
+        return newest
+    changed = None
+    for v in later:
+        keys = X._read_version(spark, index_base, v).select(index_key)
+        changed = keys if changed is None else changed.unionByName(keys)
+    rows = index.join(changed.distinct(), index_key, "left_semi")
+    _write_cell_version(rows, model, path, X.DELTA, source, newest, changed=changed, **kw)
+    return newest
+
+
+def read_cells(spark: SparkSession, path: str, cells: Sequence[int] | None = None, index_key: str = "link") -> DataFrame:
+    """The live rows of the inverted file, of the given cells only: those whose key no later version
+    changed. The base's rows meet the changed keys of the deltas, never other rows."""
+    own = cell_versions(spark, path)
+    if not own:
+        raise FileNotFoundError(f"no inverted file under {path}")
+    rows = changed = None
+    for v, meta in own.items():
+        schema = StructType.fromJson(json.loads(meta["schema"]))
+        part = spark.read.schema(schema).parquet(meta["data"]).withColumn("_version", F.lit(v))
+        rows = part if rows is None else rows.unionByName(part)
+        if meta["kind"] == X.DELTA:
+            keys = spark.read.parquet(f"{X.version_path(_versions(path), v)}/keys").withColumn("_changed", F.lit(v))
+            changed = keys if changed is None else changed.unionByName(keys)
+    if cells is not None:
+        rows = rows.where(F.col("cell").isin(list(cells)))
+    if changed is None:
+        return rows.drop("_version")
+    last = changed.groupBy(index_key).agg(F.max("_changed").alias("_changed"))
+    if sum(m.get("n_keys", 0) for m in own.values()) <= MAX_CHANGED_KEYS:
+        last = F.broadcast(last)
+    live = rows.join(last, index_key, "left").where(F.col("_changed").isNull() | (F.col("_changed") <= F.col("_version")))
+    return live.drop("_version", "_changed")
+
+
+def _cell_rows(spark: SparkSession, path: str) -> dict[int, int]:
+    """Rows of every cell over all versions (rows that a later version changed included)."""
+    total: dict[int, int] = {}
+    for v in cell_versions(spark, path):
+        for r in spark.read.schema("cell int, count bigint").parquet(f"{X.version_path(_versions(path), v)}/counts").collect():   # <= n_cells
+            total[r["cell"]] = total.get(r["cell"], 0) + r["count"]
+    return total
+
+
 def ivf_search_stored(queries: DataFrame, path: str, model: Cells, *, dim: int, k: int = 10,
                       nprobe: int = 1, query_key: str = "query_id", query_vec: str = "query_vec",
                       index_key: str = "link", index_vec: str = "emotions_embeddings",
                       payload: Sequence[str] = (), query_payload: Sequence[str] = (),
                       query_norm: str | None = None, exclude_self: bool = False, digits: int = 6,
-                      query_block_rows: int = 4096, index_block_rows: int = 32768) -> tuple[DataFrame, float]:
+                      query_block_rows: int = 4096, index_block_rows: int = 32768,
+                      max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, float]:
     """:func:`ivf_search` over an index written by :func:`write_cells`: only the folders of the
     probed cells are read (partition pruning), so a search reads about ``nprobe / n_cells`` of
     the index instead of all of it."""
@@ -253,14 +403,111 @@ def ivf_search_stored(queries: DataFrame, path: str, model: Cells, *, dim: int,
     shared_dir(spark)
     routed = routed.checkpoint(eager=True)
     probed = sorted(r["cell"] for r in routed.select("cell").distinct().collect())   # <= n_cells
-    counts = spark.read.parquet(f"{path.rstrip('/')}-counts").collect()              # <= n_cells
-    stored = spark.read.parquet(path).where(F.col("cell").isin(probed))
+    counts = _cell_rows(spark, path)
+    stored = read_cells(spark, path, probed, index_key)
     x = _index_rows(stored, index_key, index_vec, payload, "norm" if "norm" in stored.columns else None, cell=True)
+    local = routed.limit(1 + max_broadcast_bytes // (8 * dim + 64)).toArrow()
+    if local.nbytes + 8 * dim * local.num_rows <= 2 * max_broadcast_bytes:
+        out = _found_schema(routed.schema, x.schema, query_key, query_payload, index_key, payload)
+        partial = _score_scan(local, x, out, dim=dim, k=k, query_key=query_key, index_key=index_key, payload=payload,
+                              exclude_self=exclude_self, digits=digits, n_query_payload=len(query_payload))
+        found = pc.value_counts(local.column("cell").combine_chunks()).to_pylist()
+        pairs = sum(r["counts"] * counts.get(r["values"], 0) for r in found)
+        whole = local.num_rows // min(nprobe, n_cells) * sum(counts.values())
+        return _ranked(partial, k, query_key, query_payload, index_key, payload), pairs / whole if whole else 0.0
     return _score_cells(routed, x, n_cells, min(nprobe, n_cells), dim=dim, k=k,
                         query_key=query_key, index_key=index_key, payload=payload,
                         exclude_self=exclude_self, digits=digits, query_block_rows=query_block_rows,
-                        index_block_rows=index_block_rows, xc={r["cell"]: r["count"] for r in counts},
-                        query_payload=query_payload)
+                        index_block_rows=index_block_rows, xc=counts, query_payload=query_payload)
+
+
+def _bounded_cells(queries: DataFrame, model: Cells, bounds: dict[int, tuple[float, float]], dim: int, done: int) -> DataFrame:
+    """The (query, cell) pairs beyond the query's ``done`` nearest cells whose cell may hold a row as
+    good as the query's worst kept score ``_kth`` (null: fewer than k found, so every cell may).
+
+    For unit vectors ``|d(q, p) - d(x, p)| <= d(q, x)``, so a cell whose rows lie between ``lo`` and
+    ``hi`` of its pivot p holds nothing nearer than ``max(d(q, p) - hi, lo - d(q, p), 0)``. The slack
+    covers the rounding of scores and of distances.
+    """
+    lo = np.array([bounds.get(c, (np.inf, np.inf))[0] for c in range(len(model.centers))])
+    hi = np.array([bounds.get(c, (np.inf, -np.inf))[1] for c in range(len(model.centers))])
+    shipped = queries.sparkSession.sparkContext.broadcast((model.centers, lo, hi))
+    schema = StructType(queries.schema.fields + [StructField("cell", IntegerType())])
+    arrow_schema = to_arrow_schema(schema)
+    step = max(1, SCORE_CELLS // max(len(model.centers), 1))
+
+    def route(batches):
+        centers, lo, hi = shipped.value
+        for b in batches:
+            table = _valid_rows(pa.Table.from_batches([b]), "_qv", "_qn", dim, "cosine")
+            for at in range(0, table.num_rows, step):
+                t = table.slice(at, step)
+                s = (_matrix(t.column("_qv"), dim) @ centers.T) / t.column("_qn").to_numpy()[:, None]
+                rank = np.argsort(np.argsort(-_scaled_round(s, DIGITS), axis=1, kind="stable"), axis=1)
+                far = np.sqrt(np.maximum(2.0 - 2.0 * s, 0.0))
+                least = np.maximum(np.maximum(far - hi[None, :], lo[None, :] - far), 0.0)
+                kth = pc.fill_null(t.column("_kth"), -2.0).to_numpy()
+                reach = np.sqrt(np.maximum(2.0 - 2.0 * kth, 0.0) + PRUNE_SLACK)
+                row, cell = np.nonzero((rank >= done) & np.isfinite(hi)[None, :] & (least <= reach[:, None] + PRUNE_SLACK))
+                out = t.take(pa.array(row)).append_column("cell", pa.array(cell.astype(np.int32)))
+                yield from out.cast(arrow_schema).to_batches()
+
+    return queries.mapInArrow(route, schema)
+
+
+def cell_bounds(rows: DataFrame, model: Cells, dim: int, vec: str = "_iv", nrm: str = "_in") -> dict[int, tuple[float, float]]:
+    """The least and largest distance of a cell's unit vectors from its pivot: a row per cell."""
+    shipped = rows.sparkSession.sparkContext.broadcast(model.centers)
+
+    def measure(batches):
+        centers = shipped.value
+        for b in batches:
+            t = _valid_rows(pa.Table.from_batches([b]), vec, nrm, dim, "cosine")
+            cell = t.column("cell").to_numpy()
+            s = np.einsum("ij,ij->i", _matrix(t.column(vec), dim), centers[cell]) / t.column(nrm).to_numpy()
+            far = np.sqrt(np.maximum(2.0 - 2.0 * s, 0.0))
+            for c in np.unique(cell).tolist():
+                own = far[cell == c]
+                yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([own.min()]), pa.array([own.max()])],
+                                                 names=["cell", "lo", "hi"])
+
+    found = rows.select(vec, nrm, "cell").mapInArrow(measure, "cell int, lo double, hi double")
+    return {r["cell"]: (r["lo"], r["hi"]) for r in found.groupBy("cell").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).collect()}
+
+
+def pruned_search(queries: DataFrame, path: str, model: Cells, *, dim: int, k: int = 10, first: int = 2,
+                  query_key: str = "query_id", query_vec: str = "query_vec", index_key: str = "link",
+                  index_vec: str = "emotions_embeddings", payload: Sequence[str] = (), exclude_self: bool = False,
+                  digits: int = 6) -> tuple[DataFrame, float]:
+    """Exact top ``k`` from an inverted file, and the share of (query, row) pairs that were scored.
+
+    The ``first`` nearest cells of a query give its k-th best score so far; of the others only those
+    are read that the triangle inequality does not rule out (:func:`_bounded_cells`). The answers
+    are those of exact search, whatever the data; how much is skipped depends on how well the
+    cells separate them.
+    """
+    spark, n_cells = queries.sparkSession, len(model.centers)
+    first = min(first, n_cells)
+    q = _queries(queries, query_key, query_vec)
+    kw = {"dim": dim, "k": k, "query_key": query_key, "index_key": index_key, "payload": payload, "exclude_self": exclude_self,
+          "digits": digits, "query_block_rows": 4096, "index_block_rows": 32768}
+    shared_dir(spark)
+    near = _route(q, "_qv", "_qn", model, dim, first).checkpoint(eager=True)
+    counts = _cell_rows(spark, path)
+    stored = read_cells(spark, path, None, index_key)
+    x = _index_rows(stored, index_key, index_vec, payload, "norm" if "norm" in stored.columns else None, cell=True)
+    bounds = cell_bounds(x, model, dim)
+    begun, share = _score_cells(near, x, n_cells, first, xc=counts, **kw)
+    begun = begun.checkpoint(eager=True)
+    kth = begun.where(F.col("rank") == k).select(F.col(query_key).alias("_qk"), F.col("score").alias("_kth"))
+    rest = _bounded_cells(q.join(kth, "_qk", "left"), model, bounds, dim, first).drop("_kth").checkpoint(eager=True)
+    probed = sorted(r["cell"] for r in rest.select("cell").distinct().collect())                 # <= n_cells
+    more, _ = _score_cells(rest, x.where(F.col("cell").isin(probed)), n_cells, 1, xc=counts, **kw)
+    found = begun.drop("rank").unionByName(more.drop("rank"))
+    sizes = rest.groupBy("cell").count().collect()                                               # <= n_cells
+    pairs = sum(r["count"] * counts.get(r["cell"], 0) for r in sizes)
+    whole = near.count() // first * sum(counts.values())
+    return _ranked(found, k, query_key, (), index_key, payload), share + (pairs / whole if whole else 0.0)
 
 
 def ivf_recall(exact: DataFrame, approx: DataFrame, query_key: str, index_key: str) -> DataFrame:

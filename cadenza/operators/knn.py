@@ -7,9 +7,9 @@ tasks, and everything around it is a DataFrame plan:
   once with a row cap derived from the byte budget, broadcast, and every index partition is
   scored batch by batch in ``mapInArrow``. Each task keeps only a running top-k per query, so
   the index is read once and never shuffled, and no pair is ever materialized as a row.
-* **Block path** (larger query sets): the queries are written once and cut by hash into blocks of
-  that budget. The index stays where it is: ``PASS_BLOCKS`` blocks at a time pass over it like
-  broadcast queries, and each pass writes its answers. So the index is never copied, shuffled
+* **Block path** (larger query sets): the queries are written once, by hash into blocks of
+  that budget. The index stays where it is: ``PASS_BLOCKS`` broadcast blocks at a time are scored
+  in one scan of it, and each pass writes its answers. So the index is never copied, shuffled
   or checkpointed, and is read once per ``PASS_BLOCKS`` blocks.
 
 Both paths end in the same merge: ``row_number() over (partition by query order by score
@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from cadenza.functions.vectors import finite_norm, has_dim, norm, sparse_norm
 from cadenza.session import scratch_path
@@ -263,9 +263,9 @@ def knn_search(queries: DataFrame, index: DataFrame, *, dim: int, k: int = 10,
     schema = _output_schema(q, x, query_key, query_payload, index_key, payload)
     arrow_schema = to_arrow_schema(schema)
 
-    def answers(local: pa.Table) -> DataFrame:
-        local = _valid_rows(local, "_qv", "_qn", dim, metric)
-        return _broadcast_scores(local, x, schema, arrow_schema, dim, k, digits, metric, exclude_self,
+    def answers(locals_: list[pa.Table]) -> tuple[DataFrame, list]:
+        blocks = [_valid_rows(t, "_qv", "_qn", dim, metric) for t in locals_]
+        return _broadcast_scores(blocks, x, schema, arrow_schema, dim, k, digits, metric, exclude_self,
                                  query_payload, payload)
 
     def ranked(partial: DataFrame) -> DataFrame:
@@ -277,39 +277,45 @@ def knn_search(queries: DataFrame, index: DataFrame, *, dim: int, k: int = 10,
     local = q.limit(cap_rows + 1).toArrow()
     row_bytes = max(8 * dim + 64, local.nbytes // max(local.num_rows, 1))
     if local.num_rows <= cap_rows and local.num_rows * row_bytes <= 2 * max_broadcast_bytes:
-        return ranked(answers(local))
+        return ranked(answers([local])[0])
     # too many queries for one broadcast: blocks of the budget's size, a few per pass
     spark = queries.sparkSession
     saved = scratch_path(spark, "knn-queries")
-    q.write.parquet(saved)
-    q = spark.read.schema(q.schema).parquet(saved)
     blocks = math.ceil(q.count() * row_bytes / max_broadcast_bytes)
+    # a folder per block, so that a pass reads its own queries only
+    (q.withColumn("_block", F.pmod(F.xxhash64("_qk"), F.lit(blocks)).cast("int")).repartition("_block")
+     .write.partitionBy("_block").parquet(saved))
+    stored = spark.read.schema(StructType(q.schema.fields + [StructField("_block", IntegerType())])).parquet(saved)
     out = scratch_path(spark, "knn-answers")
-    block = F.pmod(F.xxhash64("_qk"), F.lit(blocks))
     for first in range(0, blocks, PASS_BLOCKS):
-        partial = None
-        for b in range(first, min(first + PASS_BLOCKS, blocks)):
-            part = answers(q.where(block == b).toArrow())
-            partial = part if partial is None else partial.unionByName(part)
+        last = min(first + PASS_BLOCKS, blocks)
+        local = stored.where(F.col("_block").between(first, last - 1)).toArrow()
+        own = [local.filter(pc.equal(local.column("_block"), b)).select(q.columns) for b in range(first, last)]
+        partial, shipped = answers(own)
         ranked(partial).write.mode("append").parquet(out)
+        for s in shipped:
+            s.unpersist()
     return spark.read.parquet(out)
 
 
-def _broadcast_scores(local: pa.Table, x: DataFrame, schema, arrow_schema, dim, k, digits,
-                      metric, exclude_self, query_payload, payload) -> DataFrame:
+def _broadcast_scores(blocks: list[pa.Table], x: DataFrame, schema, arrow_schema, dim, k, digits,
+                      metric, exclude_self, query_payload, payload) -> tuple[DataFrame, list]:
+    """The partial answers of all query blocks from one scan of the index, and the broadcasts."""
     sc = x.sparkSession.sparkContext
-    qcols = {"_qk": local.column("_qk").combine_chunks()}
-    for i in range(len(query_payload)):
-        qcols[f"_qp{i}"] = local.column(f"_qp{i}").combine_chunks()
-    shipped = sc.broadcast((qcols, _matrix(local.column("_qv"), dim),
-                            local.column("_qn").to_numpy().astype(np.float64)))
+    shipped = []
+    for local in blocks:
+        qcols = {"_qk": local.column("_qk").combine_chunks()}
+        for i in range(len(query_payload)):
+            qcols[f"_qp{i}"] = local.column(f"_qp{i}").combine_chunks()
+        shipped.append(sc.broadcast((qcols, _matrix(local.column("_qv"), dim),
+                                     local.column("_qn").to_numpy().astype(np.float64))))
     qk_name, ik_name = schema.names[0], schema.names[1 + len(query_payload)]
     payload = list(payload)
 
     def score(batches):
-        qcols_, Q, qn = shipped.value
-        qk_np = qcols_["_qk"].to_numpy(zero_copy_only=False)
-        best = None
+        own = [s.value for s in shipped]
+        keys = [qcols["_qk"].to_numpy(zero_copy_only=False) for qcols, _, _ in own]
+        best = [None] * len(own)
         for batch in batches:
             batch = _valid_rows(pa.Table.from_batches([batch]), "_iv", "_in", dim, metric)
             if batch.num_rows == 0:
@@ -317,15 +323,19 @@ def _broadcast_scores(local: pa.Table, x: DataFrame, schema, arrow_schema, dim,
             ikeys = batch.column("_ik").combine_chunks()
             X = _matrix(batch.column("_iv"), dim)
             xn = batch.column("_in").to_numpy(zero_copy_only=False).astype(np.float64)
-            qi, xi, si = _score_block(Q, qn, qk_np, X, xn, ikeys, k, digits, metric, exclude_self)
-            cand = _candidates(qcols_, qi, ikeys, {c: batch.column(c).combine_chunks() for c in payload},
-                               xi, si, digits, arrow_schema)
-            best = cand if best is None else pa.concat_tables([best, cand])
-            best = _reduce_topk(best, qk_name, ik_name, k)
-        if best is not None:
-            yield from best.to_batches()
-
-    return x.mapInArrow(score, schema)
+            rest = {c: batch.column(c).combine_chunks() for c in payload}
+            for i, (qcols, Q, qn) in enumerate(own):
+                if not len(Q):
+                    continue
+                qi, xi, si = _score_block(Q, qn, keys[i], X, xn, ikeys, k, digits, metric, exclude_self)
+                cand = _candidates(qcols, qi, ikeys, rest, xi, si, digits, arrow_schema)
+                both = cand if best[i] is None else pa.concat_tables([best[i], cand])
+                best[i] = _reduce_topk(both, qk_name, ik_name, k)
+        for found in best:
+            if found is not None:
+                yield from found.to_batches()
+
+    return x.mapInArrow(score, schema), shipped
 
 
 def knn_single(index: DataFrame, query: Sequence[float], *, k: int = 10, index_key: str = "link",

@@ -802,6 +802,37 @@ def q_knn_recall(spark, d):
     return out
 
 
+def _pruned_inputs(spark, d):
+    from cadenza.operators import ivf as V
+
+    e = read_table(spark, d, "embeddings")
+    model = V.hash_pivots(e, "embedding", EMB_DIM, IVF_CELLS, "vec_id")
+    path = V.write_cells(e, model, scratch_path(spark, "pruned-cells"), dim=EMB_DIM, index_key="vec_id", index_vec="embedding")
+    return V.pruned_search(embedding_queries(e), path, model, dim=EMB_DIM, k=KNN, query_key="query_id", query_vec="query_vec",
+                           index_key="vec_id", index_vec="embedding", exclude_self=True)
+
+
+def q_knn_pruned(spark, d):
+    """Exact search that skips the cells which the triangle inequality rules out."""
+    return _pruned_inputs(spark, d)[0]
+
+
+def q_ivf_after_stream(spark, d):
+    """An inverted file of the first snapshot; a stream changes the index; the file gets the
+    changes as a delta of cells and serves the answers of the second snapshot."""
+    from cadenza.plans import store as PL
+
+    docs = read_table(spark, d, "documents")
+    old, new = songs_from_documents(docs), fx.next_snapshot(docs)
+    root = scratch_path(spark, "ivf-stream")
+    store = PL.build_store(old, f"{root}/store", dim=DIM, ivf_cells=IVF_CELLS)
+    diff = saved(X.snapshot_diff(old, new), "diff")
+    S.changes_from_diff(new, diff, seq=1).write.parquet(f"{root}/changes")
+    S.run_index_stream(spark, f"{root}/changes", store.index, f"{root}/checkpoint", PL.open_lexicon(spark, store), DIM)
+    return PL.recommend_from_store(sentences(spark, d), store, dim=DIM, k=KNN, nprobe=IVF_CELLS)
+
+
+QUERIES |= {"knn_pruned": q_knn_pruned, "ivf_after_stream": q_ivf_after_stream}
 QUERIES |= {"knn_bad_vectors": q_knn_bad_vectors, "knn_ivf": q_knn_ivf, "knn_ivf_all": q_knn_ivf_all,
             "knn_recall": q_knn_recall}
 
@@ -884,3 +915,6 @@ pairs AS ("""
 
 ORACLES |= {"knn_ivf": _sql_knn_ivf(), "knn_ivf_all": _sql_knn_exact(), "knn_recall": _sql_knn_recall(),
             "knn_bad_vectors": _sql_knn_bad_vectors(), "recommend_ivf": _sql_recommend_ivf()}
+# songs of the second snapshot, labelled with the lexicon of the first
+ORACLES |= {"knn_pruned": _sql_knn_exact(),
+            "ivf_after_stream": O.recommend_sql(DIM, KNN).replace(O.songs_cte(), _next_snapshot_cte().replace("songs_new AS", "songs AS", 1))}

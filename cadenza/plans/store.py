@@ -19,6 +19,8 @@ from cadenza.operators.embed import DEFAULT_DIM, embed
 from cadenza.operators.label import build_lexicon, label_emotions, materialize_lexicon
 from cadenza.plans.recommend import RESULT_COLUMNS, RESULTS_PER_QUERY, query_vectors, recommend
 
+IVF_PAYLOAD = ["artist", "song", "llm_labeled_emotions"]
+
 
 @dataclass(frozen=True)
 class Store:
@@ -55,10 +57,9 @@ def build_store(songs: DataFrame, root: str, dim: int = DEFAULT_DIM, cleaner: st
     """Write the lexicon, the labeled songs (without text), the embeddings and a base version of
     the index under ``root``; ``bucketed`` buckets it by ``link``, in buckets sized from its rows
     (see :func:`cadenza.operators.index.write_version`); ``ivf_cells > 0`` also writes an inverted
-    file (KMeans model, trained on a hash sample of ``ivf_sample`` when given, and the index
-    partitioned by cell) for approximate serving; ``sparse=True`` stores the vectors as
-    (indices, values) instead of ``dim`` floats (not with the inverted file, whose KMeans needs
-    dense vectors)."""
+    file (centres: the rows whose keys hash lowest) for approximate serving; ``sparse=True`` stores
+    the vectors as (indices, values) instead of ``dim`` floats (not with the inverted file, whose
+    centres are dense vectors)."""
     if sparse and ivf_cells > 0:
         raise ValueError("the inverted file needs dense vectors")
     spark = songs.sparkSession
@@ -77,10 +78,18 @@ def build_store(songs: DataFrame, root: str, dim: int = DEFAULT_DIM, cleaner: st
         model = V.hash_pivots(stored, "emotions_embeddings", dim, ivf_cells, "link")
         model.save(spark, store.ivf_model)
         V.write_cells(stored, model, store.ivf_cells, dim=dim, index_key="link", index_vec="emotions_embeddings",
-                      payload=["artist", "song", "llm_labeled_emotions"])
+                      payload=IVF_PAYLOAD, covers=max(X.list_versions(spark, store.index)))
     return store
 
 
+def refresh_ivf(spark: SparkSession, store: Store, dim: int = DEFAULT_DIM) -> V.Cells:
+    """The inverted file's centres, once it covers the index's newest version (see
+    :func:`cadenza.operators.ivf.refresh_cells`)."""
+    model = V.Cells.load(spark, store.ivf_model)
+    V.refresh_cells(spark, store.index, model, store.ivf_cells, dim=dim, payload=IVF_PAYLOAD)
+    return model
+
+
 def open_lexicon(spark: SparkSession, store: Store) -> DataFrame:
     return materialize_lexicon(spark.read.parquet(store.lexicon))
 
@@ -98,17 +107,18 @@ def recommend_from_store(sentences: DataFrame, store: Store, dim: int = DEFAULT_
 
     With ``nprobe``, search the stored inverted file instead: only the folders of the
     ``nprobe`` cells nearest to each sentence are read (approximate; see
-    :mod:`cadenza.operators.ivf`).
+    :mod:`cadenza.operators.ivf`). Changes to the index since the file's last version are
+    added to it first, so what the index deleted is not served.
     """
     spark = sentences.sparkSession
     lexicon = open_lexicon(spark, store)
     if nprobe is None:
         return recommend(sentences, open_index(spark, store), lexicon, dim=dim, k=k, **options)
-    model = V.Cells.load(spark, store.ivf_model)
+    model = refresh_ivf(spark, store, dim)
     queries = query_vectors(sentences, lexicon, dim, **options)
     hits, _ = V.ivf_search_stored(queries, store.ivf_cells, model, dim=dim, k=k, nprobe=nprobe,
                                   query_key="query_id", query_vec="query_vec", query_norm="query_norm",
                                   query_payload=["user_emotions"], index_key="link",
                                   index_vec="emotions_embeddings",
-                                  payload=["artist", "song", "llm_labeled_emotions"])
+                                  payload=IVF_PAYLOAD)
     return hits.select(*RESULT_COLUMNS)

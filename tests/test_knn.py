@@ -183,3 +183,24 @@ def test_ivf_share_and_bad_rows(spark):
     fly, s2 = V.ivf_search(one, idx, model, **opts)
     assert s1 == s2 < 1.0 and sorted(stored.collect()) == sorted(fly.collect())
     assert spark.read.parquet(path).count() == 200
+
+
+def test_pruned_search_skips_and_is_exact(spark):
+    """Well separated groups, ties and copies: fewer pairs are scored, the answers are exact."""
+    import random
+
+    from cadenza.operators import ivf as V
+    from cadenza.session import scratch_path
+
+    rng = random.Random(4)
+    centre = [[rng.gauss(0, 1) for _ in range(8)] for _ in range(6)]
+    rows = [(i, [c + rng.gauss(0, 0.05) for c in centre[i % 6]]) for i in range(300)]
+    rows += [(300 + i, rows[5][1]) for i in range(15)] + [(400, None), (401, [0.0] * 8), (402, [float("nan")] * 8)]
+    e = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    q = e.selectExpr("vec_id AS query_id", "embedding AS query_vec")
+    model = V.hash_pivots(e, "embedding", 8, 12, "vec_id")
+    path = V.write_cells(e, model, scratch_path(spark, "test-pruned"), dim=8, index_key="vec_id", index_vec="embedding")
+    kw = dict(dim=8, k=10, query_key="query_id", query_vec="query_vec", index_key="vec_id", index_vec="embedding", exclude_self=True)
+    got, share = V.pruned_search(q, path, model, first=1, **kw)
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    assert rows(got) == rows(K.knn_search(q, e, **kw)) and 0 < share < 0.6

@@ -58,3 +58,47 @@ def test_scratch_can_be_dropped(spark, monkeypatch):
     spark.range(3).write.parquet(path)
     local = path.removeprefix("file:")
     assert os.path.isdir(local) and session.drop_scratch(spark) == 1 and not os.path.exists(local)
+
+
+def test_inverted_file_follows_the_index(spark):
+    """Changed, new and deleted songs: the refreshed file holds the rows of a rebuilt one, also after
+    a second delta, a retry and a compaction."""
+    from cadenza.operators import index as X
+    from cadenza.operators import ivf as V
+
+    root = scratch_path(spark, "test-follow")
+    rows = [(f"/s/{i}", "a", f"s{i}", "x", [float(i % 7 + 1), float(i % 5), 1.0], 1.0) for i in range(60)]
+    schema = "link string, artist string, song string, llm_labeled_emotions string, emotions_embeddings array<float>, norm double"
+    kw = dict(dim=3, payload=["artist", "song"])
+    index = spark.createDataFrame(rows, schema)
+    X.write_version(index, f"{root}/index")
+    model = V.hash_pivots(index, "emotions_embeddings", 3, 4, "link")
+    path = V.write_cells(index, model, f"{root}/cells", covers=1, **kw)
+
+    def held(of):
+        return sorted((r.link, tuple(r.emotions_embeddings), r.cell) for r in of.collect())
+
+    def check(step):
+        assert V.refresh_cells(spark, f"{root}/index", model, path, **kw) == max(X.list_versions(spark, f"{root}/index"))
+        n = len(X.list_versions(spark, V._versions(path)))
+        assert V.refresh_cells(spark, f"{root}/index", model, path, **kw) and len(X.list_versions(spark, V._versions(path))) == n
+        V.write_cells(X.read_index(spark, f"{root}/index"), model, f"{root}/rebuilt-{step}", **kw)
+        assert held(V.read_cells(spark, path)) == held(V.read_cells(spark, f"{root}/rebuilt-{step}"))
+
+    def change(seq, links, deleted):
+        delta = [(link, "a", "new", "x", None if deleted else [1.0, float(seq), 9.0], None if deleted else 1.0) for link in links]
+        changed = spark.createDataFrame(delta, schema).selectExpr("*", f"{seq}L AS seq", f"{str(deleted).lower()} AS deleted")
+        X.write_version(changed, f"{root}/index", X.DELTA, f"s/{seq}/{deleted}")
+
+    change(2, ["/s/1", "/s/2", "/s/new"], False)
+    check("upsert")
+    change(3, ["/s/2", "/s/3", "/s/new"], True)
+    check("delete")
+    live = {r.link for r in V.read_cells(spark, path).collect()}
+    assert not live & {"/s/2", "/s/3", "/s/new"} and "/s/1" in live
+    change(1, ["/s/3"], False)                               # late: the deletion stands
+    check("late")
+    X.compact(spark, f"{root}/index")
+    X.drop_before(spark, f"{root}/index")
+    change(9, ["/s/3"], False)
+    check("compacted")
