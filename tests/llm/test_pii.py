@@ -1,7 +1,9 @@
 import hashlib
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from cadenza.llm import pii
 from cadenza.llm.common import documents
@@ -77,3 +79,12 @@ def test_added_spans(spark, text, found):
 def test_no_python_in_the_plan(spark):
     df = pii.find_spans(spark.createDataFrame([(1, "x y")], "doc_id bigint, text string"))
     assert "Python" not in df._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("word", ["a", "1", "1.", "a@", "12 ", "a.b-", "(", "\x22"])
+def test_long_words_take_linear_time(spark, word):
+    """A long run of one class is matched from its start only: 400,000 characters pass quickly."""
+    df = spark.createDataFrame([(1, word * (400_000 // len(word)) + " x@y.org")], "doc_id bigint, text string")
+    began = time.monotonic()
+    found = df.select(*[F.size(F.regexp_extract_all("text", F.lit(p), F.lit(0))) for p in [*pii.NEAR.values(), *pii.BASE.values()]]).first()
+    assert len(found) == len(pii.NEAR) + len(pii.BASE) and time.monotonic() - began < 20
