@@ -42,8 +42,8 @@ TASK_BYTES, MAX_TASKS = 8 << 20, 10_000
 TAIL_TASKS = 256
 #: Queues at most; more sources share queues by hash.
 MAX_QUEUES = 10_000
-#: Words of a generation, of which a worker remembers two; bytes of text that are encoded at a time.
-CACHE_WORDS, STRETCH = 300_000, 4 << 20
+#: Words (and parts of words) that a worker remembers; bytes of text that are encoded at a time.
+CACHE_WORDS, STRETCH = 500_000, 4 << 20
 
 PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -61,19 +61,21 @@ class WordTokenizer:
     Valid for tokenizers that split at white space and drop it, as the word vocabularies do: the
     ids of a text are those of its words in order. The words of a batch are numbered (exactly, by
     Arrow), every new one is encoded once, and Arrow puts the ids together. Words are
-    remembered in two generations, so that common ones outlive a flood of rare ones.
+    remembered while they keep coming, so that common ones outlive a flood of rare ones.
     """
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import pyarrow as pa
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(spec)
         size = self.tokenizer.get_vocab_size()
         #: Bytes of an id: most vocabularies fit in 16 bits.
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.words, self.ids = pa.array([], pa.large_binary()), pa.array([], pa.large_binary())
+        self.used, self.turn = np.zeros(0, np.int64), 0
+        self.parts: dict[bytes, bytes] = {}
         self.model = self.tokenizer.model
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.as_bytes = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
@@ -85,16 +87,17 @@ class WordTokenizer:
     def _encode(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
 
+    def _model_ids(self, text: str) -> bytes:
+        tokens = self.model.tokenize(text if text.isascii() else text.translate(self.as_bytes))
+        return b"".join([self.id_bytes[t.id] for t in tokens])
+
     def _part(self, part: bytes) -> bytes:
-        """The ids of lower-case letters, or of punctuation."""
-        ids = self.young.get(part)
+        """The ids of lower-case letters, or of punctuation, as part of a word."""
+        ids = self.parts.get(part)
         if ids is None:
-            ids = self.old.get(part)
-            if ids is None:
-                text = part.decode("utf-8")
-                tokens = self.model.tokenize(text if text.isascii() else text.translate(self.as_bytes))
-                ids = b"".join([self.id_bytes[t.id] for t in tokens])
-            self.young[part] = ids
+            if len(self.parts) >= CACHE_WORDS:
+                self.parts.clear()
+            ids = self.parts[part] = self._model_ids(part.decode("utf-8"))
         return ids
 
     def _ids(self, word: bytes) -> bytes:
@@ -103,25 +106,36 @@ class WordTokenizer:
         if self.plain:
             core = word.rstrip(_ENDS)
             if core.isalpha():
-                ids = self._part(core.lower())
-                return ids if len(core) == len(word) else ids + self._part(word[len(core):])
+                if len(core) == len(word):
+                    return self._model_ids(word.decode("ascii")) if word.islower() else self._part(word.lower())
+                return self._part(core.lower()) + self._part(word[len(core):])
             if not word.isascii() and (form := _PLAIN.fullmatch(word.decode("utf-8"))):
-                ids = self._part(form[1].lower().encode())
-                return ids + self._part(form[2].encode()) if form[2] else ids
-        ids = self.old.get(word)
-        if ids is None:
-            ids = self._encode(word.decode("utf-8"))
-        self.young[word] = ids
+                if not form[2]:
+                    return self._model_ids(form[1].lower())
+                return self._part(form[1].lower().encode()) + self._part(form[2].encode())
+        return self._encode(word.decode("utf-8"))
+
+    def _known(self, words):
+        """The ids of distinct words: those remembered are found by Arrow, the new ones are encoded
+        and remembered in place of the ones not met for longest."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        self.turn += 1
+        at = pc.index_in(words, value_set=self.words)
+        self.used[pc.drop_null(at).to_numpy()] = self.turn
+        ids, missing = self.ids.take(at), pc.is_null(at)
+        new = words.filter(missing)
+        if len(new):
+            got = pa.array([self._ids(w) for w in new.to_pylist()], pa.large_binary())
+            ids = pc.replace_with_mask(ids, missing, got)
+            self.words, self.ids = pa.concat_arrays([self.words, new]), pa.concat_arrays([self.ids, got])
+            self.used = np.append(self.used, np.full(len(new), self.turn))
+            if len(self.used) > CACHE_WORDS:
+                keep = np.sort(np.argsort(self.used, kind="stable")[len(self.used) - CACHE_WORDS // 2:])
+                self.words, self.ids, self.used = self.words.take(pa.array(keep)), self.ids.take(pa.array(keep)), self.used[keep]
         return ids
 
-    def _known(self, words: list[bytes]) -> list[bytes]:
-        """The ids of distinct words."""
-        get, ids = self.young.get, self._ids
-        out = [x if (x := get(w)) is not None else ids(w) for w in words]
-        if len(self.young) >= CACHE_WORDS:
-            self.young, self.old = {}, self.young
-        return out
-
     def encode(self, column) -> Iterator[bytes]:
         """The ids (``kind``) of every text of an Arrow column, with the end id; long columns in
         stretches of texts of about ``STRETCH`` bytes, long texts in parts that end between words."""
@@ -159,7 +173,7 @@ class WordTokenizer:
         kept = data[inside]
         off = np.append(np.cumsum(inside)[start] - 1, len(kept)).astype(np.int64)
         coded = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(off), pa.py_buffer(kept)]).dictionary_encode()
-        known = pa.array(self._known(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
+        known = self._known(coded.dictionary).take(coded.indices)
         # the ids of the words in order stand side by side: cut them where texts begin
         at = np.frombuffer(known.buffers()[1], np.int64)[known.offset:known.offset + len(known) + 1]
         ids = memoryview(known.buffers()[2] or b"")
