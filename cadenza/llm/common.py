@@ -67,6 +67,12 @@ def written(df: DataFrame, name: str, tables: Tables | None = None) -> DataFrame
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_keys() -> list:
+    """``r1, r2``: 128 bits of hash of ``doc_id`` and ``text``, which tell rows apart where ids are null
+    or repeat with other texts. Equal rows share them."""
+    return [F.xxhash64("doc_id", "text").alias("r1"), F.xxhash64("text", F.lit(1), "doc_id").alias("r2")]
+
+
 def broadcast_if_small(df: DataFrame, rows: int, bound: int = BROADCAST_ROWS) -> DataFrame:
     """A broadcast hint only below a checked number of (narrow) rows."""
     return F.broadcast(df) if rows <= bound else df

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import Tables, bounded_batches, broadcast_if_small, written
+from cadenza.llm.common import Tables, bounded_batches, broadcast_if_small, row_keys, written
 
 MIN_WORDS = 5
 #: Rows and line numbers of a broadcast list of lost lines at most.
@@ -78,18 +78,19 @@ def _anchors(batches):
     import pyarrow as pa
 
     for batch in batches:
-        ids, nos, hs, off, anchors = [], [], [], [0], []
-        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+        ids, rows, nos, hs, off, anchors = [], [], [], [], [0], []
+        for doc, row, text in zip(batch.column("doc_id").to_pylist(), batch.column("r1").to_pylist(), batch.column("text")):
             for no, line in text_lines(text.as_py()):
                 ids.append(doc)
+                rows.append(row)
                 nos.append(no)
                 hs.append(_hash(line))
                 anchors.extend(a for a, _, _ in halves(line))
                 off.append(len(anchors))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(nos, pa.int64()), pa.array(_signed(hs)),
+            [pa.array(ids, pa.int64()), pa.array(rows, pa.int64()), pa.array(nos, pa.int64()), pa.array(_signed(hs)),
              pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(_signed(anchors)))],
-            names=["doc_id", "line_no", "h", "anchors"])
+            names=["doc_id", "r1", "line_no", "h", "anchors"])
 
 
 def _candidates(batches):
@@ -138,16 +139,18 @@ def _variants(batches):
 
 
 def dropped_lines(docs: DataFrame, tables: Tables) -> DataFrame:
-    """``(doc_id, lines)``: the line numbers that go, per document that loses any.
+    """``(r1, lines)``: the line numbers that go, per document that loses any.
 
-    Rows that repeat a doc_id count as one place. A null doc_id is the last of all ids.
+    Rows are known by a hash of id and text (``r1``), so other texts under one id are other places;
+    equal rows count as one place. A null doc_id is the last of all ids.
     """
     bounded_batches(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    lines = base.mapInArrow(_anchors, "doc_id bigint, line_no bigint, h bigint, anchors array<bigint>")
+    base = base.select("doc_id", "text", row_keys()[0])
+    lines = base.mapInArrow(_anchors, "doc_id bigint, r1 bigint, line_no bigint, h bigint, anchors array<bigint>")
     lines = written(lines, "lines", tables)
     # a null id sorts last
-    place = F.struct(F.col("doc_id").isNull().cast("int").alias("n"), "doc_id", "line_no")
+    place = F.struct(F.col("doc_id").isNull().cast("int").alias("n"), "doc_id", "line_no", "r1")
     firsts = written(lines.groupBy("h").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("places"),
                                             F.first("anchors").alias("anchors")), "lines-first",
                      tables)
@@ -156,10 +159,9 @@ def dropped_lines(docs: DataFrame, tables: Tables) -> DataFrame:
     known = firsts.select("h", "first", "places").join(gone.select("h", F.lit(True).alias("gone")), "h", "left")
     known = known.where("places > 1 OR gone").select("h", "first", F.coalesce("gone", F.lit(False)).alias("gone"))
     known = written(known, "lines-known", tables)
-    lost = (lines.select("doc_id", "line_no", "h").join(broadcast_if_small(known, known.count()), "h")
-            .where(F.col("gone") | ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
-                                     & (F.col("line_no") == F.col("first.line_no")))))
-    return lost.groupBy("doc_id").agg(F.collect_set("line_no").alias("lines"))
+    lost = (lines.select("r1", "line_no", "h").join(broadcast_if_small(known, known.count()), "h")
+            .where(F.col("gone") | (F.col("r1") != F.col("first.r1")) | (F.col("line_no") != F.col("first.line_no"))))
+    return lost.groupBy("r1").agg(F.collect_set("line_no").alias("lines"))
 
 
 def _near(base: DataFrame, firsts: DataFrame, tables: Tables) -> DataFrame:
@@ -171,10 +173,10 @@ def _near(base: DataFrame, firsts: DataFrame, tables: Tables) -> DataFrame:
     cand = halves_of.join(broadcast_if_small(shared, shared.count()), "anchor")
     cand = cand.groupBy("h").agg(F.collect_set("anchor").alias("shared"))
     cand = written(cand.join(firsts.select("h", "first"), "h"), "lines-cand", tables)
-    wanted = cand.groupBy(F.col("first.doc_id").alias("d")).agg(
+    wanted = cand.groupBy(F.col("first.r1").alias("r1")).agg(
         F.collect_list(F.struct(F.col("first.line_no").alias("line_no"), "h")).alias("lines"))
     wanted = written(wanted, "lines-wanted", tables)
-    texts = (base.join(broadcast_if_small(wanted, wanted.count()), F.col("doc_id").eqNullSafe(F.col("d")))
+    texts = (base.join(broadcast_if_small(wanted, wanted.count()), "r1")
              .select("doc_id", "text", "lines")
              .mapInArrow(_candidates, "h bigint, doc_id bigint, line_no bigint, line string"))
     texts = written(texts.dropDuplicates(["h"]), "lines-texts", tables)
@@ -204,11 +206,12 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     names ``n_lines`` and ``n_removed`` are replaced.
     """
     tables = Tables()
-    lost = dropped_lines(docs, tables).select(F.col("doc_id").alias("_cz_id"), F.col("lines").alias("_cz_lines"))
+    lost = dropped_lines(docs, tables).select(F.col("r1").alias("_cz_id"), F.col("lines").alias("_cz_lines"))
     lost = written(lost, "lines-lost")
     tables.drop(docs.sparkSession)
     size = lost.agg(F.count(F.lit(1)) + F.coalesce(F.sum(F.size("_cz_lines")), F.lit(0))).first()[0]
-    got = docs.join(broadcast_if_small(lost, size, BROADCAST_LINES), docs["doc_id"].eqNullSafe(lost["_cz_id"]), "left")
+    row = F.xxhash64(docs["doc_id"].cast("bigint"), docs["text"].cast("string"))
+    got = docs.join(broadcast_if_small(lost, size, BROADCAST_LINES), row == lost["_cz_id"], "left")
     parts = F.split("text", "\n", -1)
     numbers = F.sequence(F.lit(0).cast("bigint"), F.size(parts).cast("bigint") - 1)
     kept = F.transform(F.array_except(numbers, "_cz_lines"), lambda i: F.get(parts, i.cast("int")))

@@ -77,5 +77,5 @@ def test_packing(outputs):
 def test_registered(spark):
     names = __spark_entry__.queries()
     assert "pipeline" in names
-    assert sorted({int(m[1]) for x in names if (m := re.match(r"op(\d+)_", x))}) == list(range(1, 11))
+    assert sorted({int(m[1]) for x in names if (m := re.match(r"op(\d+)_", x))}) == list(range(1, 14))
     assert corpus_pipeline.run(spark, SF).count() > 0
