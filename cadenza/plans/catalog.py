@@ -918,3 +918,86 @@ ORACLES |= {"knn_ivf": _sql_knn_ivf(), "knn_ivf_all": _sql_knn_exact(), "knn_rec
 # songs of the second snapshot, labelled with the lexicon of the first
 ORACLES |= {"knn_pruned": _sql_knn_exact(),
             "ivf_after_stream": O.recommend_sql(DIM, KNN).replace(O.songs_cte(), _next_snapshot_cte().replace("songs_new AS", "songs AS", 1))}
+
+
+# ----------------------------------------------------------------------------- product quantisation
+
+PQ_PARTS, PQ_ENTRIES, PQ_ROUNDS, PQ_RERANK = 16, 64, 3, 100
+PQ_RERANKS = (20, 50, PQ_RERANK)
+
+
+def _pq_inputs(spark, d):
+    """The embeddings' coded index, and its search at a number of re-ranked rows."""
+    from cadenza.operators import pq as Q
+
+    e = read_table(spark, d, "embeddings")
+    books = Q.train_books(e, dim=EMB_DIM, parts=PQ_PARTS, entries=PQ_ENTRIES, rounds=PQ_ROUNDS,
+                          index_key="vec_id", index_vec="embedding")
+    path = Q.write_codes(e, books, scratch_path(spark, "pq"), index_key="vec_id", index_vec="embedding")
+    codes = spark.read.parquet(f"{path}/codes")
+    return e, lambda rerank: Q.pq_search(embedding_queries(e), e, codes, Q.Books.load(spark, f"{path}/books"), k=KNN, rerank=rerank,
+                                         index_key="vec_id", index_vec="embedding", exclude_self=True)
+
+
+def q_knn_pq(spark, d):
+    """M8: top k by product quantisation: byte codes are scanned, the best estimates are re-ranked."""
+    return _pq_inputs(spark, d)[1](PQ_RERANK)
+
+
+def q_knn_pq_recall(spark, d):
+    """M8: recall@10 and re-ranked rows per query, at several numbers of re-ranked rows."""
+    from cadenza.operators import ivf as V
+
+    search = _pq_inputs(spark, d)[1]
+    exact = saved(q_knn_exact(spark, d), "knn-exact")
+    out = None
+    for rerank in PQ_RERANKS:
+        row = V.ivf_recall(exact, search(rerank), "query_id", "vec_id").select(F.lit(rerank).alias("rerank"), "recall")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def _pq_ctes() -> str:
+    """int vectors, the books after every round, and every vector's decoded form (``vec_id, i, dec, v, norm``)."""
+    width = EMB_DIM // PQ_PARTS
+    sums = ", ".join(f"CAST(floor(sum(p[{i}]) / count(*)) AS BIGINT)" for i in range(1, width + 1))
+    far = " + ".join(f"(p[{i}] - c[{i}]) * (p[{i}] - c[{i}])" for i in range(1, width + 1))
+
+    def nearest(r: int) -> str:
+        return f"SELECT vec_id, part, any_value(p) AS p, min(({far}) * 256 + entry) % 256 AS entry FROM piece JOIN book{r} USING (part) GROUP BY vec_id, part"
+
+    ctes = [f"""{_emb_cte()},
+ints AS (SELECT vec_id, v, norm, list_transform(v, lambda x: CAST(floor(x / norm * 4096) AS BIGINT)) AS i FROM emb WHERE norm > 0),
+piece AS MATERIALIZED (SELECT vec_id, part, i[part * {width} + 1 : part * {width} + {width}] AS p FROM ints, range({PQ_PARTS}) t(part)),
+piv AS (SELECT vec_id, row_number() OVER (ORDER BY {O.hex_int('CAST(vec_id AS VARCHAR)', 1, 8)}, vec_id) - 1 AS entry FROM emb
+        WHERE norm > 0 QUALIFY entry < {PQ_ENTRIES}),
+book0 AS MATERIALIZED (SELECT part, entry, p AS c FROM piv JOIN piece USING (vec_id))"""]
+    for r in range(PQ_ROUNDS):
+        ctes.append(f"""book{r + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(n.c, b.c) AS c FROM book{r} b
+  LEFT JOIN (SELECT part, entry, [{sums}] AS c FROM ({nearest(r)}) GROUP BY part, entry) n ON n.part = b.part AND n.entry = b.entry)""")
+    ctes.append(f"""decoded AS MATERIALIZED (
+  SELECT vec_id, CAST(flatten(list(c ORDER BY part)) AS DOUBLE[]) AS dec
+  FROM ({nearest(PQ_ROUNDS)}) JOIN book{PQ_ROUNDS} USING (part, entry) GROUP BY vec_id),
+pairs AS MATERIALIZED (
+  SELECT a.vec_id AS query_id, b.vec_id, round(list_dot_product(a.v, b.v) / (a.norm * b.norm), 6) AS score,
+         row_number() OVER (PARTITION BY a.vec_id ORDER BY list_dot_product(CAST(a.i AS DOUBLE[]), dec) DESC, b.vec_id) AS nth
+  FROM ints a, ints b JOIN decoded ON decoded.vec_id = b.vec_id WHERE a.vec_id <> b.vec_id)""")
+    return ",\n".join(ctes)
+
+
+def _sql_knn_pq() -> str:
+    return f"""WITH {_pq_ctes()}
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM pairs WHERE nth <= {PQ_RERANK} QUALIFY rank <= {KNN}"""
+
+
+def _sql_knn_pq_recall() -> str:
+    return f"""WITH {_pq_ctes()},
+exact AS (SELECT query_id, vec_id, nth FROM pairs QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= {KNN}),
+depth AS (SELECT * FROM (VALUES {', '.join(f'({n})' for n in PQ_RERANKS)}) t(rerank))
+SELECT rerank, count(*) FILTER (WHERE nth <= rerank) / count(*) AS recall FROM depth, exact GROUP BY rerank"""
+
+
+QUERIES |= {"knn_pq": q_knn_pq, "knn_pq_recall": q_knn_pq_recall}
+ORACLES |= {"knn_pq": _sql_knn_pq(), "knn_pq_recall": _sql_knn_pq_recall()}
