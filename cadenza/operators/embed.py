@@ -36,11 +36,6 @@ def embed(df: DataFrame, source: str = "llm_labeled_emotions", out: str = "emoti
     return with_pairs.select(*[F.col(c) for c in df.columns if c not in replaced], *extra)
 
 
-def embed_labels(labeled: DataFrame, dim: int = DEFAULT_DIM, keep: tuple = ("artist", "song", "link", "llm_labeled_emotions")) -> DataFrame:
-    """The embeddings table (P2): keeps labels and vector, drops the text."""
-    return embed(labeled.select(*keep), dim=dim)
-
-
 def sparse_rows(vectors: DataFrame, key: str = "link", vec: str = "emotions_embeddings") -> DataFrame:
     """``(key, bucket, weight)`` for the non-zero entries of each vector (map-only)."""
     entries = vectors.select(key, dense_entries(vec))

@@ -13,7 +13,9 @@ songs writes five rows. :func:`compact` writes a new base on demand; :func:`drop
 versions that nobody reads any more. A version's metadata names the stream and epoch it came
 from, so a retried epoch rewrites its own version and a new stream continues the numbering.
 
-* :func:`snapshot_diff` stands in for a change feed: two snapshots, each reduced to one digest
+* :func:`read_state` reads the index as of any version that is still there, and :func:`read_changes`
+  what became of its keys between two versions, with before and after images.
+* :func:`snapshot_diff` compares tables that keep no versions: two snapshots, each reduced to one digest
   per key, then a full outer join on the key; the wide columns never enter the shuffle.
 * :func:`upsert` applies a diff in batch: the old index minus changed keys, plus the new rows.
 * :func:`vector_check` counts what :func:`build_index` keeps out.
@@ -236,8 +238,9 @@ def with_state(rows: DataFrame, seq: int = 0) -> DataFrame:
 
 
 def write_version(df: DataFrame, base: str, kind: str = BASE, source: str | None = None,
-                  bucket_by: str | None = None, buckets: int = 0) -> int:
+                  bucket_by: str | None = None, buckets: int = 0, compacts: int | None = None) -> int:
     """Write one version and return its number; a retry of the same ``source`` overwrites its own.
+    ``compacts``: the version whose state a base merely rewrites.
 
     With ``bucket_by`` and ``buckets`` a base is also a bucketed catalog table over the same
     folder: merges and joins on that key shuffle only the other side, never the index. Rows
@@ -255,7 +258,7 @@ def write_version(df: DataFrame, base: str, kind: str = BASE, source: str | None
          .option("path", path).saveAsTable(version_table(base, version)))
     else:
         df.write.mode("overwrite").parquet(path)
-    _write_meta(spark, path, {"kind": kind, "source": source})
+    _write_meta(spark, path, {"kind": kind, "source": source, "compacts": compacts})
     return version
 
 
@@ -280,32 +283,89 @@ def merge(rows: DataFrame, changes: DataFrame, key: str = "link") -> DataFrame:
     return kept.unionByName(won)
 
 
-def read_state(spark: SparkSession, base: str) -> DataFrame | None:
-    """All keys of the index with ``seq`` and ``deleted``, or None without a version."""
+def read_state(spark: SparkSession, base: str, version: int | None = None,
+               keys: DataFrame | None = None) -> DataFrame | None:
+    """All keys of the index with ``seq`` and ``deleted``, or None without a version; as of
+    ``version`` if given, and of the ``keys`` (a table of distinct ``link``) only."""
     versions = list_versions(spark, base)
+    if version is not None:
+        if version not in versions:
+            raise ValueError(f"version {version} of {base} is not there")
+        first = min(versions)
+        versions = {v: m for v, m in versions.items() if v <= version}
+        if first > 1 and all(m["kind"] != BASE for m in versions.values()):
+            raise ValueError(f"the base that version {version} of {base} needs is gone")
     if not versions:
         return None
+
+    def rows(v: int) -> DataFrame:
+        df = _read_version(spark, base, v)
+        return df if keys is None else df.join(keys, "link", "left_semi")
+
     start = max((v for v, m in versions.items() if m["kind"] == BASE), default=0)
-    deltas = [_read_version(spark, base, v).withColumn("_version", F.lit(v)) for v in versions if v > start]
+    deltas = [rows(v).withColumn("_version", F.lit(v)) for v in versions if v > start]
     changes = None
     for d in deltas:
         changes = d if changes is None else changes.unionByName(d)
     if not start:
         newest = latest_per_key(changes, "link", [F.desc("seq"), F.desc("_version")])
         return newest.drop("_version")
-    rows = _read_version(spark, base, start)
-    return rows if changes is None else merge(rows, changes)
+    return rows(start) if changes is None else merge(rows(start), changes)
+
+
+def _live(state: DataFrame) -> DataFrame:
+    return state.where("NOT deleted").drop("seq", "deleted")
+
+
+def read_index(spark: SparkSession, base: str, version: int | None = None) -> DataFrame | None:
+    """The index as of now, or as of ``version``: the newest base until then merged with the deltas
+    after it (S11)."""
+    state = read_state(spark, base, version)
+    return None if state is None else _live(state)
 
 
-def read_index(spark: SparkSession, base: str) -> DataFrame | None:
-    """The index as of now: the newest base merged with the deltas after it."""
-    state = read_state(spark, base)
-    return None if state is None else state.where("NOT deleted").drop("seq", "deleted")
+PRE, POST = "update_preimage", "update_postimage"
+
+
+def read_changes(spark: SparkSession, base: str, after: int, until: int) -> DataFrame:
+    """What became of the index from version ``after`` to ``until`` (S8): the index's columns and
+    ``change``, ``insert`` and ``delete`` with the row's image, an update as two rows with the images
+    before and after it.
+
+    The changes are net: a key that ends as it began, or whose late changes lost, has none. Only
+    keys of the deltas in between are read from the versions and compared; rewriting the same state
+    (:func:`compact`) is no change. After a base that is not such a rewrite all keys are compared.
+    """
+    versions = list_versions(spark, base)
+    if after > until or not {after, until} <= versions.keys():
+        raise ValueError("both versions must be there, and the first must not come after the last")
+    between = {v: m for v, m in versions.items() if after < v <= until}
+    keys = None
+    if all(m["kind"] == DELTA or m.get("compacts") is not None for m in between.values()):
+        keys = _read_version(spark, base, after).select("link").limit(0)
+        for v, m in between.items():
+            if m["kind"] == DELTA:
+                keys = keys.union(_read_version(spark, base, v).select("link"))
+        keys = keys.distinct()
+    old, new = (_live(read_state(spark, base, v, keys)) for v in (after, until))
+    rest = [c for c in old.columns if c != "link"]
+    both = (old.select("link", F.struct(*rest).alias("_old"))
+            .join(new.select("link", F.struct(*rest).alias("_new")), "link", "full_outer")
+            .where(~F.col("_old").eqNullSafe(F.col("_new"))))
+    o, n = F.col("_old"), F.col("_new")
+
+    def image(change: str, row: F.Column) -> F.Column:
+        return F.struct(F.lit(change).alias("change"), row.alias("row"))
+
+    images = (F.when(o.isNull(), F.array(image(INSERT, n))).when(n.isNull(), F.array(image(DELETE, o)))
+              .otherwise(F.array(image(PRE, o), image(POST, n))))
+    return both.select("link", F.explode(images).alias("_i")).select("link", "_i.change", "_i.row.*")
 
 
 def compact(spark: SparkSession, base: str, bucket_by: str | None = None, buckets: int = 0) -> int:
     """Write the merged state as a new base; tombstones stay, so late changes still lose."""
-    return write_version(read_state(spark, base), base, BASE, None, bucket_by, buckets)
+    newest = max(list_versions(spark, base), default=0)
+    return write_version(read_state(spark, base), base, BASE, None, bucket_by, buckets, compacts=newest)
 
 
 def drop_before(spark: SparkSession, base: str) -> list[int]:

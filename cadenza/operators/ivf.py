@@ -79,6 +79,8 @@ def _bounded(n_cells: int, dim: int) -> None:
 
 
 def _unit(rows) -> Cells:
+    if not len(rows):
+        return Cells(np.empty((0, 0)))
     centers = np.array([np.asarray(c, dtype=np.float64) for c in rows])
     return Cells(centers / np.sqrt((centers * centers).sum(axis=1, keepdims=True)))
 

@@ -75,6 +75,8 @@ class Books:
     @staticmethod
     def load(spark: SparkSession, path: str) -> "Books":
         rows = spark.read.parquet(path).orderBy("part", "entry").collect()       # the books: bounded
+        if not rows:
+            return Books(np.empty((0, 0, 0), dtype=np.int64))
         parts = rows[-1]["part"] + 1
         values = np.array([r["value"] for r in rows], dtype=np.int64)
         return Books(values.reshape(parts, len(rows) // parts, -1))

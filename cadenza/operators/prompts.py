@@ -49,3 +49,27 @@ def prompt_compare(grid: DataFrame, group: Sequence[str] = ("link", "song"),
     the pivot values are given, so no extra pass looks for them."""
     labels = [label for label, _ in prompts]
     return grid.groupBy(*group).pivot("prompt_label", labels).agg(F.first("result"))
+
+
+def prompt_agreement(grid: DataFrame, unit: str = "link", value: str = "result") -> DataFrame:
+    """Krippendorff's alpha of the prompts' results (A5): agreement corrected for chance, 1 if all
+    prompts answer alike, about 0 if as by chance; null if all answers are one value or none.
+
+    Null results are missing answers; a unit counts with two answers or more. Only counts per (unit,
+    value) are shuffled, and the rest are sums of integers, so the result is exact up to its rounding.
+    """
+    cells = grid.where(F.col(value).isNotNull()).groupBy(unit, value).agg(F.count(F.lit(1)).alias("n"))
+    units = cells.groupBy(unit).agg(F.sum("n").alias("m"), F.sum(F.col("n") * (F.col("n") - 1)).alias("same"),
+                                    F.collect_list(F.struct(F.col(value).alias("v"), "n")).alias("values"))
+    paired = units.where("m >= 2")
+    alike = paired.groupBy("m").agg(F.count(F.lit(1)).alias("units"), F.sum("same").alias("same"))
+    observed = alike.select("units", (F.col("m") * F.col("units")).alias("n"), (F.col("same") / (F.col("m") - 1)).alias("o"),
+                            F.lit(0).cast("bigint").alias("e"))
+    totals = paired.select(F.inline("values")).groupBy("v").agg(F.sum("n").alias("n"))
+    chance = totals.select(F.lit(0).cast("bigint").alias("units"), F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("o"),
+                           (F.col("n") * (F.col("n") - 1)).alias("e"))
+    sums = observed.unionByName(chance).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("units", "n", "o", "e")])
+    n = F.col("n")
+    apart, expected = 1 - F.try_divide("o", n), 1 - F.try_divide("e", n * (n - 1))
+    return sums.select(F.col("units").alias("n_units"), n.alias("n_values"), F.round(apart, 9).alias("disagreement"),
+                       F.round(expected, 9).alias("expected"), F.round(1 - F.try_divide(apart, expected), 9).alias("alpha"))

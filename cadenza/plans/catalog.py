@@ -1001,3 +1001,159 @@ SELECT rerank, count(*) FILTER (WHERE nth <= rerank) / count(*) AS recall FROM d
 
 QUERIES |= {"knn_pq": q_knn_pq, "knn_pq_recall": q_knn_pq_recall}
 ORACLES |= {"knn_pq": _sql_knn_pq(), "knn_pq_recall": _sql_knn_pq_recall()}
+
+
+# ----------------------------------------------------------------------------- versions of the index
+
+def _versioned_index(spark, d) -> str:
+    """An index in four versions: a base of the first snapshot, a delta to the second, a compaction,
+    and a delta back to the first."""
+    docs = read_table(spark, d, "documents")
+    lex = lexicon(spark, d)
+    old, new = songs_from_documents(docs), fx.next_snapshot(docs)
+    base = scratch_path(spark, "versions")
+    X.write_version(index_of(old, lex).select(*INDEX_COLUMNS), base)
+    forth = saved(X.snapshot_diff(old, new), "diff")
+    back = forth.withColumn("change", F.when(F.col("change") == X.INSERT, X.DELETE).when(F.col("change") == X.DELETE, X.INSERT)
+                            .otherwise(F.col("change")))
+    X.write_version(S.delta_of(S.changes_from_diff(new, forth, seq=1), lex, DIM), base, X.DELTA)
+    X.compact(spark, base)
+    X.write_version(S.delta_of(S.changes_from_diff(old, back, seq=2), lex, DIM), base, X.DELTA)
+    return base
+
+
+def q_index_changes(spark, d):
+    """Before and after images of what changed from version to version, over a compaction too."""
+    base = _versioned_index(spark, d)
+    out = None
+    for after, until in ((1, 2), (2, 4), (1, 4)):
+        part = X.read_changes(spark, base, after, until).select(F.lit(until).alias("until"), "change", *INDEX_COLUMNS)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_index_as_of(spark, d):
+    """The index as of its second version, after later ones were written."""
+    return X.read_index(spark, _versioned_index(spark, d), version=2).select(*INDEX_COLUMNS)
+
+
+def _sql_index_changes() -> str:
+    new = _index_sql(_next_snapshot_cte().replace("songs_new AS", "songs AS", 1))
+    cols = ", ".join("{0}." + c for c in INDEX_COLUMNS)
+    differ = " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c in INDEX_COLUMNS)
+    return f"""WITH old AS MATERIALIZED ({_index_sql(O.songs_cte())}), new AS MATERIALIZED ({new}),
+changed AS (SELECT o, n, o.link IS NULL AS added, n.link IS NULL AS gone FROM old o FULL OUTER JOIN new n ON o.link = n.link WHERE {differ})
+SELECT 2 AS until, CASE WHEN gone THEN 'delete' ELSE 'update_preimage' END AS change, {cols.format('o')} FROM changed WHERE NOT added
+UNION ALL SELECT 2, CASE WHEN added THEN 'insert' ELSE 'update_postimage' END, {cols.format('n')} FROM changed WHERE NOT gone
+UNION ALL SELECT 4, CASE WHEN added THEN 'delete' ELSE 'update_preimage' END, {cols.format('n')} FROM changed WHERE NOT gone
+UNION ALL SELECT 4, CASE WHEN gone THEN 'insert' ELSE 'update_postimage' END, {cols.format('o')} FROM changed WHERE NOT added"""
+
+
+QUERIES |= {"index_changes": q_index_changes, "index_as_of": q_index_as_of}
+ORACLES |= {"index_changes": _sql_index_changes(), "index_as_of": ORACLES["index_upsert"]}
+
+
+# ----------------------------------------------------------------------------- samples of a size, agreement
+
+SAMPLE_ROWS, STRATUM_ROWS = 100, 20
+
+
+def q_sample_exact(spark, d):
+    """L4: exactly 100 songs."""
+    return M.sample_exact(songs(spark, d), "link", SAMPLE_ROWS)
+
+
+def q_sample_strata(spark, d):
+    """L4: exactly 20 songs of every artist."""
+    return M.sample_exact(songs(spark, d), "link", STRATUM_ROWS, stratum="artist")
+
+
+def q_prompt_agreement(spark, d):
+    """A5: agreement of the prompts' results beyond chance."""
+    return P.prompt_agreement(P.prompt_grid(songs(spark, d), lexicon(spark, d)))
+
+
+def _sql_sample(n: int, partition: str = "") -> str:
+    return _with(O.songs_cte()) + f"""SELECT * FROM songs
+QUALIFY row_number() OVER ({partition} ORDER BY {O.hex_int('link', 1, 15)}, link) <= {n}"""
+
+
+def _sql_prompt_agreement() -> str:
+    base = _sql_prompt_grid_base().rstrip()
+    return f"""SELECT CAST(n_units AS BIGINT) AS n_units, CAST(n AS BIGINT) AS n_values, round(1 - o / n, 9) AS disagreement,
+  round(1 - e / (n * (n - 1)), 9) AS expected, round(1 - (1 - o / n) / (1 - e / (n * (n - 1))), 9) AS alpha
+FROM (WITH answers AS ({base} SELECT link, result FROM graded WHERE result IS NOT NULL),
+cells AS (SELECT link, result, count(*) AS c FROM answers GROUP BY link, result),
+units AS (SELECT link, sum(c) AS m FROM cells GROUP BY link HAVING sum(c) >= 2),
+paired AS (SELECT * FROM cells JOIN units USING (link))
+SELECT (SELECT count(*) FROM units) AS n_units, (SELECT sum(m) FROM units) AS n,
+  (SELECT sum(c * (c - 1) / (m - 1)) FROM paired) AS o,
+  (SELECT sum(t * (t - 1)) FROM (SELECT sum(c) AS t FROM paired GROUP BY result)) AS e)"""
+
+
+QUERIES |= {"sample_exact": q_sample_exact, "sample_strata": q_sample_strata, "prompt_agreement": q_prompt_agreement}
+ORACLES |= {"sample_exact": _sql_sample(SAMPLE_ROWS), "sample_strata": _sql_sample(STRATUM_ROWS, "PARTITION BY artist"),
+            "prompt_agreement": _sql_prompt_agreement()}
+
+
+# ----------------------------------------------------------------------------- plug-in models with kept answers
+
+def flaky_labeler(inputs: list[str], attempt: int) -> list[str | None]:
+    """Stands in for a hosted labeler: ten emotions from the text's length on. By the text's md5 one in
+    sixteen fails at the first attempt and another one always."""
+    import hashlib
+
+    out = []
+    for text in inputs:
+        digit = hashlib.md5(text.encode()).hexdigest()[0]
+        failed = digit == "f" or digit == "0" and attempt == 1
+        out.append(None if failed else ", ".join(L.EMOTIONS[(len(text) + i) % len(L.EMOTIONS)] for i in range(10)))
+    return out
+
+
+def emotion_encoder(inputs: list[str], attempt: int) -> list[list[float]]:
+    """Stands in for a hosted embedder: an entry per emotion, its place in the label (from 1), else 0."""
+    return [[float(names.index(e) + 1) if e in names else 0.0 for e in L.EMOTIONS] for names in (s.split(", ") for s in inputs)]
+
+
+def _plugin_labels(spark, d) -> DataFrame:
+    from cadenza.operators import calls as C
+
+    s = songs(spark, d)
+    store = scratch_path(spark, "answers")
+    C.ask(s, "text", flaky_labeler, store, name="flaky-1", attempts=1)       # one attempt: some fail
+    answers = C.ask(s, "text", flaky_labeler, store, name="flaky-1", attempts=2, slices=2)
+    return C.attach(s, "text", answers, "llm_labeled_emotions", name="flaky-1").drop("text")
+
+
+def q_label_plugin(spark, d):
+    """M1, 2.11: labels of a plug-in model that fails now and then; a second run asks what failed."""
+    return _plugin_labels(spark, d)
+
+
+def q_embed_plugin(spark, d):
+    """M4, 2.11: vectors of a plug-in model; equal labels are asked once."""
+    from cadenza.operators import calls as C
+
+    labels = saved(_plugin_labels(spark, d).drop("error"), "labels")
+    answers = C.ask(labels, "llm_labeled_emotions", emotion_encoder, scratch_path(spark, "vectors"), name="places-1", answer="array<float>")
+    found = C.attach(labels, "llm_labeled_emotions", answers, "emotions_embeddings", name="places-1")
+    return found.select("link", F.posexplode("emotions_embeddings").alias("pos", "value"))
+
+
+def _plugin_ctes() -> str:
+    n = len(L.EMOTIONS)
+    names = "[" + ", ".join(O.q(e) for e in L.EMOTIONS) + "]"
+    return _with(O.songs_cte()).rstrip() + f""", labeled AS (
+SELECT artist, song, link, CASE WHEN substr(md5(text), 1, 1) <> 'f' THEN
+         array_to_string(list_transform(range(10), lambda i: ({names})[(length(text) + i) % {n} + 1]), ', ') END AS llm_labeled_emotions,
+       CASE WHEN substr(md5(text), 1, 1) = 'f' THEN 'no answer' END AS error FROM songs)
+"""
+
+
+QUERIES |= {"label_plugin": q_label_plugin, "embed_plugin": q_embed_plugin}
+ORACLES |= {"label_plugin": _plugin_ctes() + "SELECT * FROM labeled",
+            "embed_plugin": _plugin_ctes() + "SELECT link, CAST(e.pos AS INTEGER) AS pos, "
+            "CAST(coalesce(list_position(string_split(llm_labeled_emotions, ', '), e.name), 0) AS FLOAT) AS value FROM labeled, "
+            "(SELECT * FROM (VALUES " + ", ".join(f"({i}, {O.q(e)})" for i, e in enumerate(L.EMOTIONS)) + ")) e(pos, name) "
+            "WHERE llm_labeled_emotions IS NOT NULL"}
