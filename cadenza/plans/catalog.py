@@ -1157,3 +1157,24 @@ ORACLES |= {"label_plugin": _plugin_ctes() + "SELECT * FROM labeled",
             "CAST(coalesce(list_position(string_split(llm_labeled_emotions, ', '), e.name), 0) AS FLOAT) AS value FROM labeled, "
             "(SELECT * FROM (VALUES " + ", ".join(f"({i}, {O.q(e)})" for i, e in enumerate(L.EMOTIONS)) + ")) e(pos, name) "
             "WHERE llm_labeled_emotions IS NOT NULL"}
+
+
+# ----------------------------------------------------------------------------- the index as a data source
+
+def q_index_source(spark, d):
+    """The first snapshot's index and the delta of the second, written and read through
+    the index's data source."""
+    from cadenza.sources import index_source as I
+
+    docs, lex, base = read_table(spark, d, "documents"), lexicon(spark, d), scratch_path(spark, "index-source")
+    old, new = songs_from_documents(docs), fx.next_snapshot(docs)
+    first = index_of(old, lex).select(*S.INDEX_COLUMNS)
+    buckets = X.bucket_count(first.count(), DIM)
+    I.write_index(first, base, X.BASE, buckets)
+    diff = saved(X.snapshot_diff(old, new), "diff")
+    I.write_index(saved(S.delta_of(S.changes_from_diff(new, diff, seq=1), lex, DIM), "delta"), base, X.DELTA, buckets)
+    return I.open_index(spark, base, columns=",".join(INDEX_COLUMNS))
+
+
+QUERIES |= {"index_source": q_index_source}
+ORACLES |= {"index_source": ORACLES["index_upsert"]}
