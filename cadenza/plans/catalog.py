@@ -14,11 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.functions import text as T
+from cadenza.functions import vectors as VF
 from cadenza.operators import embed as E
 from cadenza.operators import index as X
 from cadenza.operators import knn as K
 from cadenza.operators import label as L
 from cadenza.operators import measures as M
+from cadenza.operators import phrase_tags as PH
 from cadenza.operators import prompts as P
 from cadenza.plans import oracle as O
 from cadenza.plans.recommend import recommend, song_vectors
@@ -1178,3 +1180,57 @@ def q_index_source(spark, d):
 
 QUERIES |= {"index_source": q_index_source}
 ORACLES |= {"index_source": ORACLES["index_upsert"]}
+
+
+# ----------------------------------------------------------------------------- search from SQL text
+
+def q_recommend_sql(spark, d):
+    """M6, 2.11: ``recommend`` by the table function ``search_index`` in SQL text."""
+    from cadenza.plans import search_sql as Q
+    from cadenza.plans.recommend import query_vectors
+    from cadenza.sources import index_source as I
+
+    lex, base = lexicon(spark, d), scratch_path(spark, "index-sql")
+    I.write_index(song_index(spark, d, lex).select(*S.INDEX_COLUMNS), base)
+    return Q.recommend_sql(saved(query_vectors(sentences(spark, d), lex, DIM), "asked"), base, DIM, KNN)
+
+
+QUERIES |= {"recommend_sql": q_recommend_sql}
+ORACLES |= {"recommend_sql": ORACLES["recommend"]}
+
+
+# ----------------------------------------------------------------------------- many phrases
+
+def phrase_list(spark, d) -> DataFrame:
+    """Every sequence of 2 or 3 words of the benchmark's texts."""
+    words = read_table(spark, d, "benchmark").select(VF.tokens(F.col("text")).alias("w"))
+    return PH.word_sequences(words, "w", (2, 3)).distinct()
+
+
+def q_phrase_tag(spark, d):
+    """M9: the phrases of the benchmark's texts in every song, by one automaton in one pass."""
+    tagged = PH.phrase_tag(songs(spark, d), phrase_list(spark, d), "phrase")
+    return tagged.select("link", F.size("phrases").alias("n_phrases"), F.array_join("phrases", "|").alias("phrases"))
+
+
+def q_phrase_join(spark, d):
+    """M9: the same beyond the automaton's byte budget, by a join on the songs' word sequences."""
+    tagged = PH.phrase_tag(songs(spark, d), phrase_list(spark, d), "phrase", max_bytes=0)
+    return tagged.select("link", F.size("phrases").alias("n_phrases"), F.array_join("phrases", "|").alias("phrases"))
+
+
+def _sql_phrases() -> str:
+    def grams(table: str, key: str) -> str:
+        return " UNION ALL ".join(
+            f"SELECT {key} unnest(list_transform(range(1, len(w) - {n - 2}), lambda i: array_to_string(w[i:i + {n - 1}], ' '))) AS phrase FROM {table}"
+            for n in (2, 3))
+    return _with(O.songs_cte()) + f""", b AS (SELECT regexp_extract_all(lower(text), '[a-z]+') AS w FROM benchmark),
+s AS (SELECT link, regexp_extract_all(lower(text), '[a-z]+') AS w FROM songs),
+wanted AS (SELECT DISTINCT phrase FROM ({grams('b', '')})),
+hits AS (SELECT DISTINCT link, phrase FROM ({grams('s', 'link,')}) JOIN wanted USING (phrase))
+SELECT songs.link, CAST(count(phrase) AS INTEGER) AS n_phrases, coalesce(string_agg(phrase, '|' ORDER BY phrase), '') AS phrases
+FROM songs LEFT JOIN hits ON hits.link = songs.link GROUP BY songs.link"""
+
+
+QUERIES |= {"phrase_tag": q_phrase_tag, "phrase_join": q_phrase_join}
+ORACLES |= {"phrase_tag": _sql_phrases(), "phrase_join": _sql_phrases()}

@@ -118,6 +118,11 @@ class Bucket(InputPartition):
         self.files = files
 
 
+def bucket_files(chosen: list[Version], bucket: int) -> Bucket:
+    """What makes up a bucket in the versions of :func:`state_versions`."""
+    return Bucket([(v.number, v.meta["kind"] == BASE, p) for v in chosen for p in v.files(bucket)])
+
+
 class _Files:
     """Reads files of the index in the tasks."""
 
@@ -192,7 +197,7 @@ class IndexReader(DataSourceReader):
         n = chosen[0].meta["buckets"]
         keys = self.files.keys
         wanted = range(n) if keys is None else sorted({bucket_of(k, n) for k in keys})
-        parts = [Bucket([(v.number, v.meta["kind"] == BASE, p) for v in chosen for p in v.files(b)]) for b in wanted]
+        parts = [bucket_files(chosen, b) for b in wanted]
         return [p for p in parts if p.files] or [Bucket([])]
 
     def read(self, partition: Bucket) -> Iterator[pa.RecordBatch]:
