@@ -37,14 +37,20 @@ EMOTIONS = (
     "joy", "trust", "fear", "surprise", "sadness", "disgust", "anger", "anticipation",
     "ecstasy", "admiration", "terror", "amazement", "grief", "loathing", "rage", "vigilance",
 )
-# Mood words that every lexicon holds (corpus words of the same spelling give way to them).
-SEED_WORDS = {
-    "love": "joy", "happy": "joy", "friend": "trust", "afraid": "fear", "suddenly": "surprise",
-    "believe": "amazement", "rainy": "sadness", "winter": "grief", "awful": "disgust", "hate": "loathing",
-    "wrong": "anger", "unfair": "anger", "furious": "rage", "hope": "anticipation", "lottery": "anticipation",
+# Words that every lexicon holds (corpus words of the same spelling give way to them): the names on
+# Plutchik's wheel that are long enough for it. An emotion of ours stands for itself, a mild form for the basic emotion of its
+# petal, a primary dyad for the first of the two basic emotions it blends.
+MILD_FORMS = {
+    "serenity": "joy", "acceptance": "trust", "apprehension": "fear", "distraction": "surprise",
+    "pensiveness": "sadness", "boredom": "disgust", "annoyance": "anger", "interest": "anticipation",
+}
+DYADS = {
+    "love": "joy", "submission": "trust", "awe": "fear", "disapproval": "surprise",
+    "remorse": "sadness", "contempt": "disgust", "aggressiveness": "anger", "optimism": "anticipation",
 }
 LEXICON_SIZE = 200      # words in the lexicon
 LEXICON_MIN_LEN = 4     # shortest word taken
+SEED_WORDS = {w: e for w, e in ({e: e for e in EMOTIONS} | MILD_FORMS | DYADS).items() if len(w) >= LEXICON_MIN_LEN}
 LABELS_PER_TEXT = 10    # emotions asked for
 LEXICON_MAX_SIZE = 100_000  # broadcast bound
 # ---------------------------------------------------------------------------
