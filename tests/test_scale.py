@@ -131,3 +131,24 @@ def test_labels_go_to_python_in_batches_of_bounded_bytes(spark):
     finally:
         for k, v in zip(keys, before):
             spark.conf.set(k, v)
+
+
+def test_queries_beyond_a_broadcast_are_all_answered(spark):
+    """Vectors of floats: half as many bytes as the doubles that the broadcast's rows are counted by."""
+    from cadenza.operators import ivf as V
+
+    rng = np.random.default_rng(11)
+    rows = [(i, [float(v) for v in x]) for i, x in enumerate(rng.normal(size=(240, 64)))] + [(900, None), (901, [0.0] * 64)]
+    e = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    q = e.selectExpr("vec_id AS query_id", "embedding AS query_vec", "concat('n', vec_id) AS note")
+    model = V.hash_pivots(e, "embedding", 64, 4, "vec_id")
+    path = V.write_cells(e, model, scratch_path(spark, "test-all-cells"), dim=64, index_key="vec_id", index_vec="embedding")
+    kw = dict(dim=64, k=5, query_key="query_id", query_vec="query_vec", index_key="vec_id", index_vec="embedding", exclude_self=True,
+              query_payload=["note"])
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    exact = rows(K.knn_search(q, e, **kw))
+    got, share = V.ivf_search_stored(q, path, model, nprobe=4, max_broadcast_bytes=60 * (8 * 64 + 64), **kw)
+    assert rows(got) == exact and len(exact) == 240 * 5 and share == 1.0
+    whole, one = V.ivf_search_stored(q, path, model, nprobe=2, **kw)
+    cut, two = V.ivf_search_stored(q, path, model, nprobe=2, max_broadcast_bytes=60 * (8 * 64 + 64), **kw)
+    assert rows(cut) == rows(whole) and one == two < 1.0
