@@ -152,3 +152,20 @@ def test_queries_beyond_a_broadcast_are_all_answered(spark):
     whole, one = V.ivf_search_stored(q, path, model, nprobe=2, **kw)
     cut, two = V.ivf_search_stored(q, path, model, nprobe=2, max_broadcast_bytes=60 * (8 * 64 + 64), **kw)
     assert rows(cut) == rows(whole) and one == two < 1.0
+
+
+def test_candidates_of_codes_are_not_broadcast_by_the_driver(spark):
+    rng = np.random.default_rng(9)
+    index = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(rng.normal(size=(150, 8)))],
+                                  "link int, emotions_embeddings array<double>")
+    queries = index.select(F.col("link").alias("query_id"), F.col("emotions_embeddings").alias("query_vec"))
+    books = Q.train_books(index, dim=8, parts=4, entries=16, rounds=2)
+    codes = Q.encode(index, books)
+    whole = Q.pq_search(queries, index, codes, books, k=5, rerank=20)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "BroadcastExchange" not in plan
+    # blocks of queries, without and with all codes in a broadcast
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    assert len(rows(whole)) == 150 * 5
+    for budget in (50 * 128, 110 * 128):
+        assert rows(Q.pq_search(queries, index, codes, books, k=5, rerank=20, max_broadcast_bytes=budget)) == rows(whole)
