@@ -169,3 +169,40 @@ def test_candidates_of_codes_are_not_broadcast_by_the_driver(spark):
     assert len(rows(whole)) == 150 * 5
     for budget in (50 * 128, 110 * 128):
         assert rows(Q.pq_search(queries, index, codes, books, k=5, rerank=20, max_broadcast_bytes=budget)) == rows(whole)
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot", "l2"])
+def test_products_in_single_precision_lose_no_answer(metric, monkeypatch):
+    rng = np.random.default_rng(17)
+    plain = rng.normal(size=(700, DIM))
+    near = 1000.0 + plain * 1e-3                                     # alike but for a little
+    steps = np.repeat(plain[:70], 10, axis=0) + rng.normal(size=(700, DIM)) * 1e-7
+    wide, far = (140, 20) if metric == "cosine" else (1, 1)
+    kinds = [plain, plain * 10.0 ** wide, plain * 10.0 ** -wide, plain * 10.0 ** rng.integers(-far, far, size=(700, 1)), near, steps,
+             np.floor(plain * 4096), plain.round(0)]
+    keys, usable = pa.array(np.arange(700)), K._Single.__init__
+    for X in kinds:
+        X = X[(X != 0).any(axis=1)]
+        asked = np.concatenate((X[:60], X[:1] * 0 if metric != "cosine" else X[:1]))
+        xn, qn = (np.linalg.norm(m / abs(m).max(), axis=1) * abs(m).max() + (m == 0).all(axis=1) for m in (X, asked))
+        args = (asked, qn, np.arange(len(asked)), X, xn, keys.slice(0, len(X)), 10, 6, metric, True)
+        got = K._score_block(*args)
+        with monkeypatch.context() as m:                             # all in double
+            m.setattr(K._Single, "__init__", lambda self, *a: setattr(self, "usable", False))
+            want = K._score_block(*args)
+        assert K._Single.__init__ is usable and len(got[0]) >= 600
+        for a, b in zip(got, want):
+            assert a.tolist() == b.tolist()
+
+
+def test_pairs_are_not_multiplied_in_double(monkeypatch):
+    rng = np.random.default_rng(18)
+    X = rng.normal(size=(4000, 64))
+    n = np.linalg.norm(X, axis=1)
+    monkeypatch.setattr(K, "_near", None)
+    scored, real = [], K._scaled_round
+    monkeypatch.setattr(K, "_scaled_round", lambda s, digits: scored.append(len(s)) or real(s, digits))
+    for metric in ("cosine", "dot", "l2"):
+        found = K._score_block(X[:300], n[:300], np.arange(300), X, n, pa.array(np.arange(4000)), 10, 6, metric, True)
+        assert len(found[0]) == 3000
+    assert sum(scored) < 3 * 300 * 4000 // 50
